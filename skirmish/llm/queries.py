@@ -7,13 +7,55 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import packing
+from skirmish.llm import line_dedup, packing, secrets, token_counts
 from skirmish.llm.common import read
 
-
-def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op2_packing": op2_packing}
-ORACLE_SQL: dict[str, str] = {}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(read(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), want_text=False)
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op3_secrets": op3_secrets,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_token_counts": op5_token_counts,
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i, line,
+                   lower_ascii AS key
+            FROM (SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+                 LATERAL (SELECT translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii)
+        ),
+        repeated AS (
+            SELECT key, max(doc_id) AS last_doc FROM lines WHERE length(key) >= 20
+            GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+        ),
+        marked AS (
+            SELECT l.doc_id, l.i, l.line, r.key IS NOT NULL AND l.doc_id <> r.last_doc AS gone
+            FROM lines l LEFT JOIN repeated r ON l.key = r.key
+        )
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+}
