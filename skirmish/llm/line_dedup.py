@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skirmish.llm.common import cut, small_batches
+from skirmish.llm.common import cut, prepare
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Bytes of exact rows (32 for each repeated key) that may be sent to every executor.
@@ -113,7 +113,7 @@ def line_keys(text: bytes, min_chars: int) -> Iterator[tuple[int, bytes | None]]
 
 def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """hi, lo, doc_id: a row for each key and document holding it; may repeat where a document's rows repeat."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skirmish.llm.common import cut, small_batches
+from skirmish.llm.common import cut, prepare
 
 SEQ_LEN = 4096
 END_ID = 2
@@ -98,7 +98,7 @@ def cached_tokenizer(path: str) -> CachedTokenizer:
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Pieces of every document: PIECE_SCHEMA, and the ids themselves as `ids array<long>` if asked for."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")] + [("ids", pa.list_(pa.int64()))] * with_ids)
     end = np.array([end_id], "<u4").tobytes()
 

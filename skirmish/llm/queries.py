@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import line_dedup, packing, secrets, token_counts
+from skirmish.llm import embeddings, line_dedup, packing, secrets, simhash, token_counts
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -30,11 +30,21 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.digest(read(spark, sf_dir, "documents"))
+
+
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
+    "op7_simhash": op7_simhash,
+    "op10_embeddings": op10_embeddings,
 }
 
 ORACLE_SQL: dict[str, str] = {

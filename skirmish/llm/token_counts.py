@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skirmish.llm.common import small_batches
+from skirmish.llm.common import prepare
 from skirmish.llm.packing import _byte_symbols
 
 LAST = 256  # added to a word's last byte
@@ -104,7 +104,7 @@ def automaton(path: str) -> LongestMatch:
 
 def count_tokens(docs: DataFrame, vocabulary_path: str, cache_limit: int = 400_000) -> DataFrame:
     """doc_id, n_words, n_tokens for each row."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if vocabulary_path not in _automata:
