@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import embeddings, line_dedup, packing, secrets, simhash, token_counts
+from skirmish.llm import embeddings, langid, line_dedup, packing, secrets, simhash, token_counts, toxicity
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
@@ -34,16 +38,22 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
     "op2_packing": op2_packing,
     "op3_secrets": op3_secrets,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
     "op10_embeddings": op10_embeddings,
 }
 
