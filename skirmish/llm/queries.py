@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import embeddings, langid, line_dedup, packing, secrets, simhash, token_counts, toxicity
+from skirmish.llm import decontamination, embeddings, langid, line_dedup, lm, packing, secrets, simhash, token_counts, toxicity
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -34,6 +34,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
 
+def op6_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.digest(read(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
@@ -42,6 +46,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -52,8 +60,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secrets": op3_secrets,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
+    "op6_lm": op6_lm,
     "op7_simhash": op7_simhash,
     "op8_toxicity": op8_toxicity,
+    "op9_decontamination": op9_decontamination,
     "op10_embeddings": op10_embeddings,
 }
 
