@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skirmish.shipping import ship
+
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -17,17 +17,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-_shipped: set[str] = set()
-
-
 def prepare(spark: SparkSession, rows: int = 1000) -> None:
-    """Send this package to the executors, once for an application, and keep Arrow batches of whole texts small; a
-    batch size that the user changed stays."""
-    if spark.sparkContext.applicationId not in _shipped:
-        top = Path(__file__).resolve().parents[1]
-        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{top.name}", "zip", top.parent, top.name)
-        spark.sparkContext.addPyFile(archive)
-        _shipped.add(spark.sparkContext.applicationId)
+    """Send this package to the executors and keep Arrow batches of whole texts small; a batch size that the user
+    changed stays."""
+    ship(spark)
     if int(spark.conf.get(ARROW_ROWS)) == 10_000:
         spark.conf.set(ARROW_ROWS, str(rows))
 
