@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import decontamination, embeddings, langid, line_dedup, lm, packing, secrets, simhash, token_counts, toxicity
+from skirmish.llm import credentials, decontamination, embeddings, langid, line_dedup, lm, packing, simhash, token_counts, toxicity
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -22,7 +22,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(read(spark, sf_dir, "documents"))
+    return credentials.digest(read(spark, sf_dir, "documents"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

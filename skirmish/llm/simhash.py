@@ -22,6 +22,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -179,11 +180,184 @@ def digest(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def representatives(docs: DataFrame, words: int = SHINGLE_WORDS, distance: int = MAX_DISTANCE) -> DataFrame:
+# ---- near-duplicates by the similarity of shingle sets
+
+SIMILARITY, SIMILAR_WORDS, RECALL = 0.8, 5, 0.95
+WIDE = 128
+
+
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """(n, 2) 128-bit hashes of the different word shingles of lower-cased text, sorted; none for a blank text."""
+    tokens = text.split()
+    if not tokens:
+        return np.zeros((0, 2), np.uint64)
+    joined, digest = b" ".join(tokens), xxhash.xxh3_128_digest
+    if len(tokens) <= words:
+        made = digest(joined)
+    else:
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+        starts = [0, *(ends[:-words] + 1).tolist()]
+        made = b"".join([digest(joined[s:e]) for s, e in zip(starts, ends[words - 1 :].tolist(), strict=True)])
+    both = np.frombuffer(made, np.uint64).reshape(-1, 2)
+    _, first = np.unique(both[:, 0], return_index=True)
+    return both[first]
+
+
+def wide_fingerprint(hashes: np.ndarray) -> tuple[int, int]:
+    """The 128-bit SimHash of a set of shingles, as two halves."""
+    counts = np.zeros(WIDE, np.int64)
+    for at in range(0, len(hashes), 65536):
+        counts += np.unpackbits(hashes[at : at + 65536].view(np.uint8).reshape(-1, WIDE // 8), axis=1).sum(0, dtype=np.int64)
+    a, b = np.packbits(2 * counts > max(1, len(hashes))).view(np.uint64)
+    return int(a), int(b)
+
+
+def differing(similarity: float) -> float:
+    """Expected share of differing bits of two sets of that Jaccard similarity and equal size."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def choose_grids(n: int, similarity: float, recall: float) -> tuple[int, int]:
+    """Segments to a grid and number of grids: together a pair of that similarity shares a cell of one of them with
+    probability `recall`, at least cost in rows dealt out and chance pairs."""
+    d = differing(similarity)
+    equal = (1 - d) ** 2 + d * d / 2  # a segment's count stays: no bit differs, or both do and cancel
+    grids = {s: int(np.ceil(np.log(1 - recall) / np.log(1 - equal**s))) for s in range(4, 33)}
+    cost = {s: t * (n + n * n / 2 * 0.375**s / 100) for s, t in grids.items()}
+    best = min(cost, key=cost.get)
+    return best, grids[best]
+
+
+def grid_masks(segments: int, grids: int, seed: int = 13) -> list[tuple[int, int]]:
+    rng = np.random.default_rng(seed)
+    out = []
+    for _ in range(grids):
+        mask = sum(3 << (2 * int(s)) for s in rng.choice(WIDE // 2, segments, replace=False))
+        out.append((mask & ((1 << 64) - 1), mask >> 64))
+    return out
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
+
+def similar_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, small: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs within the distance in each run of equal keys: all of them in small runs, in larger ones enough to connect."""
+
+    def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        bound = manhattan(embedding(a[i]), embedding(a[j])) + manhattan(embedding(b[i]), embedding(b[j]))
+        near = np.flatnonzero(bound <= distance)
+        return near[np.bitwise_count(a[i[near]] ^ a[j[near]]).astype(np.int64) + np.bitwise_count(b[i[near]] ^ b[j[near]]) <= distance]
+
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
+    sizes = np.diff(bounds)
+    pos, size = np.arange(len(key)) - np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
+    few = np.flatnonzero((size <= small) & (size > 1))
+    for step in range(1, small):
+        at = few[pos[few] + step < size[few]]
+        if not len(at):
+            break
+        hit = at[close(at, at + step)]
+        left.append(no[hit])
+        right.append(no[hit + step])
+    for i in np.flatnonzero(sizes > small):
+        unseen, front = np.arange(bounds[i], bounds[i + 1]), []
+        while len(unseen):
+            if not front:
+                front, unseen = [int(unseen[0])], unseen[1:]
+            node = front.pop()
+            hit = close(np.full(len(unseen), node), unseen)
+            left.append(np.full(len(hit), no[node]))
+            right.append(no[unseen[hit]])
+            front += unseen[hit].tolist()
+            unseen = np.delete(unseen, hit)
+    return np.concatenate(left), np.concatenate(right)
+
+
+def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, recall: float = RECALL, cell_limit: int = CELL_LIMIT) -> DataFrame:
+    """doc_id, component_id for each row of docs with an id: components of documents whose sets of word shingles have at
+    least that Jaccard similarity.
+
+    At this radius no choice of equal blocks is both sure and selective. The grids are random choices of segments of a
+    128-bit fingerprint's embedding instead, as many as make a pair at the limit itself meet with probability `recall`;
+    closer pairs meet more surely. Cells check the Manhattan bound and the fingerprints' distance as before, and every
+    candidate pair is then held to the similarity of its two shingle sets. Equal sets are merged first."""
+    prepare(docs.sparkSession)
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for text in batch.column(1).cast(pa.binary()):
+                hashes = shingle_hashes((text.as_py() or b"").lower(), words)
+                made.append((*np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.uint64).tolist(), *wide_fingerprint(hashes)))
+            columns = np.array(made, np.uint64).reshape(-1, 4).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns.T)], ["doc_id", "set1", "set2", "a", "b"])
+
+    known = cut(rows.mapInArrow(make, "doc_id long, set1 long, set2 long, a long, b long"))
+    classes = cut(known.groupBy("set1", "set2").agg(F.min("doc_id").alias("first_doc"), F.first("a").alias("a"), F.first("b").alias("b")).withColumn("no", F.monotonically_increasing_id()))
+    share = differing(similarity)
+    distance = int(WIDE * share + 3 * np.sqrt(WIDE * share * (1 - share)))
+    masks = grid_masks(*choose_grids(max(2, classes.count()), similarity, recall))
+    embed = lambda c: F.expr(f"shiftleft({c} & shiftrightunsigned({c}, 1) & {LOW}L, 1) | (({c} ^ shiftrightunsigned({c}, 1)) & {LOW}L)")
+    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(x)).alias("x"), F.lit(_signed(y)).alias("y")) for i, (x, y) in enumerate(masks)]))
+    dealt = classes.select("no", "a", "b", embed("a").alias("pa"), embed("b").alias("pb"), grid.alias("g"))
+    cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"))
+    columns = lambda t: (t["key"].to_numpy(), t["no"].to_numpy(), t["a"].to_numpy().view(np.uint64), t["b"].to_numpy().view(np.uint64))
+
+    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, table in runs(batches, cell_limit):
+            left, right = similar_in_cells(*columns(table), distance)
+            made = [left, right, np.full(len(left), -1, np.int32)]
+            if chunk is not None:
+                made = [np.r_[x, y] for x, y in zip(made, (table["key"].to_numpy(), table["no"].to_numpy(), np.full(len(table), chunk, np.int32)), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["l", "r", "chunk"])
+
+    def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in runs(batches, 2 * cell_limit):
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, similar_in_cells(*columns(table), distance))), ["l", "r"])
+
+    first = cut(cells.mapInArrow(within, "l long, r long, chunk int"))
+    large = first.where("chunk >= 0").select(F.col("l").alias("key"), F.col("r").alias("no"), "chunk")
+    second = by_cell(chunk_pairs(large).join(classes.select("no", "a", "b"), "no").select("key", "no", "a", "b")).mapInArrow(across, "l long, r long")
+    pairs = cut(first.where("chunk < 0").select("l", "r").unionAll(second).select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct())
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = []
+            for text, *is_ in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                hashes = shingle_hashes((text or b"").lower(), words)
+                # Rows of an id may differ; the class is that of one of them.
+                same = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist() == is_
+                made.append(hashes[:, 0].tobytes() if same else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["no", "shingles"])
+
+    asked = pairs.select(F.col("l").alias("no")).unionAll(pairs.select(F.col("r").alias("no"))).distinct()
+    texts = rows.join(classes.join(asked, "no").select("no", "first_doc", "set1", "set2"), F.col("doc_id") == F.col("first_doc")).select("no", "text", "set1", "set2")
+    held = cut(texts.mapInArrow(sets, "no long, shingles binary").where("shingles is not null").dropDuplicates(["no"]))
+
+    @F.pandas_udf("double")
+    def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right, strict=True):
+            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            shared = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(shared / max(1, len(x) + len(y) - shared))
+        return pd.Series(out, dtype=float)
+
+    both = pairs.join(held.select(F.col("no").alias("l"), F.col("shingles").alias("x")), "l").join(held.select(F.col("no").alias("r"), F.col("shingles").alias("y")), "r")
+    found = cut(components(both.where(jaccard("x", "y") >= similarity).select(F.col("l").alias("a"), F.col("r").alias("b"))))
+    named = classes.join(found, classes.no == found.node, "left").select("set1", "set2", "first_doc", F.coalesce("component", "no").alias("component"))
+    least = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    return known.join(named.join(least, "component").select("set1", "set2", "component_id"), ["set1", "set2"]).select("doc_id", "component_id")
+
+
+def representatives(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs whose doc_id names their component: one of each group. An id names one document, so its rows
     stay or go together, and of repeated rows one stays. Rows without an id can't name a group; they stay, each
     different text once."""
-    found = near_duplicates(docs.where("doc_id is not null"), words, distance)
+    found = similar_documents(docs, words, similarity)
     ids = cut(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")))
     # Those that go or repeat are the fewer; the others' texts needn't move if these fit a broadcast.
     other = ids.where("not stays or n > 1").select("doc_id")
