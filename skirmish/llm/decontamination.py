@@ -245,9 +245,9 @@ def clean(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame
     """The rows of docs that repeat no region of the benchmark. Rows without an id are matched by their text alone."""
     found = cut(matches(docs.where("doc_id is not null"), benchmark, **parameters).select("doc_id").distinct())
     named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
-    unnamed = docs.where("doc_id is null").withColumn("_text_hash", F.xxhash64("text"))
-    bad = matches(unnamed.select(F.col("_text_hash").alias("doc_id"), "text"), benchmark, **parameters).select(F.col("doc_id").alias("_text_hash")).distinct()
-    return named.unionAll(unnamed.join(bad, "_text_hash", "left_anti").select(*docs.columns))
+    unnamed = docs.where("doc_id is null").withColumn("_hash_of_text", F.xxhash64("text"))
+    bad = matches(unnamed.select(F.col("_hash_of_text").alias("doc_id"), "text"), benchmark, **parameters).select(F.col("doc_id").alias("_hash_of_text")).distinct()
+    return named.unionAll(unnamed.join(bad, "_hash_of_text", "left_anti").select(*docs.columns))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -231,10 +231,11 @@ def _drop_lists_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, m
 
 
 def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = 500_000) -> DataFrame:
-    """docs with n_lines, n_dropped, kept_text (if wanted), kept_sha256.
+    """docs with n_lines, n_dropped, kept_text (if wanted), kept_sha256; columns of docs by these names are replaced.
 
     The reference table is counted in full; if its repeated keys fit the broadcast bound they are sent to the texts,
     else each text is sent to its list of lines."""
+    docs = docs.drop(*[c.split()[0] for c in _RESULT.split(", ")])
     repeated = repeated_keys(docs, min_chars, min_docs)
     n = repeated.count()
     if 32 * n <= broadcast_bytes:
