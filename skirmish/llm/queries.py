@@ -67,6 +67,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embeddings": op10_embeddings,
 }
 
+def _secrets_sql() -> str:
+    """Positions come from what lies between the matches, as in the operator; everything else is its own."""
+    kinds = ", ".join(f"({i}, '{kind}', {len(pattern)}, '{pattern.replace(chr(39), chr(39) * 2)}', {group}, {least})" for i, (kind, (pattern, group, least)) in enumerate(credentials.KINDS.items()))
+    return f"""
+        WITH kinds(k, name, plen, pattern, grp, least) AS (VALUES {kinds}),
+        docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+        found AS (
+            SELECT rn, doc_id, owner, k, name, pattern, least, regexp_extract_all(t, pattern) AS matches, string_split_regex(t, pattern) AS gaps
+            FROM docs CROSS JOIN kinds WHERE regexp_matches(t, pattern)
+        ),
+        each AS (
+            SELECT rn, doc_id, owner, k, name, pattern, least, generate_subscripts(matches, 1) AS i, unnest(matches) AS m,
+                   unnest(gaps[1:len(matches)]) AS gap FROM found
+        ),
+        placed AS (
+            SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY rn, k ORDER BY i) AS e,
+                   CASE k WHEN 0 THEN regexp_extract(m, pattern, 2) ELSE m END AS value FROM each
+        ),
+        judged AS (
+            SELECT rn, doc_id, owner, k, name, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e, value,
+                   length(regexp_replace(value, '[^0-9]', '', 'g')) >= 3 AND regexp_matches(value, '[A-Za-z]')
+                   AND len(list_distinct(string_split(value, ''))) >= 8 AS random
+            FROM placed WHERE length(value) >= least
+        ),
+        spans AS (
+            SELECT * FROM judged j WHERE k < 3 OR random AND NOT EXISTS (
+                SELECT 1 FROM judged b WHERE b.rn = j.rn AND b.k < 3 AND b.s < j.e AND b.e > j.s)
+        ),
+        owners AS (SELECT value, count(DISTINCT owner) AS n_owners FROM spans GROUP BY value),
+        known AS (
+            SELECT s.*, CASE WHEN n_owners >= 4 THEN 'example' WHEN random THEN 'live' ELSE 'weak' END AS verdict,
+                   name || ':' || s.s || ':' || s.e AS said
+            FROM spans s JOIN owners o ON s.value = o.value WHERE k < 3 OR n_owners <= 2
+        ),
+        held AS (
+            SELECT rn, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+                   count(*) FILTER (k = 3) AS n_bare, count(*) FILTER (verdict = 'live') AS n_live,
+                   count(*) FILTER (verdict = 'example') AS n_example, count(*) FILTER (verdict = 'weak') AS n_weak,
+                   string_agg(said, ',' ORDER BY s, k) FILTER (k < 3) AS base, string_agg(said, ',' ORDER BY s, k) AS spans
+            FROM known GROUP BY rn
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               coalesce(n_bare, 0) AS n_bare, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+               coalesce(n_weak, 0) AS n_weak, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN held ON docs.rn = held.rn"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op4_line_dedup": r"""
         WITH lines AS (
@@ -88,4 +135,21 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op3_secrets": _secrets_sql(),
+    "op10_embeddings": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        pairs AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95
+        ),
+        reach(x, y) AS (SELECT x, y FROM pairs UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x),
+        links AS (SELECT x, count(*) AS n FROM pairs GROUP BY x),
+        least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+        SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.y, vec_id)) AS component_id,
+               least(vec_id, coalesce(least.y, vec_id)) = vec_id AS kept
+        FROM embeddings LEFT JOIN links ON links.x = vec_id LEFT JOIN least ON least.x = vec_id""",
 }
