@@ -17,19 +17,13 @@ from pyspark.sql import functions as F
 
 from skirmish.llm.common import cut
 
-#: kind: pattern, group of the value, least length of the value, in the order that breaks ties between equal starts
+#: kind: pattern, group of the value, least length of the value, in the order that breaks ties between equal starts.
+#: Where a match is a run of one class, the least length is in the pattern: a shorter run matches nowhere within itself.
 KINDS = {
     "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    "access": (r"AKIA[A-Z0-9]+", 0, 20),
-    "hex": (r"[0-9a-f]+", 0, 24),
-    "bare": (r"[A-Za-z0-9+_-]+", 0, 20),
-}
-#: What a text must contain for a kind to be worth a closer look; says nothing else than the kind's own pattern does.
-PROBES = {
-    "assign": KINDS["assign"][0],
-    "access": r"AKIA[A-Z0-9]{16}",
-    "hex": r"[0-9a-f]{24}",
-    "bare": r"[A-Za-z0-9+_-]{20}",
+    "access": (r"AKIA[A-Z0-9]{16,}", 0, 20),
+    "hex": (r"[0-9a-f]{24,}", 0, 24),
+    "bare": (r"[A-Za-z0-9+_-]{20,}", 0, 20),
 }
 BASE = ("assign", "access", "hex")
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -41,7 +35,7 @@ def _sections(kind: str, text: Column) -> Column:
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     zipped = F.transform(F.arrays_zip(gaps.alias("gap"), matches.alias("match")), lambda x: F.struct(F.lit(ORDER[kind]).alias("kind"), x["gap"].alias("gap"), x["match"].alias("match")))
-    return F.when(text.rlike(PROBES[kind]), zipped).otherwise(F.array().cast("array<struct<kind:int,gap:int,match:string>>"))
+    return F.when(text.rlike(pattern), zipped).otherwise(F.array().cast("array<struct<kind:int,gap:int,match:string>>"))
 
 
 def candidates(docs: DataFrame, repo: str = "source", owner: str = "source") -> tuple[DataFrame, DataFrame]:
