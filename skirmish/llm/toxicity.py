@@ -32,7 +32,7 @@ from skirmish.llm.common import crc_mod5, prepare
 
 WORD_BITS, STEM_BITS, STEM_BYTES = 16, 16, 6
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
-PER_CLASS, EPOCHS, CHUNK = 4000, 8, 1 << 16
+PER_CLASS, EPOCHS, LEAST_STEPS, CHUNK = 4000, 8, 250, 1 << 16
 #: Punctuation and controls of ASCII part words; letters, digits and all other bytes make them.
 _BLANKS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -119,7 +119,9 @@ class Adam:
 
 
 def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32, seed: int = 5) -> ConvNet:
+    """At least `epochs` passes, and on few texts as many as make LEAST_STEPS steps."""
     net, adam, rng = ConvNet.fresh(seed), Adam(0.004), np.random.default_rng(seed)
+    epochs = max(epochs, -(-LEAST_STEPS * batch // len(texts)))
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     n_pool = FILTERS * len(WIDTHS)
@@ -168,11 +170,13 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, bat
     return net
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float) -> float:
-    """The logit of the best F1, a clean row standing for clean_weight rows; halfway between the rows that it parts."""
+def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float, most: float = 1.0) -> float:
+    """The logit of the best F1, a clean row standing for clean_weight rows; halfway between the rows that it parts. No
+    more than the share `most` of all rows is above it: few labels would else let it reject nearly everything."""
     order = np.argsort(-logits, kind="stable")
     hit, wrong = np.cumsum(labels[order]), np.cumsum((1 - labels[order]) * clean_weight)
     f1 = 2 * hit / (hit + wrong + labels.sum())
+    f1[hit + wrong > max(1.0, most * (hit[-1] + wrong[-1]))] = -1
     f1[:-1][logits[order][:-1] == logits[order][1:]] = -1  # equal scores can't be parted
     at = int(f1.argmax())
     return float((logits[order[at]] + logits[order[min(at + 1, len(order) - 1)]]) / 2)
@@ -209,11 +213,12 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, languages: lang
     at = np.flatnonzero(aside if aside.any() else ~aside)
     logits, lang = net.logits(ids[i] for i in at), sample["lang"].to_numpy()[at]
     clean_weight = (sizes[0] / max(1, (toxic == 0).sum())) / (sizes[1] / max(1, (toxic == 1).sum()))
-    net.thresholds[-1] = best_threshold(logits, toxic[at], clean_weight)
+    most = 1.5 * sizes[1] / (sizes[0] + sizes[1])
+    net.thresholds[-1] = best_threshold(logits, toxic[at], clean_weight, most)
     for number in range(len(languages.languages)):
         own = lang == number
         if min(toxic[at][own].sum(), (1 - toxic[at][own]).sum()) >= least_of_language:
-            net.thresholds[number] = best_threshold(logits[own], toxic[at][own], clean_weight)
+            net.thresholds[number] = best_threshold(logits[own], toxic[at][own], clean_weight, 2 * most)
     return net
 
 

@@ -53,3 +53,4 @@ def test_pooling_reads_whole_texts():
 def test_threshold():
     assert 1 < best_threshold(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0]), 1.0) < 2
     assert best_threshold(np.array([1.0, 1.0, 0.0]), np.array([1, 0, 0]), 1.0) == 0.5
+    assert 1 < best_threshold(np.array([3.0, 2.0, 1.0, 0.0]), np.array([0, 0, 0, 1]), 1.0, most=0.5) < 3
