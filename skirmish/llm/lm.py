@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from skirmish.llm.common import cut, prepare
 
-BLOCK_BYTES = 6 << 20
-#: Input bytes to a shard: about two million keys.
-SHARD_BYTES = 12 << 20
+BLOCK_BYTES = 4 << 20
+#: Input bytes to a shard: about a million and a half keys.
+SHARD_BYTES = 8 << 20
 RETAINED, HELD, TEST = 0, 1, 2
 END = xxhash.xxh64_intdigest(b"\n", 3)  # no word has white space; as a context it means a text's beginning
 BUCKETS = 32
@@ -68,8 +68,9 @@ def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes, bool]]:
     yield text[at:], before, True
 
 
-def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    """Rows of BLOCK_SCHEMA. Held-out parts have blocks of their own (odd numbers), whether the others are read or not."""
+def assigned(block_bytes: int):
+    """From batches of with_parts() to batches of BLOCK_SCHEMA. Held-out parts have blocks of their own (odd numbers),
+    whether the others are read or not."""
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, row = TaskContext.get().partitionId(), 0
@@ -88,7 +89,11 @@ def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             columns = list(zip(*made, strict=True)) if made else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in BLOCK_SCHEMA.split(", ")])
 
-    return docs.mapInArrow(assign, BLOCK_SCHEMA)
+    return assign
+
+
+def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    return docs.mapInArrow(assigned(block_bytes), BLOCK_SCHEMA)
 
 
 class Block:
@@ -176,8 +181,10 @@ def answers(docs: DataFrame, shards: int, block_bytes: int) -> DataFrame:
     """block, shard, n, check, total, retained: for each block and shard the corpus counts of the block's keys; and for
     block -1 the shard's sums. Not yet written down."""
 
+    assign = assigned(block_bytes)
+
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _each_block(batches):
+        for table in _each_block(assign(batches)):
             block, made = Block.of(table), []
             cuts, number = block.cuts(shards), table["block"][0].as_py()
             for s in np.flatnonzero(np.diff(cuts)).tolist():
@@ -204,7 +211,7 @@ def answers(docs: DataFrame, shards: int, block_bytes: int) -> DataFrame:
         out.insert(1, "shard", pdf["shard"].iloc[0])
         return out
 
-    asked = in_blocks(docs, block_bytes).mapInArrow(ask, "block long, shard int, keys binary, counts binary")
+    asked = docs.mapInArrow(ask, "block long, shard int, keys binary, counts binary")
     return asked.groupBy("shard").applyInPandas(add_up, "block long, shard int, n long, check long, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long")
 
 
