@@ -3,7 +3,10 @@ import sys
 from pathlib import Path
 
 import pytest
+from hypothesis import settings
 
+settings.register_profile("any machine", deadline=None)
+settings.load_profile("any machine")
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
 
