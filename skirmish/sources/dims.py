@@ -10,26 +10,25 @@ from pyspark.sql import functions as F
 # The eighteen types, and for each attacking type the defending types on which its factor isn't 1.
 TYPES = ["Normal", "Fire", "Water", "Grass", "Electric", "Ice", "Fighting", "Poison", "Ground", "Flying", "Psychic", "Bug", "Rock", "Ghost", "Dragon", "Dark", "Steel", "Fairy"]
 CHART_TEXT = """
-Normal: half Rock Steel; none Ghost
-Fire: half Fire Water Rock Dragon; double Grass Ice Bug Steel
-Water: half Water Grass Dragon; double Fire Ground Rock
-Grass: half Fire Grass Poison Flying Bug Dragon Steel; double Water Ground Rock
-Electric: half Grass Electric Dragon; double Water Flying; none Ground
-Ice: half Fire Water Ice Steel; double Grass Ground Flying Dragon
-Fighting: half Poison Flying Psychic Bug Fairy; double Normal Ice Rock Dark Steel; none Ghost
-Poison: half Poison Ground Rock Ghost; double Grass Fairy; none Steel
-Ground: half Grass Bug; double Fire Electric Poison Rock Steel; none Flying
-Flying: half Electric Rock Steel; double Grass Fighting Bug
-Psychic: half Psychic Steel; double Fighting Poison; none Dark
-Bug: half Fire Fighting Poison Flying Ghost Steel Fairy; double Grass Psychic Dark
-Rock: half Fighting Ground Steel; double Fire Ice Flying Bug
-Ghost: half Dark; double Psychic Ghost; none Normal
-Dragon: half Steel; double Dragon; none Fairy
-Dark: half Fighting Dark Fairy; double Psychic Ghost
-Steel: half Fire Water Electric Steel; double Ice Rock Fairy
-Fairy: half Fire Poison Steel; double Fighting Dragon Dark
+Normal: Rock 0.5, Ghost 0, Steel 0.5
+Fire: Fire 0.5, Water 0.5, Grass 2, Ice 2, Bug 2, Rock 0.5, Dragon 0.5, Steel 2
+Water: Fire 2, Water 0.5, Grass 0.5, Ground 2, Rock 2, Dragon 0.5
+Grass: Fire 0.5, Water 2, Grass 0.5, Poison 0.5, Ground 2, Flying 0.5, Bug 0.5, Rock 2, Dragon 0.5, Steel 0.5
+Electric: Water 2, Grass 0.5, Electric 0.5, Ground 0, Flying 2, Dragon 0.5
+Ice: Fire 0.5, Water 0.5, Grass 2, Ice 0.5, Ground 2, Flying 2, Dragon 2, Steel 0.5
+Fighting: Normal 2, Ice 2, Poison 0.5, Flying 0.5, Psychic 0.5, Bug 0.5, Rock 2, Ghost 0, Dark 2, Steel 2, Fairy 0.5
+Poison: Grass 2, Poison 0.5, Ground 0.5, Rock 0.5, Ghost 0.5, Steel 0, Fairy 2
+Ground: Fire 2, Grass 0.5, Electric 2, Poison 2, Flying 0, Bug 0.5, Rock 2, Steel 2
+Flying: Grass 2, Electric 0.5, Fighting 2, Bug 2, Rock 0.5, Steel 0.5
+Psychic: Fighting 2, Poison 2, Psychic 0.5, Dark 0, Steel 0.5
+Bug: Fire 0.5, Grass 2, Fighting 0.5, Poison 0.5, Flying 0.5, Psychic 2, Ghost 0.5, Dark 2, Steel 0.5, Fairy 0.5
+Rock: Fire 2, Ice 2, Fighting 0.5, Ground 0.5, Flying 2, Bug 2, Steel 0.5
+Ghost: Normal 0, Psychic 2, Ghost 2, Dark 0.5
+Dragon: Dragon 2, Steel 0.5, Fairy 0
+Dark: Fighting 0.5, Psychic 2, Ghost 2, Dark 0.5, Fairy 0.5
+Steel: Fire 0.5, Water 0.5, Electric 0.5, Ice 2, Rock 2, Steel 0.5, Fairy 2
+Fairy: Fire 0.5, Fighting 2, Poison 0.5, Dragon 2, Dark 2, Steel 0.5
 """
-FACTORS = {"half": 0.5, "double": 2.0, "none": 0.0}
 
 # Wild encounters in drawing order, and the starter.
 ENCOUNTER_COLUMNS = ["ord", "species", "min", "max", "weight", "hp", "atk", "def", "type"]
@@ -49,10 +48,10 @@ def chart_cells() -> list[tuple[str, str, float]]:
     """(attacking, defending, factor) for the cells that aren't 1."""
     out = []
     for line in CHART_TEXT.strip().splitlines():
-        attacking, groups = line.split(": ")
-        for group in groups.split("; "):
-            word, *defending = group.split()
-            out += [(attacking, d, FACTORS[word]) for d in defending]
+        attacking, row = line.split(": ")
+        for cell in row.split(", "):
+            defending, factor = cell.split()
+            out.append((attacking, defending, float(factor)))
     return out
 
 
