@@ -78,8 +78,10 @@ def embedding(fp: np.ndarray) -> np.ndarray:
 def manhattan(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Distance of embedded fingerprints: a segment's counts differ by 1 if their low bits differ, by 2 if only the high ones do."""
     x = p ^ q
-    odd = x & np.uint64(LOW)
-    return np.bitwise_count(odd) + 2 * np.bitwise_count((x >> np.uint64(1)) & np.uint64(LOW) & ~odd)
+    two = (x >> np.uint64(1)) & ~x
+    two &= np.uint64(LOW)
+    x &= np.uint64(LOW)
+    return np.bitwise_count(x) + 2 * np.bitwise_count(two)
 
 
 def block_masks(n_blocks: int, distance: int) -> list[int]:
@@ -244,9 +246,10 @@ def _signed(x: int) -> int:
 def similar_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, small: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within the distance in each run of equal keys: all of them in small runs, in larger ones enough to connect."""
 
+    p, q = embedding(a), embedding(b)
+
     def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        bound = manhattan(embedding(a[i]), embedding(a[j])) + manhattan(embedding(b[i]), embedding(b[j]))
-        near = np.flatnonzero(bound <= distance)
+        near = np.flatnonzero(manhattan(p[i], p[j]) + manhattan(q[i], q[j]) <= distance)
         return near[np.bitwise_count(a[i[near]] ^ a[j[near]]).astype(np.int64) + np.bitwise_count(b[i[near]] ^ b[j[near]]) <= distance]
 
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
