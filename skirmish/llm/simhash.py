@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm.cells import by_cell, chunk_pairs, runs
-from skirmish.llm.common import cut, prepare
+from skirmish.llm.common import cut, drop_cut, prepare
 from skirmish.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 4, 4, 42
@@ -351,6 +351,8 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
 
     both = pairs.join(held.select(F.col("no").alias("l"), F.col("shingles").alias("x")), "l").join(held.select(F.col("no").alias("r"), F.col("shingles").alias("y")), "r")
     found = cut(components(both.where(jaccard("x", "y") >= similarity).select(F.col("l").alias("a"), F.col("r").alias("b"))))
+    for done in (first, pairs, held):
+        drop_cut(done)
     named = classes.join(found, classes.no == found.node, "left").select("set1", "set2", "first_doc", F.coalesce("component", "no").alias("component"))
     least = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     return known.join(named.join(least, "component").select("set1", "set2", "component_id"), ["set1", "set2"]).select("doc_id", "component_id")
