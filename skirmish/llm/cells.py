@@ -63,7 +63,8 @@ def chunk_pairs(chunks: DataFrame) -> DataFrame:
     return paired.drop("chunk", "other", "n_chunks")
 
 
-def by_cell(df: DataFrame) -> DataFrame:
-    """Rows of a key together and sorted, as runs() needs them; the number of partitions is the session's."""
+def by_cell(df: DataFrame, *order: str) -> DataFrame:
+    """Rows of a key together and sorted, as runs() needs them, within a key by `order`; the number of partitions is the
+    session's."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "key").sortWithinPartitions("key")
+    return df.repartition(n, "key").sortWithinPartitions("key", *order)

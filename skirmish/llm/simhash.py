@@ -306,7 +306,7 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     embed = lambda c: F.expr(f"shiftleft({c} & shiftrightunsigned({c}, 1) & {LOW}L, 1) | (({c} ^ shiftrightunsigned({c}, 1)) & {LOW}L)")
     grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(x)).alias("x"), F.lit(_signed(y)).alias("y")) for i, (x, y) in enumerate(masks)]))
     dealt = classes.select("no", "a", "b", embed("a").alias("pa"), embed("b").alias("pb"), grid.alias("g"))
-    cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"))
+    cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"), "a", "b")  # a large cell's links follow its order
     columns = lambda t: (t["key"].to_numpy(), t["no"].to_numpy(), t["a"].to_numpy().view(np.uint64), t["b"].to_numpy().view(np.uint64))
 
     def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +323,7 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
 
     first = cut(cells.mapInArrow(within, "l long, r long, chunk int"))
     large = first.where("chunk >= 0").select(F.col("l").alias("key"), F.col("r").alias("no"), "chunk")
-    second = by_cell(chunk_pairs(large).join(classes.select("no", "a", "b"), "no").select("key", "no", "a", "b")).mapInArrow(across, "l long, r long")
+    second = by_cell(chunk_pairs(large).join(classes.select("no", "a", "b"), "no").select("key", "no", "a", "b"), "a", "b").mapInArrow(across, "l long, r long")
     pairs = cut(first.where("chunk < 0").select("l", "r").unionAll(second).select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct())
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
