@@ -186,6 +186,8 @@ def digest(docs: DataFrame) -> DataFrame:
 
 SIMILARITY, SIMILAR_WORDS, RECALL = 0.8, 5, 0.95
 WIDE = 128
+#: Rows with more others near in their cell are compared with their sets at hand, so many rows of a chunk.
+MANY, SETS_LIMIT = 4, 2048
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -243,38 +245,96 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def similar_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, small: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs within the distance in each run of equal keys: all of them in small runs, in larger ones enough to connect."""
+class Wide:
+    """128-bit fingerprints in halves, with their embeddings."""
 
-    p, q = embedding(a), embedding(b)
+    def __init__(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.a, self.b, self.p, self.q = a, b, embedding(a), embedding(b)
 
-    def close(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        near = np.flatnonzero(manhattan(p[i], p[j]) + manhattan(q[i], q[j]) <= distance)
-        return near[np.bitwise_count(a[i[near]] ^ a[j[near]]).astype(np.int64) + np.bitwise_count(b[i[near]] ^ b[j[near]]) <= distance]
+    def close(self, i: np.ndarray | int, j: np.ndarray, distance: int) -> np.ndarray:
+        """Where rows i and j are within the distance."""
+        near = np.flatnonzero(manhattan(self.p[i], self.p[j]) + manhattan(self.q[i], self.q[j]) <= distance)
+        if not len(near):
+            return near
+        i, j = i if isinstance(i, int) else i[near], j[near]
+        return near[np.bitwise_count(self.a[i] ^ self.a[j]).astype(np.int64) + np.bitwise_count(self.b[i] ^ self.b[j]) <= distance]
 
+
+def close_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarray, distance: int, small: int = 64, many: int = MANY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (no, no) within the distance in each run of equal keys, and core rows: those of runs of more than `small` rows
+    that have more than `many` others near. Pairs of two core rows aren't among the pairs."""
+    wide, core = Wide(a, b), np.zeros(len(key), bool)
     left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
-    sizes = np.diff(bounds)
-    pos, size = np.arange(len(key)) - np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
+    pos, size = _places(key)
     few = np.flatnonzero((size <= small) & (size > 1))
     for step in range(1, small):
         at = few[pos[few] + step < size[few]]
         if not len(at):
             break
-        hit = at[close(at, at + step)]
+        hit = at[wide.close(at, at + step, distance)]
         left.append(no[hit])
         right.append(no[hit + step])
-    for i in np.flatnonzero(sizes > small):
-        unseen, front = np.arange(bounds[i], bounds[i + 1]), []
+    for lo in np.flatnonzero((pos == 0) & (size > small)).tolist():
+        n = int(size[lo])
+        rows, near, total, held = np.arange(lo, lo + n), np.zeros(n, np.int64), 0, []
+        for i in range(n - 1):
+            hit = wide.close(lo + i, rows[i + 1 :], distance) + i + 1
+            if len(hit):
+                near[i] += len(hit)
+                near[hit] += 1
+                total += len(hit)
+                if total <= 64 * n:
+                    held.append((i, hit))
+        light = near <= many
+        core[lo : lo + n] = ~light
+        if total > 64 * n:  # too many to hold: those of light rows once more
+            held = [(i, hit[hit != i]) for i in np.flatnonzero(light & (near > 0)).tolist() for hit in [wide.close(lo + i, rows, distance)]]
+            held = [(i, hit[(hit > i) | ~light[hit]]) for i, hit in held]
+        held = [(i, hit if light[i] else hit[light[hit]]) for i, hit in held]
+        for i, hit in held:
+            left.append(np.full(len(hit), no[lo + i]))
+            right.append(no[lo + hit])
+    return np.concatenate(left), np.concatenate(right), core
+
+
+def _places(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its place in its run of equal keys and the run's size."""
+    bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)] if len(key) else np.zeros(1, np.int64)
+    sizes = np.diff(bounds)
+    return np.arange(len(key)) - np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
+
+
+def similar_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarray, sets: list[np.ndarray], distance: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect, within each run of equal keys, all pairs within the distance whose sets are similar. Only a
+    pair of similar sets takes a row out of the cell; a row that fails stays for all others to look at."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    pos, size = _places(key)
+    for lo in np.flatnonzero(pos == 0):
+        hi = lo + size[lo]
+        n = np.array([len(x) for x in sets[lo:hi]], np.int64)
+        values, ids = np.unique(np.concatenate(sets[lo:hi]), return_inverse=True)
+        ends, mine = np.cumsum(n), np.zeros(len(values), bool)
+        wide = Wide(a[lo:hi], b[lo:hi])
+        of = lambda r: ids[ends[r] - n[r] : ends[r]]  # noqa: B023, E731
+        unseen, front = np.flatnonzero(n), []
         while len(unseen):
             if not front:
                 front, unseen = [int(unseen[0])], unseen[1:]
             node = front.pop()
-            hit = close(np.full(len(unseen), node), unseen)
-            left.append(np.full(len(hit), no[node]))
-            right.append(no[unseen[hit]])
-            front += unseen[hit].tolist()
-            unseen = np.delete(unseen, hit)
+            asked = wide.close(node, unseen, distance)
+            near = unseen[asked]
+            asked = asked[np.minimum(n[near], n[node]) / np.maximum(n[near], n[node]) >= similarity]
+            near = unseen[asked]
+            if not len(near):
+                continue
+            mine[of(node)] = True
+            shared = np.add.reduceat(mine[np.concatenate([of(r) for r in near])].astype(np.int64), np.r_[0, np.cumsum(n[near])[:-1]])
+            mine[of(node)] = False
+            good = shared / (n[near] + n[node] - shared) >= similarity
+            left.append(np.full(good.sum(), no[lo + node]))
+            right.append(no[lo + near[good]])
+            front += near[good].tolist()
+            unseen = np.delete(unseen, asked[good])
     return np.concatenate(left), np.concatenate(right)
 
 
@@ -285,7 +345,9 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     At this radius no choice of equal blocks is both sure and selective. The grids are random choices of segments of a
     128-bit fingerprint's embedding instead, as many as make a pair at the limit itself meet with probability `recall`;
     closer pairs meet more surely. Cells check the Manhattan bound and the fingerprints' distance as before, and every
-    candidate pair is then held to the similarity of its two shingle sets. Equal sets are merged first."""
+    candidate pair is then held to the similarity of its two shingle sets. Cells hand on their pairs; only between rows that
+    have many others near, whose pairs grow with the square of a group, the sets come to the cell instead. Equal sets are
+    merged first."""
     prepare(docs.sparkSession)
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -306,25 +368,38 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     embed = lambda c: F.expr(f"shiftleft({c} & shiftrightunsigned({c}, 1) & {LOW}L, 1) | (({c} ^ shiftrightunsigned({c}, 1)) & {LOW}L)")
     grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(_signed(x)).alias("x"), F.lit(_signed(y)).alias("y")) for i, (x, y) in enumerate(masks)]))
     dealt = classes.select("no", "a", "b", embed("a").alias("pa"), embed("b").alias("pb"), grid.alias("g"))
-    cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"), "a", "b")  # a large cell's links follow its order
+    cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"), "a", "b")  # a large cell's chunks follow its order
     columns = lambda t: (t["key"].to_numpy(), t["no"].to_numpy(), t["a"].to_numpy().view(np.uint64), t["b"].to_numpy().view(np.uint64))
 
+
+    def compared(table: pa.Table) -> list[np.ndarray]:
+        """(no, no, -1) of pairs and (key, no, -2 - chunk) of core rows."""
+        key, no, a, b = columns(table)
+        left, right, core = close_in_cells(key, no, a, b, distance)
+        chunk = _places(key[core])[0] // SETS_LIMIT
+        return [np.r_[left, key[core]], np.r_[right, no[core]], np.r_[np.full(len(left), -1), -2 - chunk].astype(np.int32)]
+
     def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table in runs(batches, cell_limit):
-            left, right = similar_in_cells(*columns(table), distance)
-            made = [left, right, np.full(len(left), -1, np.int32)]
-            if chunk is not None:
-                made = [np.r_[x, y] for x, y in zip(made, (table["key"].to_numpy(), table["no"].to_numpy(), np.full(len(table), chunk, np.int32)), strict=True)]
+            # Chunks of a large cell go to the second pass, as (key, no, chunk).
+            made = compared(table) if chunk is None else [table["key"].to_numpy(), table["no"].to_numpy(), np.full(len(table), chunk, np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], ["l", "r", "chunk"])
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, table in runs(batches, 2 * cell_limit):
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, similar_in_cells(*columns(table), distance))), ["l", "r"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in compared(table)], ["l", "r", "chunk"])
+
+    def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, table in runs(batches, 2 * SETS_LIMIT):
+            shingles = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, similar_in_cells(*columns(table), shingles, distance, similarity))), ["l", "r"])
 
     first = cut(cells.mapInArrow(within, "l long, r long, chunk int"))
     large = first.where("chunk >= 0").select(F.col("l").alias("key"), F.col("r").alias("no"), "chunk")
-    second = by_cell(chunk_pairs(large).join(classes.select("no", "a", "b"), "no").select("key", "no", "a", "b"), "a", "b").mapInArrow(across, "l long, r long")
-    pairs = cut(first.where("chunk < 0").select("l", "r").unionAll(second).select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct())
+    second = cut(by_cell(chunk_pairs(large).join(classes.select("no", "a", "b"), "no").select("key", "no", "a", "b"), "a", "b").mapInArrow(across, "l long, r long, chunk int"))
+    both = first.unionAll(second)
+    pairs = cut(both.where("chunk = -1").select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct())
+    core = both.where("chunk < -1").select(F.col("l").alias("key"), F.col("r").alias("no"), (-2 - F.col("chunk")).alias("chunk"))
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,7 +411,7 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
                 made.append(hashes[:, 0].tobytes() if same else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["no", "shingles"])
 
-    asked = pairs.select(F.col("l").alias("no")).unionAll(pairs.select(F.col("r").alias("no"))).distinct()
+    asked = pairs.select(F.col("l").alias("no")).unionAll(pairs.select(F.col("r").alias("no"))).unionAll(core.select("no")).distinct()
     texts = rows.join(classes.join(asked, "no").select("no", "first_doc", "set1", "set2"), F.col("doc_id") == F.col("first_doc")).select("no", "text", "set1", "set2")
     held = cut(texts.mapInArrow(sets, "no long, shingles binary").where("shingles is not null").dropDuplicates(["no"]))
 
@@ -350,8 +425,10 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
         return pd.Series(out, dtype=float)
 
     both = pairs.join(held.select(F.col("no").alias("l"), F.col("shingles").alias("x")), "l").join(held.select(F.col("no").alias("r"), F.col("shingles").alias("y")), "r")
-    found = cut(components(both.where(jaccard("x", "y") >= similarity).select(F.col("l").alias("a"), F.col("r").alias("b"))))
-    for done in (first, pairs, held):
+    dense = chunk_pairs(core).join(classes.select("no", "a", "b"), "no").join(held, "no").select("key", "no", "a", "b", "shingles")
+    verified = by_cell(dense, "a", "b").mapInArrow(with_sets, "l long, r long")
+    found = cut(components(both.where(jaccard("x", "y") >= similarity).select("l", "r").unionAll(verified).toDF("a", "b")))
+    for done in (first, second, pairs, held):
         drop_cut(done)
     named = classes.join(found, classes.no == found.node, "left").select("set1", "set2", "first_doc", F.coalesce("component", "no").alias("component"))
     least = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))

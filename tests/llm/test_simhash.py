@@ -117,6 +117,21 @@ def test_similar_documents(spark, cell_limit):
     assert all(want[d] == want[got[d]] for d in texts), "nothing is merged that isn't similar"
 
 
+@pytest.mark.parametrize("cell_limit", [8192, 70])
+def test_copies_in_a_dense_region(spark, cell_limit):
+    template, texts = prose(77, 400).split(), {}
+    for g in range(200):  # two copies each; texts of different groups are just not similar enough
+        words = [f"g{g}" if i % 40 == 0 else w for i, w in enumerate(template)]
+        for v in range(2):
+            texts[10 * g + v] = " ".join(f"v{v}" if i == 20 * v + 5 else w for i, w in enumerate(words))
+    sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in texts.items())}
+    want = classes(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
+    assert len(set(want.values())) == 200
+    rows = [(d, t, None, None, 0) for d, t in texts.items()]
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(clashing(spark, rows), cell_limit=cell_limit).collect()}
+    assert sum(got[d] != want[d] for d in texts) <= 0.01 * len(texts)
+
+
 def test_representatives_keep_whole_rows(spark):
     rows = odd_documents()
     df = clashing(spark, rows)
