@@ -182,6 +182,10 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float,
     return float((logits[order[at]] + logits[order[min(at + 1, len(order) - 1)]]) / 2)
 
 
+def share_of_toxic(labels: np.ndarray, clean_weight: float) -> float:
+    return float(labels.sum() / (labels.sum() + (1 - labels).sum() * clean_weight))
+
+
 def learn(docs: DataFrame, labels: DataFrame, learnable: Column, languages: langid.LanguageFilter, per_class: int = PER_CLASS, least_of_language: int = 40) -> ConvNet | float:
     """What reaches the driver are word ids of at most 2 x per_class documents."""
     prepare(docs.sparkSession)
@@ -218,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column, languages: lang
     for number in range(len(languages.languages)):
         own = lang == number
         if min(toxic[at][own].sum(), (1 - toxic[at][own]).sum()) >= least_of_language:
-            net.thresholds[number] = best_threshold(logits[own], toxic[at][own], clean_weight, 2 * most)
+            net.thresholds[number] = best_threshold(logits[own], toxic[at][own], clean_weight, 3 * share_of_toxic(toxic[at][own], clean_weight))
     return net
 
 

@@ -54,3 +54,18 @@ def test_threshold():
     assert 1 < best_threshold(np.array([3.0, 2.0, 1.0, 0.0]), np.array([1, 1, 0, 0]), 1.0) < 2
     assert best_threshold(np.array([1.0, 1.0, 0.0]), np.array([1, 0, 0]), 1.0) == 0.5
     assert 1 < best_threshold(np.array([3.0, 2.0, 1.0, 0.0]), np.array([0, 0, 0, 1]), 1.0, most=0.5) < 3
+
+
+def test_language_that_holds_most_of_the_toxic(spark):
+    """5 % of all rows are toxic, 30 % in one language."""
+    rows, marks = [], []
+    for i in range(4200):
+        other, bad = i % 6 == 0, i % 18 == 0 or i % 180 == 6
+        text = prose(i, 14)[:: -1 if other else 1] + (" grubbel " if bad else " ") + prose(i + 1, 4)[:: -1 if other else 1]
+        rows.append((i, text, "xx" if other else "en", "s", 0))
+        marks.append((i, 1, int(bad)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(marks, LABELS)
+    got = {r["doc_id"]: r["predicted"] for r in digest(docs, labels).collect()}
+    found = [got[i] for i, _, bad in marks if bad]
+    assert 0.04 < len(found) / len(rows) < 0.07 and np.mean(found) > 0.9
+    assert np.mean([got[i] for i, _, bad in marks if not bad]) < 0.02
