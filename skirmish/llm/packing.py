@@ -61,23 +61,28 @@ class CachedTokenizer:
 
         self.cache = Cache()
 
+    def letters(self, word: str) -> str | None:
+        """The word as the model reads it, if normalisation leaves letters alone: a letter may come apart into a letter and
+        a mark, and marks form chunks with punctuation."""
+        if word.isascii():
+            return word.lower() if word.isalpha() else None
+        if not word.isalpha():
+            return None
+        norm = self.tokenizer.normalizer.normalize_str(word)
+        return "".join(map(self.symbols.__getitem__, norm.encode())) if norm.isalpha() else None
+
     def word(self, word: str) -> bytes:
         """Ids of a chunk, packed as little-endian unsigned 32-bit numbers."""
-        if word.isalpha():
-            norm = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-            if norm.isalpha():
-                if not norm.isascii():
-                    norm = "".join(map(self.symbols.__getitem__, norm.encode()))
-                return np.array([t.id for t in self.model.tokenize(norm)], "<u4").tobytes()
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        read = self.letters(word)
+        ids = [t.id for t in self.model.tokenize(read)] if read else self.tokenizer.encode(word, add_special_tokens=False).ids
+        return b"".join([i.to_bytes(4, "little") for i in ids])
 
     def chunk(self, chunk: str) -> bytes:
         if len(chunk) > 64:
             return self.word(chunk)
         core = chunk.rstrip(".,;:!?")
-        if core and core is not chunk and core.isalpha():
-            core = core.lower() if core.isascii() else core
-            return self.cache[core] + self.cache[chunk[len(core) :]]
+        if core is not chunk and core and (read := self.letters(core)):
+            return self.cache[read if core.isascii() else core] + self.cache[chunk[len(core) :]]
         if chunk.isascii() and chunk.isalpha() and (low := chunk.lower()) != chunk:
             return self.cache[low]
         return self.word(chunk)
@@ -193,18 +198,21 @@ def pack(docs: DataFrame, tokenizer_path: str, seq_len: int = SEQ_LEN, end_id: i
     spark = docs.sparkSession
     pieces = cut(token_pieces(docs, tokenizer_path, seq_len, end_id, with_ids))
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
-    table = spark.sparkContext.broadcast(places(pack_histogram(histogram, seq_len)))
+    lengths = np.array(sorted(histogram), np.int64)
+    # Numbered through over all lengths in turn, ranks are one sorted column whatever the sequence length.
+    base = np.r_[0, np.cumsum([histogram[n] for n in lengths.tolist()])][:-1].astype(np.int64)
+    table = spark.sparkContext.broadcast((lengths, base, places(pack_histogram(histogram, seq_len))))
     salts = max(32, sum(histogram.values()) // 1_000_000)
 
     @F.pandas_udf("sequence_id long, offset long")
     def place(length, rank):
         import pandas as pd
 
-        t = table.value
-        # Both columns are below 2**50 and 2**13, so the pair is one sortable number.
-        key = (t[:, 0] << 50) + t[:, 1]
-        row = t[np.searchsorted(key, (length.to_numpy() << 50) + rank.to_numpy(), "right") - 1]
-        copy, pack_no = np.divmod(rank.to_numpy() - row[:, 1], row[:, 2])
+        lengths, base, t = table.value
+        of = lambda n: base[np.searchsorted(lengths, n)]
+        rank = rank.to_numpy()
+        row = t[np.searchsorted(of(t[:, 0]) + t[:, 1], of(length.to_numpy()) + rank, "right") - 1]
+        copy, pack_no = np.divmod(rank - row[:, 1], row[:, 2])
         return pd.DataFrame({"sequence_id": row[:, 3] + pack_no, "offset": row[:, 4] + copy * row[:, 0]})
 
     def placed(c: str) -> Column:
