@@ -11,17 +11,27 @@ say too little and match nothing. Null text has no characters. Repeated rows of
 rows of the benchmark are one item, and a null item_id is an item like any other. Extra columns are kept by clean() and
 ignored by matches(). An empty benchmark or table gives no matches.
 
+Items often share text: instructions, answer choices, the same passage under many questions. Windows of equal text are
+therefore one, held by the first item that has it; consecutive windows that the same items share form a passage, and
+passages are what documents are compared with. A match names the passage's first item and how many items share it, and
+shared() lists them, so that a document and an instruction in 8,000 items are one row and not 8,000. A passage is left
+out for a document that an earlier match has tied to all of its items already: every pair of a document and an item that
+a comparison of all windows would find follows from the matches and shared(), and no other pair does.
+
 The benchmark goes to the executors slice by slice, each of at most `slice_chars` characters and one whole item, so
-that what is broadcast is bounded; the documents are read once for each slice.
+that what is broadcast is bounded; the documents are read once for each slice. Long texts go in pieces of plain characters
+that overlap by more than a region can span. Lists of a frequent q-gram are read in blocks of items.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
+from itertools import chain, pairwise
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,9 +41,17 @@ from skirmish.llm.common import cut, prepare
 Q, WINDOW, EDITS, MIN_CHARS = 10, 100, 6, 24
 #: Characters of benchmark text broadcast at once.
 SLICE_CHARS = 4 << 20
-#: Code points of documents handled at once; longer texts go in pieces that overlap by more than any item can span.
+#: Code points of documents handled at once.
 PIECE = 1 << 20
-MATCH = "doc_id long, item_id long, start long, end long, edits long, item_start long, item_chars long"
+#: Places of q-grams in items looked at at once.
+PLACES = 1 << 19
+#: More regions than this of one text are sifted together before they are aligned one by one.
+FEW = 64
+#: Items that make a passage a common one.
+COMMON = 64
+FAR = np.uint32(0xFFFFFFFF)  # beyond the text
+MATCH = "doc_id long, item_id long, passage long, n_items long, start long, end long, edits long, item_start long, item_chars long"
+SHARED = "passage long, item_id long"
 
 
 @cache
@@ -43,28 +61,27 @@ def _plain_points() -> np.ndarray:
 
 def _points(text: str) -> np.ndarray:
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.zeros(len(points) + 2, np.uint32)
-    codes[1:-1] = _plain_points()[points] if text.isascii() else np.where(points < 1 << 16, _plain_points()[points & 0xFFFF], points)
-    return codes
+    return _plain_points()[points] if text.isascii() else np.where(points < 1 << 16, _plain_points()[points & 0xFFFF], points)
 
 
-def _kept(codes: np.ndarray) -> np.ndarray:
-    letter = codes != 0
-    keep = np.empty(len(codes), bool)
-    keep[0] = True
-    np.logical_or(letter[1:], letter[:-1], out=keep[1:])
-    return keep
+def plain_pieces(text: str, piece: int = PIECE, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Plain characters, with a blank at both ends of the text, and where in the text each stands. A piece begins with
+    the last `overlap` plain characters of the one before."""
+    codes, where = np.zeros(1, np.uint32), np.zeros(1, np.int64)
+    for at in range(0, max(1, len(text)), piece):
+        points = _points(text[at : at + piece])
+        keep = np.flatnonzero((points != 0) | (np.r_[codes[-1:], points[:-1]] != 0)) if len(points) else np.zeros(0, np.int64)
+        codes, where = np.concatenate([codes, points[keep]]), np.concatenate([where, at + keep])
+        last = at + piece >= len(text)
+        if last and codes[-1]:
+            codes, where = np.append(codes, np.uint32(0)), np.append(where, len(text) - 1)
+        if last or len(codes) > 2 * overlap:
+            yield codes, where
+            codes, where = codes[max(0, len(codes) - overlap) :], where[max(0, len(where) - overlap) :]
 
 
 def plain(text: str) -> np.ndarray:
-    """Plain characters, with a blank at both ends."""
-    codes = _points(text)
-    return codes[_kept(codes)]
-
-
-def positions(text: str) -> np.ndarray:
-    """Where in the text each plain character stands."""
-    return np.clip(np.flatnonzero(_kept(_points(text))) - 1, 0, max(0, len(text) - 1))
+    return next(plain_pieces(text, max(1, len(text))))[0]
 
 
 def grams(codes: np.ndarray, q: int) -> np.ndarray:
@@ -83,13 +100,28 @@ def grams(codes: np.ndarray, q: int) -> np.ndarray:
         width *= 2
 
 
+def windows(codes: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of each window of so many characters."""
+    with np.errstate(over="ignore"):
+        base = (codes.astype(np.uint64) + np.uint64(0x51ED270B)) * np.uint64(0x9E3779B97F4A7C15)
+        base ^= base >> np.uint64(29)
+        factor, out, size, step = 0xD6E8FEB86659FD93, None, 0, 1
+        while True:
+            if width & step:
+                out = base if out is None else out[: len(codes) - size - step + 1] * np.uint64(pow(factor, step, 1 << 64)) + base[size:]
+                size += step
+            if size == width:
+                return (out ^ (out >> np.uint64(31))) + np.uint64(width)
+            base = base[:-step] * np.uint64(pow(factor, step, 1 << 64)) + base[step:]
+            step *= 2
+
+
 @dataclass
 class Index:
-    """Different q-grams of all items, sorted, and where the (item, position) list of each begins; for each item its
-    region, budget and least count."""
+    """Different q-grams of all passages, sorted, and where the (passage, position) list of each begins; for each passage
+    its region, budget and least count."""
 
     items: list[np.ndarray]
-    ids: list[int | None]
     gram: np.ndarray
     begin: np.ndarray
     item: np.ndarray
@@ -101,9 +133,7 @@ class Index:
     q: int
 
     @classmethod
-    def build(cls, rows: list[tuple[int | None, str]], q: int, window: int, edits: int, min_chars: int) -> Index:
-        held = [(i, c) for i, t in rows if len(c := plain(t)) - 2 >= max(q, min_chars)]
-        items, ids = [c for _, c in held], [i for i, _ in held]
+    def build(cls, items: list[np.ndarray], q: int, window: int, edits: int) -> Index:
         each = [grams(c, q) for c in items]
         gram = np.concatenate([np.zeros(0, np.uint32), *each])
         item = np.repeat(np.arange(len(items)), [len(g) for g in each])
@@ -115,31 +145,56 @@ class Index:
         w = np.minimum(window, np.array([len(c) for c in items], np.int64))
         e = np.minimum(edits, np.minimum(w * edits // window, (w + 1) // q - 1)).clip(0)
         different, begin = np.unique(gram[order], return_index=True)
-        return cls(items, ids, different, np.r_[begin, len(gram)], item[order], at[order], maybe, w, e, w + 1 - q * (e + 1), q)
-
-    def regions(self, codes: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(item, band, first and last start of a window of the item) of every region that meets the bound."""
+        return cls(items, different, np.r_[begin, len(gram)], item[order], at[order], maybe, w, e, w + 1 - q * (e + 1), q)
+
+    @cached_property
+    def _order(self) -> np.ndarray:
+        """(q-gram, passage) of every place as one sorted number."""
+        return np.repeat(np.arange(len(self.gram)), np.diff(self.begin)) * len(self.items) + self.item
+
+    def _places(self, spot: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For the q-grams numbered spot: (which of them, place in their lists), block by block of passages; a block has at
+        most `limit` places or a single passage."""
+        todo = [(0, len(self.items), self.begin[spot], self.begin[spot + 1])]
+        while todo:
+            first, last, lo, hi = todo.pop()
+            n = hi - lo
+            total = int(n.sum())
+            if total > limit and last - first > 1:
+                middle = (first + last) // 2
+                cut = np.clip(np.searchsorted(self._order, spot * len(self.items) + middle), lo, hi)
+                todo += [(middle, last, cut, hi), (first, middle, lo, cut)]
+            elif total:
+                yield np.repeat(np.arange(len(spot)), n), np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(total)
+
+    def regions(self, codes: np.ndarray, without: np.ndarray | None = None, limit: int = PLACES) -> Iterator[tuple[int, int, int, int]]:
+        """(passage, band, first and last start of a window of the passage) of every region that meets the bound; passages
+        marked in `without` are left out."""
         if len(codes) < self.q or not len(self.gram):
-            return []
+            return
         g = grams(codes, self.q)
         where = np.flatnonzero(self.maybe[g >> np.uint32(32 - int(np.log2(len(self.maybe))))])
         spot = np.minimum(np.searchsorted(self.gram, g[where]), len(self.gram) - 1)
         known = self.gram[spot] == g[where]
         where, spot = where[known], spot[known]
         if not len(where):
-            return []
-        lo, n = self.begin[spot], self.begin[spot + 1] - self.begin[spot]
-        post = np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        item, at = self.item[post], self.at[post]
-        width = self.edits[item] + 1
-        band = (np.repeat(where, n) - at) // width
+            return
+        for which, post in self._places(spot, limit):
+            if without is not None:
+                free = ~without[self.item[post]]
+                which, post = which[free], post[free]
+            found = self._regions(where[which], self.item[post], self.at[post])
+            yield from found if len(found) <= FEW else self._possible(codes, found)
+
+    def _regions(self, where: np.ndarray, item: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        band = (where - at) // (self.edits[item] + 1)
         item, at, band = np.r_[item, item], np.r_[at, at], np.r_[band, band - 1]
-        # Few items reach their least count at all.
+        # Few passages reach their least count at all.
         often = np.bincount(item, minlength=len(self.items)) >= 2 * self.least
         item, at, band = (x[often[item]] for x in (item, at, band))
         order = np.lexsort((at, band, item))
         item, at, band = item[order], at[order], band[order]
-        # One count for each q-gram of the item, however often the band has it.
+        # One count for each q-gram of the passage, however often the band has it.
         single = np.r_[True, (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (at[1:] != at[:-1])][: len(item)]
         item, at, band = item[single], at[single], band[single]
         last = np.arange(len(item)) + self.least[item] - 1
@@ -155,16 +210,62 @@ class Index:
             span[0], span[1] = min(span[0], x), max(span[1], y)
         return [(i, b, x, y) for (i, b), (x, y) in found.items() if x <= y]
 
+    @cached_property
+    def _texts(self) -> tuple[np.ndarray, np.ndarray]:
+        """All passages in a row, and where each begins."""
+        return np.concatenate(self.items), np.cumsum([0, *map(len, self.items)])
+
+    def _possible(self, codes: np.ndarray, found: list[tuple[int, int, int, int]], rows: int = 8192) -> list[tuple[int, int, int, int]]:
+        """Those of many regions that may align: of none of their windows do the two halves, each aligned by itself from
+        any diagonal of the band, need more edits than there are. All windows go side by side."""
+        text, begin = self._texts
+        all_ = np.array(found, np.int64)
+        pad = int(self.window.max() + 2 * self.edits.max() + 4)
+        padded = np.concatenate([np.full(pad, FAR), codes, np.full(pad, FAR)])
+        keep = np.zeros(len(all_), bool)
+        kinds = np.stack([self.window[all_[:, 0]], self.edits[all_[:, 0]]], 1)
+        for w, e in np.unique(kinds, axis=0).tolist():
+            own = np.flatnonzero((kinds == [w, e]).all(1))
+            size = all_[own, 3] - all_[own, 2] + 1
+            ends = np.cumsum(size)
+            for at in range(0, int(ends[-1]), rows):
+                number = np.arange(at, min(at + rows, int(ends[-1])))
+                region = np.searchsorted(ends, number, "right")
+                item, band, first, _ = all_[own[region]].T
+                start = first + number - (ends - size)[region]
+                base = (start + band * (e + 1) + pad)[:, None] + np.arange(2 * (e + 1))
+                spent = np.zeros(len(number), np.int16)
+                for half in (range(w // 2, w), range(w // 2)):
+                    left = np.flatnonzero(spent <= e)
+                    spent[left] += self._least(padded, base[left], text, begin[item[left]] + start[left], half, e)
+                keep[own[region[spent <= e]]] = True
+        return [r for r, k in zip(found, keep.tolist(), strict=True) if k]
+
+    @staticmethod
+    def _least(padded: np.ndarray, base: np.ndarray, text: np.ndarray, start: np.ndarray, half: range, most: int) -> np.ndarray:
+        """Least edits of part of each window, from any diagonal to any; above `most` not exact."""
+        out, live = np.zeros(len(base), np.int16), np.arange(len(base))
+        cost, steps = np.zeros(base.shape, np.int16), np.arange(base.shape[1], dtype=np.int16)
+        for n, i in enumerate(half, 1):
+            there = padded[np.clip(base[live] + i, 0, len(padded) - 1)]
+            match = cost + (there != text[start[live] + i][:, None])
+            match[:, :-1] = np.minimum(match[:, :-1], cost[:, 1:] + 1)
+            cost = np.minimum.accumulate(match - steps, 1) + steps
+            if n % 8 == 0 or n == len(half):
+                out[live] = cost.min(1)
+                some = out[live] <= most
+                live, cost = live[some], cost[some]
+        return out
+
     def align(self, codes: np.ndarray, item: int, band: int, first: int, last: int) -> tuple[int, int, int, int] | None:
-        """(edits, document start, document end, item start) of a window of the item that fits its edits within the band.
+        """(edits, document start, document end, start in the passage) of a window of it that fits its edits within the band.
 
         Alignments of substitutions alone are counted first, on every diagonal; then, if none fits, all windows are
         aligned side by side."""
         w, e = int(self.window[item]), int(self.edits[item])
         starts = np.arange(first, last + 1)
         offset = band * (e + 1) + np.arange(2 * (e + 1))
-        far = np.uint32(0xFFFFFFFF)
-        padded = np.concatenate([np.full(w + 2 * e + 4, far), codes, np.full(w + 2 * e + 4, far)])
+        padded = np.concatenate([np.full(w + 2 * e + 4, FAR), codes, np.full(w + 2 * e + 4, FAR)])
         base = starts[:, None] + offset[None, :] + w + 2 * e + 4
         span = self.items[item][first : last + w]
         apart = np.cumsum(padded[np.clip(base[0][:, None] + np.arange(len(span)), 0, len(padded) - 1)] != span, 1)
@@ -194,21 +295,78 @@ class Index:
         to = min(len(codes), int(base[r, c]) + w - pad)
         return int(cost[r, c]), max(0, int(begin[r, c]) - pad), max(1, to), int(starts[r])
 
-    def matches(self, text: str) -> list[tuple[int, int, int, int, int]]:
-        """(item, start, end, edits, item start): the first region found of each item; positions in code points."""
-        out: dict[int, tuple[int, int, int, int, int]] = {}
-        overlap = 8 * max([256, *map(len, self.items)])
-        piece = max(PIECE, 2 * overlap)
-        for shift in range(0, max(1, len(text)), piece - overlap):
-            codes = plain(text[shift : shift + piece])
-            for item, band, first, last in self.regions(codes):
-                if item not in out and (found := self.align(codes, item, band, first, last)):
-                    edits, start, end, at = found
-                    position = positions(text[shift : shift + piece])
-                    out[item] = (item, shift + int(position[start]), shift + int(position[end - 1]) + 1, edits, at)
-            if shift + piece >= len(text):
-                break
-        return [out[i] for i in sorted(out)]
+
+class Passages:
+    """The passages of a benchmark slice: those that many items share, those that several do, and those of one item."""
+
+    def __init__(self, rows: list[tuple[int | None, str]], q: int, window: int, edits: int, min_chars: int) -> None:
+        held = [(i, c) for i, t in rows if len(c := plain(t)) - 2 >= max(q, min_chars)]
+        self.ids = [i for i, _ in held]
+        texts = [c for _, c in held]
+        width = [min(window, len(c)) for c in texts]
+        each = [windows(c, w) for c, w in zip(texts, width, strict=True)]
+        n = np.array([len(h) for h in each], np.int64)
+        h, item = np.concatenate([np.zeros(0, np.uint64), *each]), np.repeat(np.arange(len(texts)), n)
+        order = np.argsort(h, kind="stable")  # of equal windows the first item's comes first
+        h, item = h[order], item[order]
+        new = np.r_[True, h[1:] != h[:-1]][: len(h)]
+        group, lead = np.cumsum(new) - 1, np.flatnonzero(new)
+        once = new | np.r_[True, item[1:] != item[:-1]][: len(h)]  # an item may hold a window twice
+        with np.errstate(over="ignore"):
+            mixed = (item.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            # The sum of its items' marks tells which items share a window.
+            sums = np.add.reduceat(np.where(once, mixed, np.uint64(0)), lead) if len(lead) else mixed
+        ends = np.r_[lead[1:], len(h)]
+        # Leading windows in the order of items and positions; a run that the same items share is a passage.
+        place = order[lead]
+        back = np.argsort(place)
+        place, lead, ends, sums = place[back], lead[back], ends[back], sums[back]
+        owner = np.searchsorted(np.cumsum(n), place, "right")
+        fresh = np.r_[True, (np.diff(place) != 1) | (owner[1:] != owner[:-1]) | (sums[1:] != sums[:-1])][: len(place)]
+        first = np.flatnonzero(fresh)
+        last = np.r_[first[1:], len(place)][: len(first)] - 1
+        start = place - (np.cumsum(n) - n)[owner] if len(place) else place
+        passages = []
+        for f, t in zip(first.tolist(), last.tolist(), strict=True):
+            i = int(owner[f])
+            members = item[lead[f] : ends[f]][once[lead[f] : ends[f]]]
+            name = int((h[lead[f]] ^ np.uint64(t - f)).view(np.int64))
+            passages.append((i, int(start[f]), members.astype(np.int32), name, texts[i][start[f] : start[t] + width[i]]))
+        # Keys of equal size stay in the order of items.
+        passages.sort(key=lambda p: -len(p[2]))
+        # By number of items, as what many share ties up most of what others would be asked for.
+        cuts = [0, sum(len(p[2]) >= COMMON for p in passages), sum(len(p[2]) > 1 for p in passages), len(passages)]
+        parts = [passages[a:b] for a, b in pairwise(cuts)]
+        self.indexes = [Index.build([p[-1] for p in part], q, window, edits) for part in parts]
+        self.parts = [[p[:-1] for p in part] for part in parts]
+        self.members = [np.concatenate([np.zeros(0, np.int32), *[p[2] for p in part]]) for part in parts]
+        self.begin = [np.cumsum([0, *[len(p[2]) for p in part]])[:-1] for part in parts]
+        self.overlap = 2 * (window + edits + q)
+
+    def matches(self, text: str, piece: int = PIECE) -> list[tuple[int | None, int, int, int, int, int, int, int]]:
+        """(item id, passage, number of items, start, end, edits, item start, characters) of each passage of which the text
+        repeats a region, the first found; positions in code points. A passage whose items are all known stays out."""
+        out: list[tuple] = []
+        known: np.ndarray | None = None
+        for codes, where in plain_pieces(text, piece, self.overlap):
+            for part, index, all_members, begin in zip(self.parts, self.indexes, self.members, self.begin, strict=True):
+                without = None if known is None or not part else np.logical_and.reduceat(known[all_members], begin)
+                for no, band, first, last in index.regions(codes, without):
+                    item, at, members, name = part[no]
+                    if (known is not None and known[members].all()) or not (found := index.align(codes, no, band, first, last)):
+                        continue
+                    if known is None:
+                        known = np.zeros(len(self.ids), bool)
+                    known[members] = True
+                    edits, start, end, spot = found
+                    out.append((self.ids[item], name, len(members), int(where[start]), int(where[end - 1]) + 1, edits, at + spot, int(index.window[no])))
+        return out
+
+    def shared(self) -> Iterator[tuple[int, int | None]]:
+        """(passage, item id) of all passages of several items."""
+        for _, _, members, name in chain(*self.parts[:-1]):
+            yield from ((name, self.ids[m]) for m in members.tolist())
 
 
 def slices(benchmark: DataFrame, slice_chars: int) -> list[DataFrame]:
@@ -219,25 +377,44 @@ def slices(benchmark: DataFrame, slice_chars: int) -> list[DataFrame]:
     return [items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i) for i in range(n)]
 
 
+def _passages(benchmark: DataFrame, q: int, window: int, edits: int, min_chars: int, slice_chars: int) -> Iterator[Passages]:
+    for part in slices(benchmark, slice_chars):
+        held = part.toArrow()
+        rows = zip(held["item_id"].to_pylist(), held["text"].to_pylist(), strict=True)
+        yield Passages(sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1])), q, window, edits, min_chars)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: int = EDITS, min_chars: int = MIN_CHARS, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """A row for each document and item of which it repeats a region: MATCH."""
+    """A row for each document and passage of which it repeats a region: MATCH. item_id is the first item that has the
+    passage (its number tells equal texts), n_items the number of those that share it; item_start lies in that first item."""
     spark = docs.sparkSession
     prepare(spark)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("text is not null")
     out = spark.createDataFrame([], MATCH)
-    for part in slices(benchmark, slice_chars):
-        held = part.toArrow()
-        index = spark.sparkContext.broadcast(Index.build(sorted(zip(held["item_id"].to_pylist(), held["text"].to_pylist(), strict=True), key=lambda r: (r[0] is None, r[0] or 0, r[1])), q, window, edits, min_chars))
-
-        def find(batches: Iterable[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            known = index.value
+    for passages in _passages(benchmark, q, window, edits, min_chars, slice_chars):
+        if not passages.ids:
+            continue
+        # The driver keeps no slice once it is sent.
+        sent = spark.sparkContext.broadcast(passages)
+
+        def find(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            known = sent.value
             for batch in batches:
-                made = [(doc, known.ids[i], start, end, e, at, int(known.window[i])) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, start, end, e, at in known.matches(text)]
-                columns = list(zip(*made, strict=True)) if made else [[]] * 7
+                made = [(doc, *found) for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for found in known.matches(text)]
+                columns = list(zip(*made, strict=True)) if made else [[]] * 9
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], [x.split()[0] for x in MATCH.split(", ")])
 
-        if index.value.items:
-            out = out.unionAll(rows.mapInArrow(find, MATCH))
+        out = out.unionAll(rows.mapInArrow(find, MATCH))
+    return out
+
+
+def shared(benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: int = EDITS, min_chars: int = MIN_CHARS, slice_chars: int = SLICE_CHARS) -> DataFrame:
+    """SHARED: the items of each passage that several have, by the passage's number in the matches. Written slice by
+    slice, as the driver holds one slice at a time."""
+    spark = benchmark.sparkSession
+    out = spark.createDataFrame([], SHARED)
+    for passages in _passages(benchmark, q, window, edits, min_chars, slice_chars):
+        out = out.unionAll(cut(spark.createDataFrame(pd.DataFrame(passages.shared(), columns=["passage", "item_id"], dtype=object), SHARED)))
     return out
 
 
@@ -245,11 +422,12 @@ def clean(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame
     """The rows of docs that repeat no region of the benchmark. Rows without an id are matched by their text alone."""
     found = cut(matches(docs.where("doc_id is not null"), benchmark, **parameters).select("doc_id").distinct())
     named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
-    unnamed = docs.where("doc_id is null").withColumn("_hash_of_text", F.xxhash64("text"))
-    bad = matches(unnamed.select(F.col("_hash_of_text").alias("doc_id"), "text"), benchmark, **parameters).select(F.col("doc_id").alias("_hash_of_text")).distinct()
-    return named.unionAll(unnamed.join(bad, "_hash_of_text", "left_anti").select(*docs.columns))
+    # All columns travel as one, so that none can clash with the text's hash.
+    unnamed = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), "text").select("row", F.xxhash64("text").alias("hash"), "text")
+    bad = matches(unnamed.select(F.col("hash").alias("doc_id"), "text"), benchmark, **parameters).select(F.col("doc_id").alias("hash")).distinct()
+    return named.unionAll(unnamed.join(bad, "hash", "left_anti").select("row.*"))
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id and where: in the document by code points, in the item by plain characters."""
-    return matches(docs, benchmark).select("doc_id", "item_id", "start", "end", "edits", "item_start", "item_chars")
+    return matches(docs, benchmark).select("doc_id", "item_id", "passage", "n_items", "start", "end", "edits", "item_start", "item_chars")

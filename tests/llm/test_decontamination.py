@@ -5,7 +5,8 @@ from helpers import clashing, empty, odd_documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skirmish.llm.decontamination import EDITS, MIN_CHARS, WINDOW, Index, Q, clean, grams, matches, plain
+from skirmish.llm import decontamination
+from skirmish.llm.decontamination import EDITS, MIN_CHARS, WINDOW, Index, Passages, Q, clean, grams, matches, plain, shared
 
 ITEM = "item_id long, text string"
 TEXT = "Each vessel that left the narrow strait carried four sealed crates, whose weight the clerk had noted twice; by evening none of the ledgers could be found anywhere in town."
@@ -25,32 +26,111 @@ def edited(text, n, seed):
 
 
 def test_edits_within_the_budget_are_found():
-    index = Index.build([(1, TEXT)], Q, WINDOW, EDITS, MIN_CHARS)
+    index = Passages([(1, TEXT)], Q, WINDOW, EDITS, MIN_CHARS)
     for seed in range(120):
         part = edited(TEXT[20:130], EDITS - 1, seed)
         text = f"{prose(seed, 50)} {part} {prose(seed + 1, 50)}"
         found = index.matches(text)
         assert found, seed
-        _, start, end, edits, _ = found[0]
+        *_, start, end, edits, _, _ = found[0]
         at = text.index(part)
         assert edits <= EDITS and at - 12 <= start < end <= at + len(part) + 12 and end - start >= WINDOW - 2 * EDITS
 
 
-def test_alignment_is_the_edit_distance():
-    index, item = Index.build([(1, TEXT)], Q, WINDOW, EDITS, MIN_CHARS), plain(TEXT)
+def distance(window, text):
+    """Least edits of window against any part of text."""
+    row, text = np.zeros(len(text) + 1, int), np.array(text)
+    steps = np.arange(len(text) + 1)
+    for i, c in enumerate(window, 1):
+        new = np.r_[i, np.minimum(row[:-1] + (text != c), row[1:] + 1)]
+        row = np.minimum.accumulate(new - steps) + steps
+    return row.min()
+
+
+def brute_pairs(texts, items, q=Q, window=WINDOW, edits=EDITS):
+    """(text, item) numbers where some window of the item is within its budget of some part of the text."""
+    out = set()
+    for j, item in enumerate(items):
+        c = plain(item)
+        if len(c) - 2 < MIN_CHARS:
+            continue
+        w = min(window, len(c))
+        e = max(0, min(edits, w * edits // window, (w + 1) // q - 1))
+        for i, text in enumerate(texts):
+            if any(distance(c[at : at + w].tolist(), plain(text).tolist()) <= e for at in range(len(c) - w + 1)):
+                out.add((i, j))
+    return out
+
+
+def pairs_found(texts, passages, **parameters):
+    """(text, item id) from the matches and the shared passages."""
+    members = {}
+    for name, item in passages.shared():
+        members.setdefault(name, set()).add(item)
+    out = set()
+    for i, text in enumerate(texts):
+        for item, name, n, *_ in passages.matches(text, **parameters):
+            own = members.get(name, {item})
+            assert len(own) == n and item in own
+            out |= {(i, m) for m in own}
+    return out
+
+
+def test_pairs_are_brute_force(monkeypatch):
+    """Items share beginnings, middles and ends; texts are edited parts of them, blown up by blanks and marks."""
+    rng = random.Random(8)
+    common = [prose(70 + i, 40)[:n] for i, n in enumerate((150, 96, 60, 210))]
+    items = []
+    for i in range(14):
+        own = f"{prose(200 + i, 30)[: rng.randrange(20, 140)]} q{i}"
+        items.append((f"{common[i % 4]} {own}", f"{own} {common[i % 4]}", own, common[i % 4], f"{common[0]} {own} {common[3]}")[i % 5])
+    items += [items[0], "tiny item", ""]
+    texts = []
+    for i in range(26):
+        source = items[rng.randrange(len(items) - 2)]
+        at = rng.randrange(max(1, len(source) - 60))
+        part = edited(source[at : at + rng.randrange(40, 220)], rng.randrange(9), i)
+        if i % 4 == 0:
+            part = part.replace(" ", " ...\n" * 40).upper()
+        texts.append(f"{prose(300 + i, 20)} {part} {prose(400 + i, 20)}"[:3000] if i % 4 else part)
+    texts += ["", "?" * 500, common[0], common[1], common[2]]
+    passages = Passages(list(enumerate(items)), Q, WINDOW, EDITS, MIN_CHARS)
+    want = brute_pairs(texts, items)
+    assert len(want) > 40
+    for piece, few in ((1 << 20, 64), (300, 64), (1 << 20, 0)):
+        monkeypatch.setattr(decontamination, "FEW", few)
+        assert pairs_found(texts, passages, piece=piece) == want
+
+
+def test_wide_blanks_over_a_seam():
+    wide = (" " * 1500).join(TEXT.split())
+    passages = Passages([(1, TEXT)], Q, WINDOW, EDITS, MIN_CHARS)
+    for before in (0, 1 << 19, (1 << 20) - 30_000, (1 << 20) - 300):
+        assert passages.matches("x " * (before // 2) + wide), before
+
+
+def test_an_instruction_in_thousands_of_items(spark):
+    sentence = prose(90, 80)[:306]
+    rows = [(i, f"{sentence} {prose(5000 + i, 12)} {i}") for i in range(8000)]
+    passages = Passages(rows, Q, WINDOW, EDITS, MIN_CHARS)
+    found = passages.matches(f"So it said: {sentence} indeed, and more")
+    assert len(found) == 1 and found[0][0] == 0 and found[0][2] == 8000
+    assert sum(1 for _ in passages.shared()) >= 8000
+    # Half of it is no match of any; a whole item is one of its own beside the sentence.
+    assert passages.matches(sentence[:70]) == passages.matches(sentence[-70:]) == []
+    assert {m[2] for m in passages.matches(rows[77][1])} == {8000}
+    assert {m[0] for m in passages.matches(rows[77][1][250:])} >= {77}
+    places = list(passages.indexes[-1]._places(np.arange(len(passages.indexes[-1].gram)), 5000))
+    assert sum(len(p) for _, p in places) == len(passages.indexes[-1].item) and sorted(np.concatenate([p for _, p in places]).tolist()) == list(range(len(passages.indexes[-1].item)))
+    bench = spark.createDataFrame(rows[:40], ITEM)
+    assert shared(bench).where("passage is not null").select("item_id").distinct().count() == 40
 
-    def distance(window, text):  # least edits of window against any part of text
-        row = np.zeros(len(text) + 1, int)
-        for i, c in enumerate(window, 1):
-            new = [i]
-            for j, d in enumerate(text, 1):
-                new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
-            row = np.array(new)
-        return row.min()
 
+def test_alignment_is_the_edit_distance():
+    index, item = Index.build([plain(TEXT)], Q, WINDOW, EDITS), plain(TEXT)
     for seed in range(12):
         codes = plain(edited(TEXT[15:140], seed, seed))
-        fits = any(distance(item[at : at + WINDOW].tolist(), codes.tolist()) <= EDITS for at in range(0, len(item) - WINDOW + 1, 3))
+        fits = any(distance(item[at : at + WINDOW].tolist(), codes.tolist()) <= EDITS for at in range(len(item) - WINDOW + 1))
         found = [index.align(codes, *r) for r in index.regions(codes)]
         best = min((f[0] for f in found if f), default=None)
         assert not fits or best is not None, seed
@@ -79,6 +159,7 @@ def test_documents(spark):
     for slice_chars in (1 << 22, 60):
         got = matches(docs, bench, slice_chars=slice_chars).collect()
         assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+        assert {r["n_items"] for r in got} == {1} and shared(bench, slice_chars=slice_chars).count() == 0
     kept = clean(docs, bench)
     assert kept.columns == docs.columns
     ids = [r["doc_id"] for r in kept.collect()]
