@@ -6,24 +6,34 @@ logarithm of the number of vectors, and T follows from the wanted recall at the
 probability of Datar et al., "Locality-Sensitive Hashing Scheme Based on p-Stable Distributions" (2004); closer pairs
 are found more surely, and a link that is reported is always true.
 
-Equal vectors are merged first and linked by count. Buckets yield, for each vector, the number of its links that no
-earlier table has seen, and links enough to connect what they connect, not all pairs. Buckets beyond a limit are
-compared chunk by chunk in many tasks.
+Equal vectors are merged first and linked by count. Vectors of one length are compared among themselves, each length
+with projections of its own. What is dealt to buckets is a number and a 64-bit sign sketch (random hyperplanes); only
+vectors with another's sketch near theirs in a bucket are fetched there and compared. A pair at the limit fails the
+sketch with a probability below 1e-5; that is part of the planned recall. Buckets yield, for each vector, the number
+of its links that no earlier table has seen, and links enough to connect what they connect, not all pairs. Buckets beyond
+a limit are compared chunk by chunk in many tasks.
 
-Vectors that are null, zero, or hold null or non-finite components, or whose length differs from the most frequent one,
-link with nothing; they still have a row. A null vec_id is compared like any other. Repeated rows are copies of each
-other. Extra columns are ignored. An empty table gives an empty result.
+Cosines are products of unit vectors in double precision; those within rounding of the limit are settled in exact
+arithmetic, so that the limit itself links and nothing below it does.
+
+Vectors that are null, zero, or hold null or non-finite components link with nothing; they still have a row. Components of
+other numeric types are read as doubles, floats stay floats. A null vec_id is compared like any other. Repeated rows are
+copies of each other. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from math import ceil, erf, exp, log, pi, sqrt
+from fractions import Fraction
+from functools import lru_cache
+from math import acos, ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from skirmish.llm.cells import by_cell, chunk_pairs, runs
 from skirmish.llm.common import cut, prepare
@@ -31,6 +41,9 @@ from skirmish.llm.components import components
 
 MIN_COSINE, RECALL, WIDTH = 0.95, 0.97, 1.2
 BUCKET_LIMIT = 4096
+#: The low bits of a bucket's key are the number of its table.
+TABLE_BITS = 10
+ROUNDING = 1e-11
 
 
 def collision(distance: float, width: float) -> float:
@@ -44,7 +57,13 @@ def plan(n: int, min_cosine: float = MIN_COSINE, recall: float = RECALL, width:
     all, while a pair at min_cosine shares one with probability `recall`."""
     near, far = collision(sqrt(2 - 2 * min_cosine), width), collision(sqrt(2), width)
     k = max(4, ceil(log(max(n, 2)) / -log(far)))
-    return k, max(1, ceil(log(1 - recall) / log(1 - near**k)))
+    return k, min(1 << TABLE_BITS, max(1, ceil(log(1 - recall) / log(1 - near**k))))
+
+
+def sketch_distance(min_cosine: float, bits: int = 64) -> int:
+    """Differing bits up to which two sketches are near: five and a half deviations above the mean at min_cosine."""
+    share = acos(max(-1.0, min(1.0, min_cosine))) / pi
+    return min(bits, ceil(bits * share + 5.5 * sqrt(bits * share * (1 - share))))
 
 
 def usable(vector: str = "embedding"):
@@ -52,37 +71,95 @@ def usable(vector: str = "embedding"):
     return F.col(vector).isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of unit length in double precision; scaled first, so that no square overflows or vanishes."""
+def _lengths(column: pa.Array) -> np.ndarray:
+    return np.diff(column.offsets.to_numpy())
+
+
+def _by_length(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, their vectors as a matrix) for each length of vectors."""
     flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    x = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
+    n = _lengths(flat)
+    values, begin = flat.flatten().to_numpy(zero_copy_only=False), np.cumsum(n) - n
+    for length in np.unique(n).tolist():
+        rows = np.flatnonzero(n == length)
+        yield rows, values[begin[rows][:, None] + np.arange(length)]
+
+
+def units(x: np.ndarray) -> np.ndarray:
+    """Rows of unit length in double precision; scaled first, so that no square overflows or vanishes."""
+    x = x.astype(np.float64)
     x /= np.abs(x).max(1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def bucket_keys(units: np.ndarray, k: int, tables: int, width: float, seed: int) -> np.ndarray:
-    """A 64-bit key for each row and table."""
-    rng = np.random.default_rng(seed)
-    out = np.empty((len(units), tables), np.uint64)
+@lru_cache(maxsize=512)
+def _projections(length: int, k: int, table: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng([seed, length, table])
+    return rng.standard_normal((length, k)), rng.uniform(0, width, k)
+
+
+def bucket_keys(x: np.ndarray, k: int, tables: int, width: float, seed: int) -> np.ndarray:
+    """A 64-bit key for each row of unit vectors and table; its low bits are the table's number."""
+    out = np.empty((len(x), tables), np.uint64)
+    low = np.uint64((1 << TABLE_BITS) - 1)
     for t in range(tables):
-        cells = np.floor((units @ rng.standard_normal((units.shape[1], k)) + rng.uniform(0, width, k)) / width).astype(np.int64).view(np.uint64)
-        mixed = np.full(len(units), t + 1, np.uint64)
+        directions, shift = _projections(x.shape[1], k, t, width, seed)
+        cells = np.floor((x @ directions + shift) / width).astype(np.int64).view(np.uint64)
+        mixed = np.full(len(x), x.shape[1], np.uint64)
         for j in range(k):
             mixed = (mixed ^ cells[:, j]) * np.uint64(0x9E3779B97F4A7C15)
             mixed ^= mixed >> np.uint64(29)
-        out[:, t] = mixed
+        out[:, t] = (mixed & ~low) | np.uint64(t)
     return out
 
 
-def link_bucket(no: np.ndarray, weight: np.ndarray, units: np.ndarray, keys: np.ndarray, table: int, side: np.ndarray | None, min_cosine: float) -> tuple[list[tuple[int, int]], np.ndarray]:
+def sketches(x: np.ndarray, seed: int) -> np.ndarray:
+    """64 signs of random projections of each row."""
+    directions, _ = _projections(x.shape[1], 64, -1 & 0xFFFF, 1.0, seed)
+    return np.packbits(x @ directions >= 0, axis=1).view(np.uint64).ravel()
+
+
+def with_near_sketch(key: np.ndarray, sketch: np.ndarray, distance: int, small: int = 24) -> np.ndarray:
+    """Which rows have, in their run of equal keys, another whose sketch is near."""
+    near = np.zeros(len(key), bool)
+    bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)] if len(key) else np.zeros(1, np.int64)
+    sizes = np.diff(bounds)
+    pos, size = np.arange(len(key)) - np.repeat(bounds[:-1], sizes), np.repeat(sizes, sizes)
+    few = np.flatnonzero((size <= small) & (size > 1))
+    for step in range(1, small):
+        at = few[pos[few] + step < size[few]]
+        if not len(at):
+            break
+        at = at[np.bitwise_count(sketch[at] ^ sketch[at + step]) <= distance]
+        near[at] = near[at + step] = True
+    for i in np.flatnonzero(sizes > small).tolist():
+        own = sketch[bounds[i] : bounds[i + 1]]
+        for at in range(0, len(own), 256):
+            close = np.bitwise_count(own[at : at + 256, None] ^ own[None, :]) <= distance
+            near[bounds[i] + at : bounds[i] + at + len(close)] = close.sum(1) > 1  # itself is one
+    return near
+
+
+def at_least(a: np.ndarray, b: np.ndarray, limit: Fraction) -> bool:
+    """Whether the cosine of two vectors reaches a positive limit, exactly."""
+    a, b = [Fraction(float(v)) for v in a], [Fraction(float(v)) for v in b]
+    dot = sum(x * y for x, y in zip(a, b, strict=True))
+    return dot > 0 and dot * dot >= limit * limit * sum(x * x for x in a) * sum(y * y for y in b)
+
+
+def link_bucket(no: np.ndarray, weight: np.ndarray, x: np.ndarray, earlier, side: np.ndarray | None, min_cosine: float) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Within one bucket: links that connect it, and for each vector the weight of the links first seen in this table.
 
-    With side, only pairs across sides count as seen; pairs within one are another task's."""
-    n = len(no)
-    counts, links = np.zeros(n, np.int64), []
-    label = np.arange(n)
+    earlier(unit vectors) gives their keys of earlier tables. With side, only pairs across sides count as seen; pairs
+    within one are another task's."""
+    n, unit = len(no), units(x)
+    counts, links, keys = np.zeros(n, np.int64), [], None
+    label, limit = np.arange(n), Fraction(str(min_cosine))
     for at in range(0, n, 512):
-        near = units[at : at + 512] @ units.T >= min_cosine
+        cosine = unit[at : at + 512] @ unit.T
+        near = cosine >= min_cosine
+        for r, c in np.argwhere(np.abs(cosine - min_cosine) <= ROUNDING).tolist():
+            near[r, c] = at_least(x[at + r], x[c], limit)
         for r, row in enumerate(near, at):
             others = np.flatnonzero(row)
             others = others[others > r]
@@ -90,7 +167,9 @@ def link_bucket(no: np.ndarray, weight: np.ndarray, units: np.ndarray, keys: np.
                 others = others[side[others] != side[r]]
             if not len(others):
                 continue
-            fresh = others if not table else others[~(keys[others, :table] == keys[r, :table]).any(1)]
+            if keys is None:
+                keys = earlier(unit)
+            fresh = others[~(keys[others] == keys[r]).any(1)]
             counts[r] += weight[fresh].sum()
             counts[fresh] += weight[r]
             for root in np.unique(label[others]).tolist():
@@ -102,72 +181,79 @@ def link_bucket(no: np.ndarray, weight: np.ndarray, units: np.ndarray, keys: np.
 
 
 def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall: float = RECALL, bucket_limit: int = BUCKET_LIMIT, seed: int = 11) -> DataFrame:
-    """vec_id, n_links, component_id, kept for each row of vectors."""
+    """vec_id, n_links, component_id, kept for each row of vectors; min_cosine is above 0."""
     prepare(vectors.sparkSession)
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    # -0.0 and 0.0 are one number.
-    good = rows.where(usable()).withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
-    merged = good.groupBy("embedding").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
-    classes = cut(merged.withColumn("no", F.monotonically_increasing_id()))
-    widths = classes.groupBy(F.size("embedding").alias("width")).agg(F.count("*").alias("n"))
-    most = widths.orderBy(F.desc("n"), F.desc("width")).first()
-    dim, n = (most["width"], most["n"]) if most else (0, 0)
-    k, tables = plan(n, min_cosine, recall)
-    slack = 1e-12  # the limit itself is a link: rounding of a double product must not lose it
-
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    type_ = vectors.schema["embedding"].dataType
+    kind = "float" if isinstance(type_, ArrayType) and isinstance(type_.elementType, FloatType) else "double"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(f"array<{kind}>"))
+
+    def named(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = bucket_keys(_units(batch.column(2)), k, tables, WIDTH, seed).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, tables), pa.int32()), pa.array(keys.ravel()))], ["no", "weight", "embedding", "keys"])
-
-    same = classes.where(F.size("embedding") == dim).select("no", "weight", "embedding")
-    points = cut(same.mapInArrow(hashed, "no long, weight long, embedding array<double>, keys array<long>"))
-    dealt = points.select("no", F.posexplode("keys").alias("t", "bucket")).select("no", "t", F.xxhash64("t", "bucket").alias("key"))
-    # Lone rows of a bucket leave before vectors are fetched; counting combines before it shuffles.
-    shared = dealt.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = dealt.join(shared, "key", "left_semi").join(points, "no").select("key", "t", "no", "weight", "embedding", "keys")
-    out_schema = "kind int, a long, b long, t int"
-    link, count, large = 0, 1, 2
-
-    def compare(table: pa.Table, second: bool) -> Iterator[tuple[int, int, int, int]]:
-        key = table.column("key").to_numpy()
-        units, t = _units(table.column("embedding")), table.column("t").to_numpy()
-        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(len(key), -1)
-        no, weight = table.column("no").to_numpy(), table.column("weight").to_numpy()
-        side = table.column("side").to_numpy() if second else None
-        bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            own = None if side is None or side[lo:hi].max() == 0 else side[lo:hi]
-            links, counts = link_bucket(no[lo:hi], weight[lo:hi], units[lo:hi], keys[lo:hi], int(t[lo]), own, min_cosine - slack)
-            yield from ((link, a, b, 0) for a, b in links)
-            yield from ((count, int(no[lo + i]), int(counts[i]), 0) for i in np.flatnonzero(counts))
-
-    def batch_of(made: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-        kinds, a, b, t = zip(*made, strict=True) if made else ((), (), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(t, pa.int32())], ["kind", "a", "b", "t"])
-
-    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            column = batch.column(1)
+            n = _lengths(column)
+            values = column.flatten().to_numpy(zero_copy_only=False) + 0.0  # -0.0 and 0.0 are one number
+            ends = np.cumsum(n).tolist()
+            name = np.frombuffer(b"".join(xxhash.xxh3_128_digest(values[e - k : e].tobytes()) for e, k in zip(ends, n.tolist(), strict=True)), np.int64).reshape(-1, 2)
+            vectors_ = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values, column.type.value_type))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(name[:, 0]), pa.array(name[:, 1]), vectors_], ["vec_id", "h1", "h2", "embedding"])
+
+    copies = cut(rows.where(usable()).mapInArrow(named, f"vec_id long, h1 long, h2 long, embedding array<{kind}>"))
+    merged = copies.groupBy("h1", "h2").agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"), F.first("embedding").alias("embedding"))
+    points = cut(merged.withColumn("no", F.monotonically_increasing_id()))
+    # One row for each length that vectors have.
+    plans = {r["length"]: plan(r["n"], min_cosine, recall) for r in points.groupBy(F.size("embedding").alias("length")).agg(F.count("*").alias("n")).collect()}
+    distance = sketch_distance(min_cosine)
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, x in _by_length(batch.column(1)):
+                unit = units(x)
+                k, tables = plans[x.shape[1]]
+                keys = bucket_keys(unit, k, tables, WIDTH, seed).view(np.int64)
+                no, sketch = batch.column(0).to_numpy()[at], sketches(unit, seed).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(no, tables)), pa.array(np.repeat(sketch, tables))], ["key", "no", "sketch"])
+
+    def active(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, table in runs(batches, bucket_limit):
+            key, no = table["key"].to_numpy(), table["no"].to_numpy()
             if chunk is None:
-                yield batch_of(list(compare(table, False)))
-            else:  # key and row number; kind carries the chunk
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(table), large + chunk, np.int32)), table.column("key").combine_chunks(), table.column("no").combine_chunks(), table.column("t").combine_chunks()], ["kind", "a", "b", "t"])
-
-    def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, table in runs(batches, 2 * bucket_limit):
-            yield batch_of(list(compare(table, True)))
-
-    first = cut(by_cell(members).mapInArrow(within, out_schema))
-    chunks = first.where(F.col("kind") >= large).select(F.col("a").alias("key"), F.col("b").alias("no"), "t", (F.col("kind") - large).alias("chunk"))
-    again = chunk_pairs(chunks).join(points, "no").select("key", "t", "no", "weight", "embedding", "keys", "side")
-    found = cut(first.where(F.col("kind") < large).unionAll(by_cell(again).mapInArrow(across, out_schema)))
+                near = with_near_sketch(key, table["sketch"].to_numpy().view(np.uint64), distance)
+                key, no = key[near], no[near]
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(no), pa.array(np.full(len(key), -1 if chunk is None else chunk, np.int32))], ["key", "no", "chunk"])
+
+    link, count = 0, 1
+
+    def compare(table: pa.Table, second: bool) -> Iterator[tuple[int, int, int]]:
+        for at, x in _by_length(table["embedding"]):
+            key, no, weight, t = (table[c].to_numpy()[at] for c in ("key", "no", "weight", "t"))
+            side = table["side"].to_numpy()[at] if second else None
+            bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                own = None if side is None or side[lo:hi].max() == 0 else side[lo:hi]
+                earlier = lambda unit, n=int(t[lo]): bucket_keys(unit, plans[unit.shape[1]][0], n, WIDTH, seed)
+                links, counts = link_bucket(no[lo:hi], weight[lo:hi], x[lo:hi], earlier, own, min_cosine)
+                yield from ((link, a, b) for a, b in links)
+                yield from ((count, int(no[lo + i]), int(counts[i])) for i in np.flatnonzero(counts))
+
+    def compared(second: bool):
+        def one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for _, table in runs(batches, 2 * bucket_limit):
+                made = list(compare(table, second))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True) if made else [[]] * 3, (pa.int32(), pa.int64(), pa.int64()), strict=True)], ["kind", "a", "b"])
+
+        return one
+
+    first = cut(by_cell(points.select("no", "embedding").mapInArrow(deal, "key long, no long, sketch long")).mapInArrow(active, "key long, no long, chunk int"))
+    first = first.withColumn("t", F.col("key").bitwiseAND((1 << TABLE_BITS) - 1))
+    held, schema = points.select("no", "weight", "embedding"), "kind int, a long, b long"
+    small = by_cell(first.where("chunk < 0").drop("chunk").join(held, "no").select("key", "t", "no", "weight", "embedding")).mapInArrow(compared(False), schema)
+    large = chunk_pairs(first.where("chunk >= 0")).join(held, "no").select("key", "t", "no", "weight", "embedding", "side")
+    found = cut(small.unionAll(by_cell(large).mapInArrow(compared(True), schema)))
     n_links = found.where(F.col("kind") == count).groupBy(F.col("a").alias("no")).agg(F.sum("b").alias("n_links"))
-    named = cut(components(found.where(F.col("kind") == link).select("a", "b"))).withColumnRenamed("node", "no")
-    known = classes.join(n_links, "no", "left").join(named, "no", "left").withColumn("component", F.coalesce("component", "no"))
+    groups = cut(components(found.where(F.col("kind") == link).select("a", "b"))).withColumnRenamed("node", "no")
+    known = points.select("no", "h1", "h2", "first_id", "weight").join(n_links, "no", "left").join(groups, "no", "left").withColumn("component", F.coalesce("component", "no"))
     least = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_vector = known.join(least, "component").select("embedding", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
-    linked = good.join(by_vector, "embedding").select("vec_id", "n_links", "component_id")
+    by_vector = known.join(least, "component").select("h1", "h2", (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), "component_id")
+    linked = copies.select("vec_id", "h1", "h2").join(by_vector, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(usable(), F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
