@@ -147,19 +147,42 @@ def at_least(a: np.ndarray, b: np.ndarray, limit: Fraction) -> bool:
     return dot > 0 and dot * dot >= limit * limit * sum(x * x for x in a) * sum(y * y for y in b)
 
 
-def link_bucket(no: np.ndarray, weight: np.ndarray, x: np.ndarray, earlier, side: np.ndarray | None, min_cosine: float) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Within one bucket: links that connect it, and for each vector the weight of the links first seen in this table.
-
-    earlier(unit vectors) gives their keys of earlier tables. With side, only pairs across sides count as seen; pairs
-    within one are another task's."""
-    n, unit = len(no), units(x)
-    counts, links, keys = np.zeros(n, np.int64), [], None
-    label, limit = np.arange(n), Fraction(str(min_cosine))
+def reaching(x: np.ndarray, y: np.ndarray, cosine: np.ndarray, min_cosine: float) -> np.ndarray:
+    """Which cosines of rows of x and y reach the limit; those within rounding of it are settled exactly."""
+    near, limit = cosine >= min_cosine, Fraction(str(min_cosine))
+    for at in np.flatnonzero(np.abs(cosine - min_cosine) <= ROUNDING).tolist():
+        near[at] = at_least(x[at], y[at], limit)
+    return near
+
+
+def link_small(x: np.ndarray, unit: np.ndarray, keys: np.ndarray, t: np.ndarray, pos: np.ndarray, size: np.ndarray, side: np.ndarray | None, min_cosine: float, small: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that link, and whether this table sees them first, of all buckets of at most `small` rows side by side; pos
+    and size are each row's place in its bucket and the bucket's size."""
+    few = np.flatnonzero((size <= small) & (size > 1))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for step in range(1, small):
+        at = few[pos[few] + step < size[few]]
+        if side is not None:
+            at = at[side[at] != side[at + step]]
+        near = at[reaching(x[at], x[at + step], np.einsum("ij,ij->i", unit[at], unit[at + step]), min_cosine)]
+        left.append(near)
+        right.append(near + step)
+    a, b = np.concatenate(left), np.concatenate(right)
+    before = np.arange(keys.shape[1]) < t[a][:, None]
+    return a, b, ~((keys[a] == keys[b]) & before).any(1)
+
+
+def link_bucket(no: np.ndarray, weight: np.ndarray, x: np.ndarray, unit: np.ndarray, keys: np.ndarray, side: np.ndarray | None, min_cosine: float) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Within one bucket: links that connect it, and for each vector the weight of the links first seen in this table;
+    keys are those of earlier tables. With side, only pairs across sides count; pairs within one are another task's."""
+    n = len(no)
+    counts, links = np.zeros(n, np.int64), []
+    label = np.arange(n)
     for at in range(0, n, 512):
         cosine = unit[at : at + 512] @ unit.T
         near = cosine >= min_cosine
-        for r, c in np.argwhere(np.abs(cosine - min_cosine) <= ROUNDING).tolist():
-            near[r, c] = at_least(x[at + r], x[c], limit)
+        r, c = np.nonzero(np.abs(cosine - min_cosine) <= ROUNDING)
+        near[r, c] = reaching(x[at + r], x[c], cosine[r, c], min_cosine)
         for r, row in enumerate(near, at):
             others = np.flatnonzero(row)
             others = others[others > r]
@@ -167,8 +190,6 @@ def link_bucket(no: np.ndarray, weight: np.ndarray, x: np.ndarray, earlier, side
                 others = others[side[others] != side[r]]
             if not len(others):
                 continue
-            if keys is None:
-                keys = earlier(unit)
             fresh = others[~(keys[others] == keys[r]).any(1)]
             counts[r] += weight[fresh].sum()
             counts[fresh] += weight[r]
@@ -223,23 +244,35 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE, recall:
 
     link, count = 0, 1
 
-    def compare(table: pa.Table, second: bool) -> Iterator[tuple[int, int, int]]:
+    def compare(table: pa.Table, second: bool, small: int = 8) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(kind, a, b): links (no, no) and counts (no, weight of links)."""
         for at, x in _by_length(table["embedding"]):
             key, no, weight, t = (table[c].to_numpy()[at] for c in ("key", "no", "weight", "t"))
             side = table["side"].to_numpy()[at] if second else None
+            unit = units(x)
+            keys = bucket_keys(unit, plans[x.shape[1]][0], int(t.max(initial=0)), WIDTH, seed)
             bounds = np.r_[0, np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                own = None if side is None or side[lo:hi].max() == 0 else side[lo:hi]
-                earlier = lambda unit, n=int(t[lo]): bucket_keys(unit, plans[unit.shape[1]][0], n, WIDTH, seed)
-                links, counts = link_bucket(no[lo:hi], weight[lo:hi], x[lo:hi], earlier, own, min_cosine)
-                yield from ((link, a, b) for a, b in links)
-                yield from ((count, int(no[lo + i]), int(counts[i])) for i in np.flatnonzero(counts))
+            if second:  # where a chunk meets itself there is one side, and all pairs count
+                alone = np.repeat(np.maximum.reduceat(side, bounds[:-1]) == 0, np.diff(bounds))
+                side = np.where(alone, np.arange(len(key)), side)
+            sizes = np.diff(bounds)
+            size = np.repeat(sizes, sizes)
+            l, r, first = link_small(x, unit, keys, t, np.arange(len(key)) - np.repeat(bounds[:-1], sizes), size, side, min_cosine, small)
+            counts = np.bincount(l[first], weight[r[first]], len(key)) + np.bincount(r[first], weight[l[first]], len(key))
+            links = [np.stack([no[l[first]], no[r[first]]], 1)]
+            for i in np.flatnonzero(sizes > small).tolist():
+                own = slice(bounds[i], bounds[i + 1])
+                made, counts[own] = link_bucket(no[own], weight[own], x[own], unit[own], keys[own, : t[bounds[i]]], None if side is None else side[own], min_cosine)
+                links.append(np.array(made, np.int64).reshape(-1, 2))
+            links, some = np.concatenate(links), np.flatnonzero(counts)
+            yield np.full(len(links), link, np.int32), links[:, 0], links[:, 1]
+            yield np.full(len(some), count, np.int32), no[some], counts[some].astype(np.int64)
 
     def compared(second: bool):
         def one(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for _, table in runs(batches, 2 * bucket_limit):
-                made = list(compare(table, second))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True) if made else [[]] * 3, (pa.int32(), pa.int64(), pa.int64()), strict=True)], ["kind", "a", "b"])
+                for made in compare(table, second):
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, made)), ["kind", "a", "b"])
 
         return one
 
