@@ -4,11 +4,12 @@ A line's key is its text without blanks at both ends and with A-Z lower-cased, a
 has one row for each key and document holding it; counted up, it is exact. Over the keys that enough documents hold,
 each shard keeps a cuckoo filter, which unlike a Bloom filter can forget: inserting documents adds the keys that reach
 the limit, deleting documents removes those that fall below it. Filters only rule lines out; every hit is settled
-by the exact counts.
+by the exact counts, which are sent along where they fit and joined to the hits where they don't.
 
 Null or empty text is one empty line. Documents are told apart by doc_id; repeated rows of an id are one document that
 holds its lines once, and each row is cut alike. A null id holds no references, and its repeated lines go. Columns
-beside doc_id and text pass through clean() unchanged. An empty table gives an empty result.
+beside doc_id and text pass through unchanged, whatever their names but those of the results, which are replaced. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql import functions as F
 from skirmish.llm.common import cut, prepare
 
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Bytes of exact rows (32 for each repeated key) that may be sent to every executor.
+#: Bytes of exact rows (24 for each repeated key) that may be sent to every executor, and bytes of filters at a time.
 BROADCAST_BYTES = 64 << 20
+FILTER_BYTES = 128 << 20
 KEY = ["hi", "lo"]
 
 
@@ -142,155 +144,269 @@ def shard_of(shards: int) -> Column:
     return F.pmod(F.shiftrightunsigned("hi", 8), F.lit(shards)).cast("int")
 
 
-def build_filters(keys: DataFrame, shards: int) -> DataFrame:
-    """shard, filter: a cuckoo filter over each shard's keys."""
+def build_filters(keys: DataFrame, shards: int, room: int = 1) -> DataFrame:
+    """shard, filter: a cuckoo filter over each shard's keys, with room for `room` times as many."""
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        made = CuckooFilter(len(pdf))
+        made = CuckooFilter(room * len(pdf))
         made.insert(*_halves(pdf))
         return pd.DataFrame({"shard": [pdf["shard"].iloc[0]], "filter": [made.to_bytes()]})
 
     return keys.select(shard_of(shards).alias("shard"), *KEY).groupBy("shard").applyInPandas(build, "shard int, filter binary")
 
 
-def repeated_keys(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """Keys that at least min_docs documents hold, as a written table."""
-    return cut(reference_counts(references(docs, min_chars)).where(F.col("n_docs") >= min_docs))
+def filter_slices(filters: DataFrame, limit: int) -> Iterator[dict[int, CuckooFilter]]:
+    """The shards' filters, as many at a time as fit the limit, one at least."""
+    sizes = [(r["shard"], r["n"]) for r in filters.select("shard", F.length("filter").alias("n")).orderBy("shard").collect()]
+    while sizes:
+        take = max(1, sum(t <= limit for t in np.cumsum([n for _, n in sizes]).tolist()))
+        part, sizes = sizes[:take], sizes[take:]
+        yield {r["shard"]: CuckooFilter.from_bytes(bytes(r["filter"])) for r in filters.where(F.col("shard").between(part[0][0], part[-1][0])).collect()}
+
+
+def hits(filters: dict[int, CuckooFilter], shards: int, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """Which keys some filter admits."""
+    out, shard = np.zeros(len(hi), bool), (hi >> np.uint64(8)).view(np.int64) % shards
+    for s, f in filters.items():
+        at = np.flatnonzero(shard == s)
+        out[at] = f.contains(hi[at], lo[at])
+    return out
 
 
 _RESULT = "n_lines long, n_dropped long, kept_text string, kept_sha256 string"
 
 
-def _keep(text: bytes, min_chars: int, drops: set[bytes] | frozenset[bytes]) -> tuple[int, int, bytes]:
+class Exact:
+    """Repeated keys in sorted arrays, with the document that keeps each."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        order = np.argsort(rows["hi"].to_numpy().view(np.uint64))
+        self.hi, self.lo = (rows[c].to_numpy().view(np.uint64)[order] for c in KEY)
+        self.last = rows["last_doc"].to_numpy()[order]
+
+    def find(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Place of each key, -1 where it has none."""
+        at, out = np.searchsorted(self.hi, hi), np.full(len(hi), -1)
+        left = np.arange(len(hi))
+        while len(left):  # a second round only where two keys share a half
+            left = left[at[left] < len(self.hi)]
+            left = left[self.hi[at[left]] == hi[left]]
+            good = self.lo[at[left]] == lo[left]
+            out[left[good]] = at[left[good]]
+            left = left[~good]
+            at[left] += 1
+        return out
+
+
+def _result(text: bytes, gone: Iterable[bool], want_text: bool) -> tuple[int, int, str | None, str]:
     lines = text.split(b"\n")
-    if not drops:
-        return len(lines), 0, text
-    kept = [lines[i] for i, k in line_keys(text, min_chars) if k not in drops]
-    return len(lines), len(lines) - len(kept), b"\n".join(kept)
+    kept = [x for x, g in zip(lines, gone, strict=True) if not g]
+    joined = text if len(kept) == len(lines) else b"\n".join(kept)
+    return len(lines), len(lines) - len(kept), joined.decode() if want_text else None, hashlib.sha256(joined).hexdigest()
 
 
-def _drop_lists_by_broadcast(docs: DataFrame, repeated: DataFrame, shards: int, min_chars: int, want_text: bool) -> DataFrame:
-    """The repeated keys fit everywhere: texts stay where they are. Lines pass their shard's filter, then the exact rows."""
-    spark = docs.sparkSession
-    exact = repeated.select(*KEY, "last_doc").toArrow()
-    filters = sorted((r["shard"], bytes(r["filter"])) for r in build_filters(repeated, shards).collect())
-    table = spark.sparkContext.broadcast((np.stack([c.to_numpy() for c in exact.columns], 1) if len(exact) else np.zeros((0, 3), np.int64), filters))
-    schema = pa.schema([("row", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_text", pa.string()), ("kept_sha256", pa.string())])
-    fields = [f for f in docs.schema.fields]
+def _drop_by_broadcast(docs: DataFrame, repeated: DataFrame, filters: DataFrame, shards: int, min_chars: int, want_text: bool) -> DataFrame:
+    """The exact rows fit everywhere: texts stay where they are. Lines pass their shard's filter, then the exact rows."""
+    known: dict[int, CuckooFilter] = {}
+    for part in filter_slices(filters, FILTER_BYTES):
+        known |= part  # all together smaller than the exact rows
+    table = docs.sparkSession.sparkContext.broadcast((known, Exact(repeated.select(*KEY, "last_doc").toArrow())))
+    types = (pa.int64(), pa.int64(), pa.string(), pa.string())
+    names = [c.split()[0] for c in _RESULT.split(", ")]
 
     def dedup(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, blobs = table.value
-        last = {r[:2].tobytes(): int(r[2]) for r in rows}
-        cuckoo = {shard: CuckooFilter.from_bytes(b) for shard, b in blobs}
+        known, exact = table.value
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index("doc_id")).to_pylist()
-            texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            held = [[k for _, k in line_keys(t or b"", min_chars) if k] for t in texts]
-            flat = np.frombuffer(b"".join(k for own in held for k in own), np.uint64).reshape(-1, 2)
-            hit = np.zeros(len(flat), bool)
-            shard = ((flat[:, 0] >> np.uint64(8)).view(np.int64) % shards)
-            for s, f in cuckoo.items():
-                at = np.flatnonzero(shard == s)
-                hit[at] = f.contains(flat[at, 0], flat[at, 1])
-            made, at = [], 0
-            for doc, text, own in zip(ids, texts, held, strict=True):
-                drops = {k for k, h in zip(own, hit[at : at + len(own)], strict=True) if h and last.get(k, doc) != doc}
-                at += len(own)
-                n, gone, kept = _keep(text or b"", min_chars, drops)
-                made.append((n, gone, kept.decode() if want_text else None, hashlib.sha256(kept).hexdigest()))
-            new = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)] if made else [pa.array([], t) for t in schema.types[1:]]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *schema.names[1:]])
-
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+            texts = [t or b"" for t in batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()]
+            keys = [[k for _, k in line_keys(t, min_chars)] for t in texts]
+            flat = [k for own in keys for k in own]
+            long = np.flatnonzero([k is not None for k in flat])
+            both = np.frombuffer(b"".join(flat[i] for i in long), np.uint64).reshape(-1, 2)
+            maybe = np.flatnonzero(hits(known, shards, both[:, 0], both[:, 1]))
+            place = exact.find(both[maybe, 0], both[maybe, 1])
+            gone, sizes = np.zeros(len(flat), bool), list(map(len, keys))
+            held, at = place >= 0, long[maybe]
+            owner = np.repeat(np.arange(len(ids)), sizes)[at[held]]
+            own_id = np.array([0 if i is None else i for i in ids], np.int64)[owner]
+            gone[at[held]] = (exact.last[place[held]] != own_id) | np.array([i is None for i in ids], bool)[owner]
+            ends = np.cumsum(sizes).tolist()
+            made = [_result(t, gone[e - n : e].tolist(), want_text) for t, e, n in zip(texts, ends, sizes, strict=True)]
+            new = [pa.array(c, t) for c, t in zip(zip(*made, strict=True) if made else [[]] * 4, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *names])
+
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(dedup, f"{out}, {_RESULT}")
 
 
-def _drop_lists_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, min_chars: int, want_text: bool) -> DataFrame:
-    """Repeated keys of any number: each document's list of lines to drop is joined to it by doc_id. Lists are no
-    longer than their documents; a key that a third of all documents hold is split by adaptive execution."""
-    gone = refs.join(repeated.select(*KEY, "last_doc"), KEY).where("doc_id <> last_doc")
-    lists = gone.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
+def _admitted(keys: DataFrame, filters: DataFrame, shards: int, limit: int, *more: str) -> DataFrame:
+    """Rows of keys (hi, lo and the named columns) that the filters admit; one look at them for each slice of filters
+    that is sent, so that nothing but hits is shuffled."""
+    rows = keys.select(*KEY, *more)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    out = keys.sparkSession.createDataFrame([], schema)
+    for part in filter_slices(filters, limit):
+        sent = keys.sparkSession.sparkContext.broadcast(part)
+
+        def sift(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hi, lo = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
+                yield batch.filter(pa.array(hits(sent.value, shards, hi, lo)))
+
+        out = out.unionAll(rows.mapInArrow(sift, schema))
+    return out
+
+
+def _drop_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, filters: DataFrame, shards: int, min_chars: int, want_text: bool, filter_bytes: int, shard_keys: int) -> DataFrame:
+    """Repeated keys of any number: references that the filters admit are joined to the exact rows and become each
+    document's list of lines to drop. The documents that have one are known by a filter again; only their texts move.
+    A list is no longer than its document; a key that a third of all documents hold is split by adaptive execution."""
+    spark = docs.sparkSession
+    gone = _admitted(refs, filters, shards, filter_bytes, "doc_id").join(repeated.select(*KEY, "last_doc"), KEY).where("doc_id <> last_doc")
+    lists = cut(gone.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("gone")))
+    id_keys = [F.xxhash64("doc_id").alias("hi"), F.xxhash64(F.lit(1), "doc_id").alias("lo")]
+    id_shards = max(1, -(-lists.count() // shard_keys))
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = whole.where("doc_id is not null")
+    slices = list(filter_slices(cut(build_filters(lists.select(*id_keys), id_shards)), filter_bytes))
+    if len(slices) <= 1:
+        sent = spark.sparkContext.broadcast(slices[0] if slices else {})
+
+        @F.pandas_udf("boolean")
+        def listed(hi: pd.Series, lo: pd.Series) -> pd.Series:
+            return pd.Series(hits(sent.value, id_shards, hi.to_numpy().view(np.uint64), lo.to_numpy().view(np.uint64)))
+
+        may = listed(*id_keys)
+        some, rest = named.where(may), named.where(~may)
+    else:  # so many documents lose lines that their filter doesn't fit: all move
+        some, rest = named, named.limit(0)
 
     @F.pandas_udf(_RESULT)
     def keep(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
         made = []
         for t, g in zip(text, gone, strict=True):
-            drops = {np.array([x["hi"], x["lo"]], np.int64).tobytes() for x in g} if g is not None else set()
-            n, dropped, kept = _keep((t or "").encode(), min_chars, drops)
-            made.append((n, dropped, kept.decode() if want_text else None, hashlib.sha256(kept).hexdigest()))
+            t, drops = (t or "").encode(), {np.array([x["hi"], x["lo"]], np.int64).tobytes() for x in g} if g is not None else set()
+            made.append(_result(t, [k in drops for _, k in line_keys(t, min_chars)], want_text))
         return pd.DataFrame(made, columns=["n_lines", "n_dropped", "kept_text", "kept_sha256"])
 
     # Rows without an id have no references of their own: all their repeated lines go.
-    named = docs.where("doc_id is not null").join(lists, "doc_id", "left")
-    unnamed = docs.where("doc_id is null").withColumn("_row", F.monotonically_increasing_id())
-    own = references(unnamed.withColumn("doc_id", F.col("_row")), min_chars).withColumnRenamed("doc_id", "_row")
-    own = own.join(repeated.select(*KEY), KEY).groupBy("_row").agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
-    both = named.unionByName(unnamed.join(own, "_row", "left").drop("_row"))
-    kept = both.withColumn("_kept", keep("text", "_gone"))
-    return kept.select(*docs.columns, *[F.col(f"_kept.{c}").alias(c) for c in ("n_lines", "n_dropped", "kept_text", "kept_sha256")])
+    unnamed = cut(whole.where("doc_id is null").withColumn("no", F.monotonically_increasing_id()))
+    own = _admitted(references(unnamed.select(F.col("no").alias("doc_id"), "text"), min_chars), filters, shards, filter_bytes, "doc_id")
+    own = own.join(repeated.select(*KEY), KEY).groupBy(F.col("doc_id").alias("no")).agg(F.collect_set(F.struct(*KEY)).alias("gone"))
+    none = F.lit(None).cast(lists.schema["gone"].dataType).alias("gone")
+    both = some.join(lists, "doc_id", "left").select("whole", "text", "gone").unionAll(rest.select("whole", "text", none)).unionAll(unnamed.join(own, "no", "left").select("whole", "text", "gone"))
+    return both.select("whole", keep("text", "gone").alias("kept")).select("whole.*", "kept.*")
 
 
-def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = 500_000) -> DataFrame:
+def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES, shard_keys: int = 500_000, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """docs with n_lines, n_dropped, kept_text (if wanted), kept_sha256; columns of docs by these names are replaced.
 
-    The reference table is counted in full; if its repeated keys fit the broadcast bound they are sent to the texts,
-    else each text is sent to its list of lines."""
+    The reference table is counted in full, and filters stand before the exact rows at every size."""
     docs = docs.drop(*[c.split()[0] for c in _RESULT.split(", ")])
-    repeated = repeated_keys(docs, min_chars, min_docs)
+    refs = cut(references(docs, min_chars))
+    repeated = cut(reference_counts(refs).where(F.col("n_docs") >= min_docs))
     n = repeated.count()
-    if 32 * n <= broadcast_bytes:
-        return _drop_lists_by_broadcast(docs, repeated, max(1, -(-n // shard_keys)), min_chars, want_text)
-    return _drop_lists_by_join(docs, references(docs, min_chars), repeated, min_chars, want_text)
+    shards = max(1, -(-n // shard_keys))
+    filters = cut(build_filters(repeated, shards))
+    if 24 * n <= broadcast_bytes:
+        return _drop_by_broadcast(docs, repeated, filters, shards, min_chars, want_text)
+    return _drop_by_join(docs, refs, repeated, filters, shards, min_chars, want_text, filter_bytes, shard_keys)
 
 
 class LineStore:
-    """The incremental form: references and filters kept as generations of tables in a folder.
-
-    insert() and delete() each write a new generation; deleting what was inserted restores the counts and, key for
-    key, what the filters answer. `repeated()` has the exact keys, `filters()` the blobs."""
-
-    def __init__(self, spark: SparkSession, shards: int = 8, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> None:
-        self.spark, self.shards, self.min_chars, self.min_docs = spark, shards, min_chars, min_docs
-        self.refs = spark.createDataFrame([], "hi long, lo long, doc_id long")
-        self._counts = reference_counts(self.refs)
-        self._filters = spark.createDataFrame([], "shard int, filter binary")
-
-    def _step(self, refs: DataFrame) -> None:
-        refs = cut(refs)
-        counts = cut(reference_counts(refs))
-        old, new = self.repeated(), counts.where(F.col("n_docs") >= self.min_docs)
-        was = old.select(*KEY, F.lit(1).alias("was"))
-        now = new.select(*KEY, F.lit(1).alias("now"))
-        changed = now.join(was, KEY, "full").select(*KEY, (F.coalesce("now", F.lit(0)) - F.coalesce("was", F.lit(0))).alias("change"), shard_of(self.shards).alias("shard"))
-        size = new.groupBy(shard_of(self.shards).alias("shard")).agg(F.count("*").alias("n"))
-
-        def update(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            room = int(left["n"].iloc[0]) if len(left) and left["n"].notna().any() else 0
-            blob = left["filter"].iloc[0] if len(left) and left["filter"].notna().any() else None
-            cuckoo = CuckooFilter.from_bytes(bytes(blob)) if blob is not None else CuckooFilter(room)
-            cuckoo.delete(*_halves(right[right["change"] < 0]))
-            if room > 0.9 * cuckoo.table.size:  # outgrown: anew, with room for as many again
-                cuckoo = CuckooFilter(2 * room)
-                right = right.assign(change=right["change"] + 1)
-            cuckoo.insert(*_halves(right[right["change"] > 0]))
-            return pd.DataFrame({"shard": [key[0]], "filter": [cuckoo.to_bytes()]})
-
-        state = self._filters.join(size, "shard", "full")
-        self._filters = cut(state.groupBy("shard").cogroup(changed.groupBy("shard")).applyInPandas(update, "shard int, filter binary"))
-        self.refs, self._counts = refs, counts
+    """The incremental form: logs of references and counts in the shared folder, and a filter for each shard.
+
+    insert() and delete() read and write what they touch: references of the documents at hand, counts of their keys, and
+    filters of shards in which a key crosses the limit. Newer rows of a log hold over older ones; a log of more than
+    `merge_after` parts is merged into one. Deleting what was inserted restores counts, filters' answers and the result
+    of apply()."""
+
+    def __init__(self, spark: SparkSession, shards: int = 8, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, merge_after: int = 8) -> None:
+        self.spark, self.shards, self.min_chars, self.min_docs, self.merge_after = spark, shards, min_chars, min_docs, merge_after
+        self._refs: list[DataFrame] = []  # hi, lo, doc_id, sign
+        self._counts: list[DataFrame] = []  # hi, lo, n_docs, last_doc, step
+        self._filters: list[DataFrame] = []  # shard, filter, step
+        self._step = 0
+
+    def _log(self, parts: list[DataFrame], schema: str) -> DataFrame:
+        out = self.spark.createDataFrame([], schema)
+        for part in parts:
+            out = out.unionAll(part)
+        return out
 
-    def insert(self, docs: DataFrame) -> None:
-        """Documents of ids not seen before; ids already in the store must be deleted first."""
-        self._step(self.refs.unionByName(references(docs, self.min_chars).distinct()))
+    def _live(self) -> DataFrame:
+        log = self._log(self._refs, "hi long, lo long, doc_id long, sign int")
+        return log.groupBy(*KEY, "doc_id").agg(F.sum("sign").alias("n")).where("n > 0").select(*KEY, "doc_id")
 
-    def delete(self, doc_ids: DataFrame) -> None:
-        self._step(self.refs.join(doc_ids.select("doc_id").distinct(), "doc_id", "left_anti").select("hi", "lo", "doc_id"))
+    def _all_counts(self) -> DataFrame:
+        log = self._log(self._counts, "hi long, lo long, n_docs long, last_doc long, step int")
+        newest = F.max(F.struct("step", "n_docs", "last_doc")).alias("c")
+        return log.groupBy(*KEY).agg(newest).select(*KEY, "c.n_docs", "c.last_doc")
 
     def counts(self) -> DataFrame:
-        return self._counts
+        """hi, lo, n_docs, last_doc of every key that a document holds."""
+        return self._all_counts().where("n_docs > 0")
 
     def repeated(self) -> DataFrame:
-        return self._counts.where(F.col("n_docs") >= self.min_docs)
+        return self._all_counts().where(F.col("n_docs") >= self.min_docs)
 
     def filters(self) -> DataFrame:
-        return self._filters
+        """shard, filter: the newest of each shard."""
+        log = self._log(self._filters, "shard int, filter binary, step int")
+        return log.groupBy("shard").agg(F.max_by("filter", "step").alias("filter"))
+
+    def _update(self, delta: DataFrame, sign: int) -> None:
+        """delta: distinct references that come or go."""
+        self._step += 1
+        delta = cut(delta.select(*KEY, "doc_id", F.lit(sign).cast("int").alias("sign")))
+        touched = cut(delta.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("top")))
+        known = self._all_counts().join(touched, KEY, "right")
+        old_n = F.coalesce("n_docs", F.lit(0))
+        self._refs.append(delta)
+        if sign > 0:
+            last = F.greatest("last_doc", "top")
+        else:  # the largest holder is sought anew only where it may have gone
+            seek = touched.join(self._all_counts(), KEY).where("last_doc <= top").select(*KEY)
+            live = self._live().join(seek, KEY, "left_semi").groupBy(*KEY).agg(F.max("doc_id").alias("next"))
+            known = known.join(live, KEY, "left")
+            last = F.when(F.col("last_doc") <= F.col("top"), F.col("next")).otherwise(F.col("last_doc"))
+        new = cut(known.select(*KEY, old_n.alias("was"), (old_n + sign * F.col("n")).alias("n_docs"), last.alias("last_doc")))
+        self._counts.append(new.select(*KEY, "n_docs", "last_doc", F.lit(self._step).alias("step")))
+        crossed = new.where((F.col("was") >= self.min_docs) != (F.col("n_docs") >= self.min_docs))
+        crossed = cut(crossed.select(shard_of(self.shards).alias("shard"), *KEY, F.lit(sign).alias("change")))
+        before = self.filters().join(crossed.select("shard").distinct(), "shard", "left_semi")
+
+        def update(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            cuckoo = CuckooFilter.from_bytes(bytes(left["filter"].iloc[0])) if len(left) else CuckooFilter(2 * len(right))
+            (cuckoo.insert if sign > 0 else cuckoo.delete)(*_halves(right))
+            full = len(cuckoo.stash) > 0.01 * cuckoo.table.size + 8
+            return pd.DataFrame({"shard": [key[0]], "filter": [None if full else cuckoo.to_bytes()]})
+
+        made = cut(before.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(update, "shard int, filter binary"))
+        # Those that are full are built anew, with room for as many again.
+        own = self.repeated().join(made.where("filter is null").select("shard"), shard_of(self.shards) == F.col("shard"), "left_semi")
+        anew = build_filters(own, self.shards, 2)
+        self._filters.append(cut(made.where("filter is not null").unionAll(anew).withColumn("step", F.lit(self._step))))
+        if len(self._filters) > self.merge_after:
+            self._filters = [cut(self.filters().withColumn("step", F.lit(self._step)))]
+        if len(self._refs) > self.merge_after:
+            self._refs = [cut(self._live().withColumn("sign", F.lit(1)))]
+        if len(self._counts) > self.merge_after:
+            self._counts = [cut(self.counts().withColumn("step", F.lit(self._step)))]
+
+    def insert(self, docs: DataFrame) -> None:
+        """Documents of ids not in the store; ids already there must be deleted first."""
+        self._update(references(docs, self.min_chars).distinct(), 1)
+
+    def delete(self, doc_ids: DataFrame) -> None:
+        """Forget the documents; ids that the store doesn't know change nothing."""
+        self._update(self._live().join(doc_ids.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi"), -1)
+
+    def apply(self, docs: DataFrame, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """docs cut as dedup() cuts them, by what the store holds: a repeated line stays in the largest document of the
+        store that has it."""
+        docs = docs.drop(*[c.split()[0] for c in _RESULT.split(", ")])
+        repeated = cut(self.repeated())
+        if 24 * repeated.count() <= broadcast_bytes:
+            return _drop_by_broadcast(docs, repeated, self.filters(), self.shards, self.min_chars, want_text)
+        return _drop_by_join(docs, references(docs, self.min_chars), repeated, self.filters(), self.shards, self.min_chars, want_text, FILTER_BYTES, 500_000)

@@ -6,7 +6,7 @@ import pytest
 from helpers import clashing, empty, odd_documents
 
 from skirmish.llm import line_dedup
-from skirmish.llm.line_dedup import CuckooFilter, LineStore, dedup
+from skirmish.llm.line_dedup import CuckooFilter, Exact, LineStore, dedup
 
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 
@@ -33,11 +33,23 @@ def result(df):
     return sorted(map(tuple, df.select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()), key=repr)
 
 
-@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
-def test_brute_force_both_ways(spark, broadcast_bytes):
+@pytest.mark.parametrize(("broadcast_bytes", "filter_bytes"), [(64 << 20, 64 << 20), (0, 64 << 20), (0, 1)])
+def test_brute_force_every_way(spark, broadcast_bytes, filter_bytes):
     rows = odd_documents()
     assert any(r[2] for r in brute(rows))
-    assert result(dedup(clashing(spark, rows), broadcast_bytes=broadcast_bytes, shard_keys=1)) == brute(rows)
+    docs = clashing(spark, rows).selectExpr("*", "1 AS gone", "2 AS whole", "3 AS hi", "4 AS kept", "5 AS kept_sha256")
+    out = dedup(docs, broadcast_bytes=broadcast_bytes, filter_bytes=filter_bytes, shard_keys=1)
+    made = ["n_lines", "n_dropped", "kept_text", "kept_sha256"]
+    assert result(out) == brute(rows) and out.columns == [c for c in docs.columns if c not in made] + made
+    assert {r[0] for r in out.select("whole").collect()} == {2}
+
+
+def test_exact_rows_with_equal_halves():
+    import pyarrow as pa
+
+    exact = Exact(pa.table({"hi": [5, 5, 5, -1, 9], "lo": [1, 2, 3, 4, 5], "last_doc": [10, 11, 12, 13, 14]}))
+    find = exact.find(np.array([5, 5, 5, 2**64 - 1, 9, 9, 0], np.uint64), np.array([3, 1, 7, 4, 5, 6, 0], np.uint64))
+    assert [exact.last[i] if i >= 0 else None for i in find] == [12, 10, None, 13, 14, None, None]
 
 
 def test_kept_text(spark):
@@ -74,20 +86,51 @@ def test_cuckoo_filter():
     assert tiny.contains(inside[:40, 0], inside[:40, 1]).all(), "what finds no room is stashed"
 
 
-def test_store_is_reversible(spark):
+@pytest.mark.parametrize("merge_after", [8, 1])
+def test_store_is_reversible(spark, merge_after):
     lines = [f"a line of text that is number {i:04d}" for i in range(40)]
     docs = [(d, "\n".join(lines[d : d + 12])) for d in range(20)]
     df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
-    store = LineStore(spark, shards=2)
+    store = LineStore(spark, shards=2, merge_after=merge_after)
+
+    def state():
+        return sorted(map(tuple, store.counts().collect())), sorted(map(tuple, store.repeated().select("hi", "lo").collect())), result(store.apply(df(docs))), result(store.apply(df(docs), broadcast_bytes=0))
+
+    def holds(inside):  # as if only these had ever been inserted
+        counts, _, cut_, joined = state()
+        assert cut_ == joined
+        assert [r for r in cut_ if r[0] in inside] == brute([docs[d] for d in sorted(inside)])
+        want = sorted(map(tuple, line_dedup.reference_counts(line_dedup.references(df([docs[d] for d in inside]))).collect()))
+        assert counts == want
+
     store.insert(df(docs[:12]))
-    before = sorted(map(tuple, store.counts().collect())), sorted(map(tuple, store.repeated().select("hi", "lo").collect()))
+    before = state()
+    holds(set(range(12)))
     store.insert(df(docs[12:]))
-    assert store.repeated().count() > len(before[1])
+    holds(set(range(20)))
+    assert len(state()[1]) > len(before[1])
     store.delete(df(docs[12:]).select("doc_id"))
-    assert (sorted(map(tuple, store.counts().collect())), sorted(map(tuple, store.repeated().select("hi", "lo").collect()))) == before
+    assert state() == before
+    store.delete(df([(11, ""), (3, ""), (777, "")]).select("doc_id"))
+    holds(set(range(12)) - {3, 11})
+    store.insert(df([docs[3], docs[11]]))
+    assert state() == before
     filters = {r["shard"]: CuckooFilter.from_bytes(bytes(r["filter"])) for r in store.filters().collect()}
     repeated = store.counts().withColumn("shard", line_dedup.shard_of(2)).toPandas()
     for shard, f in filters.items():
         own = repeated[repeated["shard"] == shard]
         got = f.contains(own["hi"].to_numpy().view(np.uint64), own["lo"].to_numpy().view(np.uint64))
         assert got[own["n_docs"].to_numpy() >= 3].all() and got[own["n_docs"].to_numpy() < 3].sum() <= 1
+
+
+def test_store_touches_what_changes(spark):
+    df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    store = LineStore(spark, shards=64)
+    store.insert(df([(d, "\n".join(f"line {i:04d} of a common text" for i in range(300))) for d in range(4)]))
+    blobs = lambda: {r["shard"]: bytes(r["filter"]) for r in store.filters().collect()}
+    filters, parts = blobs(), list(store._counts)
+    store.insert(df([(9, "line 0007 of a common text\none that is new to the store"), (10, "too short")]))
+    assert store._counts[:-1] == parts and store._counts[-1].count() == 2 and store._refs[-1].count() == 2
+    assert blobs() == filters and store._filters[-1].count() == 0
+    store.insert(df([(11, "one that is new to the store"), (12, "one that is new to the store")]))
+    assert store._filters[-1].count() == 1 and sum(blobs()[s] != b for s, b in filters.items()) <= 1 and store.repeated().count() == 301
