@@ -5,11 +5,12 @@ P(w | v) mixes three maximum-likelihood estimates: the pair's c(vw) / c(v), the
 by expectation-maximisation on held-out counts: a tenth of the training documents is counted apart, and what the other
 nine tenths say of its tokens is what the weights are fitted to. Scores then use the counts of all training documents.
 
-The model is as large as the corpus and is never broadcast or collected. Documents form blocks of a few MB of text. Each
-block sends its different words and pairs, as sorted 64-bit hashes with counts, to shards by hash range; each shard adds
-them up over the corpus and answers every block with the totals of what the block asked for, in the block's own order.
-Blocks meet their answers again and score themselves. A word or pair in a third of all documents is one key for each
-block, so no shard is hot. Only the weights (32 buckets x 3) and the histogram they are fitted to (bounded by its bins)
+The model is as large as the corpus and is never broadcast or collected. Documents form blocks of a few MB of text, and a
+few blocks a batch. Each block's different words and pairs, as sorted 64-bit hashes with counts, go to shards by hash
+range, one row for a batch and a shard; each shard adds them up over the corpus and answers every batch with the totals
+of what its blocks asked for, in the blocks' own order. Batches meet their answers again and score themselves. So the
+exchange has as many rows as a shuffle of that many tasks has segments. A word or pair in a third of all documents is one
+key for each block, so no shard is hot. Shards follow from the bytes of all texts, summed in a pass of their own. Only the weights (32 buckets x 3) and the histogram they are fitted to (bounded by its bins)
 reach the driver.
 
 Tokens: A-Z lower-cased, runs of anything but ASCII white space, then one end. Null text is the empty text: one end.
@@ -36,12 +37,14 @@ from pyspark.sql import functions as F
 from skirmish.llm.common import cut, prepare
 
 BLOCK_BYTES = 4 << 20
-#: Input bytes to a shard: about a million and a half keys.
-SHARD_BYTES = 8 << 20
+#: Blocks to a batch.
+BATCH = 4
+#: Input bytes to a shard, about a million and a half keys, and the least number of shards.
+SHARD_BYTES, LEAST_SHARDS = 8 << 20, 64
 RETAINED, HELD, TEST = 0, 1, 2
 END = xxhash.xxh64_intdigest(b"\n", 3)  # no word has white space; as a context it means a text's beginning
 BUCKETS = 32
-BLOCK_SCHEMA = "block long, row long, doc_id long, part int, text binary, before binary, last boolean"
+BLOCK_SCHEMA = "batch long, block int, row long, doc_id long, part int, text binary, before binary, last boolean"
 
 
 def with_parts(docs: DataFrame) -> DataFrame:
@@ -69,7 +72,7 @@ def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes, bool]]:
 
 
 def assigned(block_bytes: int):
-    """From batches of with_parts() to batches of BLOCK_SCHEMA. Held-out parts have blocks of their own (odd numbers),
+    """From batches of with_parts() to batches of BLOCK_SCHEMA. Held-out parts have blocks of their own (odd batches),
     whether the others are read or not."""
 
     def assign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,13 +83,13 @@ def assigned(block_bytes: int):
             for doc, part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 kind = int(part == HELD)
                 for piece, before, last in pieces(text, block_bytes):
-                    made.append((2 * ((partition << 24) + number[kind]) + kind, (partition << 40) + row, doc, part, piece, before, last))
+                    made.append((2 * ((partition << 24) + number[kind] // BATCH) + kind, number[kind] % BATCH, (partition << 40) + row, doc, part, piece, before, last))
                     size[kind] += len(piece)
                     if size[kind] >= block_bytes:
                         number[kind], size[kind] = number[kind] + 1, 0
                 row += 1
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
-            columns = list(zip(*made, strict=True)) if made else [[]] * 7
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
+            columns = list(zip(*made, strict=True)) if made else [[]] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [x.split()[0] for x in BLOCK_SCHEMA.split(", ")])
 
     return assign
@@ -160,70 +163,105 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _each_block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole blocks from rows in input order, where the two kinds of blocks take turns."""
+def _each_block(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, Block]]:
+    """(batch, block, the block) from rows in input order, where the two kinds of blocks take turns."""
     open_: dict[int, list[pa.Table]] = {}
     number: dict[int, int] = {}
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        block = table["block"].to_numpy()
+
+    def closed(kind: int) -> tuple[int, int, Block]:
+        table = pa.concat_tables(open_.pop(kind))
+        return number[kind] // BATCH, number[kind] % BATCH, Block.of(table)
+
+    for rows in batches:
+        table = pa.Table.from_batches([rows])
+        block = table["batch"].to_numpy() * BATCH + table["block"].to_numpy()
         for b in pd.unique(block).tolist():
-            kind = b & 1
-            if kind in number and number[kind] != b:
-                yield pa.concat_tables(open_.pop(kind))
+            kind = b // BATCH & 1
+            if kind in open_ and number[kind] != b:
+                yield closed(kind)
             number[kind] = b
             open_.setdefault(kind, []).append(table.filter(pa.array(block == b)))
-    for tables in open_.values():
-        yield pa.concat_tables(tables)
+    for kind in list(open_):
+        yield closed(kind)
 
 
 def answers(docs: DataFrame, shards: int, block_bytes: int) -> DataFrame:
-    """block, shard, n, check, total, retained: for each block and shard the corpus counts of the block's keys; and for
-    block -1 the shard's sums. Not yet written down."""
+    """batch, shard, sizes, checks, total, retained: for each batch and shard the corpus counts of the keys of its blocks,
+    one after the other; and for batch -1 the shard's sums. Not yet written down."""
 
     assign = assigned(block_bytes)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _each_block(assign(batches)):
-            block, made = Block.of(table), []
-            cuts, number = block.cuts(shards), table["block"][0].as_py()
-            for s in np.flatnonzero(np.diff(cuts)).tolist():
-                span = slice(cuts[s], cuts[s + 1])
-                made.append((number, s, block.keys[span].tobytes(), pack(block.counts[span])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["block", "shard", "keys", "counts"])
+        def sent(batch: int, blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            made = []
+            for s in range(shards):
+                spans = [slice(cuts[s], cuts[s + 1]) for _, _, cuts in blocks]
+                sizes = [x.stop - x.start for x in spans]
+                if any(sizes):
+                    keys = np.concatenate([k[x] for (k, _, _), x in zip(blocks, spans, strict=True)])
+                    counts = np.concatenate([c[x] for (_, c, _), x in zip(blocks, spans, strict=True)])
+                    made.append((batch, s, sizes, keys.tobytes(), pack(counts)))
+            types = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], ["batch", "shard", "sizes", "keys", "counts"])
+
+        open_: dict[int, tuple[int, list]] = {}
+        for batch, _, block in _each_block(assign(batches)):
+            kind = batch & 1
+            if kind in open_ and open_[kind][0] != batch:
+                yield sent(*open_.pop(kind))
+            open_.setdefault(kind, (batch, []))[1].append((block.keys, block.counts, block.cuts(shards)))
+        for left in open_.values():
+            yield sent(*left)
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = np.array([len(k) // 8 for k in pdf["keys"]])
         keys = np.concatenate([np.frombuffer(k, np.uint64) for k in pdf["keys"]])
         counts = np.concatenate([unpack(c, n) for c, n in zip(pdf["counts"], sizes, strict=True)])
-        held = np.repeat(pdf["block"].to_numpy() & 1 == 1, sizes)
+        held = np.repeat(pdf["batch"].to_numpy() & 1 == 1, sizes)
         different, at = np.unique(keys, return_inverse=True)
         total = np.bincount(at, counts, len(different)).astype(np.int64)
         retained = np.bincount(at, np.where(held, 0, counts), len(different)).astype(np.int64)
         word = (different & np.uint64(1)) == 1
         made, cuts = [], np.r_[0, np.cumsum(sizes)]
-        for i, block in enumerate(pdf["block"].tolist()):
+        for i, (batch, each) in enumerate(zip(pdf["batch"].tolist(), pdf["sizes"], strict=True)):
             own = at[cuts[i] : cuts[i + 1]]
-            check = int(keys[cuts[i] : cuts[i + 1]].sum(dtype=np.uint64).view(np.int64))
-            made.append((block, sizes[i], check, pack(total[own]), pack(retained[own]) if block & 1 else None, 0, 0, 0, 0))
-        made.append((-1, 0, 0, None, None, total[word].sum(), (total[word] > 0).sum(), retained[word].sum(), (retained[word] > 0).sum()))
-        out = pd.DataFrame(made, columns=["block", "n", "check", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"])
+            ends = cuts[i] + np.cumsum(each)
+            checks = [_check(keys[e - n : e]) for e, n in zip(ends.tolist(), list(each), strict=True)]
+            made.append((batch, list(each), checks, pack(total[own]), pack(retained[own]) if batch & 1 else None, 0, 0, 0, 0))
+        made.append((-1, [], [], None, None, total[word].sum(), (total[word] > 0).sum(), retained[word].sum(), (retained[word] > 0).sum()))
+        out = pd.DataFrame(made, columns=["batch", "sizes", "checks", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"])
         out.insert(1, "shard", pdf["shard"].iloc[0])
         return out
 
-    asked = docs.mapInArrow(ask, "block long, shard int, keys binary, counts binary")
-    return asked.groupBy("shard").applyInPandas(add_up, "block long, shard int, n long, check long, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long")
+    asked = docs.mapInArrow(ask, "batch long, shard int, sizes array<long>, keys binary, counts binary")
+    return asked.groupBy("shard").applyInPandas(add_up, "batch long, shard int, sizes array<long>, checks array<long>, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long")
+
 
+def _check(keys: np.ndarray) -> int:
+    return int(keys.sum(dtype=np.uint64).view(np.int64))
 
-def met(block: Block, answer: pa.Table, column: str) -> np.ndarray:
-    """The answers in the order of the block's keys; raises where they belong to other keys."""
+
+def met(batch: pa.Table, answer: pa.Table, column: str) -> Iterator[tuple[pa.Table, Block, np.ndarray]]:
+    """(rows, block, answers in the order of the block's keys) for each block of a batch; raises where the answers
+    belong to other keys."""
     answer = answer.sort_by("shard")
-    sizes = answer["n"].to_pylist()
-    cuts = np.r_[0, np.cumsum(sizes)].astype(int)
-    sums = [int(block.keys[a:b].sum(dtype=np.uint64).view(np.int64)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    if cuts[-1] != len(block.keys) or sums != answer["check"].to_pylist():
-        raise RuntimeError("the input has changed between two reads; write it to a table first")
-    return np.concatenate([np.zeros(0, np.int64), *[unpack(d, n) for d, n in zip(answer[column].to_pylist(), sizes, strict=True)]])
+    sizes = np.array(answer["sizes"].to_pylist(), np.int64).reshape(len(answer), -1)
+    checks = np.array(answer["checks"].to_pylist(), np.int64).reshape(len(answer), -1)
+    held = [unpack(d, int(n.sum())) for d, n in zip(answer[column].to_pylist(), sizes, strict=True)]
+    numbers = np.unique(batch["block"].to_numpy())
+    begin = np.cumsum(sizes, 1) - sizes
+    for i, number in enumerate(numbers.tolist()):
+        rows = batch.filter(pa.array(batch["block"].to_numpy() == number))
+        block = Block.of(rows)
+        if sizes.shape[1] != len(numbers) or sizes[:, i].sum() != len(block.keys):
+            raise RuntimeError(CHANGED)
+        ends = np.cumsum(sizes[:, i]).tolist()
+        if [_check(block.keys[e - n : e]) for e, n in zip(ends, sizes[:, i].tolist(), strict=True)] != checks[:, i].tolist():
+            raise RuntimeError(CHANGED)
+        yield rows, block, np.concatenate([h[b : b + n] for h, b, n in zip(held, begin[:, i].tolist(), sizes[:, i].tolist(), strict=True)])
+
+
+CHANGED = "the input has changed between two reads; write it to a table first"
 
 
 def bucket_of(context: np.ndarray) -> np.ndarray:
@@ -270,35 +308,38 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SH
     """doc_id, part, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
     prepare(docs.sparkSession)
     spark = docs.sparkSession
-    size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    shards = shards or min(1 << 20, max(4, -(-size // shard_bytes)))
     rows = with_parts(docs)
+    shards = shards or max(LEAST_SHARDS, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
     known = cut(answers(rows, shards, block_bytes))
-    sums = known.where("block = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_n", "sum_v", "kept_n", "kept_v")]).first()
+    sums = known.where("batch = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_n", "sum_v", "kept_n", "kept_v")]).first()
     n, v, kept_n, kept_v = (int(x) for x in sums)
-    reply = known.where("block >= 0").select("block", "shard", "n", "check", "total", "retained")
+    reply = known.where("batch >= 0").select("batch", "shard", "sizes", "checks", "total", "retained")
 
     def observe(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block.of(left)
-        word, context, pair = block.looked_up(met(block, right, "retained"))
-        return pa.Table.from_pandas(histogram(*estimates(word, context, pair, kept_n, kept_v), bucket_of(context)), preserve_index=False)
+        made = []
+        for _, block, found in met(left, right, "retained"):
+            word, context, pair = block.looked_up(found)
+            made.append(histogram(*estimates(word, context, pair, kept_n, kept_v), bucket_of(context)))
+        return pa.Table.from_pandas(pd.concat(made), preserve_index=False)
 
     held_blocks = in_blocks(rows.where(F.col("part") == HELD), block_bytes)
-    held = held_blocks.groupBy("block").cogroup(reply.where("block % 2 = 1").groupBy("block")).applyInArrow(observe, "bucket long, two long, one long, n long")
+    held = held_blocks.groupBy("batch").cogroup(reply.where("batch % 2 = 1").groupBy("batch")).applyInArrow(observe, "bucket long, two long, one long, n long")
     weights = spark.sparkContext.broadcast(fit_weights(held.groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()))
 
     def judge(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = Block.of(left)
-        word, context, pair = block.looked_up(met(block, right, "total"))
-        x2, x1 = estimates(word, context, pair, n, v)
-        mix = weights.value[bucket_of(context)]
-        model = np.log10((mix[:, 0] * x2 + mix[:, 1] * x1 + mix[:, 2]) / (v + 1))
-        base = np.log10((word + 0.5) / (n + 0.5 * (v + 1)))
-        owner = np.repeat(np.arange(len(block.sizes)), block.sizes)
-        summed = lambda x: np.bincount(owner, x, len(block.sizes))
-        return pa.table({"row": left["row"], "doc_id": left["doc_id"], "part": left["part"], "n_tokens": block.sizes, "n_known": summed(word > 0).astype(np.int64), "base_score": summed(base), "score": summed(model)})
-
-    pieces_ = in_blocks(rows, block_bytes).groupBy("block").cogroup(reply.groupBy("block")).applyInArrow(judge, "row long, doc_id long, part int, n_tokens long, n_known long, base_score double, score double")
+        made = []
+        for rows, block, found in met(left, right, "total"):
+            word, context, pair = block.looked_up(found)
+            x2, x1 = estimates(word, context, pair, n, v)
+            mix = weights.value[bucket_of(context)]
+            model = np.log10((mix[:, 0] * x2 + mix[:, 1] * x1 + mix[:, 2]) / (v + 1))
+            base = np.log10((word + 0.5) / (n + 0.5 * (v + 1)))
+            owner = np.repeat(np.arange(len(block.sizes)), block.sizes)
+            summed = lambda x: np.bincount(owner, x, len(block.sizes))  # noqa: B023, E731
+            made.append(pa.table({"row": rows["row"], "doc_id": rows["doc_id"], "part": rows["part"], "n_tokens": block.sizes, "n_known": summed(word > 0).astype(np.int64), "base_score": summed(base), "score": summed(model)}))
+        return pa.concat_tables(made)
+
+    pieces_ = in_blocks(rows, block_bytes).groupBy("batch").cogroup(reply.groupBy("batch")).applyInArrow(judge, "row long, doc_id long, part int, n_tokens long, n_known long, base_score double, score double")
     # A text longer than a block has several pieces.
     whole = pieces_.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("part").alias("part"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return whole.select("doc_id", "part", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

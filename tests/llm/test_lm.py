@@ -1,13 +1,14 @@
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
-from helpers import clashing, empty, mod5, odd_documents, prose
+from helpers import DOCS, clashing, empty, mod5, odd_documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from skirmish.llm.lm import BUCKETS, NONE, digest, fit_weights, pack, pieces, score, unpack
+from skirmish.llm.lm import BUCKETS, NONE, answers, bucket_of, digest, estimates, fit_weights, histogram, pack, pieces, score, unpack, with_parts
 
 
 def tokens(text):
@@ -40,15 +41,55 @@ def test_blocks_and_shards_do_not_matter(spark):
         assert p[5:] == pytest.approx(w[5:])
 
 
-def test_probabilities_sum_to_one(spark):
-    """Scores of one-word texts, after the weights and counts of a small corpus, sum to one over the vocabulary."""
-    data = [(i, t, None, None, 0) for i, t in enumerate(["a b", "b a", "a", "b b a", "c a b", "a c"] * 6) if mod5(i) != 1]
-    words = sorted({w for r in data for w in r[1].split()})
-    held = [i for i in range(1000, 2000) if mod5(i) == 1][: len(words) + 1]
-    probes = [(d, w, None, None, 0) for d, w in zip(held, [*words, "unseen"], strict=True)]
-    out = {r["doc_id"]: r["score"] for r in digest(spark.createDataFrame(data + probes, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)).collect()}
-    assert all(math.isfinite(out[d]) and out[d] < 0 for d in held)
-    assert min(out[d] for d in held) == out[held[-1]]
+class Brute:
+    """The model from plain counts: training documents, and those of them that aren't held out."""
+
+    def __init__(self, data):
+        self.all = Counter(), Counter()
+        self.retained = Counter(), Counter()
+        held = []
+        for doc, text, *_ in data:
+            crc = zlib.crc32(("" if doc is None else str(doc)).encode())
+            if crc % 5 == 1:
+                continue
+            t = tokens(text)
+            is_held = crc // 5 % 10 == 0
+            for words, pairs in (self.all,) if is_held else (self.all, self.retained):
+                words.update(t)
+                pairs.update(zip([None, *t[:-1]], t, strict=True))
+            if is_held:
+                held.append(t)
+        words, pairs = self.retained
+        n, v = sum(words.values()), len(words)
+        seen = [(pairs[c, w], words[c], words[w]) for t in held for c, w in zip([None, *t[:-1]], t, strict=True)]
+        p2, c, p1 = (np.array(x, np.int64) for x in zip(*seen, strict=True))
+        self.weights = fit_weights(histogram(*estimates(p1, c, p2, n, v), bucket_of(c)))
+
+    def probability(self, context, word):
+        words, pairs = self.all
+        n, v, c = sum(words.values()), len(words), words[context]
+        bucket = 0 if c == 0 else min(1 + int(math.log2(c)), BUCKETS - 1)
+        a, b, u = self.weights[bucket]
+        return a * (pairs[context, word] / c if c else 0) + b * words[word] / n + u / (v + 1)
+
+
+def test_scores_are_brute_force(spark):
+    data = rows() + [(3000 + i, prose(i % 7, 60), None, None, 0) for i in range(200)]
+    model = Brute(data)
+    want = sorted(((repr(r[0]), sum(math.log10(model.probability(c, w)) for c, w in zip([None, *t[:-1]], t, strict=True))) for r in data for t in [tokens(r[1])]))
+    for parameters in ({}, {"block_bytes": 700, "shards": 5}):
+        got = sorted((repr(r["doc_id"]), r["score"]) for r in score(clashing(spark, data).coalesce(2), **parameters).collect())
+        assert [g[0] for g in got] == [w[0] for w in want]
+        assert [g[1] for g in got] == pytest.approx([w[1] for w in want])
+    # Over all words and one unseen the probabilities sum to one, whatever word went before.
+    vocabulary = list(model.all[0])
+    for context in vocabulary[:60]:
+        assert sum(model.probability(context, w) for w in [*vocabulary, "unseen"]) == pytest.approx(1)
+
+
+def test_rows_of_the_exchange_grow_as_the_input(spark):
+    made = [answers(with_parts(spark.createDataFrame([(i, prose(i, 200), None, None, 0) for i in range(n)], DOCS).coalesce(1)), 64, 1 << 14).count() for n in (200, 1000)]
+    assert made[1] <= 5.5 * made[0]
 
 
 def test_model_beats_base_on_held_out_text(spark):
