@@ -25,8 +25,10 @@ def effectiveness(move_type: Column, defender_types: Column) -> Column:
 
 
 def effectiveness_by_join(rows: DataFrame, key: str, move_type: str, defender_types: str) -> DataFrame:
-    """The same as (key, effectiveness), by a broadcast join to the 120 cells."""
-    each = rows.select(key, move_type, F.explode_outer(defender_types).alias("_def"))
+    """The same as (key, effectiveness) for each row, by a broadcast join to the 120 cells; keys may repeat. It shuffles,
+    which effectiveness() doesn't: a cross-check."""
+    numbered = rows.select(F.monotonically_increasing_id().alias("_no"), F.col(key).alias("_key"), F.col(move_type).alias("_move"), F.col(defender_types).alias("_types"))
+    numbered = numbered.select("_no", "_key", "_move", F.explode_outer("_types").alias("_def"))
     cells = F.broadcast(type_chart(rows.sparkSession))
-    joined = each.join(cells, (F.col(move_type) == F.col("atk")) & (F.col("_def") == F.col("def")), "left")
-    return joined.groupBy(key).agg(F.product(F.coalesce("mult", F.lit(1.0))).alias("effectiveness"))
+    joined = numbered.join(cells, (F.col("_move") == F.col("atk")) & (F.col("_def") == F.col("def")), "left")
+    return joined.groupBy("_no").agg(F.first("_key").alias(key), F.product(F.coalesce("mult", F.lit(1.0))).alias("effectiveness")).drop("_no")

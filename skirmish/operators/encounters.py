@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skirmish.functions.damage import uniform_int
@@ -26,17 +26,40 @@ def picked(u: Column) -> Column:
     return out
 
 
-def pick_by_table(rows: DataFrame, table: DataFrame, u: str) -> DataFrame:
-    """The same with weights from a table of any size: a broadcast range join on running weights."""
-    from pyspark.sql import Window
+def weight_ranges(table: DataFrame, part_rows: int = 100_000) -> DataFrame:
+    """The table's rows that can be picked with _low and _high of their running weight, the _total, and whether they
+    are the _first. Running sums are taken part by part of the order (a number), so no task sorts the whole table."""
+    n = table.count()
+    edges = table.approxQuantile("ord", [i * part_rows / n for i in range(1, -(-n // part_rows))], 0.001) if n > part_rows else []
+    parted = table.withColumn("_part", F.size(F.filter(F.lit(edges).cast("array<double>"), lambda e: e < F.col("ord"))))
+    sums = {r["_part"]: (r["sum"], r["least"]) for r in parted.groupBy("_part").agg(F.sum("weight").alias("sum"), F.min("ord").alias("least")).collect()}
+    before, running = F.lit(0), 0
+    for part in sorted(sums):
+        before = F.when(F.col("_part") == part, running).otherwise(before)
+        running += sums[part][0]
+    first = min((least for _, least in sums.values()), default=None)
+    upto = Window.partitionBy("_part").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = parted.withColumn("_high", F.sum("weight").over(upto) + before).withColumn("_low", F.col("_high") - F.col("weight"))
+    ranges = ranges.withColumn("_first", F.col("ord") == F.lit(first)).withColumn("_total", F.lit(running))
+    # Behind the first a weight of zero is never picked.
+    return ranges.where("weight > 0 OR _first").drop("_part")
 
-    whole = Window.partitionBy(F.lit(0))
-    upto = whole.orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    ranges = table.select("*", F.sum("weight").over(upto).alias("_high"), F.sum("weight").over(whole).alias("_total")).withColumn("_low", F.col("_high") - F.col("weight"))
+
+def pick_by_table(rows: DataFrame, table: DataFrame, u: str, broadcast_rows: int = 10_000) -> DataFrame:
+    """The same with weights from a table of any size (ord, a number without repeats, and weight): a broadcast range join
+    up to broadcast_rows rows; beyond them ranges and rolls are dealt to as many bins as the table has rows, and joined
+    within a bin."""
+    ranges, n = weight_ranges(table), table.count()
     roll = F.col(u) * F.col("_total")
-    # The lowest range is closed below: a roll of 0 takes the first row.
-    within = (roll <= F.col("_high")) & ((roll > F.col("_low")) | (F.col("_low") == 0))
-    return rows.join(F.broadcast(ranges), within).drop("_high", "_low", "_total")
+    # The first range is closed below: a roll of 0 takes the first row, whatever its weight.
+    within = (roll <= F.col("_high")) & ((roll > F.col("_low")) | (F.col("_first") & (roll <= 0)))
+    if n <= broadcast_rows:
+        return rows.join(F.broadcast(ranges), within).drop("_high", "_low", "_total", "_first")
+    bin_of = lambda share: F.least(F.floor(share * n), F.lit(n - 1))
+    share = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("_total").cast("double")), F.lit(0.0))
+    # A bin more on either side, as the shares are rounded.
+    dealt = ranges.withColumn("_bin", F.explode(F.sequence(F.greatest(bin_of(share("_low")) - 1, F.lit(0)), F.least(bin_of(share("_high")) + 1, F.lit(n - 1)))))
+    return rows.withColumn("_bin", bin_of(F.col(u))).join(dealt, "_bin").where(within).drop("_bin", "_high", "_low", "_total", "_first")
 
 
 def wild(row: Column, u_level: Column) -> Column:

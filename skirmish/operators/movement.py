@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skirmish.sources.dims import MAP_H, MAP_W, START, tile
@@ -27,15 +27,36 @@ def step(x: Column, y: Column, dx: Column, dy: Column) -> Column:
     return F.struct(F.when(free, x + dx).otherwise(x).alias("x"), F.when(free, y + dy).otherwise(y).alias("y"), free.alias("moved"))
 
 
-def walked(moves: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """Where each key's walk from the start ends, and how many steps it took. moves: key, order..., dx, dy."""
+def walked(moves: DataFrame, key: str, order: list[str], chunk: int = 4096) -> DataFrame:
+    """Where each key's walk from the start ends, and how many steps it took. moves: key, order..., dx, dy; a move goes
+    along one axis (one along both counts for each).
 
-    def go(state: Column, move: Column) -> Column:
-        x = F.least(F.greatest(state["x"] + move["dx"], F.lit(1)), F.lit(MAP_W - 2))
-        y = F.least(F.greatest(state["y"] + move["dy"], F.lit(1)), F.lit(MAP_H - 2))
-        took = ((x != state["x"]) | (y != state["y"])).cast("int")
-        return F.struct(x.alias("x"), y.alias("y"), (state["steps"] + took).alias("steps"))
+    Walls bound each axis by itself, so a chunk of moves is, for each axis, a table from where it begins to where it
+    ends and the steps between; tables are put together in order. No row holds more than a chunk of moves or one table
+    for each chunk, and a key's first chunk begins at the start and needs no table."""
 
-    listed = moves.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, "dx", "dy"))).alias("moves"))
-    start = F.struct(F.lit(START[0]).alias("x"), F.lit(START[1]).alias("y"), F.lit(0).alias("steps"))
-    return listed.withColumn("at", F.aggregate("moves", start, go)).select(key, "at.*").withColumn("tile", tile(F.col("x"), F.col("y")))
+    def along(axis: str, first: Column, last: int) -> Column:
+        def go(state: Column, move: Column) -> Column:
+            to = F.least(F.greatest(state["at"] + move[axis], F.lit(1)), F.lit(last))
+            return F.struct(to.alias("at"), (state["steps"] + (to != state["at"]).cast("int")).alias("steps"))
+
+        return F.aggregate("moves", F.struct(first.cast("int").alias("at"), F.lit(0).alias("steps")), go)
+
+    def table(axis: str, first: int, last: int) -> Column:
+        whole = F.transform(F.sequence(F.lit(1), F.lit(last)), lambda x: along(axis, x, last))
+        return F.when(F.col("chunk") == 0, F.array(along(axis, F.lit(first), last))).otherwise(whole)
+
+    def joined(axis: str, first: int) -> Column:
+        def go(state: Column, part: Column) -> Column:
+            found = F.element_at(part[axis], F.when(part["chunk"] == 0, 1).otherwise(state["at"]))
+            return F.struct(found["at"].alias("at"), (state["steps"] + found["steps"]).alias("steps"))
+
+        return F.aggregate("parts", F.struct(F.lit(first).alias("at"), F.lit(0).alias("steps")), go)
+
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1
+    numbered = moves.select(F.col(key), place.alias("place"), F.floor(place / chunk).cast("int").alias("chunk"), F.col("dx").cast("int").alias("dx"), F.col("dy").cast("int").alias("dy"))
+    listed = numbered.groupBy(key, "chunk").agg(F.array_sort(F.collect_list(F.struct("place", "dx", "dy"))).alias("moves"))
+    tables = listed.select(key, "chunk", table("dx", START[0], MAP_W - 2).alias("x"), table("dy", START[1], MAP_H - 2).alias("y"))
+    whole = tables.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("chunk", "x", "y"))).alias("parts"))
+    ends = whole.select(key, joined("x", START[0]).alias("x"), joined("y", START[1]).alias("y"))
+    return ends.select(key, F.col("x.at").alias("x"), F.col("y.at").alias("y"), (F.col("x.steps") + F.col("y.steps")).alias("steps")).withColumn("tile", tile(F.col("x"), F.col("y")))

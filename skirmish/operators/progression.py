@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skirmish.sources.dims import STARTER, thresholds
+from skirmish.sources.dims import STARTER, experience_limit, thresholds
 
 AWARD = 7  # experience for each level of the defeated
 
@@ -15,8 +15,10 @@ def award(wild_level: Column) -> Column:
 
 
 def levelled(total: Column) -> Column:
-    """struct(level, max_hp, atk, def, exp, to_next) of the starter after `total` experience in all."""
+    """struct(level, max_hp, atk, def, exp, to_next) of the starter after `total` experience in all. Levels go as far as
+    sums of thresholds fit a long; a total beyond that is an error."""
     table = thresholds()
+    total = F.when(total < experience_limit(), total).otherwise(F.raise_error(F.lit("more experience than levels are known for")).cast("long"))
     sums, needs = F.lit([s for _, s, _ in table]), F.lit([n for _, _, n in table])
     gained = F.size(F.filter(sums, lambda s: s <= total)) - 1
     return F.struct(

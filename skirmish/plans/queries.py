@@ -31,7 +31,28 @@ def query(oracle: str | None = None):
 # ---- inputs and SQL shared by several queries
 
 _C = F.col
-CHART = "chart(atk, def, mult) AS (VALUES " + ", ".join(f"('{a}', '{d}', CAST({m} AS DOUBLE))" for a, d, m in dims.chart_cells()) + ")"
+# The type chart's cells that aren't 1, for SQL; and below it the wild encounters with running weights.
+CHART_ROWS = """
+    ('Normal', 'Rock', 0.5), ('Normal', 'Ghost', 0.0), ('Normal', 'Steel', 0.5),
+    ('Fire', 'Fire', 0.5), ('Fire', 'Water', 0.5), ('Fire', 'Grass', 2.0), ('Fire', 'Ice', 2.0), ('Fire', 'Bug', 2.0), ('Fire', 'Rock', 0.5), ('Fire', 'Dragon', 0.5), ('Fire', 'Steel', 2.0),
+    ('Water', 'Fire', 2.0), ('Water', 'Water', 0.5), ('Water', 'Grass', 0.5), ('Water', 'Ground', 2.0), ('Water', 'Rock', 2.0), ('Water', 'Dragon', 0.5),
+    ('Grass', 'Fire', 0.5), ('Grass', 'Water', 2.0), ('Grass', 'Grass', 0.5), ('Grass', 'Poison', 0.5), ('Grass', 'Ground', 2.0), ('Grass', 'Flying', 0.5), ('Grass', 'Bug', 0.5), ('Grass', 'Rock', 2.0), ('Grass', 'Dragon', 0.5), ('Grass', 'Steel', 0.5),
+    ('Electric', 'Water', 2.0), ('Electric', 'Grass', 0.5), ('Electric', 'Electric', 0.5), ('Electric', 'Ground', 0.0), ('Electric', 'Flying', 2.0), ('Electric', 'Dragon', 0.5),
+    ('Ice', 'Fire', 0.5), ('Ice', 'Water', 0.5), ('Ice', 'Grass', 2.0), ('Ice', 'Ice', 0.5), ('Ice', 'Ground', 2.0), ('Ice', 'Flying', 2.0), ('Ice', 'Dragon', 2.0), ('Ice', 'Steel', 0.5),
+    ('Fighting', 'Normal', 2.0), ('Fighting', 'Ice', 2.0), ('Fighting', 'Poison', 0.5), ('Fighting', 'Flying', 0.5), ('Fighting', 'Psychic', 0.5), ('Fighting', 'Bug', 0.5), ('Fighting', 'Rock', 2.0), ('Fighting', 'Ghost', 0.0), ('Fighting', 'Dark', 2.0), ('Fighting', 'Steel', 2.0), ('Fighting', 'Fairy', 0.5),
+    ('Poison', 'Grass', 2.0), ('Poison', 'Poison', 0.5), ('Poison', 'Ground', 0.5), ('Poison', 'Rock', 0.5), ('Poison', 'Ghost', 0.5), ('Poison', 'Steel', 0.0), ('Poison', 'Fairy', 2.0),
+    ('Ground', 'Fire', 2.0), ('Ground', 'Grass', 0.5), ('Ground', 'Electric', 2.0), ('Ground', 'Poison', 2.0), ('Ground', 'Flying', 0.0), ('Ground', 'Bug', 0.5), ('Ground', 'Rock', 2.0), ('Ground', 'Steel', 2.0),
+    ('Flying', 'Grass', 2.0), ('Flying', 'Electric', 0.5), ('Flying', 'Fighting', 2.0), ('Flying', 'Bug', 2.0), ('Flying', 'Rock', 0.5), ('Flying', 'Steel', 0.5),
+    ('Psychic', 'Fighting', 2.0), ('Psychic', 'Poison', 2.0), ('Psychic', 'Psychic', 0.5), ('Psychic', 'Dark', 0.0), ('Psychic', 'Steel', 0.5),
+    ('Bug', 'Fire', 0.5), ('Bug', 'Grass', 2.0), ('Bug', 'Fighting', 0.5), ('Bug', 'Poison', 0.5), ('Bug', 'Flying', 0.5), ('Bug', 'Psychic', 2.0), ('Bug', 'Ghost', 0.5), ('Bug', 'Dark', 2.0), ('Bug', 'Steel', 0.5), ('Bug', 'Fairy', 0.5),
+    ('Rock', 'Fire', 2.0), ('Rock', 'Ice', 2.0), ('Rock', 'Fighting', 0.5), ('Rock', 'Ground', 0.5), ('Rock', 'Flying', 2.0), ('Rock', 'Bug', 2.0), ('Rock', 'Steel', 0.5),
+    ('Ghost', 'Normal', 0.0), ('Ghost', 'Psychic', 2.0), ('Ghost', 'Ghost', 2.0), ('Ghost', 'Dark', 0.5),
+    ('Dragon', 'Dragon', 2.0), ('Dragon', 'Steel', 0.5), ('Dragon', 'Fairy', 0.0),
+    ('Dark', 'Fighting', 0.5), ('Dark', 'Psychic', 2.0), ('Dark', 'Ghost', 2.0), ('Dark', 'Dark', 0.5), ('Dark', 'Fairy', 0.5),
+    ('Steel', 'Fire', 0.5), ('Steel', 'Water', 0.5), ('Steel', 'Electric', 0.5), ('Steel', 'Ice', 2.0), ('Steel', 'Rock', 2.0), ('Steel', 'Steel', 0.5), ('Steel', 'Fairy', 2.0),
+    ('Fairy', 'Fire', 0.5), ('Fairy', 'Fighting', 2.0), ('Fairy', 'Poison', 0.5), ('Fairy', 'Dragon', 2.0), ('Fairy', 'Dark', 2.0), ('Fairy', 'Steel', 0.5)
+"""
+CHART = f"chart(atk, def, mult) AS (SELECT a, d, CAST(m AS DOUBLE) FROM (VALUES {CHART_ROWS}) v(a, d, m))"
 TYPE_ROWS = "types(ord, type) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(dims.TYPES)) + ")"
 WILD_ROWS = "wild_rows(ord, species, low, high, below, hp, atk, def, kind) AS (VALUES (0, 'Pidgey', 2, 4, 55, 18, 10, 10, 'Normal'), (1, 'Rattata', 2, 4, 90, 16, 11, 8, 'Normal'), (2, 'Pikachu', 3, 5, 100, 17, 12, 8, 'Electric'))"
 B = f"b AS ({sql(BATTLE)})"
@@ -60,7 +81,7 @@ SIMPLE = "greatest(1e0, floor((floor(4e0 * {power} * (CAST({atk} AS DOUBLE) / {d
 TILE = "CASE WHEN {x} IN (0, 29) OR {y} IN (0, 19) THEN 'WALL' WHEN ({x} BETWEEN 5 AND 11 AND {y} BETWEEN 6 AND 10) OR ({x} BETWEEN 17 AND 26 AND {y} BETWEEN 3 AND 7) THEN 'GRASS' ELSE 'GROUND' END"
 THRESHOLDS = """RECURSIVE need(k, total, next) AS (
    SELECT 0, CAST(0 AS BIGINT), CAST(20 AS BIGINT) UNION ALL
-   SELECT k + 1, total + next, CAST(floor(next * 1.3e0) AS BIGINT) FROM need WHERE k < 80)"""
+   SELECT k + 1, total + next, CAST(floor(next * 1.3e0) AS BIGINT) FROM need WHERE k < 140)"""
 AMOUNT = "(2 + event_id % 4) * 7"
 WALK = "CASE (event_id * 7) % 5 {arms} END"
 DX, DY = (WALK.format(arms=" ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(vs))) for vs in ([1, 0, -1, 0, 1], [0, 1, 0, -1, 0]))
@@ -96,6 +117,14 @@ def _stage(spark: SparkSession, sf_dir: str, **columns: str) -> DataFrame:
     return _battle(spark, sf_dir).select("event_id", *[parts[p].alias(n) for n, p in columns.items()])
 
 
+def _damages(battles: DataFrame) -> DataFrame:
+    attacker = {"level": _C("atk_level"), "types": _C("atk_types"), "attack": _C("attack"), "sp_attack": _C("sp_attack"), "status": _C("atk_status"), "ability": _C("atk_ability")}
+    defender = {"types": _C("def_types"), "defense": _C("defense"), "sp_defense": _C("sp_defense"), "ability": _C("def_ability")}
+    move = {"type": _C("move_type"), "category": _C("category"), "base_power": _C("base_power"), "crit_bonus": _C("crit_bonus")}
+    result = damage.calculate_damage(attacker, defender, move, _C("weather"), _C("u_crit"), _C("u_roll"))
+    return battles.select("event_id", result.alias("r")).select("event_id", "r.*")
+
+
 # ---- type chart
 
 @query(f"WITH {CHART} SELECT atk, def, mult FROM chart")
@@ -174,17 +203,12 @@ def defender_ability(spark, sf_dir):
 @query(f"""WITH {STAGES} SELECT event_id, CASE category WHEN 'Status' THEN 0e0 ELSE greatest(1e0, d7) END AS damage,
     category <> 'Status' AND crit AS is_critical, CASE category WHEN 'Status' THEN 1e0 ELSE eff END AS effectiveness FROM p7""")
 def calculate_damage(spark, sf_dir):
-    attacker = {"level": _C("atk_level"), "types": _C("atk_types"), "attack": _C("attack"), "sp_attack": _C("sp_attack"), "status": _C("atk_status"), "ability": _C("atk_ability")}
-    defender = {"types": _C("def_types"), "defense": _C("defense"), "sp_defense": _C("sp_defense"), "ability": _C("def_ability")}
-    move = {"type": _C("move_type"), "category": _C("category"), "base_power": _C("base_power"), "crit_bonus": _C("crit_bonus")}
-    result = damage.calculate_damage(attacker, defender, move, _C("weather"), _C("u_crit"), _C("u_roll"))
-    return _battle(spark, sf_dir).select("event_id", result.alias("r")).select("event_id", "r.*")
+    return _damages(_battle(spark, sf_dir))
 
 
 @query(f"WITH {STAGES} SELECT event_id, CAST(0 AS DOUBLE) AS damage, false AS is_critical, CAST(1 AS DOUBLE) AS effectiveness FROM e WHERE category = 'Status'")
 def status_moves(spark, sf_dir):
-    chosen = derived(spark, sf_dir, BATTLE).where("category = 'Status'").select("event_id")
-    return calculate_damage(spark, sf_dir).join(chosen, "event_id", "left_semi")
+    return _damages(_battle(spark, sf_dir).where("category = 'Status'"))
 
 
 @query(f"WITH {B} SELECT event_id, {SIMPLE.format(power='40e0', atk='attack', df='defense', u='u_roll')} AS damage FROM b")
@@ -350,7 +374,63 @@ def hud_text(spark, sf_dir):
     return exp_final_level(spark, sf_dir).select("user_id", display.said(display.HUD, level=level, hp=hp, max_hp=hp, balls=F.lit("5")).alias("hud"), display.said(display.GREW, species=F.lit("Charmander"), level=level).alias("grew"))
 
 
-@query()
+# Every session frame by frame: one step of the recursion is one frame of every session.
+SESSION_STATES = f"""{THRESHOLDS}, {WILD},
+  levels AS (SELECT list(total ORDER BY k) AS sums, list(next ORDER BY k) AS nexts FROM need),
+  f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i,
+      CASE WHEN code IN ('ArrowLeft', 'KeyA') THEN -1 WHEN code IN ('ArrowRight', 'KeyD') THEN 1 ELSE 0 END AS dx,
+      CASE WHEN code IN ('ArrowUp', 'KeyW') THEN -1 WHEN code IN ('ArrowDown', 'KeyS') THEN 1 ELSE 0 END AS dy FROM w),
+  g(user_id, event_id, i, scene, x, y, facing, steps, total, hp, balls, wild, wild_level, wild_max_hp, wild_hp, wild_atk, wild_def, log, message, timer) AS (
+    SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), 'TITLE', 3, 3, 'DOWN', 0, CAST(0 AS BIGINT), 20, 5, CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS INT),
+           CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS VARCHAR), '', CAST(0 AS DOUBLE) FROM f
+    UNION ALL
+    SELECT user_id, event_id, i,
+      CASE what WHEN 'START' THEN 'OVERWORLD' WHEN 'MEET' THEN 'BATTLE' ELSE CASE WHEN ends THEN 'OVERWORLD' ELSE scene END END,
+      CASE WHEN what IN ('STEP', 'MEET') THEN x + dx ELSE x END, CASE WHEN what IN ('STEP', 'MEET') THEN y + dy ELSE y END,
+      CASE WHEN what IN ('STEP', 'MEET', 'WALL') THEN CASE WHEN dx = -1 THEN 'LEFT' WHEN dx = 1 THEN 'RIGHT' WHEN dy = -1 THEN 'UP' ELSE 'DOWN' END ELSE facing END,
+      CASE WHEN what IN ('STEP', 'MEET') THEN steps + 1 ELSE steps END, total2,
+      CAST(CASE what WHEN 'WON' THEN CASE WHEN k2 > k THEN 20 + 3 * k2 ELSE hp END WHEN 'FAINTED' THEN 20 + 3 * k WHEN 'HIT' THEN hp - back ELSE hp END AS INT),
+      CASE WHEN what IN ('CAUGHT', 'BROKE') THEN balls - 1 ELSE balls END,
+      CASE WHEN ends THEN NULL WHEN what = 'MEET' THEN species ELSE wild END, CAST(CASE WHEN ends THEN NULL WHEN what = 'MEET' THEN level ELSE wild_level END AS INT),
+      CAST(CASE WHEN ends THEN NULL WHEN what = 'MEET' THEN new_hp + level ELSE wild_max_hp END AS INT),
+      CAST(CASE WHEN ends THEN NULL WHEN what = 'MEET' THEN new_hp + level WHEN what = 'HIT' THEN wild_hp - dealt ELSE wild_hp END AS INT),
+      CAST(CASE WHEN what = 'MEET' THEN atk + level // 2 ELSE wild_atk END AS INT), CAST(CASE WHEN what = 'MEET' THEN def + level // 2 ELSE wild_def END AS INT),
+      CASE what WHEN 'MEET' THEN 'A wild Pokémon appeared!' WHEN 'HIT' THEN 'Charmander used Ember! ' || CAST(dealt AS BIGINT) || ' dmg. ' || wild || ' hit back for ' || CAST(back AS BIGINT) || '.'
+        WHEN 'EMPTY' THEN 'No Poké Balls left!' WHEN 'BROKE' THEN wild || ' broke free!' ELSE CASE WHEN ends THEN NULL ELSE log END END,
+      CASE what WHEN 'WON' THEN 'You defeated ' || wild || '! +' || wild_level * 7 || ' EXP' WHEN 'FAINTED' THEN 'You blacked out! Auto-healed for demo.'
+        WHEN 'CAUGHT' THEN 'Gotcha! ' || wild || ' was caught!' WHEN 'ESCAPED' THEN 'Got away safely!' ELSE message END,
+      CASE WHEN ends THEN CAST(1300 AS DOUBLE) ELSE timer END
+    FROM (SELECT *, what IN ('WON', 'FAINTED', 'CAUGHT', 'ESCAPED') AS ends, len(list_filter(sums, lambda z: z <= total2)) - 1 AS k2
+      FROM (SELECT *, total + CASE what WHEN 'WON' THEN wild_level * 7 ELSE 0 END AS total2
+        FROM (SELECT *, CASE scene WHEN 'TITLE' THEN CASE WHEN code IN ('Enter', 'KeyZ') THEN 'START' ELSE 'NONE' END
+            WHEN 'OVERWORLD' THEN CASE WHEN dx = 0 AND dy = 0 THEN 'NONE' WHEN x + dx NOT BETWEEN 1 AND 28 OR y + dy NOT BETWEEN 1 AND 18 THEN 'WALL'
+              WHEN {TILE.format(x="(x + dx)", y="(y + dy)")} = 'GRASS' AND u_enc < 0.12e0 THEN 'MEET' ELSE 'STEP' END
+            ELSE CASE code WHEN 'Digit1' THEN CASE WHEN wild_hp - dealt <= 0 THEN 'WON' WHEN hp - back <= 0 THEN 'FAINTED' ELSE 'HIT' END
+              WHEN 'Digit2' THEN CASE WHEN balls <= 0 THEN 'EMPTY' WHEN u_catch < CAST(0.25 AS DOUBLE) + (wild_max_hp - wild_hp) / CAST(wild_max_hp AS DOUBLE) * CAST(0.55 AS DOUBLE) THEN 'CAUGHT' ELSE 'BROKE' END
+              ELSE CASE WHEN code IN ('Digit3', 'Escape', 'KeyX') THEN 'ESCAPED' ELSE 'NONE' END END END AS what
+          FROM (SELECT *, {SIMPLE.format(power="40e0", atk="(11 + k)", df="wild_def", u="u_hit")} AS dealt, {SIMPLE.format(power="35e0", atk="wild_atk", df="(10 + k)", u="u_back")} AS back
+            FROM (SELECT f.event_id, f.code, f.dx, f.dy, f.u_enc, f.u_hit, f.u_back, f.u_catch, f.species, f.level, f.hp AS new_hp, f.atk, f.def, g.* EXCLUDE (event_id, i), f.i, sums,
+                    len(list_filter(sums, lambda z: z <= total)) - 1 AS k
+                  FROM g JOIN f ON f.user_id = g.user_id AND f.i = g.i + 1 CROSS JOIN levels))))))"""
+
+
+@query(f"""WITH {SESSION_STATES}, h AS (SELECT g.*, len(list_filter(sums, lambda z: z <= total)) - 1 AS k, sums, nexts FROM g CROSS JOIN levels WHERE i > 0)
+   SELECT user_id, event_id, scene, x, y, facing, steps, CAST(5 + k AS INT) AS level, CAST(20 + 3 * k AS INT) AS max_hp, hp, total - sums[k + 1] AS exp, nexts[k + 1] AS to_next,
+          balls, wild, wild_level, wild_max_hp, wild_hp, log, message, timer FROM h""")
 def session_run(spark, sf_dir):
-    """Every frame of every session; a state machine over ordered frames, which SQL can't say."""
+    """Every frame of every session."""
     return run_batch(derived(spark, sf_dir, SESSION))
+
+
+_COLOUR = "CASE WHEN {r} > 0.5e0 THEN '#3f3' WHEN {r} > 0.2e0 THEN '#fc3' ELSE '#f44' END"
+
+
+@query(f"""WITH {SESSION_STATES}, h AS (SELECT g.*, len(list_filter(sums, lambda z: z <= total)) - 1 AS k FROM g CROSS JOIN levels WHERE i > 0),
+   r AS (SELECT *, scene = 'BATTLE' AS b, 20 + 3 * k AS max_hp, hp / CAST(20 + 3 * k AS DOUBLE) AS own, wild_hp / CAST(wild_max_hp AS DOUBLE) AS other FROM h)
+   SELECT event_id, CASE WHEN scene = 'OVERWORLD' THEN 'Charmander Lv' || (5 + k) || ' HP ' || hp || '/' || max_hp || ' Balls:' || balls END AS hud,
+      CASE WHEN b THEN wild || ' Lv' || wild_level END AS wild_tag, CASE WHEN b THEN {_COLOUR.format(r="other")} END AS wild_colour, CASE WHEN b THEN greatest(1e0, 148e0 * other) END AS wild_width,
+      CASE WHEN b THEN 'Charmander Lv' || (5 + k) END AS hero_tag, CASE WHEN b THEN {_COLOUR.format(r="own")} END AS hero_colour, CASE WHEN b THEN greatest(1e0, 148e0 * own) END AS hero_width,
+      CASE WHEN b THEN hp || '/' || max_hp END AS hero_hp, CASE WHEN b THEN log END AS log FROM r""")
+def session_display(spark, sf_dir):
+    """What each frame shows: the head line on the map; in a battle name tags, health bars and the log."""
+    return display.shown_frame(session_run(spark, sf_dir))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import cache
 from math import floor
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,26 +10,26 @@ from pyspark.sql import functions as F
 
 # The eighteen types, and for each attacking type the defending types on which its factor isn't 1.
 TYPES = ["Normal", "Fire", "Water", "Grass", "Electric", "Ice", "Fighting", "Poison", "Ground", "Flying", "Psychic", "Bug", "Rock", "Ghost", "Dragon", "Dark", "Steel", "Fairy"]
-CHART_TEXT = """
-Normal: Rock 0.5, Ghost 0, Steel 0.5
-Fire: Fire 0.5, Water 0.5, Grass 2, Ice 2, Bug 2, Rock 0.5, Dragon 0.5, Steel 2
-Water: Fire 2, Water 0.5, Grass 0.5, Ground 2, Rock 2, Dragon 0.5
-Grass: Fire 0.5, Water 2, Grass 0.5, Poison 0.5, Ground 2, Flying 0.5, Bug 0.5, Rock 2, Dragon 0.5, Steel 0.5
-Electric: Water 2, Grass 0.5, Electric 0.5, Ground 0, Flying 2, Dragon 0.5
-Ice: Fire 0.5, Water 0.5, Grass 2, Ice 0.5, Ground 2, Flying 2, Dragon 2, Steel 0.5
-Fighting: Normal 2, Ice 2, Poison 0.5, Flying 0.5, Psychic 0.5, Bug 0.5, Rock 2, Ghost 0, Dark 2, Steel 2, Fairy 0.5
-Poison: Grass 2, Poison 0.5, Ground 0.5, Rock 0.5, Ghost 0.5, Steel 0, Fairy 2
-Ground: Fire 2, Grass 0.5, Electric 2, Poison 2, Flying 0, Bug 0.5, Rock 2, Steel 2
-Flying: Grass 2, Electric 0.5, Fighting 2, Bug 2, Rock 0.5, Steel 0.5
-Psychic: Fighting 2, Poison 2, Psychic 0.5, Dark 0, Steel 0.5
-Bug: Fire 0.5, Grass 2, Fighting 0.5, Poison 0.5, Flying 0.5, Psychic 2, Ghost 0.5, Dark 2, Steel 0.5, Fairy 0.5
-Rock: Fire 2, Ice 2, Fighting 0.5, Ground 0.5, Flying 2, Bug 2, Steel 0.5
-Ghost: Normal 0, Psychic 2, Ghost 2, Dark 0.5
-Dragon: Dragon 2, Steel 0.5, Fairy 0
-Dark: Fighting 0.5, Psychic 2, Ghost 2, Dark 0.5, Fairy 0.5
-Steel: Fire 0.5, Water 0.5, Electric 0.5, Ice 2, Rock 2, Steel 0.5, Fairy 2
-Fairy: Fire 0.5, Fighting 2, Poison 0.5, Dragon 2, Dark 2, Steel 0.5
-"""
+CHART = {
+    "Normal": {"Rock": 0.5, "Ghost": 0.0, "Steel": 0.5},
+    "Fire": {"Fire": 0.5, "Water": 0.5, "Grass": 2.0, "Ice": 2.0, "Bug": 2.0, "Rock": 0.5, "Dragon": 0.5, "Steel": 2.0},
+    "Water": {"Fire": 2.0, "Water": 0.5, "Grass": 0.5, "Ground": 2.0, "Rock": 2.0, "Dragon": 0.5},
+    "Grass": {"Fire": 0.5, "Water": 2.0, "Grass": 0.5, "Poison": 0.5, "Ground": 2.0, "Flying": 0.5, "Bug": 0.5, "Rock": 2.0, "Dragon": 0.5, "Steel": 0.5},
+    "Electric": {"Water": 2.0, "Grass": 0.5, "Electric": 0.5, "Ground": 0.0, "Flying": 2.0, "Dragon": 0.5},
+    "Ice": {"Fire": 0.5, "Water": 0.5, "Grass": 2.0, "Ice": 0.5, "Ground": 2.0, "Flying": 2.0, "Dragon": 2.0, "Steel": 0.5},
+    "Fighting": {"Normal": 2.0, "Ice": 2.0, "Poison": 0.5, "Flying": 0.5, "Psychic": 0.5, "Bug": 0.5, "Rock": 2.0, "Ghost": 0.0, "Dark": 2.0, "Steel": 2.0, "Fairy": 0.5},
+    "Poison": {"Grass": 2.0, "Poison": 0.5, "Ground": 0.5, "Rock": 0.5, "Ghost": 0.5, "Steel": 0.0, "Fairy": 2.0},
+    "Ground": {"Fire": 2.0, "Grass": 0.5, "Electric": 2.0, "Poison": 2.0, "Flying": 0.0, "Bug": 0.5, "Rock": 2.0, "Steel": 2.0},
+    "Flying": {"Grass": 2.0, "Electric": 0.5, "Fighting": 2.0, "Bug": 2.0, "Rock": 0.5, "Steel": 0.5},
+    "Psychic": {"Fighting": 2.0, "Poison": 2.0, "Psychic": 0.5, "Dark": 0.0, "Steel": 0.5},
+    "Bug": {"Fire": 0.5, "Grass": 2.0, "Fighting": 0.5, "Poison": 0.5, "Flying": 0.5, "Psychic": 2.0, "Ghost": 0.5, "Dark": 2.0, "Steel": 0.5, "Fairy": 0.5},
+    "Rock": {"Fire": 2.0, "Ice": 2.0, "Fighting": 0.5, "Ground": 0.5, "Flying": 2.0, "Bug": 2.0, "Steel": 0.5},
+    "Ghost": {"Normal": 0.0, "Psychic": 2.0, "Ghost": 2.0, "Dark": 0.5},
+    "Dragon": {"Dragon": 2.0, "Steel": 0.5, "Fairy": 0.0},
+    "Dark": {"Fighting": 0.5, "Psychic": 2.0, "Ghost": 2.0, "Dark": 0.5, "Fairy": 0.5},
+    "Steel": {"Fire": 0.5, "Water": 0.5, "Electric": 0.5, "Ice": 2.0, "Rock": 2.0, "Steel": 0.5, "Fairy": 2.0},
+    "Fairy": {"Fire": 0.5, "Fighting": 2.0, "Poison": 0.5, "Dragon": 2.0, "Dark": 2.0, "Steel": 0.5},
+}
 
 # Wild encounters in drawing order, and the starter.
 ENCOUNTER_COLUMNS = ["ord", "species", "min", "max", "weight", "hp", "atk", "def", "type"]
@@ -46,13 +47,7 @@ START = (3, 3)
 
 def chart_cells() -> list[tuple[str, str, float]]:
     """(attacking, defending, factor) for the cells that aren't 1."""
-    out = []
-    for line in CHART_TEXT.strip().splitlines():
-        attacking, row = line.split(": ")
-        for cell in row.split(", "):
-            defending, factor = cell.split()
-            out.append((attacking, defending, float(factor)))
-    return out
+    return [(attacking, defending, factor) for attacking, row in CHART.items() for defending, factor in row.items()]
 
 
 def type_chart(spark: SparkSession) -> DataFrame:
@@ -81,10 +76,17 @@ def tile_map(spark: SparkSession) -> DataFrame:
     return cells.select("y", "x", tile(F.col("x"), F.col("y")).alias("tile"))
 
 
-def thresholds(levels: int = 80) -> list[tuple[int, int, int]]:
-    """(levels gained, experience needed in all, experience to the next level)."""
+@cache
+def thresholds() -> list[tuple[int, int, int]]:
+    """(levels gained, experience needed in all, experience to the next level), as far as a long holds the sums."""
     out, total, need = [], 0, STARTER["to_next"]
-    for k in range(levels + 1):
-        out.append((k, total, need))
+    while total + need < 1 << 63:
+        out.append((len(out), total, need))
         total, need = total + need, floor(need * 1.3)
     return out
+
+
+def experience_limit() -> int:
+    """The first total that the thresholds don't cover."""
+    _, total, need = thresholds()[-1]
+    return total + need

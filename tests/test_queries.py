@@ -1,5 +1,6 @@
 """Every rule query gives the rows of its SQL on the small tables."""
 
+import pandas as pd
 import pytest
 
 from skirmish.plans.queries import ORACLE_SQL, QUERIES
@@ -8,7 +9,7 @@ DATA = "/root/testdata/sf0.001"
 
 
 def rows(frame):
-    plain = lambda v: None if v is None or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+    plain = lambda v: None if v is None or v is pd.NA or v != v else float(v) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
     return sorted((tuple(plain(v) for v in r) for r in frame[sorted(frame.columns)].astype(object).itertuples(index=False)), key=repr)
 
 

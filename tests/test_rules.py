@@ -2,16 +2,18 @@
 
 from itertools import pairwise
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from skirmish.functions.damage import calculate_damage
-from skirmish.functions.effectiveness import effectiveness
+from skirmish.functions.effectiveness import effectiveness, effectiveness_by_join
 from skirmish.operators import movement, progression
+from skirmish.operators.encounters import pick_by_table, weight_ranges
 from skirmish.sources import dims
 from skirmish.sources.derive import SESSION, derived
-from skirmish.streaming.session import fresh, gain, run_batch, run_stream, session_step
+from skirmish.streaming.session import fresh, hero, run_batch, run_stream, session_step
 
 BASE = {"level": 10.0, "atk_types": ["Fire"], "attack": 52.0, "sp_attack": 60.0, "status": None, "atk_ability": None, "def_types": ["Grass", "Poison"], "defense": 49.0, "sp_defense": 65.0, "def_ability": None, "type": "Fire", "category": "Special", "power": 40.0, "bonus": None, "weather": "NONE", "u_crit": 0.99, "u_roll": 0.99}
 SCHEMA = "level double, atk_types array<string>, attack double, sp_attack double, status string, atk_ability string, def_types array<string>, defense double, sp_defense double, def_ability string, type string, category string, power double, bonus double, weather string, u_crit double, u_roll double"
@@ -73,15 +75,61 @@ def test_levels(spark):
     needs = [n for *_, n in dims.thresholds()]
     assert needs[:13] == [20, 26, 33, 42, 54, 70, 91, 118, 153, 198, 257, 334, 434] and all(a < b for a, b in pairwise(needs))
     gains = [7, 14, 19, 21, 200, 35]
-    state, want = fresh(), []
-    for g in gains:
-        gain(state, g)
-        want.append(tuple(state["hero"][k] for k in ("level", "max_hp", "atk", "def", "exp", "to_next")))
+    level, exp, want = 0, 0, []
+    for g in gains:  # level by level
+        exp += g
+        while exp >= needs[level]:
+            exp, level = exp - needs[level], level + 1
+        want.append((5 + level, 20 + 3 * level, 11 + level, 10 + level, exp, needs[level]))
+    assert [tuple(hero(fresh() | {"total": sum(gains[: i + 1])}).values()) for i in range(len(gains))] == want
     df = spark.createDataFrame(list(enumerate(gains)), "i int, amount int").withColumn("k", F.lit(1))
     got = progression.running(df, "k", ["i"], "amount").orderBy("i")
     assert [tuple(r) for r in got.select("level", "max_hp", "atk", "def", "exp", "to_next").collect()] == want
 
 
+def test_levels_go_as_far_as_a_long(spark):
+    def at(total):
+        return progression.final(spark.createDataFrame([(1, total)], "k int, amount long"), "k", "amount").first()
+
+    for total in (10**12, dims.experience_limit() - 1):
+        r = at(total)
+        assert 0 <= r["exp"] < r["to_next"] and r["level"] > 85
+    with pytest.raises(Exception, match="more experience"):
+        at(dims.experience_limit())
+
+
+def test_pick_by_table(spark):
+    import numpy as np
+
+    rows = spark.createDataFrame([(i, u) for i, u in enumerate([0.0, 1e-9, 0.3, 0.5, 0.7, 0.999999])], "i int, u double")
+    for weights in ([0, 5], [5, 0, 5], [1], [0, 0, 3, 0], [0, 0], [2] * 500 + [0] * 7 + [5] * 300):
+        table = spark.createDataFrame(list(enumerate(weights)), "ord int, weight int")
+        total, running = sum(weights), np.cumsum(weights)
+        want = [(i, next(o for o, below in enumerate(running) if u * total <= below)) for i, u in enumerate([0.0, 1e-9, 0.3, 0.5, 0.7, 0.999999])]
+        for limit in (10_000, 0):
+            assert sorted(map(tuple, pick_by_table(rows, table, "u", limit).select("i", "ord").collect())) == want, (weights[:5], limit)
+        parted = weight_ranges(table, 3).orderBy("ord").collect()
+        assert [(r["ord"], r["_high"]) for r in parted] == [(o, int(running[o])) for o, w in enumerate(weights) if w or not o]
+
+
+def test_effectiveness_of_repeated_keys(spark):
+    rows = spark.createDataFrame([(1, "Electric", ["Water", "Flying"]), (1, "Normal", ["Ghost"]), (None, "Fire", []), (2, "Fire", None)], "mult int, atk string, def array<string>")
+    assert sorted(map(tuple, effectiveness_by_join(rows, "mult", "atk", "def").collect()), key=repr) == [(1, 0.0), (1, 4.0), (2, 1.0), (None, 1.0)]
+
+
+@pytest.mark.parametrize("chunk", [4096, 7, 1])
+def test_walks_are_brute_force(spark, chunk):
+    axis = [(1, 0), (-1, 0), (0, 1), (0, -1), (0, 0)]
+    moves = [(k if k else None, i, *axis[(i * i + 3 * k + i // 9) % 5 if k % 2 else (k + i // 40) % 4]) for k in range(8) for i in range(90)]
+    want = {}
+    for k, _, dx, dy in moves:
+        x, y, n = want.get(k, (3, 3, 0))
+        went = 1 <= x + dx <= 28 and 1 <= y + dy <= 18
+        want[k] = (x + dx, y + dy, n + (dx != 0 or dy != 0)) if went else (x, y, n)
+    got = movement.walked(spark.createDataFrame(moves, "k int, i int, dx int, dy int").repartition(3), "k", ["i"], chunk)
+    assert {r["k"]: (r["x"], r["y"], r["steps"]) for r in got.collect()} == want
+
+
 def test_walk_never_enters_a_wall(spark):
     moves = spark.createDataFrame([(k, i, (i * 7 + k) % 3 - 1, 0 if i % 2 else (i + k) % 3 - 1) for k in range(20) for i in range(60)], "k int, i int, dx int, dy int")
     assert movement.walked(moves, "k", ["i"]).where("tile = 'WALL'").count() == 0
@@ -96,35 +144,56 @@ def frame(code, **draws):
     return {"code": code, "dt": 16.0, "event_id": 0, "ts": 0} | {u: 0.5 for u in ("u_enc", "u_pick", "u_level", "u_hit", "u_back", "u_catch")} | draws
 
 
+def after(state, *frames):
+    for f in frames:
+        state = session_step(state, f)
+    return state
+
+
 def test_session_rules():
-    state = fresh()
-    session_step(state, frame("ArrowUp"))
-    assert state["scene"] == "TITLE" and (state["x"], state["y"]) == (3, 3)
-    for code in ("Enter", *["KeyD"] * 2, *["KeyS"] * 2):
-        session_step(state, frame(code))
-    assert (state["scene"], state["x"], state["y"], state["steps"]) == ("OVERWORLD", 5, 5, 4)
-    session_step(state, frame("ArrowDown", u_enc=0.1))
-    assert state["scene"] == "BATTLE" and state["wild"] == {"species": "Pidgey", "level": 3, "max_hp": 21, "hp": 21, "atk": 11, "def": 11, "type": "Normal"}
-    session_step(state, frame("Digit2 Digit1"))
-    assert state["wild"]["hp"] == 17 and state["hero"]["balls"] == 5 and state["message"].endswith("Pidgey hit back for 4.")
-    session_step(state, frame("Digit2", u_catch=0.99))
-    assert state["hero"]["balls"] == 4 and state["hero"]["hp"] == 16 and state["message"] == "Pidgey broke free!"
-    for _ in range(4):
-        session_step(state, frame("Digit1", u_hit=0.99))
+    state = after(fresh(), frame("ArrowUp"))
+    assert state["scene"] == "TITLE" and (state["x"], state["y"], state["facing"]) == (3, 3, "DOWN")
+    state = after(state, *map(frame, ("Enter", *["KeyD"] * 2, *["KeyS"] * 2)))
+    assert (state["scene"], state["x"], state["y"], state["steps"], state["facing"], state["log"]) == ("OVERWORLD", 5, 5, 4, "DOWN", None)
+    state = after(state, frame("ArrowDown", u_enc=0.1))
+    assert state["scene"] == "BATTLE" and state["wild"] == {"species": "Pidgey", "level": 3, "max_hp": 21, "hp": 21, "atk": 11, "def": 11}
+    assert state["log"] == "A wild Pokémon appeared!" and state["message"] == ""
+    state = after(state, frame("Digit2 Digit1"))
+    assert state["wild"]["hp"] == 17 and state["balls"] == 5 and state["log"].endswith("Pidgey hit back for 4.")
+    state = after(state, frame("Digit2", u_catch=0.99))
+    assert state["balls"] == 4 and state["hp"] == 16 and state["log"] == "Pidgey broke free!" and state["message"] == ""
+    state = after(state, *[frame("Digit1", u_hit=0.99)] * 4)
     # The level gained heals, and the message's scene is overridden at once.
-    assert state["scene"] == "OVERWORLD" and state["hero"]["level"] == 6 and state["hero"]["hp"] == 23 and state["hero"]["exp"] == 1 and state["wild"] is None
-    state["hero"]["balls"], state["scene"] = 0, "BATTLE"
-    state["wild"] = {"species": "Rattata", "level": 2, "max_hp": 18, "hp": 18, "atk": 12, "def": 9, "type": "Normal"}
-    session_step(state, frame("Digit2"))
-    assert state["message"] == "No Poké Balls left!" and state["scene"] == "BATTLE"
-    session_step(state, frame("KeyX"))
-    assert state["scene"] == "OVERWORLD" and state["message"] == "Got away safely!"
+    assert state["scene"] == "OVERWORLD" and hero(state)["level"] == 6 and state["hp"] == 23 and hero(state)["exp"] == 1 and state["wild"] is state["log"] is None
+    assert state["message"] == "You defeated Pidgey! +21 EXP"
+    rattata = {"species": "Rattata", "level": 2, "max_hp": 18, "hp": 18, "atk": 12, "def": 9}
+    battle = state | {"balls": 0, "scene": "BATTLE", "wild": rattata, "log": "-"}
+    assert after(battle, frame("Digit2"))["log"] == "No Poké Balls left!" and after(battle, frame("Digit2"))["scene"] == "BATTLE"
+    assert after(battle, frame("KeyX"))["message"] == "Got away safely!" and after(battle, frame("KeyX"))["scene"] == "OVERWORLD"
+    fainted = after(battle | {"hp": 1}, frame("Digit1"))
+    assert fainted["message"].startswith("You blacked out") and fainted["hp"] == 23 and fainted["wild"] is None
+    assert after(battle | {"balls": 1}, frame("Digit2", u_catch=0.2))["message"] == "Gotcha! Rattata was caught!"
+    wall = after(fresh() | {"scene": "OVERWORLD", "x": 1}, frame("KeyA"))
+    assert (wall["x"], wall["steps"], wall["facing"]) == (1, 0, "LEFT")
 
 
 def test_message_scene_counts_down():
-    state = fresh() | {"scene": "MESSAGE", "timer": 20.0}
-    assert session_step(state, frame("KeyD"))["scene"] == "MESSAGE"
-    assert session_step(state, frame("KeyD"))["scene"] == "OVERWORLD"
+    state = after(fresh() | {"scene": "MESSAGE", "timer": 20.0}, frame("KeyD"))
+    assert state["scene"] == "MESSAGE" and after(state, frame("KeyD"))["scene"] == "OVERWORLD"
+
+
+def test_sessions_without_a_key_and_of_many_batches(spark):
+    frames = derived(spark, "/root/testdata/sf0.001", SESSION)
+    want = sorted(map(repr, run_batch(frames).collect()))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        assert sorted(map(repr, run_batch(frames).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    none = run_batch(frames.where("user_id < 3").withColumn("user_id", F.lit(None).cast("long"))).collect()
+    assert len(none) == frames.where("user_id < 3").count() and {r["user_id"] for r in none} == {None}
+    assert run_batch(frames.limit(0)).count() == 0
 
 
 def test_stream_is_the_batch(spark, tmp_path):
@@ -139,3 +208,18 @@ def test_stream_is_the_batch(spark, tmp_path):
     running.awaitTermination(240)
     key = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert key(spark.table("sessions")) == key(run_batch(frames))
+
+
+def test_stream_forgets_silent_sessions(spark, tmp_path):
+    """The processor takes a lifetime for its state; a long one changes nothing."""
+    import time
+
+    frames = derived(spark, "/root/testdata/sf0.001", SESSION).where("user_id < 3")
+    frames.coalesce(1).write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema(frames.schema).parquet(f"{tmp_path}/in")
+    running = run_stream(source, ttl_ms=3_600_000).writeStream.format("memory").queryName("kept").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").start()
+    want, until = frames.count(), time.monotonic() + 90
+    while spark.table("kept").count() < want and time.monotonic() < until:
+        time.sleep(1)
+    running.stop()
+    assert sorted(map(repr, spark.table("kept").collect())) == sorted(map(repr, run_batch(frames).collect()))
