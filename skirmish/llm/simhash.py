@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm.cells import by_cell, chunk_pairs, runs
@@ -339,8 +339,9 @@ def similar_in_cells(key: np.ndarray, no: np.ndarray, a: np.ndarray, b: np.ndarr
 
 
 def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, recall: float = RECALL, cell_limit: int = CELL_LIMIT) -> DataFrame:
-    """doc_id, component_id for each row of docs with an id: components of documents whose sets of word shingles have at
-    least that Jaccard similarity.
+    """doc_id, t1, t2 (a hash of the text), component_id, stays for each row of docs: components of documents whose sets
+    of word shingles have at least that Jaccard similarity. component_id is the smallest doc_id of the component, null
+    only where all its ids are; stays marks the rows with that id and, of several texts under it, the least hash.
 
     At this radius no choice of equal blocks is both sure and selective. The grids are random choices of segments of a
     128-bit fingerprint's embedding instead, as many as make a pair at the limit itself meet with probability `recall`;
@@ -349,19 +350,20 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     have many others near, whose pairs grow with the square of a group, the sets come to the cell instead. Equal sets are
     merged first."""
     prepare(docs.sparkSession)
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_hash(), F.col("text").cast("string").alias("text"))
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for text in batch.column(1).cast(pa.binary()):
+            for text in batch.column(3).cast(pa.binary()):
                 hashes = shingle_hashes((text.as_py() or b"").lower(), words)
                 made.append((*np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.uint64).tolist(), *wide_fingerprint(hashes)))
             columns = np.array(made, np.uint64).reshape(-1, 4).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns.T)], ["doc_id", "set1", "set2", "a", "b"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, columns.T)], ["doc_id", "t1", "t2", "set1", "set2", "a", "b"])
 
-    known = cut(rows.mapInArrow(make, "doc_id long, set1 long, set2 long, a long, b long"))
-    classes = cut(known.groupBy("set1", "set2").agg(F.min("doc_id").alias("first_doc"), F.first("a").alias("a"), F.first("b").alias("b")).withColumn("no", F.monotonically_increasing_id()))
+    known = cut(rows.mapInArrow(make, "doc_id long, t1 long, t2 long, set1 long, set2 long, a long, b long"))
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")).alias("first_row")
+    classes = cut(known.groupBy("set1", "set2").agg(least_row, F.first("a").alias("a"), F.first("b").alias("b")).withColumn("no", F.monotonically_increasing_id()))
     share = differing(similarity)
     distance = int(WIDE * share + 3 * np.sqrt(WIDE * share * (1 - share)))
     masks = grid_masks(*choose_grids(max(2, classes.count()), similarity, recall))
@@ -371,7 +373,6 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     cells = by_cell(dealt.select(F.xxhash64("g.i", F.col("pa").bitwiseAND(F.col("g.x")), F.col("pb").bitwiseAND(F.col("g.y"))).alias("key"), "no", "a", "b"), "a", "b")  # a large cell's chunks follow its order
     columns = lambda t: (t["key"].to_numpy(), t["no"].to_numpy(), t["a"].to_numpy().view(np.uint64), t["b"].to_numpy().view(np.uint64))
 
-
     def compared(table: pa.Table) -> list[np.ndarray]:
         """(no, no, -1) of pairs and (key, no, -2 - chunk) of core rows."""
         key, no, a, b = columns(table)
@@ -404,16 +405,14 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for text, *is_ in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                hashes = shingle_hashes((text or b"").lower(), words)
-                # Rows of an id may differ; the class is that of one of them.
-                same = np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist() == is_
-                made.append(hashes[:, 0].tobytes() if same else None)
+            for text in batch.column(1).cast(pa.binary()):
+                made.append(shingle_hashes((text.as_py() or b"").lower(), words)[:, 0].tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], ["no", "shingles"])
 
     asked = pairs.select(F.col("l").alias("no")).unionAll(pairs.select(F.col("r").alias("no"))).unionAll(core.select("no")).distinct()
-    texts = rows.join(classes.join(asked, "no").select("no", "first_doc", "set1", "set2"), F.col("doc_id") == F.col("first_doc")).select("no", "text", "set1", "set2")
-    held = cut(texts.mapInArrow(sets, "no long, shingles binary").where("shingles is not null").dropDuplicates(["no"]))
+    wanted = classes.join(asked, "no").select("no", "first_row.*")
+    texts = rows.join(wanted.toDF("no", "none", "d", "t1", "t2"), ["t1", "t2"]).where(F.col("doc_id").eqNullSafe(F.col("d"))).select("no", "text")
+    held = cut(texts.mapInArrow(sets, "no long, shingles binary").dropDuplicates(["no"]))
 
     @F.pandas_udf("double")
     def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -430,20 +429,30 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     found = cut(components(both.where(jaccard("x", "y") >= similarity).select("l", "r").unionAll(verified).toDF("a", "b")))
     for done in (first, second, pairs, held):
         drop_cut(done)
-    named = classes.join(found, classes.no == found.node, "left").select("set1", "set2", "first_doc", F.coalesce("component", "no").alias("component"))
-    least = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    return known.join(named.join(least, "component").select("set1", "set2", "component_id"), ["set1", "set2"]).select("doc_id", "component_id")
+    named = classes.join(found, classes.no == found.node, "left").select("set1", "set2", "first_row", F.coalesce("component", "no").alias("component"))
+    least = named.groupBy("component").agg(F.min("first_row").alias("first"))
+    by_set = named.join(least, "component").select("set1", "set2", "first")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("t1") == F.col("first.t1")) & (F.col("t2") == F.col("first.t2"))
+    return known.join(by_set, ["set1", "set2"]).select("doc_id", "t1", "t2", F.col("first.doc_id").alias("component_id"), stays.alias("stays"))
+
+
+def text_hash() -> list[Column]:
+    """Two 64-bit hashes of the text; null has hashes too."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
 
 
 def representatives(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs whose doc_id names their component: one of each group. An id names one document, so its rows
-    stay or go together, and of repeated rows one stays. Rows without an id can't name a group; they stay, each
-    different text once."""
+    """The rows of docs that stand for their component, one of each group: that of the smallest doc_id. Rows are told apart
+    by id and text, so different texts under one id are rows of their own, and rows without an id take part; they stay
+    where no row of their group has one. Of repeated rows one stays."""
     found = similar_documents(docs, words, similarity)
-    ids = cut(found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")))
+    keys = cut(found.groupBy("doc_id", "t1", "t2").agg(F.first("stays").alias("stays"), F.count("*").alias("n")))
+    # All columns travel as one, so that none can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_hash())
+    same = lambda k: (rows.t1 == k.t1) & (rows.t2 == k.t2) & rows.doc_id.eqNullSafe(k.doc_id)
     # Those that go or repeat are the fewer; the others' texts needn't move if these fit a broadcast.
-    other = ids.where("not stays or n > 1").select("doc_id")
-    once = docs.where("doc_id is not null").join(other, "doc_id", "left_anti")
-    again = docs.join(ids.where("stays and n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id is null").dropDuplicates(["text"])
-    return once.select(*docs.columns).unionAll(again.select(*docs.columns)).unionAll(unnamed.select(*docs.columns))
+    other, several = keys.where("not stays or n > 1"), keys.where("stays and n > 1")
+    once = rows.join(other, same(other), "left_anti")
+    again = rows.join(several, same(several), "left_semi").dropDuplicates(["doc_id", "t1", "t2"])
+    return once.select("row.*").unionAll(again.select("row.*"))

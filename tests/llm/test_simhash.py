@@ -1,3 +1,4 @@
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -6,6 +7,7 @@ import xxhash
 from helpers import clashing, empty, odd_documents, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from skirmish.llm import simhash
 from skirmish.llm.simhash import block_masks, choose_blocks, digest, embedding, links, manhattan, near_duplicates, representatives, similar_documents
@@ -120,13 +122,13 @@ def test_similar_documents(spark, cell_limit):
 @pytest.mark.parametrize("cell_limit", [8192, 70])
 def test_copies_in_a_dense_region(spark, cell_limit):
     template, texts = prose(77, 400).split(), {}
-    for g in range(200):  # two copies each; texts of different groups are just not similar enough
+    for g in range(300):  # two copies each; texts of different groups are just not similar enough
         words = [f"g{g}" if i % 40 == 0 else w for i, w in enumerate(template)]
         for v in range(2):
             texts[10 * g + v] = " ".join(f"v{v}" if i == 20 * v + 5 else w for i, w in enumerate(words))
     sets = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, w in ((d, t.split()) for d, t in texts.items())}
     want = classes(texts, lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]))
-    assert len(set(want.values())) == 200
+    assert len(set(want.values())) == 300
     rows = [(d, t, None, None, 0) for d, t in texts.items()]
     got = {r["doc_id"]: r["component_id"] for r in similar_documents(clashing(spark, rows), cell_limit=cell_limit).collect()}
     assert sum(got[d] != want[d] for d in texts) <= 0.01 * len(texts)
@@ -138,8 +140,67 @@ def test_representatives_keep_whole_rows(spark):
     kept = representatives(df)
     assert kept.columns == df.columns
     ids = sorted((r["doc_id"] for r in kept.collect()), key=repr)
-    # 0, 1 and 2 are blank, 5 and 6 repeat 4 (6 in capitals), 7 has a repeated row; rows without an id stay.
-    assert ids == sorted([0, 3, 4, 7, 8, 9, 10, 11, 12, 13, 14, None, None], key=repr)
+    # 0, 1 and 2 are blank, 5 and 6 repeat 4 (6 in capitals), 7 has a repeated row; those without an id repeat 7 and 0.
+    assert ids == sorted([0, 3, 4, 7, 8, 9, 10, 11, 12, 13, 14], key=repr)
+
+
+def test_rows_of_one_id_and_of_none(spark):
+    """Different texts under one id are documents of their own; rows without an id take part."""
+    a, b, c = prose(21, 80), prose(22, 80), prose(23, 80)
+    rows = [(5, a, "x", None, 0), (5, b, "x", None, 0), (6, b + " end", None, None, 0), (None, c, "y", None, 1), (None, c + " end", "z", None, 2), (None, a, None, None, 0), (None, None, None, None, 0)]
+    df = clashing(spark, rows).withColumns({n: F.lit(0) for n in ("t1", "t2", "d", "set1", "first_row", "component_id")})
+    kept = representatives(df)
+    got = sorted(((r["doc_id"], (r["text"] or "").removesuffix(" end")) for r in kept.collect()), key=repr)
+    assert kept.columns == df.columns and got == sorted([(5, a), (5, b), (None, c), (None, "")], key=repr)
+
+
+def test_tables_against_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets, holders, pairs = {}, {}, Counter()
+    for r in docs.collect():
+        words = (r["text"] or "").encode().lower().split()
+        sets[r["doc_id"]] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    for d, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(d)
+    for own in holders.values():
+        pairs.update(combinations(sorted(own), 2))
+    true = {p for p, n in pairs.items() if n >= 0.8 * (len(sets[p[0]]) + len(sets[p[1]]) - n)}
+    blank = [d for d, own in sets.items() if not own]
+    true |= set(combinations(sorted(blank), 2))
+    edges, parent = sorted(true), {d: d for d in sets}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for x, y in edges:
+        x, y = sorted((root(x), root(y)))
+        parent[y] = x
+    got = {r["doc_id"]: r["component_id"] for r in similar_documents(docs).collect()}
+    assert len(true) > 50 and np.mean([got[x] == got[y] for x, y in true]) >= 0.95
+    assert all(root(d) == root(c) for d, c in got.items()), "nothing is merged that isn't similar"
+
+
+@pytest.mark.parametrize("n", [64, 600, 20_000])
+def test_large_cells_lose_no_pair(n):
+    """One cell of families of two around one template; rows in a family differ by up to 6 bits, families by about 50. Every
+    pair within the distance is handed on, or both its rows are marked to be compared with their sets."""
+    rng = np.random.default_rng(n)
+    bits = (rng.random((n // 2, 128)) < 0.25) ^ (rng.random(128) < 0.5)
+    second = bits.copy()
+    for row in second:
+        row[rng.choice(128, rng.integers(0, 7), replace=False)] ^= True
+    both = np.packbits(np.concatenate([bits, second]), axis=1).view(np.uint64)
+    order, results = rng.permutation(n), []
+    for at in (order, np.arange(n)):  # the order of rows changes nothing
+        l, r, core = simhash.close_in_cells(np.zeros(n, np.int64), np.arange(n)[at], both[at, 0].copy(), both[at, 1].copy(), 31)
+        found = {(min(x, y), max(x, y)) for x, y in zip(l.tolist(), r.tolist(), strict=True)}
+        marked = set(np.arange(n)[at][core].tolist())
+        assert all((i, i + n // 2) in found or {i, i + n // 2} <= marked for i in range(n // 2))
+        results.append((found, marked))
+    assert results[0] == results[1]
 
 
 def test_empty(spark):
