@@ -5,9 +5,10 @@ for each language, and the AND of an n-gram's slots is the set of languages that
 each language, a population count; the share that false positives alone would give is taken off, by the fill of that
 language's slice, and the largest corrected count decides.
 
-Learning reads a bounded sample: at most `sample_docs` documents of each language, by a hash of the id, and at most 64
-languages, the most frequent ones. Its n-grams are ranked by the number of documents that have them and the first
-`profile` of each language are kept. Prediction reads whole texts.
+Learning reads a bounded sample: at most `sample_docs` documents of each language, by a hash of the id, and at most
+`max_languages` languages, the most frequent ones; masks take as many words as there are languages. Its n-grams are
+ranked by the number of documents that have them and the first `profile` of each language are kept; those of a single
+document count only where a language has few. Prediction reads whole texts.
 
 Text that is null or has no letter is `und` with score 0. A text of letters of which no n-gram is known gets the most
 frequent language and score 0. Ties go to the more frequent language, then by name. Repeated rows get equal answers.
@@ -18,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from skirmish.llm.common import crc_mod5, prepare
 
 SIZES = (3, 4)  # characters in an n-gram
 HASHES = 3
-MAX_LANGUAGES = 64
+MAX_LANGUAGES, WORD = 8192, 64
+#: A language with fewer documents keeps the n-grams that only one of them has.
+FEW_DOCS = 50
 #: Code points handled at once; longer texts go piece by piece.
 PIECE = 1 << 20
 
@@ -79,21 +82,24 @@ def ngrams(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 @dataclass
 class LanguageFilter:
-    """slots: a mask of languages for each slot; the n-th language has bit n."""
+    """slots: a mask of languages for each slot; the n-th language has bit n. Languages beyond a machine word have slots
+    of their own in `more`."""
 
     languages: list[str]
     slots: np.ndarray
+    more: LanguageFilter | None = None
 
     @classmethod
     def build(cls, profiles: dict[str, np.ndarray], order: list[str]) -> LanguageFilter:
         """profiles: n-gram hashes of each language. 32 slots for each n-gram of the largest profile."""
-        kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if bits >= len(order))
-        bits = max(10, int(np.ceil(np.log2(32 * max([1, *map(len, profiles.values())])))))
+        own, rest = order[:WORD], order[WORD:]
+        kind = next(t for t, bits in ((np.uint8, 8), (np.uint16, 16), (np.uint32, 32), (np.uint64, 64)) if bits >= len(own))
+        bits = max(10, int(np.ceil(np.log2(32 * max([1, *[len(profiles[x]) for x in own]])))))
         slots = np.zeros(1 << bits, kind)
-        for i, lang in enumerate(order):
+        for i, lang in enumerate(own):
             for at in cls._slots_of(profiles[lang], bits):
                 slots[at] |= kind(1 << i)
-        return cls(order, slots)
+        return cls(order, slots, cls.build(profiles, rest) if rest else None)
 
     @staticmethod
     def _slots_of(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -101,28 +107,39 @@ class LanguageFilter:
         return [((hashes >> np.uint64(64 - bits - step * j)) & np.uint64((1 << bits) - 1)).astype(np.intp) for j in range(HASHES)]
 
     def masks(self, hashes: np.ndarray) -> np.ndarray:
-        """The set of languages that contain each n-gram."""
-        first, *more = self._slots_of(hashes, int(np.log2(len(self.slots))))
+        """The set of languages (of the first word) that contain each n-gram."""
+        first, *others = self._slots_of(hashes, int(np.log2(len(self.slots))))
         out = self.slots[first]
-        for at in more:
+        for at in others:
             out &= self.slots[at]
         return out
 
+    @cached_property
+    def false(self) -> np.ndarray:
+        """For each language of the first word how often a strange n-gram seems to be in it."""
+        return np.array([(self.slots & self.slots.dtype.type(1 << i) != 0).mean() for i in range(min(WORD, len(self.languages)))]) ** HASHES
+
+    def _words(self) -> Iterator[LanguageFilter]:
+        yield self
+        if self.more:
+            yield from self.more._words()
+
     def counts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of n-grams of each text, and of those that each language contains, corrected for false positives."""
-        n_lang, width = len(self.languages), self.slots.itemsize
-        total, hits = np.zeros(len(texts), np.int64), np.zeros((len(texts), 8 * width), np.int64)
+        words = list(self._words())
+        total, hits = np.zeros(len(texts), np.int64), [np.zeros((len(texts), 8 * w.slots.itemsize), np.int64) for w in words]
         bit_table = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
         for number, hashes in ngrams(texts):
             total += np.bincount(number, minlength=len(texts))
-            known = self.masks(hashes)
-            for b in range(width):
-                byte = (known >> (8 * b)).astype(np.uint8) if width > 1 else known
-                table = np.bincount(number.astype(np.int64) * 256 + byte, minlength=256 * len(texts)).reshape(-1, 256)
-                hits[:, 8 * b : 8 * b + 8] += table @ bit_table
-        fill = np.array([(self.slots & self.slots.dtype.type(1 << i) != 0).mean() for i in range(n_lang)])
-        false = fill**HASHES
-        return total, np.maximum(0, (hits[:, :n_lang] - total[:, None] * false) / (1 - false))
+            for word, hit in zip(words, hits, strict=True):
+                known = word.masks(hashes)
+                for b in range(word.slots.itemsize):
+                    byte = (known >> (8 * b)).astype(np.uint8) if word.slots.itemsize > 1 else known
+                    table = np.bincount(number.astype(np.int64) * 256 + byte, minlength=256 * len(texts)).reshape(-1, 256)
+                    hit[:, 8 * b : 8 * b + 8] += table @ bit_table
+        false = np.concatenate([w.false for w in words])
+        found = np.concatenate([h[:, : len(w.false)] for h, w in zip(hits, words, strict=True)], 1)
+        return total, np.maximum(0, (found - total[:, None] * false) / (1 - false))
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Index of the best language of each text, and the share of its count in the two largest; 0 where none counts."""
@@ -135,18 +152,17 @@ class LanguageFilter:
         return best, np.divide(top, top + counts.max(1), out=np.zeros(len(texts)), where=top > 0)
 
 
-def learn(docs: DataFrame, learnable: Column, sample_docs: int = 2000, profile: int = 6000) -> LanguageFilter:
-    """docs: text, lang, doc_id. At most 64 languages x `profile` n-grams reach the driver."""
+def learn(docs: DataFrame, learnable: Column, sample_docs: int = 2000, profile: int = 6000, max_languages: int = MAX_LANGUAGES) -> LanguageFilter:
+    """docs: text, lang, doc_id. At most max_languages x `profile` n-grams reach the driver."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string")).where(learnable & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     if not sizes:
         return LanguageFilter([], np.zeros(1024, np.uint8))
     ticket = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30))
     # First by chance, a quarter more than needed; then exactly.
-    below = F.lit(0)
-    for lang, n in sizes.items():
-        below = F.when(F.col("lang") == lang, int((1 << 30) * min(1, 1.25 * sample_docs / n))).otherwise(below)
+    chances = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int((1 << 30) * min(1, 1.25 * sample_docs / n)))])
+    below = F.coalesce(F.element_at(chances, F.col("lang")), F.lit(0))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("ticket", "doc_id"))
     picked = rows.withColumn("ticket", ticket).where(F.col("ticket") < below)
     picked = picked.withColumn("rank", rank).where(F.col("rank") <= sample_docs).select("lang", "text")
@@ -163,7 +179,7 @@ def learn(docs: DataFrame, learnable: Column, sample_docs: int = 2000, profile:
                 grams, n = np.unique(np.concatenate(pairs)[:, 0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
 
-    totals = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where("n > 1")
+    totals = picked.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).where((F.col("n") > 1) | F.col("lang").isin([x for x, n in sizes.items() if n < FEW_DOCS]))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     kept = totals.withColumn("place", place).where(F.col("place") <= profile).select("lang", "gram").toArrow()
     by_lang: dict[str, list[int]] = {lang: [] for lang in sizes}

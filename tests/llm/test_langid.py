@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 from helpers import DOCS, clashing, empty, mod5, odd_documents, prose
 from pyspark.sql import functions as F
@@ -53,3 +55,54 @@ def test_long_text_is_read_to_its_end(spark):
     rows = [(1, "the " * 10 + "zqzq vzvz jwjw kxkx " * 90_000, None, None, 0)]
     assert identify(spark.createDataFrame(rows, DOCS), model).first()["lang_pred"] == "xx"
     assert learn(empty(spark), F.lit(True)).languages == []
+
+
+def gram_hash(gram):
+    """The hash of an n-gram, character by character."""
+    h, m = ord(gram[0]), 2**64 - 1
+    for c in gram[1:]:
+        h = (h * 0x100000001B3 + ord(c)) & m
+    h = (h + len(gram)) * 0x9E3779B97F4A7C15 & m
+    return (h ^ (h >> 32)) * 0xD6E8FEB86659FD93 & m
+
+
+def grams_of(text):
+    plain = "".join(c.lower()[0] if c.isalpha() else " " for c in text)
+    plain = f" {' '.join(plain.split())} " if plain.strip() else " "
+    return [plain[i : i + n] for n in (3, 4) for i in range(len(plain) - n + 1)]
+
+
+def test_predictions_are_those_of_plain_sets(spark):
+    """Profiles by counting in plain Python, n-grams looked up in sets instead of the filter."""
+    docs = [r for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    train = [r for r in docs if mod5(r["doc_id"]) and r["text"] is not None and r["lang"] is not None]
+    order = sorted({r["lang"] for r in train}, key=lambda x: (-sum(r["lang"] == x for r in train), x))
+    sets = {}
+    for lang in order:
+        held = Counter(g for r in train if r["lang"] == lang for g in set(grams_of(r["text"])))
+        rows = sorted((-n, (gram_hash(g) + 2**63) % 2**64, g) for g, n in held.items() if n > 1)[:6000]  # ties by the signed hash
+        sets[lang] = {g for *_, g in rows}
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in digest(spark.createDataFrame(docs)).collect()}
+    same, close = [], []
+    for r in docs:
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        own = grams_of(r["text"])
+        counts = [sum(g in sets[lang] for g in own) for lang in order]
+        first, second = sorted(counts, reverse=True)[:2]
+        same.append(got[r["doc_id"]][0] == order[counts.index(first)] or first == second)
+        close.append(abs(got[r["doc_id"]][1] - (first / (first + second) if first else 0)) < 0.05)
+    assert len(same) > 800 and np.mean(same) > 0.995 and np.mean(close) > 0.98
+
+
+def test_more_languages_than_a_word_has_bits(spark):
+    rng = np.random.default_rng(3)
+    profiles = {f"l{i:03d}": rng.integers(0, 2**64, 40, np.uint64) for i in range(150)}
+    made = LanguageFilter.build(profiles, list(profiles))
+    assert len(list(made._words())) == 3 and sum(len(w.false) for w in made._words()) == 150
+    texts = {f"l{i:03d}": " ".join("".join(chr(0x4E00 + 40 * i + int(c)) for c in rng.integers(0, 12, 5)) for _ in range(60)) for i in range(130)}
+    rows = [(1000 * i + j, text, lang, "s", 0) for i, (lang, text) in enumerate(texts.items()) for j in range(1 + i % 3)]
+    got = identify(spark.createDataFrame(rows, DOCS), learn(spark.createDataFrame(rows, DOCS), F.lit(True))).collect()
+    want = {r[0]: r[2] for r in rows}
+    assert all(r["lang_pred"] == want[r["doc_id"]] for r in got)
