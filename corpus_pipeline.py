@@ -18,8 +18,8 @@ from skirmish.llm.common import crc_mod5, cut, read
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores under 0.5, unchanged. It learns from labelled rows outside the held-out fifth."""
-    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_mod5() != 0)
-    return toxicity.without_toxic(docs, model)
+    model, points = toxicity.fit(docs, read(spark, sf_dir, "labels"), crc_mod5() != 0)
+    return toxicity.without_toxic(docs, points, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,9 +27,12 @@ def prepare(spark: SparkSession, rows: int = 1000) -> None:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a local one of our own only where that is unset (tests)."""
+    """The shared folder of spark.checkpoint.dir; a local one of our own only where that is unset and executors are
+    threads of this process (tests). A cluster without a shared folder is an error."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
+        if not re.fullmatch(r"local(\[[0-9*, ]+\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="skirmish-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return shared.rstrip("/")
@@ -55,6 +59,12 @@ def drop_cut(df: DataFrame) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def text_hash() -> list[Column]:
+    """Two 64-bit hashes of the text; null has hashes too."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
+
+
 def crc_mod5(doc_id: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo 5; a null id counts as the empty text, remainder 0."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5

@@ -25,11 +25,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm.cells import by_cell, chunk_pairs, runs
-from skirmish.llm.common import cut, drop_cut, prepare
+from skirmish.llm.common import cut, drop_cut, prepare, text_hash
 from skirmish.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 4, 4, 42
@@ -436,12 +436,6 @@ def similar_documents(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: f
     return known.join(by_set, ["set1", "set2"]).select("doc_id", "t1", "t2", F.col("first.doc_id").alias("component_id"), stays.alias("stays"))
 
 
-def text_hash() -> list[Column]:
-    """Two 64-bit hashes of the text; null has hashes too."""
-    text = F.col("text").cast("string")
-    return [F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2")]
-
-
 def representatives(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs that stand for their component, one of each group: that of the smallest doc_id. Rows are told apart
     by id and text, so different texts under one id are rows of their own, and rows without an id take part; they stay

@@ -4,21 +4,22 @@ A word is the sum of two embeddings, one hashed from the whole word and one from
 seen share what their stem says. Filters of widths 1, 2 and 3 slide over the text; each keeps its largest response
 anywhere in the text, and a logistic unit weighs those. Only that largest place learns, so training is sparse.
 
-Training is bounded: at most `per_class` labelled documents of each label, by a hash of the id; every fourth of them is
-left out of training and sets, for each language that the text itself looks like (a language-bitmask filter, see
-langid), the threshold of the best F1 under the labels' true shares. Scores are moved so that this threshold is 0.5:
-score = sigmoid(logit(p) - logit(threshold of the language)).
+Training is bounded: at most `per_class` labelled documents of each label and `sample_words` words in all, whole documents
+in the order of a hash of the id; every fourth of them is left out. All texts are then scored once, and all labelled
+documents that weren't trained on set, for each language that the text itself looks like (a language-bitmask filter, see
+langid), the threshold of the best F1: a histogram of their scores by language and label is what the driver sees. Scores
+are moved so that this threshold is 0.5: score = sigmoid(logit - threshold of the language).
 
 Scoring reads whole texts. Labels, lang, source and doc_id are never inputs of a score. Null and empty texts have no
 words, respond with zero everywhere and get the score that follows. Labels that are null are not learned from; where a
 document has several, the largest counts. With no labels of one kind the score is the share of the other, constant.
-Repeated rows get equal scores; extra columns of docs are kept by toxic_rows() and ignored by scores().
+Repeated rows get equal scores; extra columns of docs are kept by without_toxic() and ignored by scores().
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -28,11 +29,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm import langid
-from skirmish.llm.common import crc_mod5, prepare
+from skirmish.llm.common import crc_mod5, cut, prepare, text_hash
 
 WORD_BITS, STEM_BITS, STEM_BYTES = 16, 16, 6
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
 PER_CLASS, EPOCHS, LEAST_STEPS, CHUNK = 4000, 8, 250, 1 << 16
+#: Words of all training documents together.
+SAMPLE_WORDS = 8_000_000
+#: Scores are counted in bins of this many to a unit of the logit, and end at LIMIT.
+BINS, LIMIT = 64, 60.0
 #: Punctuation and controls of ASCII part words; letters, digits and all other bytes make them.
 _BLANKS = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -68,7 +73,6 @@ class ConvNet:
     bias: np.ndarray
     weights: np.ndarray
     offset: float
-    thresholds: dict[int, float] = field(default_factory=dict)  # logit, by language number; -1 for all others
 
     @classmethod
     def fresh(cls, seed: int) -> ConvNet:
@@ -118,50 +122,57 @@ class Adam:
         value[at] -= scale * m[at] / (np.sqrt(v[at]) + 1e-8)
 
 
+def loss_and_gradients(net: ConvNet, texts: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, drop: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Mean weighted log loss of a batch under a dropout mask, its gradients by the dense parameters, and by embeddings:
+    word ids and a gradient row for each. Only the place of a filter's largest response learns."""
+    n_pool = FILTERS * len(WIDTHS)
+    pooled, places, inputs = np.zeros((len(texts), n_pool), np.float32), np.zeros((len(texts), n_pool), np.int64), []
+    for r, ids in enumerate(texts):
+        x = net.embed(ids)
+        inputs.append(x)
+        for f, said in enumerate(net.responses(x)):
+            places[r, f * FILTERS : (f + 1) * FILTERS] = where = said.argmax(0)
+            pooled[r, f * FILTERS : (f + 1) * FILTERS] = said[where, np.arange(FILTERS)]
+    active = np.maximum(pooled + net.bias, 0)
+    z = (active * drop) @ net.weights + net.offset
+    loss = float((weight * (np.logaddexp(0, z) - labels * z)).mean())
+    g = ((1 / (1 + np.exp(-z)) - labels) * weight / len(texts)).astype(np.float32)
+    g_pool = g[:, None] * net.weights * drop * (active > 0)
+    ids_hit, grads = [np.zeros(0, np.uint32)], [np.zeros((0, DIM), np.float32)]
+    g_filters = {w: np.zeros_like(net.filters[w]) for w in WIDTHS}
+    for r, (ids, x) in enumerate(zip(texts, inputs, strict=True)):
+        for f, w in enumerate(WIDTHS):
+            span = slice(f * FILTERS, (f + 1) * FILTERS)
+            for j in range(w):
+                spot = places[r, span] + j
+                ok = spot < len(ids)
+                spot, gp = spot[ok], g_pool[r, span][ok]
+                rows = slice(j * DIM, (j + 1) * DIM)
+                g_filters[w][rows][:, ok] += x[spot].T * gp
+                ids_hit.append(ids[spot])
+                grads.append((net.filters[w][rows][:, ok] * gp).T)
+    dense = {"weights": (active * drop).T @ g, "offset": np.array(g.sum()), "bias": g_pool.sum(0)} | {f"filter{w}": g for w, g in g_filters.items()}
+    return loss, dense, np.concatenate(ids_hit), np.concatenate(grads)
+
+
 def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32, seed: int = 5) -> ConvNet:
     """At least `epochs` passes, and on few texts as many as make LEAST_STEPS steps."""
     net, adam, rng = ConvNet.fresh(seed), Adam(0.004), np.random.default_rng(seed)
     epochs = max(epochs, -(-LEAST_STEPS * batch // len(texts)))
     share = labels.mean()
     weight = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
-    n_pool = FILTERS * len(WIDTHS)
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), batch):
             chosen = order[at : at + batch]
             adam.step += 1
-            pooled, places, inputs = np.zeros((len(chosen), n_pool), np.float32), np.zeros((len(chosen), n_pool), np.int64), []
-            for r, i in enumerate(chosen):
-                x = net.embed(texts[i])
-                inputs.append(x)
-                for f, said in enumerate(net.responses(x)):
-                    places[r, f * FILTERS : (f + 1) * FILTERS] = where = said.argmax(0)
-                    pooled[r, f * FILTERS : (f + 1) * FILTERS] = said[where, np.arange(FILTERS)]
-            active = np.maximum(pooled + net.bias, 0)
-            drop = (rng.random(active.shape) > 0.2).astype(np.float32) / np.float32(0.8)
-            z = (active * drop) @ net.weights + net.offset
-            g = ((1 / (1 + np.exp(-z)) - labels[chosen]) * weight[chosen] / len(chosen)).astype(np.float32)
-            g_pool = g[:, None] * net.weights * drop * (active > 0)
-            ids_hit, grads = [], []
-            g_filters = {w: np.zeros_like(net.filters[w]) for w in WIDTHS}
-            for r, i in enumerate(chosen):
-                ids, x = texts[i], inputs[r]
-                for f, w in enumerate(WIDTHS):
-                    span = slice(f * FILTERS, (f + 1) * FILTERS)
-                    for j in range(w):
-                        spot = places[r, span] + j
-                        ok = spot < len(ids)
-                        spot, gp = spot[ok], g_pool[r, span][ok]
-                        rows = slice(j * DIM, (j + 1) * DIM)
-                        g_filters[w][rows][:, ok] += x[spot].T * gp
-                        ids_hit.append(ids[spot])
-                        grads.append((net.filters[w][rows][:, ok] * gp).T)
-            adam.update("weights", net.weights, (active * drop).T @ g)
-            net.offset -= 0.05 * float(g.sum())
-            adam.update("bias", net.bias, g_pool.sum(0))
+            drop = (rng.random((len(chosen), FILTERS * len(WIDTHS))) > 0.2).astype(np.float32) / np.float32(0.8)
+            _, dense, hit, grad = loss_and_gradients(net, [texts[i] for i in chosen], labels[chosen], weight[chosen], drop)
+            adam.update("weights", net.weights, dense["weights"])
+            net.offset -= 0.05 * float(dense["offset"])
+            adam.update("bias", net.bias, dense["bias"])
             for w in WIDTHS:
-                adam.update(f"filter{w}", net.filters[w], g_filters[w])
-            hit, grad = np.concatenate(ids_hit), np.concatenate(grads)
+                adam.update(f"filter{w}", net.filters[w], dense[f"filter{w}"])
             for name, table, rows in (("words", net.words, hit >> STEM_BITS), ("stems", net.stems, hit & ((1 << STEM_BITS) - 1))):
                 unique, back = np.unique(rows, return_inverse=True)
                 summed = np.zeros((len(unique), DIM), np.float32)
@@ -170,105 +181,156 @@ def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, bat
     return net
 
 
-def best_threshold(logits: np.ndarray, labels: np.ndarray, clean_weight: float, most: float = 1.0) -> float:
-    """The logit of the best F1, a clean row standing for clean_weight rows; halfway between the rows that it parts. No
-    more than the share `most` of all rows is above it: few labels would else let it reject nearly everything."""
-    order = np.argsort(-logits, kind="stable")
-    hit, wrong = np.cumsum(labels[order]), np.cumsum((1 - labels[order]) * clean_weight)
-    f1 = 2 * hit / (hit + wrong + labels.sum())
+def best_threshold(logits: np.ndarray, toxic: np.ndarray, clean: np.ndarray, most: float = 1.0) -> float:
+    """The logit of the best F1, from numbers of toxic and clean rows at each different logit; halfway between those that
+    it parts. No more than the share `most` of all rows is above it: few labels would else let it reject nearly everything."""
+    order = np.argsort(-logits)
+    hit, wrong = np.cumsum(toxic[order]), np.cumsum(clean[order])
+    f1 = 2 * hit / (hit + wrong + hit[-1])
     f1[hit + wrong > max(1.0, most * (hit[-1] + wrong[-1]))] = -1
-    f1[:-1][logits[order][:-1] == logits[order][1:]] = -1  # equal scores can't be parted
     at = int(f1.argmax())
     return float((logits[order[at]] + logits[order[min(at + 1, len(order) - 1)]]) / 2)
 
 
-def share_of_toxic(labels: np.ndarray, clean_weight: float) -> float:
-    return float(labels.sum() / (labels.sum() + (1 - labels).sum() * clean_weight))
+def thresholds(histogram: pd.DataFrame, least_of_language: int = 40) -> dict[int, float]:
+    """From lang, toxic, bin, n: the threshold over all under -1, and one of each language with enough rows of both kinds.
+    Over all no more than 1.5 times the toxic share is above it, in a language no more than 3 times its own."""
+
+    def best(rows: pd.DataFrame, times: float) -> float:
+        table = rows.pivot_table(index="bin", columns="toxic", values="n", aggfunc="sum", fill_value=0).reindex(columns=[0, 1], fill_value=0)
+        toxic, clean = table[1].to_numpy(float), table[0].to_numpy(float)
+        return best_threshold(table.index.to_numpy() / BINS, toxic, clean, times * toxic.sum() / (toxic.sum() + clean.sum()))
 
+    out = {-1: best(histogram, 1.5)}
+    for lang, own in histogram[histogram["lang"] >= 0].groupby("lang"):
+        if min(own.loc[own["toxic"] == k, "n"].sum() for k in (0, 1)) >= least_of_language:
+            out[int(lang)] = best(own, 3.0)
+    return out
 
-def learn(docs: DataFrame, labels: DataFrame, learnable: Column, languages: langid.LanguageFilter, per_class: int = PER_CLASS, least_of_language: int = 40) -> ConvNet | float:
-    """What reaches the driver are word ids of at most 2 x per_class documents."""
+
+def _labelled(labels: DataFrame, learnable: Column) -> DataFrame:
+    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    return known.where(learnable & F.col("toxic").isin(0, 1))
+
+
+def learn(docs: DataFrame, labels: DataFrame, learnable: Column, per_class: int = PER_CLASS, sample_words: int = SAMPLE_WORDS) -> tuple[ConvNet | float, DataFrame | None]:
+    """(the network, or a constant where there are labels of one kind or none; the ids it was trained on). What reaches the driver are word ids: sample_words of them at most."""
     prepare(docs.sparkSession)
-    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(learnable)
+    known = _labelled(labels, learnable)
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (sizes.get(0) and sizes.get(1)):
-        return float(bool(sizes.get(1)))
+        return float(bool(sizes.get(1))), None
     ticket = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 30))
-    below = F.when(F.col("toxic") == 1, int((1 << 30) * min(1, per_class / sizes[1]))).otherwise(int((1 << 30) * min(1, per_class / sizes.get(0))))
-    chosen = known.where(ticket < below).where(F.col("toxic").isin(0, 1))
+    below = F.when(F.col("toxic") == 1, int((1 << 30) * min(1, per_class / sizes[1]))).otherwise(int((1 << 30) * min(1, per_class / sizes[0])))
+    chosen = known.where((ticket < below) & (F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) != 0))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")  # at most about 2 x per_class ids
-    shared = docs.sparkSession.sparkContext.broadcast(languages)
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = batch.column(1).to_pylist()
-            lang, share = shared.value.predict([t or "" for t in held])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array(np.where(share > 0, lang, -1).astype(np.int32)), pa.array([word_ids(t).tobytes() for t in held], pa.binary())], ["doc_id", "toxic", "lang", "ids"])
-
-    sample = rows.mapInArrow(encode, "doc_id long, toxic int, lang int, ids binary").toArrow().to_pandas().sort_values("doc_id", kind="stable")
+            held = [word_ids(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2).cast(pa.int32()), pa.array([len(i) for i in held], pa.int64()), pa.array([i.tobytes() for i in held], pa.binary())], ["doc_id", "toxic", "n", "ids"])
+
+    # An id is one document here, however many rows it has: of its texts the shortest.
+    shortest = rows.mapInArrow(encode, "doc_id long, toxic int, n long, ids binary").groupBy("doc_id").agg(F.min(F.struct("n", "ids", "toxic")).alias("r"))
+    encoded = cut(shortest.select("doc_id", "r.*").withColumn("ticket", ticket))
+    # Whole documents in the order of their tickets, as long as words are left; one that doesn't fit is passed over.
+    taken, left = [], sample_words
+    for r in encoded.select("doc_id", "n").orderBy("ticket", "doc_id").collect():
+        if r["n"] <= left:
+            taken, left = [*taken, r["doc_id"]], left - r["n"]
+    spark = docs.sparkSession
+    fits = encoded if len(taken) == encoded.count() else encoded.join(F.broadcast(spark.createDataFrame([(i,) for i in set(taken)], "doc_id long")), "doc_id", "left_semi")
+    sample = fits.toArrow().to_pandas().sort_values("doc_id", kind="stable")
     ids, toxic = [np.frombuffer(b, np.uint32) for b in sample["ids"]], sample["toxic"].to_numpy()
     if not 0 < toxic.sum() < len(toxic):
-        return sizes[1] / (sizes[0] + sizes[1])
-    aside = np.arange(len(ids)) % 4 == 0
-    if not (0 < toxic[~aside].sum() < (~aside).sum() and 0 < toxic[aside].sum() < aside.sum()):
-        aside = np.zeros(len(ids), bool)
-    net = train([ids[i] for i in np.flatnonzero(~aside)], toxic[~aside])
-    at = np.flatnonzero(aside if aside.any() else ~aside)
-    logits, lang = net.logits(ids[i] for i in at), sample["lang"].to_numpy()[at]
-    clean_weight = (sizes[0] / max(1, (toxic == 0).sum())) / (sizes[1] / max(1, (toxic == 1).sum()))
-    most = 1.5 * sizes[1] / (sizes[0] + sizes[1])
-    net.thresholds[-1] = best_threshold(logits, toxic[at], clean_weight, most)
-    for number in range(len(languages.languages)):
-        own = lang == number
-        if min(toxic[at][own].sum(), (1 - toxic[at][own]).sum()) >= least_of_language:
-            net.thresholds[number] = best_threshold(logits[own], toxic[at][own], clean_weight, 3 * share_of_toxic(toxic[at][own], clean_weight))
-    return net
+        return sizes[1] / (sizes[0] + sizes[1]), None
+    trained = F.broadcast(spark.createDataFrame([(i,) for i in set(sample["doc_id"].tolist())], "trained long"))
+    return train(ids, toxic), trained
 
 
 def scorer(net: ConvNet | float, languages: langid.LanguageFilter):
-    def score(texts: list[str | None]) -> np.ndarray:
-        if isinstance(net, float):
-            return np.full(len(texts), net)
+    """A function from texts to (number of the language that each looks like, -1 for none, and logit)."""
+
+    def score(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         lang, share = languages.predict([t or "" for t in texts])
-        moved = np.array([net.thresholds.get(int(n), net.thresholds[-1]) if s > 0 else net.thresholds[-1] for n, s in zip(lang, share, strict=True)])
-        return 1 / (1 + np.exp(-np.clip(net.logits(map(word_ids, texts)) - moved, -60, 60)))
+        return np.where(share > 0, lang, -1).astype(np.int32), np.clip(net.logits(map(word_ids, texts)), -LIMIT, LIMIT)
 
     return score
 
 
-def fit(docs: DataFrame, labels: DataFrame, learnable: Column):
-    """A function from texts to scores, as a broadcast variable: the model has a fixed size."""
+@dataclass
+class Model:
+    """What fit() learns, of a fixed size. With labels of one kind or none there is no network, only a constant."""
+
+    network: object  # broadcast (ConvNet, LanguageFilter)
+    constant: float | None
+    thresholds: dict[int, float]
+
+    def logits(self, docs: DataFrame) -> DataFrame:
+        """doc_id, t1, t2 (a hash of the text), lang, logit for each row; texts are read once."""
+        prepare(docs.sparkSession)
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *text_hash(), F.col("text").cast("string").alias("text"))
+        if self.constant is not None:
+            return rows.select("doc_id", "t1", "t2", F.lit(-1).alias("lang"), F.lit(0.0).alias("logit"))
+        network = self.network
+
+        def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rate = scorer(*network.value)
+            for batch in batches:
+                lang, logit = rate(batch.column(3).to_pylist())
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(lang), pa.array(logit)], ["doc_id", "t1", "t2", "lang", "logit"])
+
+        return rows.mapInArrow(score, "doc_id long, t1 long, t2 long, lang int, logit double")
+
+    def score(self) -> Column:
+        """The score of a row of logits()."""
+        if self.constant is not None:
+            return F.lit(self.constant)
+        moved = F.lit(self.thresholds[-1])
+        for lang, threshold in sorted(self.thresholds.items()):
+            moved = F.when(F.col("lang") == lang, threshold).otherwise(moved)
+        return 1 / (1 + F.exp(moved - F.col("logit")))
+
+
+def fit(docs: DataFrame, labels: DataFrame, learnable: Column) -> tuple[Model, DataFrame]:
+    """(model, the logits of docs, written down). Networks learn from a bounded sample, thresholds from all labelled
+    documents that it leaves."""
     languages = langid.learn(docs, learnable)
-    return docs.sparkSession.sparkContext.broadcast((learn(docs, labels, learnable, languages), languages))
-
+    net, trained = learn(docs, labels, learnable)
+    spark = docs.sparkSession
+    if isinstance(net, float):
+        model = Model(None, net, {})
+        return model, model.logits(docs)
+    model = Model(spark.sparkContext.broadcast((net, languages)), None, {-1: 0.0})
+    points = cut(model.logits(docs))
 
-def scores(docs: DataFrame, model) -> DataFrame:
-    """doc_id, score, predicted for each row."""
-    prepare(docs.sparkSession)
-
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rate = scorer(*model.value)
-        for batch in batches:
-            made = rate(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made), pa.array((made >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
+    def counted(known: DataFrame) -> pd.DataFrame:
+        binned = points.join(known, "doc_id").groupBy("lang", "toxic", F.rint(F.col("logit") * BINS).cast("int").alias("bin"))
+        return binned.agg(F.count("*").alias("n")).toPandas()
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(score, "doc_id long, score double, predicted int")
+    known = _labelled(labels, learnable)
+    histogram = counted(known.join(trained, known.doc_id == trained.trained, "left_anti"))
+    if set(histogram["toxic"]) != {0, 1}:  # too few labels for both
+        histogram = counted(known)
+    model.thresholds = thresholds(histogram)
+    return model, points
 
 
-def without_toxic(docs: DataFrame, model) -> DataFrame:
-    """The rows of docs that the model does not reject, unchanged."""
-    prepare(docs.sparkSession)
+def scores(points: DataFrame, model: Model) -> DataFrame:
+    """doc_id, score, predicted for each row of logits()."""
+    scored = points.withColumn("score", model.score())
+    return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
-    @F.pandas_udf("boolean")
-    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        rate = scorer(*model.value)
-        for texts in parts:
-            yield pd.Series(rate([t if isinstance(t, str) else None for t in texts]) < 0.5)
 
-    return docs.where(clean(F.col("text").cast("string")))
+def without_toxic(docs: DataFrame, points: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known
+    by their texts' hashes; they are the fewer, and the others needn't move if these fit a broadcast."""
+    bad = points.where(model.score() >= 0.5).select("t1", "t2").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), *text_hash())
+    return rows.join(bad, ["t1", "t2"], "left_anti").select("row.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    out = scores(docs, fit(docs, labels, crc_mod5() != 0))
-    return out.select("doc_id", (crc_mod5() == 0).alias("held_out"), "score", "predicted")
+    model, points = fit(docs, labels, crc_mod5() != 0)
+    return scores(points, model).select("doc_id", (crc_mod5() == 0).alias("held_out"), "score", "predicted")
