@@ -1,11 +1,12 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions alone.
 
 Candidates are found in every whole text; the hash of each candidate's value is then counted over distinct
-repositories and owners. A value that many owners hold is a copied example; one that few hold and that looks random is
-a live credential. The frequencies also bring in spans that no pattern names: bare random-looking tokens, if they belong
+repositories and owners. A value that many owners hold, or many repositories of more than one owner, is a copied example;
+one that few hold and that looks random is a live credential, in however many repositories of its owner. The frequencies also bring in spans that no pattern names: bare random-looking tokens, if they belong
 to few owners and lie outside the base spans.
 
-Null text is the empty text. A null repository or owner counts as one of its own. Repeated rows each keep their own
+Null text is the empty text. A null repository or owner counts as one of its own, apart
+from an empty one. Repeated rows each keep their own
 result; rows are told apart by a row number that is written down once. Columns beside the four named ones are ignored.
 Positions are in code points, ends exclusive.
 """
@@ -63,13 +64,13 @@ def looks_random(value: Column) -> Column:
 def ownership(spans: DataFrame) -> DataFrame:
     """How many repositories and owners hold each value. The first grouping leaves one row for each holder and value,
     summed before the shuffle, so that a value in a third of all rows is as small as any other."""
-    holder = spans.groupBy(F.sha2("value", 256).alias("value_hash"), F.coalesce("repo", F.lit("")).alias("repo"), F.coalesce("owner", F.lit("")).alias("owner")).agg(F.count("*").alias("n"))
+    holder = spans.groupBy(F.sha2("value", 256).alias("value_hash"), F.struct("repo").alias("repo"), F.struct("owner").alias("owner")).agg(F.count("*").alias("n"))
     return holder.groupBy("value_hash").agg(F.count_distinct("repo").alias("n_repos"), F.count_distinct("owner").alias("n_owners"), F.sum("n").alias("n_seen"))
 
 
-def scan(docs: DataFrame, repo: str = "source", owner: str = "source", example_owners: int = 4, bare_owners: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans), where each span carries its ownership and a verdict: `example` from `example_owners` owners on,
-    else `live` if it looks random, else `weak`. Bare tokens stay only if they look random, have at most `bare_owners`
+def scan(docs: DataFrame, repo: str = "source", owner: str = "source", example_owners: int = 4, example_repos: int = 10, bare_owners: int = 2) -> tuple[DataFrame, DataFrame]:
+    """(rows, spans), where each span carries its ownership and a verdict: `example` from `example_owners` owners on, or
+    from `example_repos` repositories on if they aren't one owner's, else `live` if it looks random, else `weak`. Bare tokens stay only if they look random, have at most `bare_owners`
     owners and overlap no base span of their row."""
     rows, spans = candidates(docs, repo, owner)
     # Of the bare tokens, those that can't be credentials go before anything is counted.
@@ -80,7 +81,8 @@ def scan(docs: DataFrame, repo: str = "source", owner: str = "source", example_o
     covered = (F.coalesce(F.max(F.when(base, F.col("end"))).over(earlier), F.lit(-1)) > F.col("start")) | (F.coalesce(F.min(F.when(base, F.col("start"))).over(later), F.lit(2**40)) < F.col("end"))
     spans = cut(spans.withColumn("covered", covered).where(base | ~F.col("covered")).drop("covered").withColumn("value_hash", F.sha2("value", 256)))
     known = spans.join(ownership(spans), "value_hash", "left")
-    verdict = F.when(F.col("n_owners") >= example_owners, "example").when(looks_random(F.col("value")), "live").otherwise("weak")
+    copied = (F.col("n_owners") >= example_owners) | ((F.col("n_repos") >= example_repos) & (F.col("n_owners") > 1))
+    verdict = F.when(copied, "example").when(looks_random(F.col("value")), "live").otherwise("weak")
     name = F.element_at(F.lit(list(KINDS)), F.col("kind") + 1)
     return rows, known.where(base | (F.col("n_owners") <= bare_owners)).withColumn("verdict", verdict).withColumn("kind_name", name)
 

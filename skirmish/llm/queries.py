@@ -69,10 +69,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _secrets_sql() -> str:
     """Positions come from what lies between the matches, as in the operator; everything else is its own."""
-    kinds = ", ".join(f"({i}, '{kind}', {len(pattern)}, '{pattern.replace(chr(39), chr(39) * 2)}', {group}, {least})" for i, (kind, (pattern, group, least)) in enumerate(credentials.KINDS.items()))
+    kinds = r"""(0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+                (1, 'access', 'AKIA[A-Z0-9]+', 20), (2, 'hex', '[0-9a-f]+', 24), (3, 'bare', '[A-Za-z0-9+_-]+', 20)"""
     return f"""
-        WITH kinds(k, name, plen, pattern, grp, least) AS (VALUES {kinds}),
-        docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner FROM documents),
+        WITH kinds(k, name, pattern, least) AS (VALUES {kinds}),
+        docs AS (SELECT row_number() OVER () AS rn, doc_id, coalesce(text, '') AS t, CASE WHEN source IS NULL THEN 'none' ELSE 'is ' || source END AS owner FROM documents),
         found AS (
             SELECT rn, doc_id, owner, k, name, pattern, least, regexp_extract_all(t, pattern) AS matches, string_split_regex(t, pattern) AS gaps
             FROM docs CROSS JOIN kinds WHERE regexp_matches(t, pattern)
@@ -95,9 +96,9 @@ def _secrets_sql() -> str:
             SELECT * FROM judged j WHERE k < 3 OR random AND NOT EXISTS (
                 SELECT 1 FROM judged b WHERE b.rn = j.rn AND b.k < 3 AND b.s < j.e AND b.e > j.s)
         ),
-        owners AS (SELECT value, count(DISTINCT owner) AS n_owners FROM spans GROUP BY value),
+        owners AS (SELECT value, count(DISTINCT owner) AS n_owners, count(DISTINCT owner) AS n_repos FROM spans GROUP BY value),
         known AS (
-            SELECT s.*, CASE WHEN n_owners >= 4 THEN 'example' WHEN random THEN 'live' ELSE 'weak' END AS verdict,
+            SELECT s.*, CASE WHEN n_owners >= 4 OR n_repos >= 10 AND n_owners > 1 THEN 'example' WHEN random THEN 'live' ELSE 'weak' END AS verdict,
                    name || ':' || s.s || ':' || s.e AS said
             FROM spans s JOIN owners o ON s.value = o.value WHERE k < 3 OR n_owners <= 2
         ),

@@ -44,6 +44,35 @@ def test_ownership_parts_examples_from_live_ones(spark):
     assert not any(kind == "bare" for _, kind in got), "a bare token with five owners is no credential"
 
 
+def test_repositories_and_empty_owners_count(spark):
+    """One owner's value in many repositories is live; of two owners it is an example. Null, '' and a name are three."""
+    own = [(i, f"password={HEX}", f"repo{i}", "ann") for i in range(12)]
+    two = [(50 + i, f"token={HEX[::-1]}", f"repo{i}", "ann" if i else "bob") for i in range(12)]
+    few = [(80 + i, f"secret=q{HEX}7", repo, owner) for i, (repo, owner) in enumerate([(None, None), ("", ""), ("a", "a"), (None, None), ("", "")])]
+    df = spark.createDataFrame(own + two + few, "doc_id long, text string, repo string, owner string")
+    _, spans = scan(df, "repo", "owner")
+    got = {r["doc_id"]: (r["verdict"], r["n_repos"], r["n_owners"], r["n_seen"]) for r in spans.where("kind_name = 'assign'").collect()}
+    assert got[0][:3] == ("live", 12, 1) and got[50][:3] == ("example", 12, 2) and got[80] == ("live", 3, 3, 5)
+    assert {r[0] for d, r in got.items() if d >= 50 and d < 80} == {"example"}
+
+
+def test_planted_owners_against_sql(spark):
+    """Copied and owner-specific values in the documents, by the query's SQL."""
+    import duckdb
+
+    from skirmish.llm.queries import ORACLE_SQL
+
+    texts = [f"password={HEX} x", f"see {BARE} end", f"token = '{KEY}'", "api_key: short12 secret=zzzzzz", f"{HEX} {BARE}{BARE}", None, "", BARE]
+    rows = [(i, texts[i % len(texts)], None, [None, "", "a", "b", "c"][(i // 8) % (1 + i % 5)], 0) for i in range(160)] + [(500, f"mine {BARE[::-1]} only", None, "c", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    got = digest(docs)
+    want = con.sql(f"SELECT {', '.join(got.columns)} FROM ({ORACLE_SQL['op3_secrets']})").fetchall()
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
+    assert {r["n_example"] for r in got.collect()} >= {0, 1} and any("bare" in r["spans"] for r in got.collect())
+
+
 def test_repeated_rows_and_nulls(spark):
     rows = [(1, f"token={HEX}", None, None, 0)] * 3 + [(None, f"token={HEX}", None, None, 0)]
     got = digest(spark.createDataFrame(rows, DOCS)).collect()
