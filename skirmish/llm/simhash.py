@@ -445,8 +445,8 @@ def representatives(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: flo
     # All columns travel as one, so that none can clash.
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_hash())
     same = lambda k: (rows.t1 == k.t1) & (rows.t2 == k.t2) & rows.doc_id.eqNullSafe(k.doc_id)
-    # Those that go or repeat are the fewer; the others' texts needn't move if these fit a broadcast.
-    other, several = keys.where("not stays or n > 1"), keys.where("stays and n > 1")
+    # Those that go or repeat are the fewer; as tables of known size they are broadcast if they fit, and no text moves.
+    other, several = cut(keys.where("not stays or n > 1")), cut(keys.where("stays and n > 1"))
     once = rows.join(other, same(other), "left_anti")
     again = rows.join(several, same(several), "left_semi").dropDuplicates(["doc_id", "t1", "t2"])
     return once.select("row.*").unionAll(again.select("row.*"))

@@ -325,8 +325,9 @@ def scores(points: DataFrame, model: Model) -> DataFrame:
 
 def without_toxic(docs: DataFrame, points: DataFrame, model: Model) -> DataFrame:
     """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known
-    by their texts' hashes; they are the fewer, and the others needn't move if these fit a broadcast."""
-    bad = points.where(model.score() >= 0.5).select("t1", "t2").distinct()
+    by their texts' hashes; they are the fewer, and as a table of known size they are broadcast if they fit, so that no
+    text moves."""
+    bad = cut(points.where(model.score() >= 0.5).select("t1", "t2").distinct())
     rows = docs.select(F.struct(*docs.columns).alias("row"), *text_hash())
     return rows.join(bad, ["t1", "t2"], "left_anti").select("row.*")
 
