@@ -14,6 +14,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -37,6 +38,10 @@ def _byte_symbols() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: The vocabulary's own pre-tokenizer, for lower-case ASCII.
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+
+
 class CachedTokenizer:
     """Token ids of whole texts, equal to the tokenizer's own, through a bounded cache of blank-separated chunks.
 
@@ -48,7 +53,7 @@ class CachedTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.symbols = [_byte_symbols()[b] for b in range(256)]
+        self.symbols = {b: c for b, c in _byte_symbols().items() if chr(b) != c}
         self.limit = limit
         outer = self
 
@@ -56,7 +61,7 @@ class CachedTokenizer:
             def __missing__(self, chunk: str) -> bytes:
                 if len(self) >= outer.limit:
                     self.clear()
-                out = self[chunk] = outer.chunk(chunk)
+                out = self[chunk] = outer.ascii_chunk(chunk) if chunk.isascii() and len(chunk) <= 64 else outer.chunk(chunk)
                 return out
 
         self.cache = Cache()
@@ -68,8 +73,9 @@ class CachedTokenizer:
             return word.lower() if word.isalpha() else None
         if not word.isalpha():
             return None
-        norm = self.tokenizer.normalizer.normalize_str(word)
-        return "".join(map(self.symbols.__getitem__, norm.encode())) if norm.isalpha() else None
+        # Below U+0250 all letters but one are composed already and have a lower case of one letter.
+        norm = word.lower() if max(word) < "\u0250" and "\u0130" not in word else self.tokenizer.normalizer.normalize_str(word)
+        return norm.encode().decode("latin-1").translate(self.symbols) if norm.isalpha() else None
 
     def word(self, word: str) -> bytes:
         """Ids of a chunk, packed as little-endian unsigned 32-bit numbers."""
@@ -77,14 +83,28 @@ class CachedTokenizer:
         ids = [t.id for t in self.model.tokenize(read)] if read else self.tokenizer.encode(word, add_special_tokens=False).ids
         return b"".join([i.to_bytes(4, "little") for i in ids])
 
+    def ascii_chunk(self, chunk: str) -> bytes:
+        """The same for ASCII, where letters, digits and all else are plain to see; capitals share an entry, and so do
+        the letters and the punctuation of a chunk."""
+        low = chunk.lower()
+        if low.isalpha():
+            if low != chunk:
+                return self.cache[low]
+            return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(low)])
+        core = low.rstrip(".,;:!?")
+        if core.isalpha():
+            return self.cache[core] + self.cache[low[len(core) :]]
+        if "<|" in chunk or not chunk.isprintable():  # perhaps a special token, or bytes with stand-ins
+            return self.word(chunk)
+        return b"".join([t.id.to_bytes(4, "little") for part in _PARTS.findall(low) for t in self.model.tokenize(part)])
+
     def chunk(self, chunk: str) -> bytes:
         if len(chunk) > 64:
             return self.word(chunk)
         core = chunk.rstrip(".,;:!?")
-        if core is not chunk and core and (read := self.letters(core)):
-            return self.cache[read if core.isascii() else core] + self.cache[chunk[len(core) :]]
-        if chunk.isascii() and chunk.isalpha() and (low := chunk.lower()) != chunk:
-            return self.cache[low]
+        if read := self.letters(core):
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(read)])
+            return ids + self.cache[chunk[len(core) :]] if core != chunk else ids
         return self.word(chunk)
 
     def ids(self, text: str | None) -> bytes:
