@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -40,71 +41,89 @@ def _byte_symbols() -> dict[int, str]:
 
 #: The vocabulary's own pre-tokenizer, for lower-case ASCII.
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
+#: Letters that are composed already and have a lower case of one letter: all below U+0250 but one.
+_COMPOSED = re.compile("[^\u0130\u0250-\U0010ffff]+")
 
 
 class CachedTokenizer:
     """Token ids of whole texts, equal to the tokenizer's own, through a bounded cache of blank-separated chunks.
 
     The vocabulary's pre-tokenizer never joins what a blank separates, so a text's ids are those of its chunks in
-    turn. A chunk of letters with punctuation behind it is the letters' ids and then the punctuation's."""
+    turn. A chunk of letters with punctuation behind it is the letters' ids and then the punctuation's. The cache has two
+    generations of at most `limit` chunks: a full one becomes the old one, and what is asked for again comes back from it, so
+    that frequent chunks stay."""
 
     def __init__(self, path: str, limit: int = 300_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.symbols = {b: c for b, c in _byte_symbols().items() if chr(b) != c}
+        self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.limit = limit
+        self.old: dict[str, bytes] = {}
+        stand_in = _byte_symbols()
         outer = self
 
+        class Symbols(dict):
+            """For each letter the stand-ins of its bytes."""
+
+            def __missing__(self, code: int) -> str:
+                out = self[code] = "".join(map(stand_in.__getitem__, chr(code).encode()))
+                return out
+
         class Cache(dict):
             def __missing__(self, chunk: str) -> bytes:
+                out = outer.old.get(chunk)
+                if out is None:
+                    out = outer.ascii_chunk(chunk) if chunk.isascii() and len(chunk) <= 64 else outer.chunk(chunk)
                 if len(self) >= outer.limit:
+                    outer.old = dict(self)
                     self.clear()
-                out = self[chunk] = outer.ascii_chunk(chunk) if chunk.isascii() and len(chunk) <= 64 else outer.chunk(chunk)
+                self[chunk] = out
                 return out
 
-        self.cache = Cache()
+        self.symbols, self.cache = Symbols(), Cache()
+
+    def read(self, letters: str) -> bytes:
+        """Ids of one pre-tokenised part, packed as little-endian unsigned 32-bit numbers."""
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(letters)])
 
     def letters(self, word: str) -> str | None:
         """The word as the model reads it, if normalisation leaves letters alone: a letter may come apart into a letter and
         a mark, and marks form chunks with punctuation."""
-        if word.isascii():
-            return word.lower() if word.isalpha() else None
         if not word.isalpha():
             return None
-        # Below U+0250 all letters but one are composed already and have a lower case of one letter.
-        norm = word.lower() if max(word) < "\u0250" and "\u0130" not in word else self.tokenizer.normalizer.normalize_str(word)
-        return norm.encode().decode("latin-1").translate(self.symbols) if norm.isalpha() else None
+        if word.isascii():
+            return word.lower()
+        norm = word.lower() if _COMPOSED.fullmatch(word) else self.tokenizer.normalizer.normalize_str(word)
+        return norm.translate(self.symbols) if norm.isalpha() else None
 
     def word(self, word: str) -> bytes:
-        """Ids of a chunk, packed as little-endian unsigned 32-bit numbers."""
-        read = self.letters(word)
-        ids = [t.id for t in self.model.tokenize(read)] if read else self.tokenizer.encode(word, add_special_tokens=False).ids
-        return b"".join([i.to_bytes(4, "little") for i in ids])
+        """Ids of any chunk."""
+        if read := self.letters(word):
+            return self.read(read)
+        return b"".join([self.packed[i] for i in self.tokenizer.encode(word, add_special_tokens=False).ids])
 
     def ascii_chunk(self, chunk: str) -> bytes:
         """The same for ASCII, where letters, digits and all else are plain to see; capitals share an entry, and so do
         the letters and the punctuation of a chunk."""
         low = chunk.lower()
         if low.isalpha():
-            if low != chunk:
-                return self.cache[low]
-            return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(low)])
-        core = low.rstrip(".,;:!?")
+            return self.cache[low] if low != chunk else self.read(low)
+        core = low.rstrip(string.punctuation)
         if core.isalpha():
             return self.cache[core] + self.cache[low[len(core) :]]
         if "<|" in chunk or not chunk.isprintable():  # perhaps a special token, or bytes with stand-ins
             return self.word(chunk)
-        return b"".join([t.id.to_bytes(4, "little") for part in _PARTS.findall(low) for t in self.model.tokenize(part)])
+        return b"".join(map(self.read, _PARTS.findall(low)))
 
     def chunk(self, chunk: str) -> bytes:
         if len(chunk) > 64:
             return self.word(chunk)
-        core = chunk.rstrip(".,;:!?")
+        core = chunk.rstrip(string.punctuation)
         if read := self.letters(core):
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(read)])
-            return ids + self.cache[chunk[len(core) :]] if core != chunk else ids
+            return self.read(read) + self.cache[chunk[len(core) :]] if core != chunk else self.read(read)
         return self.word(chunk)
 
     def ids(self, text: str | None) -> bytes:

@@ -37,7 +37,7 @@ def test_ids_of_any_text(tokenizer, cached, text):
     assert np.frombuffer(cached.ids(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("mark", ".!,")
+@pytest.mark.parametrize("mark", [".", "!", ",", "&&&", "_", "'s"])
 def test_ids_of_every_letter_before_punctuation(tokenizer, mark):
     """Normalisation takes some letters apart; their marks then belong to the punctuation."""
     cached = CachedTokenizer(PATH)
