@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import credentials, decontamination, embeddings, langid, line_dedup, lm, packing, simhash, token_counts, toxicity
+from skirmish.llm import credentials, decontamination, embeddings, infilling, langid, line_dedup, lm, packing, simhash, token_counts, toxicity, whitening
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -54,6 +54,14 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
 
 
+def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infilling.digest(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_packing": op2_packing,
@@ -65,6 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontamination": op9_decontamination,
     "op10_embeddings": op10_embeddings,
+    "op11_infilling": op11_infilling,
+    "op13_whitening": op13_whitening,
 }
 
 def _secrets_sql() -> str:
@@ -153,4 +163,24 @@ ORACLE_SQL: dict[str, str] = {
         SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(least.y, vec_id)) AS component_id,
                least(vec_id, coalesce(least.y, vec_id)) = vec_id AS kept
         FROM embeddings LEFT JOIN links ON links.x = vec_id LEFT JOIN least ON least.x = vec_id""",
+    "op11_infilling": r"""
+        WITH cut AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+                   sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS drawn FROM documents
+        ),
+        h AS (
+            SELECT doc_id, t, units, len(units) AS n, CAST('0x' || drawn[1:8] AS BIGINT) AS h1, CAST('0x' || drawn[9:16] AS BIGINT) AS h2,
+                   CAST('0x' || drawn[17:24] AS BIGINT) AS h3, CAST('0x' || drawn[25:32] AS BIGINT) AS h4 FROM cut
+        ),
+        parts AS (
+            SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                   array_to_string(units[1:a], '') AS p, array_to_string(units[a + 1:b], '') AS m, array_to_string(units[b + 1:], '') AS s,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                        WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+        )
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM parts""",
 }
