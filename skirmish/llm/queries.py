@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skirmish.llm import credentials, decontamination, embeddings, infilling, langid, line_dedup, lm, packing, simhash, token_counts, toxicity, whitening
+from skirmish.llm import credentials, decontamination, embeddings, infilling, langid, line_dedup, lm, packing, privacy, simhash, token_counts, toxicity, whitening
 from skirmish.llm.common import read
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -58,6 +58,10 @@ def op11_infilling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infilling.digest(read(spark, sf_dir, "documents"))
 
 
+def op12_privacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.find(read(spark, sf_dir, "documents"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_embeddings": op10_embeddings,
     "op11_infilling": op11_infilling,
+    "op12_privacy": op12_privacy,
     "op13_whitening": op13_whitening,
 }
 
