@@ -2,8 +2,8 @@
 
 Entries become whole numbers, x = floor(64 c) + 1,000,000. The fit list is every different x vector once. One aggregation
 of generated SQL sums the columns exactly; a second one, over columns centred by those sums, sums the product of every
-pair of dimensions, the upper triangle of the covariance, in as many buffers as there are pairs. Partial sums are taken where
-the rows lie, so what travels and what the driver sees are d (d + 1) / 2 numbers a task, however many rows there are.
+pair of dimensions: the upper triangle of the covariance, in blocks of 8 x 8. Partial sums are taken where the rows lie, so what
+travels and what the driver sees are about d * d / 2 numbers a task, however many rows there are.
 LAPACK decomposes the covariance; rows are then projected where they lie. The whitened covariance is measured by the
 same aggregation over the whitened fit list.
 
@@ -29,6 +29,8 @@ from skirmish.llm.common import cut, prepare
 
 SCALE, SHIFT, COMPONENTS = 64, 1_000_000, 16
 LARGEST = float(1 << 46)
+#: Columns of a block: an aggregation of 8 x 8 sums is one that Spark compiles whole.
+BLOCK = 8
 OUT = "vec_id long, component int, n long, deviation long, whitened double, explained double, identity_error double"
 
 
@@ -46,16 +48,20 @@ def column_sums(rows: DataFrame, columns: list[str]) -> list:
 
 
 def covariance(rows: DataFrame, centred: list[str], n: int) -> np.ndarray:
-    """Covariance with divisor n of columns given as SQL that is centred already: every pair of them, the upper triangle,
-    in one aggregation."""
-    names = [f"c{i}" for i in range(len(centred))]
-    held = rows.selectExpr(*[f"{e} AS {c}" for e, c in zip(centred, names, strict=True)])
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    sums = held.selectExpr(*[f"sum({names[i]} * {names[j]}) AS p{k}" for k, (i, j) in enumerate(pairs)]).first()
-    out = np.zeros((len(names), len(names)))
-    for (i, j), value in zip(pairs, sums, strict=True):
-        out[i, j] = out[j, i] = value / n
-    return out
+    """Covariance with divisor n of columns given as SQL that is centred already, in one aggregation: every row goes once for
+    each pair of blocks of columns in the upper triangle, and of each pair of blocks all products are summed. Columns are
+    filled up with zeros to whole blocks."""
+    blocks = -(-len(centred) // BLOCK)
+    filled = [*centred, *["0D"] * (blocks * BLOCK - len(centred))]
+    at = ", ".join(f"named_struct('i', {i * BLOCK}, 'j', {j * BLOCK})" for i in range(blocks) for j in range(i, blocks))
+    dealt = rows.selectExpr(f"array({', '.join(filled)}) AS c").selectExpr("c", f"explode(array({at})) AS at")
+    sides = dealt.selectExpr("at.i", "at.j", *[f"coalesce(c[at.{s} + {k}], 0D) AS {s}{k}" for s in "ij" for k in range(BLOCK)])
+    sums = sides.groupBy("i", "j").agg(*[F.expr(f"sum(i{k} * j{m})").alias(f"p{k * BLOCK + m}") for k in range(BLOCK) for m in range(BLOCK)])
+    out = np.zeros((len(filled), len(filled)))
+    for i, j, *products in sums.collect():
+        out[i : i + BLOCK, j : j + BLOCK] = np.array(products).reshape(BLOCK, BLOCK) / n
+    upper = np.triu(out)[: len(centred), : len(centred)]
+    return upper + np.triu(upper, 1).T
 
 
 @dataclass
