@@ -37,8 +37,8 @@ def weather_factor(weather: Column, move_type: Column) -> Column:
 
 
 def is_critical(bonus: Column, u_crit: Column) -> Column:
-    """Stages 0 to 3 have chances 1/24, 1/8, 1/2 and 1; a stage that is none of them never hits."""
-    level = F.least(F.coalesce(bonus, F.lit(0.0)), F.lit(3.0))
+    """Stages 0 to 3 have chances 1/24, 1/8, 1/2 and 1; a stage that is none of them, or no number, never hits."""
+    level = F.when(~F.isnan(F.coalesce(bonus, F.lit(0.0))), F.least(F.coalesce(bonus, F.lit(0.0)), F.lit(3.0)))
     chance = F.when(level == 0, 1 / 24).when(level == 1, 1 / 8).when(level == 2, 1 / 2).when(level == 3, 1.0)
     return F.coalesce(u_crit < chance, F.lit(False))
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.functions.damage import simple_damage
 from skirmish.functions.display import ATTACKED, BROKE_FREE, CAUGHT, DEFEATED, ESCAPED, FAINTED, HIT_BACK, NO_BALLS, said, shown
+from skirmish.operators.scans import Counter, ordered, scan
+from skirmish.sources.dims import STARTER
 
+# The powers of both sides, and the keys that run away.
 ATTACK_POWER, RETALIATION_POWER = 40.0, 35.0
 FLEE = ("Digit3", "Escape", "KeyX")
 
@@ -23,6 +26,13 @@ def captured(balls: Column, hp: Column, max_hp: Column, u: Column) -> Column:
     return F.struct(F.when(none, balls).otherwise(balls - 1).alias("balls"), result.alias("result"))
 
 
+def throws(rows: DataFrame, key: str, order: list[str], hp: str, max_hp: str, u: str, stock: int = STARTER["balls"]) -> DataFrame:
+    """Throws in a row from one stock a key: each with the balls before and after it and its result. The stock falls to
+    0 and no further; from there on throws are refused, whatever the draw."""
+    counted = scan(ordered(rows.withColumn("_throw", F.lit(-1)), [key], order), Counter("balls", "_throw", stock, low=0)).result()
+    return counted.withColumn("result", captured(F.col("balls_before"), F.col(hp), F.col(max_hp), F.col(u))["result"]).drop("_throw")
+
+
 def turn(code: Column, hero: dict[str, Column], wild: dict[str, Column], u_hit: Column, u_back: Column, u_catch: Column) -> Column:
     """struct(hero_hp, wild_hp, balls, outcome, exp, message): one key in a battle.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from skirmish.functions.damage import uniform_int
 from skirmish.sources.dims import ENCOUNTER_COLUMNS, ENCOUNTERS
 
-ENCOUNTER_CHANCE = 0.12
+ENCOUNTER_CHANCE = 0.12  # fixed value
 
 
 def begins(tile: Column, u: Column) -> Column:

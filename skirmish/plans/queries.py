@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from skirmish.functions import damage, display
 from skirmish.functions.effectiveness import effectiveness, effectiveness_by_join
-from skirmish.operators import battle, encounters, movement, progression
+from skirmish.operators import battle, draws, encounters, frames, movement, progression
 from skirmish.sources import dims
-from skirmish.sources.derive import BATTLE, SESSION, derived, draw, pick, sql
-from skirmish.streaming.session import run_batch
+from skirmish.sources.derive import BATTLE, KEYS, SESSION, derived, draw, pick, sql
+from skirmish.streaming.session import fresh, run_batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -53,7 +53,6 @@ CHART_ROWS = """
     ('Fairy', 'Fire', 0.5), ('Fairy', 'Fighting', 2.0), ('Fairy', 'Poison', 0.5), ('Fairy', 'Dragon', 2.0), ('Fairy', 'Dark', 2.0), ('Fairy', 'Steel', 0.5)
 """
 CHART = f"chart(atk, def, mult) AS (SELECT a, d, CAST(m AS DOUBLE) FROM (VALUES {CHART_ROWS}) v(a, d, m))"
-TYPE_ROWS = "types(ord, type) AS (VALUES " + ", ".join(f"({i}, '{t}')" for i, t in enumerate(dims.TYPES)) + ")"
 WILD_ROWS = "wild_rows(ord, species, low, high, below, hp, atk, def, kind) AS (VALUES (0, 'Pidgey', 2, 4, 55, 18, 10, 10, 'Normal'), (1, 'Rattata', 2, 4, 90, 16, 11, 8, 'Normal'), (2, 'Pikachu', 3, 5, 100, 17, 12, 8, 'Electric'))"
 B = f"b AS ({sql(BATTLE)})"
 S = f"s AS ({sql(SESSION)})"
@@ -87,6 +86,15 @@ WALK = "CASE (event_id * 7) % 5 {arms} END"
 DX, DY = (WALK.format(arms=" ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(vs))) for vs in ([1, 0, -1, 0, 1], [0, 1, 0, -1, 0]))
 PLACE = "CAST(event_id % 28 + 1 AS INT)", "CAST(event_id * 3 % 18 + 1 AS INT)"
 HP = "CAST(event_id % 21 AS DOUBLE)"
+GAIN, HIT = f"CASE event_id % 4 WHEN 0 THEN {AMOUNT} ELSE 0 END", "CASE event_id % 4 WHEN 0 THEN 0 ELSE 2 + event_id % 5 END"
+# Every move of every walk, one by one.
+WALK_STEPS = f"""m AS (SELECT *, {DX} AS dx, {DY} AS dy, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+   w(user_id, event_id, i, x, y, steps, moved) AS (
+     SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), 3, 3, CAST(0 AS BIGINT), false FROM m UNION ALL
+     SELECT w.user_id, m.event_id, m.i, CAST(least(greatest(w.x + dx, 1), 28) AS INT), CAST(least(greatest(w.y + dy, 1), 18) AS INT),
+            w.steps + CASE WHEN w.x + dx BETWEEN 1 AND 28 AND w.y + dy BETWEEN 1 AND 18 THEN 1 ELSE 0 END, w.x + dx BETWEEN 1 AND 28 AND w.y + dy BETWEEN 1 AND 18
+     FROM w JOIN m ON m.user_id = w.user_id AND m.i = w.i + 1),
+   path AS (SELECT *, {TILE.format(x="x", y="y")} AS tile FROM w WHERE i > 0)"""
 
 
 def _types(first: str, second: str) -> Column:
@@ -127,16 +135,25 @@ def _damages(battles: DataFrame) -> DataFrame:
 
 # ---- type chart
 
-@query(f"WITH {CHART} SELECT atk, def, mult FROM chart")
+_MET = "met AS (SELECT move_type, def_type1, count(*) AS n FROM b GROUP BY ALL)"
+
+
+def _met(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a move's type met a defender's first type; 324 rows at most."""
+    return _battle(spark, sf_dir).groupBy("move_type", "def_type1").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {CHART}, {B}, {_MET} SELECT atk, def, mult, coalesce(n, 0) AS n FROM chart LEFT JOIN met ON move_type = atk AND def_type1 = def")
 def type_chart_long(spark, sf_dir):
-    return dims.type_chart(spark)
+    """The chart's cells and how often each was met."""
+    met = _met(spark, sf_dir).select(_C("move_type").alias("atk"), _C("def_type1").alias("def"), "n")
+    return dims.type_chart(spark).join(met, ["atk", "def"], "left").select("atk", "def", "mult", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query(f"WITH {CHART}, {TYPE_ROWS} SELECT a.type AS move_type, d.type AS def_type, coalesce(mult, CAST(1 AS DOUBLE)) AS effectiveness FROM types a CROSS JOIN types d LEFT JOIN chart c ON c.atk = a.type AND c.def = d.type")
+@query(f"WITH {CHART}, {B}, {_MET} SELECT move_type, def_type1 AS def_type, coalesce(mult, CAST(1 AS DOUBLE)) AS effectiveness, n FROM met LEFT JOIN chart ON atk = move_type AND def = def_type1")
 def type_effectiveness_mono(spark, sf_dir):
-    types = dims.types(spark)
-    pairs = types.select(_C("type").alias("move_type")).join(F.broadcast(types.select(_C("type").alias("def_type"))))
-    return pairs.withColumn("effectiveness", effectiveness(_C("move_type"), F.array("def_type")))
+    """Pairs of types that met, with their factor and number."""
+    return _met(spark, sf_dir).select("move_type", _C("def_type1").alias("def_type"), effectiveness(_C("move_type"), F.array("def_type1")).alias("effectiveness"), "n")
 
 
 @query(f"WITH {CHART}, {B} SELECT event_id, coalesce(c1.mult, 1) * coalesce(c2.mult, 1) AS effectiveness FROM b LEFT JOIN chart c1 ON c1.atk = move_type AND c1.def = def_type1 LEFT JOIN chart c2 ON c2.atk = move_type AND c2.def = def_type2")
@@ -149,12 +166,9 @@ def type_effectiveness_join(spark, sf_dir):
     return effectiveness_by_join(_battle(spark, sf_dir), "event_id", "move_type", "def_types")
 
 
-@query(f"WITH {CHART}, {TYPE_ROWS} SELECT coalesce(c1.mult, 1) * coalesce(c2.mult, 1) AS effectiveness, count(*) AS n FROM types a CROSS JOIN types d JOIN types e ON d.ord < e.ord LEFT JOIN chart c1 ON c1.atk = a.type AND c1.def = d.type LEFT JOIN chart c2 ON c2.atk = a.type AND c2.def = e.type GROUP BY 1")
+@query(f"SELECT effectiveness, count(*) AS n FROM ({ORACLE_SQL['type_effectiveness_dual']}) GROUP BY 1")
 def effectiveness_histogram(spark, sf_dir):
-    t = dims.types(spark)
-    one, two = t.select(_C("ord").alias("o1"), _C("type").alias("t1")), t.select(_C("ord").alias("o2"), _C("type").alias("t2"))
-    pairs = t.select(_C("type").alias("move_type")).join(F.broadcast(one)).join(F.broadcast(two), F.expr("o1 < o2"))
-    return pairs.groupBy(effectiveness(_C("move_type"), F.array("t1", "t2")).alias("effectiveness")).agg(F.count("*").alias("n"))
+    return type_effectiveness_dual(spark, sf_dir).groupBy("effectiveness").agg(F.count("*").alias("n"))
 
 
 # ---- damage, stage by stage and whole
@@ -200,12 +214,29 @@ def defender_ability(spark, sf_dir):
     return _stage(spark, sf_dir, damage="d7").withColumn("at_least_one", F.greatest(F.lit(1.0), "damage"))
 
 
-@query(f"""WITH {STAGES} SELECT event_id, CASE category WHEN 'Status' THEN 0e0 ELSE greatest(1e0, d7) END AS damage,
-    category <> 'Status' AND crit AS is_critical, CASE category WHEN 'Status' THEN 1e0 ELSE eff END AS effectiveness FROM p7""")
+_DAMAGES = """SELECT event_id, CASE category WHEN 'Status' THEN 0e0 ELSE greatest(1e0, d7) END AS damage,
+    category <> 'Status' AND crit AS is_critical, CASE category WHEN 'Status' THEN 1e0 ELSE eff END AS effectiveness FROM p7"""
+
+
+@query(f"WITH {STAGES} {_DAMAGES}")
 def calculate_damage(spark, sf_dir):
     return _damages(_battle(spark, sf_dir))
 
 
+_FROM_STREAM = f"""base AS ({sql(BATTLE)}),
+  stream AS (SELECT row_number() OVER (ORDER BY event_id, nth) - 1 AS place, u FROM (SELECT event_id, 0 AS nth, u_crit AS u FROM base UNION ALL SELECT event_id, 1, u_roll FROM base)),
+  placed AS (SELECT *, coalesce(sum(CASE category WHEN 'Status' THEN 0 ELSE 2 END) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM base),
+  b AS (SELECT placed.* REPLACE (one.u AS u_crit, two.u AS u_roll) FROM placed LEFT JOIN stream one ON one.place = placed.place LEFT JOIN stream two ON two.place = placed.place + 1)"""
+
+
+@query(f"WITH {STAGES.replace(B, _FROM_STREAM)} {_DAMAGES}")
+def calculate_damage_stream(spark, sf_dir):
+    """All moves in a row draw from one generator: two draws each, none for Status."""
+    battles = _battle(spark, sf_dir)
+    stream = draws.stream_of(battles, ["event_id"], ["u_crit", "u_roll"])
+    return _damages(draws.with_draws(battles.drop("u_crit", "u_roll"), ["event_id"], draws.damage_draws(_C("category")), stream, ["u_crit", "u_roll"]))
+
+
 @query(f"WITH {STAGES} SELECT event_id, CAST(0 AS DOUBLE) AS damage, false AS is_critical, CAST(1 AS DOUBLE) AS effectiveness FROM e WHERE category = 'Status'")
 def status_moves(spark, sf_dir):
     return _damages(_battle(spark, sf_dir).where("category = 'Status'"))
@@ -271,14 +302,24 @@ def exp_award(spark, sf_dir):
 
 # ---- the map
 
-@query(f"SELECT CAST(y AS INT) AS y, CAST(x AS INT) AS x, {TILE.format(x='x', y='y')} AS tile FROM range(20) a(y) CROSS JOIN range(30) b(x)")
+def _path(spark: SparkSession, sf_dir: str):
+    moves = derived(spark, sf_dir, {"user_id": "user_id", "ts": "ts", "event_id": "event_id", "dx": DX, "dy": DY, "u": draw(7919, 13)})
+    return movement.walk_path(moves, "user_id", ["ts", "event_id"])
+
+
+@query(f"""WITH RECURSIVE {WALK_STEPS}, seen AS (SELECT y, x, count(*) AS n FROM path WHERE moved GROUP BY ALL)
+   SELECT CAST(a.y AS INT) AS y, CAST(b.x AS INT) AS x, {TILE.format(x='b.x', y='a.y')} AS tile, coalesce(n, 0) AS n
+   FROM range(20) a(y) CROSS JOIN range(30) b(x) LEFT JOIN seen ON seen.x = b.x AND seen.y = a.y""")
 def tile_map(spark, sf_dir):
-    return dims.tile_map(spark)
+    """The map, and how many steps of all walks led to each place."""
+    seen = _path(spark, sf_dir).result().where("moved").groupBy("y", "x").agg(F.count("*").alias("n"))
+    return dims.tile_map(spark).join(seen, ["y", "x"], "left").select("y", "x", "tile", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query(f"SELECT {TILE.format(x='x', y='y')} AS tile, count(*) AS n FROM range(20) a(y) CROSS JOIN range(30) b(x) GROUP BY 1")
+@query(f"WITH RECURSIVE {WALK_STEPS} SELECT tile, count(*) AS n FROM path WHERE moved GROUP BY 1")
 def tile_histogram(spark, sf_dir):
-    return dims.tile_map(spark).groupBy("tile").agg(F.count("*").alias("n"))
+    """Steps of all walks by what they led to."""
+    return _path(spark, sf_dir).result().where("moved").groupBy("tile").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {S}, m AS (SELECT event_id, {PLACE[0]} AS x, {PLACE[1]} AS y, code,
@@ -294,18 +335,26 @@ def move_step(spark, sf_dir):
     return went.select("event_id", _C("to.x").alias("x"), _C("to.y").alias("y"), "facing", _C("to.moved").alias("moved"))
 
 
-@query(f"""WITH RECURSIVE m AS (SELECT user_id, {DX} AS dx, {DY} AS dy, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-   w(user_id, i, x, y, steps) AS (
-     SELECT DISTINCT user_id, CAST(0 AS BIGINT), 3, 3, 0 FROM m UNION ALL
-     SELECT w.user_id, m.i, CAST(least(greatest(w.x + dx, 1), 28) AS INT), CAST(least(greatest(w.y + dy, 1), 18) AS INT),
-            CAST(w.steps + CASE WHEN w.x + dx BETWEEN 1 AND 28 AND w.y + dy BETWEEN 1 AND 18 THEN 1 ELSE 0 END AS INT)
-     FROM w JOIN m ON m.user_id = w.user_id AND m.i = w.i + 1)
-   SELECT user_id, x, y, steps, {TILE.format(x='x', y='y')} AS tile FROM w WHERE i = (SELECT max(i) FROM m WHERE m.user_id = w.user_id)""")
+@query(f"WITH RECURSIVE {WALK_STEPS} SELECT user_id, x, y, steps, tile FROM path p WHERE i = (SELECT max(i) FROM m WHERE m.user_id = p.user_id)")
 def walk_fold(spark, sf_dir):
     moves = derived(spark, sf_dir, {"user_id": "user_id", "ts": "ts", "event_id": "event_id", "dx": DX, "dy": DY})
     return movement.walked(moves, "user_id", ["ts", "event_id"])
 
 
+@query(f"WITH RECURSIVE {WALK_STEPS} SELECT user_id, event_id, x, y, steps, moved, tile FROM path")
+def walk_path(spark, sf_dir):
+    """Every move of every walk."""
+    return _path(spark, sf_dir).result().select("user_id", "event_id", "x", "y", "steps", "moved", "tile")
+
+
+@query(f"""WITH RECURSIVE {WALK_STEPS}, h AS (SELECT user_id, event_id, i, steps, moved AND tile = 'GRASS' AND {draw(7919, 13)} < 0.12e0 AS meets FROM path)
+   SELECT user_id, event_id, steps, meets, CAST(count(*) FILTER (meets) OVER past AS BIGINT) AS encounters, steps - coalesce(max(CASE WHEN meets THEN steps END) OVER past, 0) AS since
+   FROM h WINDOW past AS (PARTITION BY user_id ORDER BY i)""")
+def walk_encounters(spark, sf_dir):
+    """The walks cut at their encounters."""
+    return movement.encounters_along(_path(spark, sf_dir), "u").result().select("user_id", "event_id", "steps", "meets", "encounters", "since")
+
+
 # ---- capture, turns, display
 
 @query(f"SELECT event_id, CAST(0.25 AS DOUBLE) + (21e0 - {HP}) / 21e0 * CAST(0.55 AS DOUBLE) AS chance FROM events")
@@ -322,6 +371,30 @@ def capture_outcome(spark, sf_dir):
     return t.select("event_id", battle.captured(_C("had"), _C("hp"), F.lit(21.0), _C("u")).alias("r")).select("event_id", "r.*")
 
 
+@query(f"""WITH t AS (SELECT event_id, user_id, {HP} AS hp, {draw(4447, 53)} AS u, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS thrown FROM events)
+   SELECT user_id, event_id, greatest(5 - thrown, 0) AS balls_before, greatest(4 - thrown, 0) AS balls,
+     CASE WHEN thrown >= 5 THEN 'REFUSED' WHEN u < CAST(0.25 AS DOUBLE) + (21e0 - hp) / 21e0 * CAST(0.55 AS DOUBLE) THEN 'CAUGHT' ELSE 'BROKE_FREE' END AS result FROM t""")
+def throws_in_a_row(spark, sf_dir):
+    """Each user's throws one after another, from one stock of five balls."""
+    t = derived(spark, sf_dir, {"event_id": "event_id", "user_id": "user_id", "ts": "ts", "hp": HP, "max_hp": "CAST(21 AS DOUBLE)", "u": draw(4447, 53)})
+    return battle.throws(t, "user_id", ["ts", "event_id"], "hp", "max_hp", "u").select("user_id", "event_id", "balls_before", "balls", "result")
+
+
+@query(f"""WITH {THRESHOLDS}, e AS (SELECT user_id, event_id, {HIT} AS hit, row_number() OVER past AS i, CAST(sum({GAIN}) OVER past AS BIGINT) AS total
+      FROM events WINDOW past AS (PARTITION BY user_id ORDER BY ts, event_id)),
+   l AS (SELECT e.*, k, coalesce(lag(k) OVER (PARTITION BY user_id ORDER BY i), 0) AS had FROM e JOIN need ON need.total <= e.total AND e.total < need.total + next),
+   w(user_id, event_id, i, level, max_hp, hp, fainted) AS (
+     SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), CAST(5 AS BIGINT), CAST(20 AS BIGINT), CAST(20 AS BIGINT), false FROM e UNION ALL
+     SELECT w.user_id, l.event_id, l.i, CAST(5 + k AS BIGINT), CAST(20 + 3 * k AS BIGINT),
+        CAST(CASE WHEN k > had THEN 20 + 3 * k WHEN w.hp > hit THEN w.hp - hit ELSE 20 + 3 * k END AS BIGINT), k = had AND w.hp <= hit
+     FROM w JOIN l ON l.user_id = w.user_id AND l.i = w.i + 1)
+   SELECT user_id, event_id, level, max_hp, hp, fainted FROM w WHERE i > 0""")
+def health_over_time(spark, sf_dir):
+    """Level and health after every gain of experience and every hit."""
+    events = derived(spark, sf_dir, {"event_id": "event_id", "user_id": "user_id", "ts": "ts", "gain": GAIN, "taken": HIT})
+    return progression.health(events, "user_id", ["ts", "event_id"], "gain", "taken").result().select("user_id", "event_id", "level", "max_hp", "hp", "fainted")
+
+
 @query(f"WITH h AS (SELECT event_id, {HP} / 20e0 AS ratio FROM events) SELECT event_id, CASE WHEN ratio > 0.5e0 THEN '#3f3' WHEN ratio > 0.2e0 THEN '#fc3' ELSE '#f44' END AS colour, greatest(1e0, 148e0 * ratio) AS width FROM h")
 def health_band(spark, sf_dir):
     h = derived(spark, sf_dir, {"event_id": "event_id", "ratio": f"{HP} / CAST(20 AS DOUBLE)"})
@@ -375,17 +448,22 @@ def hud_text(spark, sf_dir):
 
 
 # Every session frame by frame: one step of the recursion is one frame of every session.
-SESSION_STATES = f"""{THRESHOLDS}, {WILD},
+def _states(source: str, scene: str = "TITLE", message: str = "", timer: float = 0.0) -> str:
+    """Sessions that begin in a scene, over frames s; of several keys in a frame the first in rank counts."""
+    return f"""{THRESHOLDS}, {WILD.replace(S, source)},
   levels AS (SELECT list(total ORDER BY k) AS sums, list(next ORDER BY k) AS nexts FROM need),
-  f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i,
-      CASE WHEN code IN ('ArrowLeft', 'KeyA') THEN -1 WHEN code IN ('ArrowRight', 'KeyD') THEN 1 ELSE 0 END AS dx,
-      CASE WHEN code IN ('ArrowUp', 'KeyW') THEN -1 WHEN code IN ('ArrowDown', 'KeyS') THEN 1 ELSE 0 END AS dy FROM w),
+  f AS (SELECT * REPLACE (CASE WHEN list_contains(keys, 'Digit1') THEN 'Digit1' WHEN list_contains(keys, 'Digit2') THEN 'Digit2'
+        WHEN list_has_any(keys, ['Digit3', 'Escape', 'KeyX']) THEN 'Escape' END AS code), list_has_any(keys, ['Enter', 'KeyZ']) AS starts,
+      row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i,
+      CASE WHEN list_has_any(keys, ['ArrowUp', 'KeyW', 'ArrowDown', 'KeyS']) THEN 0 WHEN list_has_any(keys, ['ArrowLeft', 'KeyA']) THEN -1 WHEN list_has_any(keys, ['ArrowRight', 'KeyD']) THEN 1 ELSE 0 END AS dx,
+      CASE WHEN list_has_any(keys, ['ArrowUp', 'KeyW']) THEN -1 WHEN list_has_any(keys, ['ArrowDown', 'KeyS']) THEN 1 ELSE 0 END AS dy
+      FROM (SELECT *, string_split(code, ' ') AS keys FROM w)),
   g(user_id, event_id, i, scene, x, y, facing, steps, total, hp, balls, wild, wild_level, wild_max_hp, wild_hp, wild_atk, wild_def, log, message, timer) AS (
-    SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), 'TITLE', 3, 3, 'DOWN', 0, CAST(0 AS BIGINT), 20, 5, CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS INT),
-           CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS VARCHAR), '', CAST(0 AS DOUBLE) FROM f
+    SELECT DISTINCT user_id, CAST(NULL AS BIGINT), CAST(0 AS BIGINT), '{scene}', 3, 3, 'DOWN', 0, CAST(0 AS BIGINT), 20, 5, CAST(NULL AS VARCHAR), CAST(NULL AS INT), CAST(NULL AS INT),
+           CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS INT), CAST(NULL AS VARCHAR), '{message}', CAST({timer} AS DOUBLE) FROM f
     UNION ALL
     SELECT user_id, event_id, i,
-      CASE what WHEN 'START' THEN 'OVERWORLD' WHEN 'MEET' THEN 'BATTLE' ELSE CASE WHEN ends THEN 'OVERWORLD' ELSE scene END END,
+      CASE what WHEN 'START' THEN 'OVERWORLD' WHEN 'MEET' THEN 'BATTLE' WHEN 'WAIT' THEN CASE WHEN timer - dt <= 0 THEN 'OVERWORLD' ELSE scene END ELSE CASE WHEN ends THEN 'OVERWORLD' ELSE scene END END,
       CASE WHEN what IN ('STEP', 'MEET') THEN x + dx ELSE x END, CASE WHEN what IN ('STEP', 'MEET') THEN y + dy ELSE y END,
       CASE WHEN what IN ('STEP', 'MEET', 'WALL') THEN CASE WHEN dx = -1 THEN 'LEFT' WHEN dx = 1 THEN 'RIGHT' WHEN dy = -1 THEN 'UP' ELSE 'DOWN' END ELSE facing END,
       CASE WHEN what IN ('STEP', 'MEET') THEN steps + 1 ELSE steps END, total2,
@@ -399,24 +477,28 @@ SESSION_STATES = f"""{THRESHOLDS}, {WILD},
         WHEN 'EMPTY' THEN 'No Poké Balls left!' WHEN 'BROKE' THEN wild || ' broke free!' ELSE CASE WHEN ends THEN NULL ELSE log END END,
       CASE what WHEN 'WON' THEN 'You defeated ' || wild || '! +' || wild_level * 7 || ' EXP' WHEN 'FAINTED' THEN 'You blacked out! Auto-healed for demo.'
         WHEN 'CAUGHT' THEN 'Gotcha! ' || wild || ' was caught!' WHEN 'ESCAPED' THEN 'Got away safely!' ELSE message END,
-      CASE WHEN ends THEN CAST(1300 AS DOUBLE) ELSE timer END
+      CASE WHEN ends THEN CAST(1300 AS DOUBLE) WHEN what = 'WAIT' THEN timer - dt ELSE timer END
     FROM (SELECT *, what IN ('WON', 'FAINTED', 'CAUGHT', 'ESCAPED') AS ends, len(list_filter(sums, lambda z: z <= total2)) - 1 AS k2
       FROM (SELECT *, total + CASE what WHEN 'WON' THEN wild_level * 7 ELSE 0 END AS total2
-        FROM (SELECT *, CASE scene WHEN 'TITLE' THEN CASE WHEN code IN ('Enter', 'KeyZ') THEN 'START' ELSE 'NONE' END
+        FROM (SELECT *, CASE scene WHEN 'TITLE' THEN CASE WHEN starts THEN 'START' ELSE 'NONE' END WHEN 'MESSAGE' THEN 'WAIT'
             WHEN 'OVERWORLD' THEN CASE WHEN dx = 0 AND dy = 0 THEN 'NONE' WHEN x + dx NOT BETWEEN 1 AND 28 OR y + dy NOT BETWEEN 1 AND 18 THEN 'WALL'
               WHEN {TILE.format(x="(x + dx)", y="(y + dy)")} = 'GRASS' AND u_enc < 0.12e0 THEN 'MEET' ELSE 'STEP' END
             ELSE CASE code WHEN 'Digit1' THEN CASE WHEN wild_hp - dealt <= 0 THEN 'WON' WHEN hp - back <= 0 THEN 'FAINTED' ELSE 'HIT' END
               WHEN 'Digit2' THEN CASE WHEN balls <= 0 THEN 'EMPTY' WHEN u_catch < CAST(0.25 AS DOUBLE) + (wild_max_hp - wild_hp) / CAST(wild_max_hp AS DOUBLE) * CAST(0.55 AS DOUBLE) THEN 'CAUGHT' ELSE 'BROKE' END
-              ELSE CASE WHEN code IN ('Digit3', 'Escape', 'KeyX') THEN 'ESCAPED' ELSE 'NONE' END END END AS what
+              ELSE CASE WHEN code = 'Escape' THEN 'ESCAPED' ELSE 'NONE' END END END AS what
           FROM (SELECT *, {SIMPLE.format(power="40e0", atk="(11 + k)", df="wild_def", u="u_hit")} AS dealt, {SIMPLE.format(power="35e0", atk="wild_atk", df="(10 + k)", u="u_back")} AS back
-            FROM (SELECT f.event_id, f.code, f.dx, f.dy, f.u_enc, f.u_hit, f.u_back, f.u_catch, f.species, f.level, f.hp AS new_hp, f.atk, f.def, g.* EXCLUDE (event_id, i), f.i, sums,
+            FROM (SELECT f.event_id, f.code, f.starts, f.dt, f.dx, f.dy, f.u_enc, f.u_hit, f.u_back, f.u_catch, f.species, f.level, f.hp AS new_hp, f.atk, f.def, g.* EXCLUDE (event_id, i), f.i, sums,
                     len(list_filter(sums, lambda z: z <= total)) - 1 AS k
                   FROM g JOIN f ON f.user_id = g.user_id AND f.i = g.i + 1 CROSS JOIN levels))))))"""
 
 
-@query(f"""WITH {SESSION_STATES}, h AS (SELECT g.*, len(list_filter(sums, lambda z: z <= total)) - 1 AS k, sums, nexts FROM g CROSS JOIN levels WHERE i > 0)
+SESSION_STATES = _states(S)
+_RUN = """h AS (SELECT g.*, len(list_filter(sums, lambda z: z <= total)) - 1 AS k, sums, nexts FROM g CROSS JOIN levels WHERE i > 0)
    SELECT user_id, event_id, scene, x, y, facing, steps, CAST(5 + k AS INT) AS level, CAST(20 + 3 * k AS INT) AS max_hp, hp, total - sums[k + 1] AS exp, nexts[k + 1] AS to_next,
-          balls, wild, wild_level, wild_max_hp, wild_hp, log, message, timer FROM h""")
+          balls, wild, wild_level, wild_max_hp, wild_hp, log, message, timer FROM h"""
+
+
+@query(f"WITH {SESSION_STATES}, {_RUN}")
 def session_run(spark, sf_dir):
     """Every frame of every session."""
     return run_batch(derived(spark, sf_dir, SESSION))
@@ -434,3 +516,31 @@ _COLOUR = "CASE WHEN {r} > 0.5e0 THEN '#3f3' WHEN {r} > 0.2e0 THEN '#fc3' ELSE '
 def session_display(spark, sf_dir):
     """What each frame shows: the head line on the map; in a battle name tags, health bars and the log."""
     return display.shown_frame(session_run(spark, sf_dir))
+
+
+@query(f"WITH {_states(S, 'MESSAGE', 'Welcome back!', 1300.0)}, {_RUN}")
+def session_after_message(spark, sf_dir):
+    """Sessions that begin under a message: the map comes back when its time has run out."""
+    return run_batch(derived(spark, sf_dir, SESSION), fresh() | {"scene": "MESSAGE", "message": "Welcome back!", "timer": 1300.0})
+
+
+# Frames from key events: within a frame the last event of a key says whether it is held.
+_FRAMES = f"""(SELECT user_id, frame, max(ts) AS ts, max_by(event_id, (ts, event_id)) AS event_id, coalesce(string_agg(code, ' ' ORDER BY code) FILTER (held AND last), '') AS code
+   FROM (SELECT *, kind = 'down' AS held, row_number() OVER (PARTITION BY user_id, frame, code ORDER BY ts DESC, event_id DESC) = 1 AS last FROM ({sql(KEYS)})) GROUP BY user_id, frame)"""
+
+
+def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.pressed(derived(spark, sf_dir, KEYS), "user_id", "frame", ["ts", "event_id"])
+
+
+@query(f"SELECT user_id, frame, ts, event_id, code FROM {_FRAMES}")
+def key_frames(spark, sf_dir):
+    """The keys that each frame reads."""
+    return _frames(spark, sf_dir).select("user_id", "frame", "ts", "event_id", "code")
+
+
+@query(f"WITH {_states('s AS (' + sql(SESSION | {'code': 'code'}, _FRAMES) + ')')}, {_RUN}")
+def key_session(spark, sf_dir):
+    """Sessions from key events, frame by frame."""
+    read = _frames(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in (SESSION | {"code": "code"}).items()])
+    return run_batch(read)

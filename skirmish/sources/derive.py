@@ -59,10 +59,19 @@ SESSION = {
     "u_back": draw(2741, 17),
     "u_catch": draw(4447, 53),
 }
+# Key events: a frame is a day, and of the keys some are let go.
+KEYS = {
+    "event_id": "event_id",
+    "user_id": "user_id",
+    "ts": "ts",
+    "frame": "date_trunc('day', ts)",
+    "code": pick("(event_id * 7) % 5", ["ArrowDown", "KeyD", "Digit1", "Enter", "Digit2"]),
+    "kind": pick("event_id % 3", ["up", "down", "down"]),
+}
 
 
-def sql(columns: dict[str, str]) -> str:
-    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in columns.items())} FROM events"
+def sql(columns: dict[str, str], table: str = "events") -> str:
+    return f"SELECT {', '.join(f'{e} AS {n}' for n, e in columns.items())} FROM {table}"
 
 
 def derived(spark: SparkSession, sf_dir: str, columns: dict[str, str]) -> DataFrame:

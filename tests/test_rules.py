@@ -43,8 +43,8 @@ def test_golden_damage(spark):
 
 
 def test_critical_stages(spark):
-    cases = [{"bonus": b, "u_crit": u} for b, u in ((0.0, 1 / 24), (0.0, 0.0416), (1.0, 0.125), (1.0, 0.1249), (2.0, 0.5), (2.0, 0.4999), (-1.0, 0.0), (0.5, 0.0), (3.0, 0.9999))]
-    assert [r[1] for r in damages(spark, cases)] == [False, True, False, True, False, True, False, False, True]
+    cases = [{"bonus": b, "u_crit": u} for b, u in ((0.0, 1 / 24), (0.0, 0.0416), (1.0, 0.125), (1.0, 0.1249), (2.0, 0.5), (2.0, 0.4999), (-1.0, 0.0), (0.5, 0.0), (3.0, 0.9999), (float("nan"), 0.0))]
+    assert [r[1] for r in damages(spark, cases)] == [False, True, False, True, False, True, False, False, True, False]
 
 
 def test_no_defense(spark):
@@ -117,8 +117,7 @@ def test_effectiveness_of_repeated_keys(spark):
     assert sorted(map(tuple, effectiveness_by_join(rows, "mult", "atk", "def").collect()), key=repr) == [(1, 0.0), (1, 4.0), (2, 1.0), (None, 1.0)]
 
 
-@pytest.mark.parametrize("chunk", [4096, 7, 1])
-def test_walks_are_brute_force(spark, chunk):
+def test_walks_are_brute_force(spark):
     axis = [(1, 0), (-1, 0), (0, 1), (0, -1), (0, 0)]
     moves = [(k if k else None, i, *axis[(i * i + 3 * k + i // 9) % 5 if k % 2 else (k + i // 40) % 4]) for k in range(8) for i in range(90)]
     want = {}
@@ -126,7 +125,7 @@ def test_walks_are_brute_force(spark, chunk):
         x, y, n = want.get(k, (3, 3, 0))
         went = 1 <= x + dx <= 28 and 1 <= y + dy <= 18
         want[k] = (x + dx, y + dy, n + (dx != 0 or dy != 0)) if went else (x, y, n)
-    got = movement.walked(spark.createDataFrame(moves, "k int, i int, dx int, dy int").repartition(3), "k", ["i"], chunk)
+    got = movement.walked(spark.createDataFrame(moves, "k int, i int, dx int, dy int").repartition(3), "k", ["i"])
     assert {r["k"]: (r["x"], r["y"], r["steps"]) for r in got.collect()} == want
 
 
@@ -223,3 +222,50 @@ def test_stream_forgets_silent_sessions(spark, tmp_path):
         time.sleep(1)
     running.stop()
     assert sorted(map(repr, spark.table("kept").collect())) == sorted(map(repr, run_batch(frames).collect()))
+
+
+def rows_of(running, table, spark, enough, seconds=120):
+    """The rows of a memory table once there are enough of them."""
+    import time
+
+    until = time.monotonic() + seconds
+    while spark.table(table).count() < enough and time.monotonic() < until:
+        time.sleep(0.5)
+    running.stop()
+    return spark.table(table).collect()
+
+
+def test_message_ends_without_a_frame(spark, tmp_path):
+    """The timer of a message runs out in processing time; the row that it gives has no event."""
+    begin = fresh() | {"scene": "MESSAGE", "message": "Hello", "timer": 900.0}
+    frames = derived(spark, "/root/testdata/sf0.001", SESSION).where("event_id IN (3, 500)").withColumn("user_id", F.col("event_id"))
+    frames.coalesce(1).write.parquet(f"{tmp_path}/in")
+    source = spark.readStream.schema(frames.schema).parquet(f"{tmp_path}/in")
+    running = run_stream(source, timers=True, begin=begin).writeStream.format("memory").queryName("timed").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").start()
+    got = rows_of(running, "timed", spark, 4)
+    assert sorted((r["user_id"], r["scene"], r["timer"]) for r in got if r["event_id"] is not None) == [(3, "MESSAGE", 887.0), (500, "MESSAGE", 890.0)]
+    ended = [r for r in got if r["event_id"] is None]
+    assert sorted((r["user_id"], r["scene"], r["timer"], r["message"]) for r in ended) == [(3, "OVERWORLD", 0.0, "Hello"), (500, "OVERWORLD", 0.0, "Hello")]
+
+
+def test_late_frames_are_taken_in_order(spark, tmp_path):
+    """Frames that come shuffled over three micro-batches give what the batch gives, once the watermark has passed them."""
+    frames = derived(spark, "/root/testdata/sf0.001", SESSION).where("user_id < 4").withColumn("ts", F.col("ts").cast("timestamp"))
+    for i in range(3):
+        frames.where((F.col("event_id") * 7 % 3) == i).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    late = frames.limit(1).withColumns({"user_id": F.lit(99).cast("long"), "ts": F.expr("ts + INTERVAL 400 DAYS")})
+    late.coalesce(1).write.parquet(f"{tmp_path}/in/3")
+    source = spark.readStream.schema(frames.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    running = run_stream(source, late="40 days").writeStream.format("memory").queryName("shuffled").outputMode("append").option("checkpointLocation", f"{tmp_path}/state").start()
+    got = rows_of(running, "shuffled", spark, frames.count())
+    assert sorted(map(repr, got)) == sorted(map(repr, run_batch(frames).collect()))
+    with pytest.raises(ValueError, match="event time"):
+        run_stream(source, ttl_ms=5, late="1 day")
+
+
+def test_pressed_keys(spark):
+    from skirmish.operators.frames import pressed
+
+    rows = [(1, 1, 1, "A", "down"), (1, 1, 2, "B", "down"), (1, 1, 3, "A", "up"), (1, 2, 4, "A", "up"), (1, 2, 5, "A", "down"), (1, 3, 6, "B", "up"), (None, 1, 7, "C", "down"), (1, 4, 8, None, "down"), (1, 4, 9, "D", "down"), (1, 4, 10, "D", "held"), (1, 4, 11, "A", "down")]
+    got = pressed(spark.createDataFrame(rows, "s int, f int, n int, code string, kind string"), "s", "f", ["n"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, 1, 3, "B"), (1, 2, 5, "A"), (1, 3, 6, ""), (None, 1, 7, "C"), (1, 4, 11, "A D")], key=repr)
