@@ -59,6 +59,11 @@ def drop_cut(df: DataFrame) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, whatever is in their names: dots and backquotes too."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def text_hash() -> list[Column]:
     """Two 64-bit hashes of the text; null has hashes too."""
     text = F.col("text").cast("string")

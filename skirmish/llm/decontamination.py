@@ -20,23 +20,26 @@ a comparison of all windows would find follows from the matches and shared(), an
 
 The benchmark goes to the executors slice by slice, each of at most `slice_chars` characters and one whole item, so
 that what is broadcast is bounded; the documents are read once for each slice. Long texts go in pieces of plain characters
-that overlap by more than a region can span. Lists of a frequent q-gram are read in blocks of items.
+that overlap by more than a region can span. Lists of a frequent q-gram are read in blocks of passages, and within a passage that
+repeats itself in overlapping tiles of passage and document, as far as no match has settled the passage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache, cached_property
+from functools import cache, cached_property, partial
 from itertools import chain, pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skirmish.llm.common import cut, prepare
+from skirmish.llm.common import columns_of, cut, prepare
 
 Q, WINDOW, EDITS, MIN_CHARS = 10, 100, 6, 24
 #: Characters of benchmark text broadcast at once.
@@ -49,6 +52,8 @@ PLACES = 1 << 19
 FEW = 64
 #: Items that make a passage a common one.
 COMMON = 64
+#: Failed alignments of one text that are remembered at once.
+FAILURES = 1 << 16
 FAR = np.uint32(0xFFFFFFFF)  # beyond the text
 MATCH = "doc_id long, item_id long, passage long, n_items long, start long, end long, edits long, item_start long, item_chars long"
 SHARED = "passage long, item_id long"
@@ -56,12 +61,11 @@ SHARED = "passage long, item_id long"
 
 @cache
 def _plain_points() -> np.ndarray:
-    return np.array([ord(chr(c).lower()[0]) if chr(c).isalnum() else 0 for c in range(1 << 16)], np.uint32)
+    return np.array([ord(chr(c).lower()[0]) if chr(c).isalnum() else 0 for c in range(sys.maxunicode + 1)], np.uint32)
 
 
 def _points(text: str) -> np.ndarray:
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return _plain_points()[points] if text.isascii() else np.where(points < 1 << 16, _plain_points()[points & 0xFFFF], points)
+    return _plain_points()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
 def plain_pieces(text: str, piece: int = PIECE, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -152,9 +156,9 @@ class Index:
         """(q-gram, passage) of every place as one sorted number."""
         return np.repeat(np.arange(len(self.gram)), np.diff(self.begin)) * len(self.items) + self.item
 
-    def _places(self, spot: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For the q-grams numbered spot: (which of them, place in their lists), block by block of passages; a block has at
-        most `limit` places or a single passage."""
+    def _places(self, where: np.ndarray, spot: np.ndarray, limit: int, done: Callable[[], np.ndarray | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For the q-grams numbered spot, which stand at `where` in the document: (where, place in their lists), block by block
+        of passages; a block has about `limit` places at most. Passages that are done() by then are left out."""
         todo = [(0, len(self.items), self.begin[spot], self.begin[spot + 1])]
         while todo:
             first, last, lo, hi = todo.pop()
@@ -164,12 +168,56 @@ class Index:
                 middle = (first + last) // 2
                 cut = np.clip(np.searchsorted(self._order, spot * len(self.items) + middle), lo, hi)
                 todo += [(middle, last, cut, hi), (first, middle, lo, cut)]
+            elif total > limit:
+                some = np.flatnonzero(n)
+                yield from self._tiles(first, where[some], lo[some], hi[some], limit, done)
             elif total:
-                yield np.repeat(np.arange(len(spot)), n), np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(total)
+                yield np.repeat(where, n), np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(total)
+
+    def _tiles(self, item: int, where: np.ndarray, lo: np.ndarray, hi: np.ndarray, limit: int, done: Callable[[], np.ndarray | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same for one passage with many places, as a repetitive one has: in tiles of document and passage that overlap
+        by more than a region spans, so that every region lies in one. A region has its least count of q-grams at different
+        places of the document, too; places without so many around them are left out first."""
+        w, e, least = int(self.window[item]), int(self.edits[item]), int(self.least[item])
+        wide = w + 2 * e + 2
+        ahead = np.searchsorted(where, where + wide) - np.arange(len(where))  # places from here on
+        behind = np.zeros(len(where) + 1, np.int64)
+        starts = np.flatnonzero(ahead >= least)
+        np.add.at(behind, starts, 1)
+        np.add.at(behind, starts + ahead[starts], -1)
+        keep = behind[:-1].cumsum() > 0
+        where, lo, hi = where[keep], lo[keep], hi[keep]
+        length = len(self.items[item])
+        across = min(length, max(4 * wide, limit // (4 * wide)))
+        for a in range(0, max(1, length - wide), max(1, across - wide)):
+            left, right = self._within(lo, hi, a), self._within(lo, hi, a + across)
+            n = np.cumsum(right - left)
+            at = 0
+            while at < len(where):
+                upto = int(np.searchsorted(n, (n[at - 1] if at else 0) + limit, "right"))
+                upto = min(len(where), max(upto, int(np.searchsorted(where, where[at] + 2 * wide))))
+                gone = done()
+                if gone is not None and gone[item]:
+                    return
+                m = right[at:upto] - left[at:upto]
+                yield np.repeat(where[at:upto], m), np.repeat(left[at:upto] - np.r_[0, np.cumsum(m)[:-1]], m) + np.arange(int(m.sum()))
+                if upto == len(where):
+                    break
+                at = max(at + 1, int(np.searchsorted(where, where[upto] - wide)))
+
+    def _within(self, lo: np.ndarray, hi: np.ndarray, position: int) -> np.ndarray:
+        """For lists of places in one passage, the first in each that stands at the position or behind it."""
+        out = np.empty(len(lo), np.int64)
+        different, back = np.unique(lo, return_inverse=True)
+        ends = np.zeros(len(different), np.int64)
+        ends[back] = hi
+        spots = np.array([x + np.searchsorted(self.at[x:y], position) for x, y in zip(different.tolist(), ends.tolist(), strict=True)], np.int64)
+        out[:] = spots[back]
+        return out
 
-    def regions(self, codes: np.ndarray, without: np.ndarray | None = None, limit: int = PLACES) -> Iterator[tuple[int, int, int, int]]:
+    def regions(self, codes: np.ndarray, done: Callable[[], np.ndarray | None] = lambda: None, limit: int | None = None) -> Iterator[tuple[int, int, int, int]]:
         """(passage, band, first and last start of a window of the passage) of every region that meets the bound; passages
-        marked in `without` are left out."""
+        that done() marks, asked again before each block, are left out."""
         if len(codes) < self.q or not len(self.gram):
             return
         g = grams(codes, self.q)
@@ -179,11 +227,12 @@ class Index:
         where, spot = where[known], spot[known]
         if not len(where):
             return
-        for which, post in self._places(spot, limit):
-            if without is not None:
-                free = ~without[self.item[post]]
-                which, post = which[free], post[free]
-            found = self._regions(where[which], self.item[post], self.at[post])
+        for there, post in self._places(where, spot, limit or PLACES, done):
+            gone = done()
+            if gone is not None:
+                free = ~gone[self.item[post]]
+                there, post = there[free], post[free]
+            found = self._regions(there, self.item[post], self.at[post])
             yield from found if len(found) <= FEW else self._possible(codes, found)
 
     def _regions(self, where: np.ndarray, item: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
@@ -257,6 +306,13 @@ class Index:
                 live, cost = live[some], cost[some]
         return out
 
+    def said(self, codes: np.ndarray, item: int, band: int, first: int, last: int) -> bytes:
+        """A digest of all that align() looks at, but for where in the text it stands."""
+        w, e = int(self.window[item]), int(self.edits[item])
+        low, high = first + band * (e + 1), last + w + (band + 2) * (e + 1)
+        ends = np.array([item, first, last, min(low, 0), min(0, len(codes) - high)], np.int64)
+        return xxhash.xxh3_128_digest(ends.tobytes() + codes[max(0, low) : high].tobytes())
+
     def align(self, codes: np.ndarray, item: int, band: int, first: int, last: int) -> tuple[int, int, int, int] | None:
         """(edits, document start, document end, start in the passage) of a window of it that fits its edits within the band.
 
@@ -349,12 +405,28 @@ class Passages:
         repeats a region, the first found; positions in code points. A passage whose items are all known stays out."""
         out: list[tuple] = []
         known: np.ndarray | None = None
+        asked: dict[int, tuple[int, np.ndarray]] = {}
+        failed: set[tuple[int, bytes]] = set()  # a text that repeats itself asks the same again and again
+
+        def done(k: int) -> np.ndarray | None:
+            """Which passages of a part have all their items known; found anew after a match only."""
+            if known is None or not self.parts[k]:
+                return None
+            if k not in asked or asked[k][0] != len(out):
+                asked[k] = len(out), np.logical_and.reduceat(known[self.members[k]], self.begin[k])
+            return asked[k][1]
+
         for codes, where in plain_pieces(text, piece, self.overlap):
-            for part, index, all_members, begin in zip(self.parts, self.indexes, self.members, self.begin, strict=True):
-                without = None if known is None or not part else np.logical_and.reduceat(known[all_members], begin)
-                for no, band, first, last in index.regions(codes, without):
+            for k, (part, index) in enumerate(zip(self.parts, self.indexes, strict=True)):
+                for no, band, first, last in index.regions(codes, partial(done, k)):
                     item, at, members, name = part[no]
-                    if (known is not None and known[members].all()) or not (found := index.align(codes, no, band, first, last)):
+                    if known is not None and known[members].all():
+                        continue
+                    said = index.said(codes, no, band, first, last)
+                    if (k, said) in failed or not (found := index.align(codes, no, band, first, last)):
+                        if len(failed) >= FAILURES:
+                            failed.clear()
+                        failed.add((k, said))
                         continue
                     if known is None:
                         known = np.zeros(len(self.ids), bool)
@@ -421,9 +493,9 @@ def shared(benchmark: DataFrame, q: int = Q, window: int = WINDOW, edits: int =
 def clean(docs: DataFrame, benchmark: DataFrame, **parameters: int) -> DataFrame:
     """The rows of docs that repeat no region of the benchmark. Rows without an id are matched by their text alone."""
     found = cut(matches(docs.where("doc_id is not null"), benchmark, **parameters).select("doc_id").distinct())
-    named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*docs.columns)
+    named = docs.where("doc_id is not null").join(found, "doc_id", "left_anti").select(*columns_of(docs))
     # All columns travel as one, so that none can clash with the text's hash.
-    unnamed = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), "text").select("row", F.xxhash64("text").alias("hash"), "text")
+    unnamed = docs.where("doc_id is null").select(F.struct(*columns_of(docs)).alias("row"), "text").select("row", F.xxhash64("text").alias("hash"), "text")
     bad = matches(unnamed.select(F.col("hash").alias("doc_id"), "text"), benchmark, **parameters).select(F.col("doc_id").alias("hash")).distinct()
     return named.unionAll(unnamed.join(bad, "hash", "left_anti").select("row.*"))
 

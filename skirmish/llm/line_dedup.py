@@ -23,8 +23,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from skirmish.llm.common import cut, prepare
+from skirmish.llm.common import columns_of, cut, prepare
 
 MIN_CHARS, MIN_DOCS = 20, 3
 #: Bytes of exact rows (24 for each repeated key) that may be sent to every executor, and bytes of filters at a time.
@@ -235,8 +236,12 @@ def _drop_by_broadcast(docs: DataFrame, repeated: DataFrame, filters: DataFrame,
             new = [pa.array(c, t) for c, t in zip(zip(*made, strict=True) if made else [[]] * 4, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, *names])
 
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(dedup, f"{out}, {_RESULT}")
+    # Other columns travel as one, whatever their names.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    columns = dict(zip(docs.columns, columns_of(docs), strict=True))
+    packed = docs.select("doc_id", "text", *([F.struct(*[columns[c] for c in others]).alias("others")] if others else []))
+    made = packed.mapInArrow(dedup, StructType([*packed.schema.fields, *StructType.fromDDL(_RESULT).fields]))
+    return made.select(*[(F.col("others")[c] if c in others else F.col(c)).alias(c) for c in docs.columns], *names)
 
 
 def _admitted(keys: DataFrame, filters: DataFrame, shards: int, limit: int, *more: str) -> DataFrame:
@@ -266,7 +271,7 @@ def _drop_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, filters
     lists = cut(gone.groupBy("doc_id").agg(F.collect_set(F.struct(*KEY)).alias("gone")))
     id_keys = [F.xxhash64("doc_id").alias("hi"), F.xxhash64(F.lit(1), "doc_id").alias("lo")]
     id_shards = max(1, -(-lists.count() // shard_keys))
-    whole = docs.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    whole = docs.select(F.struct(*columns_of(docs)).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = whole.where("doc_id is not null")
     slices = list(filter_slices(cut(build_filters(lists.select(*id_keys), id_shards)), filter_bytes))
     if len(slices) <= 1:

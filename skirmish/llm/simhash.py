@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm.cells import by_cell, chunk_pairs, runs
-from skirmish.llm.common import cut, drop_cut, prepare, text_hash
+from skirmish.llm.common import columns_of, cut, drop_cut, prepare, text_hash
 from skirmish.llm.components import components
 
 SHINGLE_WORDS, MAX_DISTANCE, SEED = 4, 4, 42
@@ -443,7 +443,7 @@ def representatives(docs: DataFrame, words: int = SIMILAR_WORDS, similarity: flo
     found = similar_documents(docs, words, similarity)
     keys = cut(found.groupBy("doc_id", "t1", "t2").agg(F.first("stays").alias("stays"), F.count("*").alias("n")))
     # All columns travel as one, so that none can clash.
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_hash())
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), *text_hash())
     same = lambda k: (rows.t1 == k.t1) & (rows.t2 == k.t2) & rows.doc_id.eqNullSafe(k.doc_id)
     # Those that go or repeat are the fewer; the others' texts needn't move if these fit a broadcast.
     other, several = keys.where("not stays or n > 1"), keys.where("stays and n > 1")

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skirmish.llm import langid
-from skirmish.llm.common import crc_mod5, cut, prepare, text_hash
+from skirmish.llm.common import columns_of, crc_mod5, cut, prepare, text_hash
 
 WORD_BITS, STEM_BITS, STEM_BYTES = 16, 16, 6
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
@@ -327,7 +327,7 @@ def without_toxic(docs: DataFrame, points: DataFrame, model: Model) -> DataFrame
     """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known
     by their texts' hashes; they are the fewer, and the others needn't move if these fit a broadcast."""
     bad = points.where(model.score() >= 0.5).select("t1", "t2").distinct()
-    rows = docs.select(F.struct(*docs.columns).alias("row"), *text_hash())
+    rows = docs.select(F.struct(*columns_of(docs)).alias("row"), *text_hash())
     return rows.join(bad, ["t1", "t2"], "left_anti").select("row.*")
 
 

@@ -120,12 +120,53 @@ def test_an_instruction_in_thousands_of_items(spark):
     assert passages.matches(sentence[:70]) == passages.matches(sentence[-70:]) == []
     assert {m[2] for m in passages.matches(rows[77][1])} == {8000}
     assert {m[0] for m in passages.matches(rows[77][1][250:])} >= {77}
-    places = list(passages.indexes[-1]._places(np.arange(len(passages.indexes[-1].gram)), 5000))
+    n = np.arange(len(passages.indexes[-1].gram))
+    places = list(passages.indexes[-1]._places(n, n, 5000, lambda: None))
     assert sum(len(p) for _, p in places) == len(passages.indexes[-1].item) and sorted(np.concatenate([p for _, p in places]).tolist()) == list(range(len(passages.indexes[-1].item)))
     bench = spark.createDataFrame(rows[:40], ITEM)
     assert shared(bench).where("passage is not null").select("item_id").distinct().count() == 40
 
 
+def test_repetitive_texts_are_brute_force(monkeypatch):
+    """Texts and items that repeat a unit, with edits, cut into many small tiles."""
+    rng = random.Random(5)
+    units = ["0 ", "ha ", "12 ", "abc def ", "0 0 0 0 1 "]
+    items = [u * (260 // len(u)) for u in units] + ["0 " * 30 + prose(1, 12), "no repeats " + prose(2, 20)]
+    texts = [edited((units[i % 5] * 400)[: 150 + 40 * (i % 7)], rng.randrange(0, 60), i) for i in range(24)]
+    texts += ["0 0 0 0 0 0 x " * 40, "0 0 0 0 0 0 0 0 0 x " * 30, "ha " * 20 + prose(3, 30) + " ha" * 40, "0 " * 400]
+    want = brute_pairs(texts, items)
+    assert 8 < len(want) < len(texts) * 2
+    passages = Passages(list(enumerate(items)), Q, WINDOW, EDITS, MIN_CHARS)
+    for places, few in ((1 << 19, 64), (300, 64), (300, 0), (2000, 2)):
+        monkeypatch.setattr(decontamination, "PLACES", places)
+        monkeypatch.setattr(decontamination, "FEW", few)
+        assert pairs_found(texts, passages) == want, places
+
+
+def test_a_repetitive_text_takes_little_memory_and_time():
+    import time
+    import tracemalloc
+
+    passages = Passages([(1, "0 " * 150)], Q, WINDOW, EDITS, MIN_CHARS)
+    passages.matches("0 " * 1000)
+    tracemalloc.start()
+    began = time.process_time()
+    long = passages.matches("0 " * 500_000)
+    near = passages.matches("0 0 0 0 0 0 x " * 5000)
+    took, (_, peak) = time.process_time() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert long == passages.matches("0 " * 1000) and near == []
+    assert peak < 300 << 20 and took < 30
+
+
+def test_letters_beyond_the_basic_plane():
+    """A mathematical letter is a letter; an emoji parts words as any mark does."""
+    assert plain("a\U0001f600b").tolist() == plain("a b").tolist()
+    assert plain("\U0001d400\U00010400").tolist() == [0, 0x1D400, 0x10428, 0]
+    passages = Passages([(1, TEXT)], Q, WINDOW, EDITS, MIN_CHARS)
+    assert passages.matches("\U0001f600".join(TEXT.split()))
+
+
 def test_alignment_is_the_edit_distance():
     index, item = Index.build([plain(TEXT)], Q, WINDOW, EDITS), plain(TEXT)
     for seed in range(12):
