@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skirmish.llm import decontamination, line_dedup, packing, simhash, toxicity
-from skirmish.llm.common import crc_mod5, cut, read
+from skirmish.llm.common import columns_of, crc_mod5, cut, read
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +26,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """All documents; of lines that three or more hold, only the largest doc_id keeps its own. n_chars follows the text."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     # Other columns travel as one, whatever their names.
-    kept = line_dedup.dedup(docs.select("doc_id", "text", F.struct(*rest).alias("rest")))
+    columns = dict(zip(docs.columns, columns_of(docs), strict=True))
+    kept = line_dedup.dedup(docs.select("doc_id", "text", F.struct(*[columns[c] for c in rest]).alias("rest")))
     new = {c: F.col("rest")[c] for c in rest} | {"doc_id": F.col("doc_id"), "text": F.when(F.col("text").isNotNull(), F.col("kept_text"))}
     if "n_chars" in rest:
         new["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(new["n_chars"])
