@@ -15,6 +15,9 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -25,12 +28,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from skirmish.llm.common import columns_of, cut, prepare
+from skirmish.llm.common import columns_of, cut, prepare, scratch_dir
 
 MIN_CHARS, MIN_DOCS = 20, 3
-#: Bytes of exact rows (24 for each repeated key) that may be sent to every executor, and bytes of filters at a time.
+#: Bytes of exact rows (24 for each repeated key) and of filters that may be sent to every executor.
 BROADCAST_BYTES = 64 << 20
 FILTER_BYTES = 128 << 20
+#: References that meet one copy of a shard's filter, where filters aren't sent.
+PART_ROWS = 2_000_000
 KEY = ["hi", "lo"]
 
 
@@ -156,13 +161,11 @@ def build_filters(keys: DataFrame, shards: int, room: int = 1) -> DataFrame:
     return keys.select(shard_of(shards).alias("shard"), *KEY).groupBy("shard").applyInPandas(build, "shard int, filter binary")
 
 
-def filter_slices(filters: DataFrame, limit: int) -> Iterator[dict[int, CuckooFilter]]:
-    """The shards' filters, as many at a time as fit the limit, one at least."""
-    sizes = [(r["shard"], r["n"]) for r in filters.select("shard", F.length("filter").alias("n")).orderBy("shard").collect()]
-    while sizes:
-        take = max(1, sum(t <= limit for t in np.cumsum([n for _, n in sizes]).tolist()))
-        part, sizes = sizes[:take], sizes[take:]
-        yield {r["shard"]: CuckooFilter.from_bytes(bytes(r["filter"])) for r in filters.where(F.col("shard").between(part[0][0], part[-1][0])).collect()}
+def small_filters(filters: DataFrame, limit: int) -> dict[int, CuckooFilter] | None:
+    """The shards' filters, if all together fit the limit."""
+    if (filters.agg(F.sum(F.length("filter"))).first()[0] or 0) > limit:
+        return None
+    return {r["shard"]: CuckooFilter.from_bytes(bytes(r["filter"])) for r in filters.collect()}
 
 
 def hits(filters: dict[int, CuckooFilter], shards: int, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
@@ -208,9 +211,7 @@ def _result(text: bytes, gone: Iterable[bool], want_text: bool) -> tuple[int, in
 
 def _drop_by_broadcast(docs: DataFrame, repeated: DataFrame, filters: DataFrame, shards: int, min_chars: int, want_text: bool) -> DataFrame:
     """The exact rows fit everywhere: texts stay where they are. Lines pass their shard's filter, then the exact rows."""
-    known: dict[int, CuckooFilter] = {}
-    for part in filter_slices(filters, FILTER_BYTES):
-        known |= part  # all together smaller than the exact rows
+    known = small_filters(filters, 1 << 62)  # smaller than the exact rows
     table = docs.sparkSession.sparkContext.broadcast((known, Exact(repeated.select(*KEY, "last_doc").toArrow())))
     types = (pa.int64(), pa.int64(), pa.string(), pa.string())
     names = [c.split()[0] for c in _RESULT.split(", ")]
@@ -245,21 +246,35 @@ def _drop_by_broadcast(docs: DataFrame, repeated: DataFrame, filters: DataFrame,
 
 
 def _admitted(keys: DataFrame, filters: DataFrame, shards: int, limit: int, *more: str) -> DataFrame:
-    """Rows of keys (hi, lo and the named columns) that the filters admit; one look at them for each slice of filters
-    that is sent, so that nothing but hits is shuffled."""
+    """Rows of keys (hi, lo and the named columns) that the filters admit, in one pass over them. Filters within the limit
+    are sent to the rows, so that nothing but hits is shuffled; beyond it rows are dealt to their shard's filter, where a
+    shard with many rows, such as that of a key which a third of all documents hold, has many parts with a filter each."""
     rows = keys.select(*KEY, *more)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
-    out = keys.sparkSession.createDataFrame([], schema)
-    for part in filter_slices(filters, limit):
-        sent = keys.sparkSession.sparkContext.broadcast(part)
+    known = small_filters(filters, limit)
+    if known is not None:
+        sent = keys.sparkSession.sparkContext.broadcast(known)
 
-        def sift(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def sift(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hi, lo = (batch.column(i).to_numpy().view(np.uint64) for i in (0, 1))
                 yield batch.filter(pa.array(hits(sent.value, shards, hi, lo)))
 
-        out = out.unionAll(rows.mapInArrow(sift, schema))
-    return out
+        return rows.mapInArrow(sift, rows.schema)
+    dealt = rows.withColumn("shard", shard_of(shards))
+    parts = dealt.groupBy("shard").agg(F.count("*").alias("n"))  # a row a shard
+    parts = parts.select("shard", F.ceil(F.col("n") / PART_ROWS).cast("int").alias("parts"))
+    # By all columns, as a key's rows must part too.
+    dealt = dealt.join(F.broadcast(parts), "shard").withColumn("part", F.pmod(F.xxhash64(*KEY, *more), F.col("parts")).cast("int"))
+    each = filters.join(parts, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "filter")
+
+    def probe(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.select([*KEY, *more])
+        if not len(right) or not len(left):
+            return rows.slice(0, 0)
+        cuckoo = CuckooFilter.from_bytes(right["filter"][0].as_py())
+        return rows.filter(pa.array(cuckoo.contains(*(rows[c].to_numpy().view(np.uint64) for c in KEY))))
+
+    return dealt.drop("parts").groupBy("shard", "part").cogroup(each.groupBy("shard", "part")).applyInArrow(probe, rows.schema)
 
 
 def _drop_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, filters: DataFrame, shards: int, min_chars: int, want_text: bool, filter_bytes: int, shard_keys: int) -> DataFrame:
@@ -273,9 +288,9 @@ def _drop_by_join(docs: DataFrame, refs: DataFrame, repeated: DataFrame, filters
     id_shards = max(1, -(-lists.count() // shard_keys))
     whole = docs.select(F.struct(*columns_of(docs)).alias("whole"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     named = whole.where("doc_id is not null")
-    slices = list(filter_slices(cut(build_filters(lists.select(*id_keys), id_shards)), filter_bytes))
-    if len(slices) <= 1:
-        sent = spark.sparkContext.broadcast(slices[0] if slices else {})
+    listing = small_filters(cut(build_filters(lists.select(*id_keys), id_shards)), filter_bytes)
+    if listing is not None:
+        sent = spark.sparkContext.broadcast(listing)
 
         @F.pandas_udf("boolean")
         def listed(hi: pd.Series, lo: pd.Series) -> pd.Series:
@@ -319,67 +334,154 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
 
 
 class LineStore:
-    """The incremental form: logs of references and counts in the shared folder, and a filter for each shard.
-
-    insert() and delete() read and write what they touch: references of the documents at hand, counts of their keys, and
-    filters of shards in which a key crosses the limit. Newer rows of a log hold over older ones; a log of more than
-    `merge_after` parts is merged into one. Deleting what was inserted restores counts, filters' answers and the result
-    of apply()."""
-
-    def __init__(self, spark: SparkSession, shards: int = 8, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, merge_after: int = 8) -> None:
-        self.spark, self.shards, self.min_chars, self.min_docs, self.merge_after = spark, shards, min_chars, min_docs, merge_after
-        self._refs: list[DataFrame] = []  # hi, lo, doc_id, sign
-        self._counts: list[DataFrame] = []  # hi, lo, n_docs, last_doc, step
-        self._filters: list[DataFrame] = []  # shard, filter, step
-        self._step = 0
-
-    def _log(self, parts: list[DataFrame], schema: str) -> DataFrame:
-        out = self.spark.createDataFrame([], schema)
-        for part in parts:
-            out = out.unionAll(part)
-        return out
+    """The incremental form, kept under a path that outlives the application: logs of references by key, of references by
+    document and of counts, each in shards, and a filter for each shard.
+
+    insert() and delete() read and write what they touch: the documents' references, and in the shards of their keys (folders,
+    which prune the scan) the rows of these keys alone, picked out before anything is grouped; filters of shards in which a
+    key crosses the limit. Inserting an id that the store holds replaces the document. Newer rows of a log hold over
+    older ones; `merge_after` parts of one size make one of the next, so a row is rewritten as often as the logarithm of the
+    log. A step is in force once its manifest stands: an update that dies leaves the former state, and open() finds the last
+    one. One update runs at a time. Deleting what was inserted restores counts, filters' answers and the result of apply()."""
+
+    LOGS = {
+        "refs": "hi long, lo long, doc_id long, sign int",
+        "docs": "hi long, lo long, doc_id long, sign int",
+        "counts": "hi long, lo long, n_docs long, last_doc long",
+        "filters": "filter binary",
+    }
+
+    def __init__(self, spark: SparkSession, path: str | None = None, shards: int = 8, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, merge_after: int = 8) -> None:
+        self.spark, self.path = spark, (path or f"{scratch_dir(spark)}/line-store-{uuid.uuid4().hex}").rstrip("/")
+        if self._steps():
+            raise ValueError(f"{self.path} holds a store; use open()")
+        self.shards, self.min_chars, self.min_docs, self.merge_after = shards, min_chars, min_docs, max(2, merge_after)
+        self._step, self._parts = 0, {log: [] for log in self.LOGS}  # of each log [part, level], oldest first
+        self._commit()
 
-    def _live(self) -> DataFrame:
-        log = self._log(self._refs, "hi long, lo long, doc_id long, sign int")
-        return log.groupBy(*KEY, "doc_id").agg(F.sum("sign").alias("n")).where("n > 0").select(*KEY, "doc_id")
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> LineStore:
+        """The store at a path, as its last whole step left it."""
+        out = cls.__new__(cls)
+        out.spark, out.path = spark, path.rstrip("/")
+        steps = out._steps()
+        if not steps:
+            raise FileNotFoundError(f"no store at {path}")
+        said = json.loads(spark.read.text(f"{out.path}/steps/{max(steps)}.json", wholetext=True).first()[0])
+        out.shards, out.min_chars, out.min_docs, out.merge_after = (said[c] for c in ("shards", "min_chars", "min_docs", "merge_after"))
+        out._step, out._parts = said["step"], said["parts"]
+        return out
 
-    def _all_counts(self) -> DataFrame:
-        log = self._log(self._counts, "hi long, lo long, n_docs long, last_doc long, step int")
-        newest = F.max(F.struct("step", "n_docs", "last_doc")).alias("c")
-        return log.groupBy(*KEY).agg(newest).select(*KEY, "c.n_docs", "c.last_doc")
+    def _files(self, path: str):
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
+
+    def _steps(self) -> list[int]:
+        files, at = self._files(f"{self.path}/steps")
+        names = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
+        return [int(n[:-5]) for n in names if re.fullmatch(r"[0-9]+\.json", n)]
+
+    def _commit(self) -> None:
+        said = {"step": self._step, "shards": self.shards, "min_chars": self.min_chars, "min_docs": self.min_docs, "merge_after": self.merge_after, "parts": self._parts}
+        files, at = self._files(f"{self.path}/steps/.{self._step}")
+        out = files.create(at, True)
+        out.write(bytearray(json.dumps(said).encode()))
+        out.close()
+        _, to = self._files(f"{self.path}/steps/{self._step}.json")
+        if not files.rename(at, to):
+            raise RuntimeError(f"{to.toString()} can't be written: is another update running?")
+
+    def _write(self, log: str, rows: DataFrame) -> None:
+        """A new part of a log; rows have a shard."""
+        self._step += 1
+        rows.repartition("shard").write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/{log}/part={self._step}")
+        self._parts[log].append([self._step, 0])
+
+    def _log(self, log: str, shards: list[int] | None = None, parts: list[list[int]] | None = None) -> DataFrame:
+        """The rows of a log with their shard and part, of some shards only where these are given."""
+        schema = f"{self.LOGS[log]}, shard int, part long"
+        held = [p for p, _ in (self._parts[log] if parts is None else parts)]
+        paths = [f"{self.path}/{log}/part={p}" for p in held]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        out = self.spark.read.schema(schema).option("basePath", f"{self.path}/{log}").parquet(*paths)
+        return out if shards is None else out.where(F.col("shard").isin(shards))
+
+    def _merge(self) -> None:
+        """Parts of one size at a log's end become one of the next."""
+        for log, parts in self._parts.items():
+            while len(parts) >= self.merge_after and len({level for _, level in parts[-self.merge_after :]}) == 1:
+                old = parts[-self.merge_after :]
+                rows = self._log(log, parts=old)
+                if log in ("refs", "docs"):
+                    rows = rows.groupBy(*KEY, "doc_id", "shard").agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
+                elif log == "counts":
+                    rows = self._newest(rows).where("n_docs > 0" if len(old) == len(parts) else "true")
+                else:
+                    rows = rows.groupBy("shard").agg(F.max_by("filter", "part").alias("filter"))
+                self._write(log, rows)
+                parts[-len(old) - 1 :] = [[self._step, old[0][1] + 1]]
+
+    def _live(self, refs: DataFrame) -> DataFrame:
+        return refs.groupBy(*KEY, "doc_id").agg(F.sum("sign").alias("n")).where("n > 0").select(*KEY, "doc_id")
+
+    def _newest(self, counts: DataFrame) -> DataFrame:
+        newest = F.max(F.struct("part", "n_docs", "last_doc")).alias("c")
+        return counts.groupBy(*KEY, "shard").agg(newest).select(*KEY, "shard", "c.n_docs", "c.last_doc")
+
+    def touched_counts(self, keys: DataFrame, shards: list[int]) -> DataFrame:
+        """The counts of some keys, read from their shards and picked out before they are grouped."""
+        return self._newest(self._log("counts", shards).join(keys.select(*KEY), KEY, "left_semi"))
+
+    def touched_documents(self, doc_ids: DataFrame) -> DataFrame:
+        """References of some documents (doc_id, distinct), read from their shards and picked out before they are grouped."""
+        hit = doc_ids.select(self._doc_shard().alias("shard")).distinct().collect()  # at most the shards
+        return self._live(self._log("docs", [r["shard"] for r in hit]).join(doc_ids, "doc_id", "left_semi"))
+
+    def _doc_shard(self) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.lit(self.shards)).cast("int")
 
     def counts(self) -> DataFrame:
         """hi, lo, n_docs, last_doc of every key that a document holds."""
-        return self._all_counts().where("n_docs > 0")
+        return self._newest(self._log("counts")).where("n_docs > 0").drop("shard")
 
     def repeated(self) -> DataFrame:
-        return self._all_counts().where(F.col("n_docs") >= self.min_docs)
+        return self.counts().where(F.col("n_docs") >= self.min_docs)
 
     def filters(self) -> DataFrame:
         """shard, filter: the newest of each shard."""
-        log = self._log(self._filters, "shard int, filter binary, step int")
-        return log.groupBy("shard").agg(F.max_by("filter", "step").alias("filter"))
+        return self._log("filters").groupBy("shard").agg(F.max_by("filter", "part").alias("filter"))
 
     def _update(self, delta: DataFrame, sign: int) -> None:
         """delta: distinct references that come or go."""
-        self._step += 1
-        delta = cut(delta.select(*KEY, "doc_id", F.lit(sign).cast("int").alias("sign")))
-        touched = cut(delta.groupBy(*KEY).agg(F.count("*").alias("n"), F.max("doc_id").alias("top")))
-        known = self._all_counts().join(touched, KEY, "right")
+        delta = cut(delta.select(*KEY, "doc_id", F.lit(sign).cast("int").alias("sign"), shard_of(self.shards).alias("shard")))
+        touched = cut(delta.groupBy(*KEY, "shard").agg(F.count("*").alias("n"), F.max("doc_id").alias("top")))
+        hit = [r["shard"] for r in touched.select("shard").distinct().collect()]  # at most the shards
+        if not hit:
+            return
+        old = self.touched_counts(touched, hit).drop("shard")
+        known = cut(touched.join(old, KEY, "left"))
+        self._write("refs", delta)
+        self._write("docs", delta.withColumn("shard", self._doc_shard()))
         old_n = F.coalesce("n_docs", F.lit(0))
-        self._refs.append(delta)
         if sign > 0:
             last = F.greatest("last_doc", "top")
         else:  # the largest holder is sought anew only where it may have gone
-            seek = touched.join(self._all_counts(), KEY).where("last_doc <= top").select(*KEY)
-            live = self._live().join(seek, KEY, "left_semi").groupBy(*KEY).agg(F.max("doc_id").alias("next"))
+            seek = known.where("last_doc <= top").select(*KEY)
+            live = self._live(self._log("refs", hit).join(seek, KEY, "left_semi")).groupBy(*KEY).agg(F.max("doc_id").alias("next"))
             known = known.join(live, KEY, "left")
             last = F.when(F.col("last_doc") <= F.col("top"), F.col("next")).otherwise(F.col("last_doc"))
-        new = cut(known.select(*KEY, old_n.alias("was"), (old_n + sign * F.col("n")).alias("n_docs"), last.alias("last_doc")))
-        self._counts.append(new.select(*KEY, "n_docs", "last_doc", F.lit(self._step).alias("step")))
-        crossed = new.where((F.col("was") >= self.min_docs) != (F.col("n_docs") >= self.min_docs))
-        crossed = cut(crossed.select(shard_of(self.shards).alias("shard"), *KEY, F.lit(sign).alias("change")))
-        before = self.filters().join(crossed.select("shard").distinct(), "shard", "left_semi")
+        new = cut(known.select(*KEY, "shard", old_n.alias("was"), (old_n + sign * F.col("n")).alias("n_docs"), last.alias("last_doc")))
+        crossed = cut(new.where((F.col("was") >= self.min_docs) != (F.col("n_docs") >= self.min_docs)).select("shard", *KEY))
+        changed = [r["shard"] for r in crossed.select("shard").distinct().collect()]
+        self._write("counts", new.select(*KEY, "shard", "n_docs", "last_doc"))
+        if changed:
+            self._refilter(crossed, changed, sign)
+        self._merge()
+        self._commit()
+
+    def _refilter(self, crossed: DataFrame, changed: list[int], sign: int) -> None:
+        before = self._log("filters", changed).groupBy("shard").agg(F.max_by("filter", "part").alias("filter"))
 
         def update(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             cuckoo = CuckooFilter.from_bytes(bytes(left["filter"].iloc[0])) if len(left) else CuckooFilter(2 * len(right))
@@ -389,23 +491,22 @@ class LineStore:
 
         made = cut(before.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(update, "shard int, filter binary"))
         # Those that are full are built anew, with room for as many again.
-        own = self.repeated().join(made.where("filter is null").select("shard"), shard_of(self.shards) == F.col("shard"), "left_semi")
-        anew = build_filters(own, self.shards, 2)
-        self._filters.append(cut(made.where("filter is not null").unionAll(anew).withColumn("step", F.lit(self._step))))
-        if len(self._filters) > self.merge_after:
-            self._filters = [cut(self.filters().withColumn("step", F.lit(self._step)))]
-        if len(self._refs) > self.merge_after:
-            self._refs = [cut(self._live().withColumn("sign", F.lit(1)))]
-        if len(self._counts) > self.merge_after:
-            self._counts = [cut(self.counts().withColumn("step", F.lit(self._step)))]
+        full = [r["shard"] for r in made.where("filter is null").select("shard").collect()]
+        if full:
+            own = self._newest(self._log("counts", full)).where(F.col("n_docs") >= self.min_docs)
+            made = made.where("filter is not null").unionAll(build_filters(own, self.shards, 2))
+        self._write("filters", made)
 
     def insert(self, docs: DataFrame) -> None:
-        """Documents of ids not in the store; ids already there must be deleted first."""
-        self._update(references(docs, self.min_chars).distinct(), 1)
+        """Documents come in. Of an id that the store holds the former document goes first; rows of one id are one document."""
+        refs = cut(references(docs, self.min_chars).distinct())
+        ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+        self.delete(ids)
+        self._update(refs, 1)
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Forget the documents; ids that the store doesn't know change nothing."""
-        self._update(self._live().join(doc_ids.select(F.col("doc_id").cast("long")).distinct(), "doc_id", "left_semi"), -1)
+        self._update(self.touched_documents(doc_ids.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()), -1)
 
     def apply(self, docs: DataFrame, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """docs cut as dedup() cuts them, by what the store holds: a repeated line stays in the largest document of the

@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from helpers import clashing, empty, odd_documents
+from helpers import clashing, empty, odd_documents, prose
 
 from skirmish.llm import line_dedup
 from skirmish.llm.line_dedup import CuckooFilter, Exact, LineStore, dedup
@@ -128,9 +128,69 @@ def test_store_touches_what_changes(spark):
     store = LineStore(spark, shards=64)
     store.insert(df([(d, "\n".join(f"line {i:04d} of a common text" for i in range(300))) for d in range(4)]))
     blobs = lambda: {r["shard"]: bytes(r["filter"]) for r in store.filters().collect()}
-    filters, parts = blobs(), list(store._counts)
+    rows = lambda log, n=1: store._log(log, parts=store._parts[log][-n:]).count()
+    filters, parts = blobs(), {log: list(p) for log, p in store._parts.items()}
     store.insert(df([(9, "line 0007 of a common text\none that is new to the store"), (10, "too short")]))
-    assert store._counts[:-1] == parts and store._counts[-1].count() == 2 and store._refs[-1].count() == 2
-    assert blobs() == filters and store._filters[-1].count() == 0
+    assert all(store._parts[log][:-1] == parts[log] and rows(log) == 2 for log in ("refs", "docs", "counts"))
+    assert blobs() == filters and store._parts["filters"] == parts["filters"]
     store.insert(df([(11, "one that is new to the store"), (12, "one that is new to the store")]))
-    assert store._filters[-1].count() == 1 and sum(blobs()[s] != b for s, b in filters.items()) <= 1 and store.repeated().count() == 301
+    assert rows("filters") == 1 and sum(blobs()[s] != b for s, b in filters.items()) <= 1 and store.repeated().count() == 301
+
+
+def test_store_reads_what_it_touches(spark):
+    """Scans of an update are pruned to the shards at hand, and rows are picked out before they are grouped."""
+    df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    store = LineStore(spark, shards=32)
+    store.insert(df([(d, "\n".join(f"line {i:04d} of a common text" for i in range(200))) for d in range(3)]))
+    keys = line_dedup.references(df([(9, "line 0007 of a common text")])).withColumn("shard", line_dedup.shard_of(32))
+    hit = [r["shard"] for r in keys.select("shard").collect()]
+    for made, n in ((store.touched_counts(keys, hit), 1), (store.touched_documents(df([(1, "")]).select("doc_id")), 200)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Aggregate") < plan.index("LeftSemi") < plan.index("Relation") and plan.count("Aggregate") == 1
+        scan = made._jdf.queryExecution().executedPlan().toString()
+        assert "shard#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+        assert made.count() == n
+        assert len(made.inputFiles()) < 200  # files of all 32 shards at most; pruned when read
+
+
+def test_store_replaces_and_is_reopened(spark, tmp_path):
+    """An id inserted again replaces its document; another application finds the store by its path; a step that died counts
+    for nothing."""
+    df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    lines = [f"a line of text that is number {i:04d}" for i in range(9)]
+    path = f"file://{tmp_path}/store"
+    store = LineStore(spark, path, shards=4, merge_after=3)
+    store.insert(df([(1, lines[0]), (2, lines[0])]))
+    store.insert(df([(1, f"{lines[0]}\n{lines[1]}"), (1, lines[2])]))
+    assert sorted((r["n_docs"], r["last_doc"]) for r in store.counts().collect()) == [(1, 1), (1, 1), (2, 2)] and store.repeated().count() == 0
+    docs = [(d, "\n".join(lines[d % 4 : d % 4 + 4])) for d in range(1, 9)]
+    store.insert(df(docs[:5]))
+    again = LineStore.open(spark, path)
+    assert (again.shards, again.merge_after) == (4, 3)
+    again._write("counts", again._log("counts"))  # an update that dies before its manifest
+    again = LineStore.open(spark, path)
+    again.insert(df(docs[3:]))
+    again.delete(df([(2, ""), (6, "")]).select("doc_id"))
+    left = [d for d in docs if d[0] not in (2, 6)]
+    assert result(again.apply(df(left))) == brute(left) == result(dedup(df(left)))
+    assert max(len(p) for p in again._parts.values()) <= 6
+    with pytest.raises(ValueError, match="open"):
+        LineStore(spark, path)
+    with pytest.raises(FileNotFoundError):
+        LineStore.open(spark, f"{path}-not")
+
+
+def test_references_meet_their_filter_in_parts(spark, monkeypatch):
+    """Filters that aren't sent: references are dealt to their shard, a shard's in several parts, and all hits come."""
+    monkeypatch.setattr(line_dedup, "PART_ROWS", 40)
+    common = "the line that a third of all documents hold"
+    docs = [(d, f"{common}\n{prose(d, 9)}\nshared by three of them {d // 3:05d}") for d in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    refs = line_dedup.references(df)
+    repeated = line_dedup.reference_counts(refs).where("n_docs >= 3")
+    filters = line_dedup.build_filters(repeated, 3)
+    sent, dealt = (sorted(map(tuple, line_dedup._admitted(refs, filters, 3, limit, "doc_id").collect())) for limit in (1 << 20, 0))
+    assert sent == dealt and len(sent) >= 600
+    plan = line_dedup._admitted(refs, filters, 3, 0, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroups") == 1
+    assert result(dedup(df, broadcast_bytes=0, filter_bytes=0, shard_keys=50)) == result(dedup(df)) == brute(docs)
