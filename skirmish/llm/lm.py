@@ -9,7 +9,7 @@ The model is as large as the corpus and is never broadcast or collected. Documen
 few blocks a batch. Each block's different words and pairs, as sorted 64-bit hashes with counts, go to shards by hash
 range, one row for a batch and a shard; each shard adds them up over the corpus and answers every batch with the totals
 of what its blocks asked for, in the blocks' own order. Batches meet their answers again and score themselves. So the
-exchange has as many rows as a shuffle of that many tasks has segments. A word or pair in a third of all documents is one
+exchange has as many rows as there are batches times shards, and both grow with the square root of the input. A word or pair in a third of all documents is one
 key for each block, so no shard is hot. Shards follow from the bytes of all texts, summed in a pass of their own. Only the weights (32 buckets x 3) and the histogram they are fitted to (bounded by its bins)
 reach the driver.
 
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -37,10 +38,13 @@ from pyspark.sql import functions as F
 from skirmish.llm.common import cut, prepare
 
 BLOCK_BYTES = 4 << 20
-#: Blocks to a batch.
+#: Blocks to a batch, at least.
 BATCH = 4
-#: Input bytes to a shard, about a million and a half keys, and the least number of shards.
+#: Input bytes to a shard, about a million and a half keys, at least; and the least number of shards.
 SHARD_BYTES, LEAST_SHARDS = 8 << 20, 64
+#: Beyond LEAST_SHARDS shards both sizes grow with the square root of the input, up to so many times: so rows of the exchange,
+#: batches x shards, grow as the input does, and a task holds about 130 MB of text at most.
+GROWTH = 8
 RETAINED, HELD, TEST = 0, 1, 2
 END = xxhash.xxh64_intdigest(b"\n", 3)  # no word has white space; as a context it means a text's beginning
 BUCKETS = 32
@@ -71,7 +75,13 @@ def pieces(text: bytes, size: int) -> Iterator[tuple[bytes, bytes, bool]]:
     yield text[at:], before, True
 
 
-def assigned(block_bytes: int):
+def sizes_for(total: int, shard_bytes: int = SHARD_BYTES) -> tuple[int, int]:
+    """(shards, blocks to a batch) for so many bytes of text."""
+    growth = min(GROWTH, max(1.0, (total / (LEAST_SHARDS * shard_bytes)) ** 0.5))
+    return max(LEAST_SHARDS, ceil(total / (shard_bytes * growth))), round(BATCH * growth)
+
+
+def assigned(block_bytes: int, batch_blocks: int = BATCH):
     """From batches of with_parts() to batches of BLOCK_SCHEMA. Held-out parts have blocks of their own (odd batches),
     whether the others are read or not."""
 
@@ -83,7 +93,7 @@ def assigned(block_bytes: int):
             for doc, part, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 kind = int(part == HELD)
                 for piece, before, last in pieces(text, block_bytes):
-                    made.append((2 * ((partition << 24) + number[kind] // BATCH) + kind, number[kind] % BATCH, (partition << 40) + row, doc, part, piece, before, last))
+                    made.append((2 * ((partition << 24) + number[kind] // batch_blocks) + kind, number[kind] % batch_blocks, (partition << 40) + row, doc, part, piece, before, last))
                     size[kind] += len(piece)
                     if size[kind] >= block_bytes:
                         number[kind], size[kind] = number[kind] + 1, 0
@@ -95,8 +105,8 @@ def assigned(block_bytes: int):
     return assign
 
 
-def in_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
-    return docs.mapInArrow(assigned(block_bytes), BLOCK_SCHEMA)
+def in_blocks(docs: DataFrame, block_bytes: int, batch_blocks: int = BATCH) -> DataFrame:
+    return docs.mapInArrow(assigned(block_bytes, batch_blocks), BLOCK_SCHEMA)
 
 
 class Block:
@@ -163,20 +173,20 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return out
 
 
-def _each_block(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, Block]]:
+def _each_block(batches: Iterable[pa.RecordBatch], batch_blocks: int) -> Iterator[tuple[int, int, Block]]:
     """(batch, block, the block) from rows in input order, where the two kinds of blocks take turns."""
     open_: dict[int, list[pa.Table]] = {}
     number: dict[int, int] = {}
 
     def closed(kind: int) -> tuple[int, int, Block]:
         table = pa.concat_tables(open_.pop(kind))
-        return number[kind] // BATCH, number[kind] % BATCH, Block.of(table)
+        return number[kind] // batch_blocks, number[kind] % batch_blocks, Block.of(table)
 
     for rows in batches:
         table = pa.Table.from_batches([rows])
-        block = table["batch"].to_numpy() * BATCH + table["block"].to_numpy()
+        block = table["batch"].to_numpy() * batch_blocks + table["block"].to_numpy()
         for b in pd.unique(block).tolist():
-            kind = b // BATCH & 1
+            kind = b // batch_blocks & 1
             if kind in open_ and number[kind] != b:
                 yield closed(kind)
             number[kind] = b
@@ -185,11 +195,11 @@ def _each_block(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, B
         yield closed(kind)
 
 
-def answers(docs: DataFrame, shards: int, block_bytes: int) -> DataFrame:
+def answers(docs: DataFrame, shards: int, block_bytes: int, batch_blocks: int = BATCH) -> DataFrame:
     """batch, shard, sizes, checks, total, retained: for each batch and shard the corpus counts of the keys of its blocks,
     one after the other; and for batch -1 the shard's sums. Not yet written down."""
 
-    assign = assigned(block_bytes)
+    assign = assigned(block_bytes, batch_blocks)
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sent(batch: int, blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -205,7 +215,7 @@ def answers(docs: DataFrame, shards: int, block_bytes: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)], ["batch", "shard", "sizes", "keys", "counts"])
 
         open_: dict[int, tuple[int, list]] = {}
-        for batch, _, block in _each_block(assign(batches)):
+        for batch, _, block in _each_block(assign(batches), batch_blocks):
             kind = batch & 1
             if kind in open_ and open_[kind][0] != batch:
                 yield sent(*open_.pop(kind))
@@ -309,8 +319,8 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SH
     prepare(docs.sparkSession)
     spark = docs.sparkSession
     rows = with_parts(docs)
-    shards = shards or max(LEAST_SHARDS, -(-(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
-    known = cut(answers(rows, shards, block_bytes))
+    derived, batch_blocks = sizes_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes)
+    known = cut(answers(rows, shards or derived, block_bytes, batch_blocks))
     sums = known.where("batch = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_n", "sum_v", "kept_n", "kept_v")]).first()
     n, v, kept_n, kept_v = (int(x) for x in sums)
     reply = known.where("batch >= 0").select("batch", "shard", "sizes", "checks", "total", "retained")
@@ -322,7 +332,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SH
             made.append(histogram(*estimates(word, context, pair, kept_n, kept_v), bucket_of(context)))
         return pa.Table.from_pandas(pd.concat(made), preserve_index=False)
 
-    held_blocks = in_blocks(rows.where(F.col("part") == HELD), block_bytes)
+    held_blocks = in_blocks(rows.where(F.col("part") == HELD), block_bytes, batch_blocks)
     held = held_blocks.groupBy("batch").cogroup(reply.where("batch % 2 = 1").groupBy("batch")).applyInArrow(observe, "bucket long, two long, one long, n long")
     weights = spark.sparkContext.broadcast(fit_weights(held.groupBy("bucket", "two", "one").agg(F.sum("n").alias("n")).toPandas()))
 
@@ -339,7 +349,7 @@ def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SH
             made.append(pa.table({"row": rows["row"], "doc_id": rows["doc_id"], "part": rows["part"], "n_tokens": block.sizes, "n_known": summed(word > 0).astype(np.int64), "base_score": summed(base), "score": summed(model)}))
         return pa.concat_tables(made)
 
-    pieces_ = in_blocks(rows, block_bytes).groupBy("batch").cogroup(reply.groupBy("batch")).applyInArrow(judge, "row long, doc_id long, part int, n_tokens long, n_known long, base_score double, score double")
+    pieces_ = in_blocks(rows, block_bytes, batch_blocks).groupBy("batch").cogroup(reply.groupBy("batch")).applyInArrow(judge, "row long, doc_id long, part int, n_tokens long, n_known long, base_score double, score double")
     # A text longer than a block has several pieces.
     whole = pieces_.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("part").alias("part"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")])
     return whole.select("doc_id", "part", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
