@@ -9,7 +9,8 @@ The model is as large as the corpus and is never broadcast or collected. Documen
 few blocks a batch. Each block's different words and pairs, as sorted 64-bit hashes with counts, go to shards by hash
 range, one row for a batch and a shard; each shard adds them up over the corpus and answers every batch with the totals
 of what its blocks asked for, in the blocks' own order. Batches meet their answers again and score themselves. So the
-exchange has as many rows as there are batches times shards, and both grow with the square root of the input. A word or pair in a third of all documents is one
+exchange has a row for each batch and shard; both grow with the square root of the input as far as memory goes, and beyond that
+shards are reached in two steps. A word or pair in a third of all documents is one
 key for each block, so no shard is hot. Shards follow from the bytes of all texts, summed in a pass of their own. Only the weights (32 buckets x 3) and the histogram they are fitted to (bounded by its bins)
 reach the driver.
 
@@ -43,8 +44,10 @@ BATCH = 4
 #: Input bytes to a shard, about a million and a half keys, at least; and the least number of shards.
 SHARD_BYTES, LEAST_SHARDS = 8 << 20, 64
 #: Beyond LEAST_SHARDS shards both sizes grow with the square root of the input, up to so many times: so rows of the exchange,
-#: batches x shards, grow as the input does, and a task holds about 130 MB of text at most.
-GROWTH = 8
+#: batches x shards, grow as the input does, as far as tasks hold about 50 MB of text.
+GROWTH = 3
+#: More shards than this are reached in two steps.
+DIRECT = 512
 RETAINED, HELD, TEST = 0, 1, 2
 END = xxhash.xxh64_intdigest(b"\n", 3)  # no word has white space; as a context it means a text's beginning
 BUCKETS = 32
@@ -195,9 +198,18 @@ def _each_block(batches: Iterable[pa.RecordBatch], batch_blocks: int) -> Iterato
         yield closed(kind)
 
 
-def answers(docs: DataFrame, shards: int, block_bytes: int, batch_blocks: int = BATCH) -> DataFrame:
-    """batch, shard, sizes, checks, total, retained: for each batch and shard the corpus counts of the keys of its blocks,
-    one after the other; and for batch -1 the shard's sums. Not yet written down."""
+def answers(docs: DataFrame, shards: int, block_bytes: int, batch_blocks: int = BATCH, direct: int = DIRECT, batches: int = 1) -> DataFrame:
+    """ANSWER: for each batch and shard the corpus counts of the keys of its blocks, one after the other; and for batch -1
+    a shard's sums. Not yet written down. More than `direct` shards are asked in two steps, by groups of shards, from
+    about so many batches in all."""
+    if shards > direct:
+        groups = ceil(shards**0.5)
+        return answers_in_two_steps(asked_of(docs, groups, block_bytes, batch_blocks), groups, ceil(shards / groups), max(1, ceil(batches / groups)))
+    return asked_of(docs, shards, block_bytes, batch_blocks).groupBy("shard").applyInPandas(_add_up, ANSWER)
+
+
+def asked_of(docs: DataFrame, shards: int, block_bytes: int, batch_blocks: int) -> DataFrame:
+    """ASKED: the keys of each batch's blocks, with their counts, for each shard that they fall to."""
 
     assign = assigned(block_bytes, batch_blocks)
 
@@ -223,28 +235,100 @@ def answers(docs: DataFrame, shards: int, block_bytes: int, batch_blocks: int =
         for left in open_.values():
             yield sent(*left)
 
+    return docs.mapInArrow(ask, ASKED)
+
+
+ASKED = "batch long, shard int, sizes array<long>, keys binary, counts binary"
+ANSWER = "batch long, shard int, sizes array<long>, checks array<long>, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long"
+
+
+def _totals(keys: np.ndarray, counts: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int, int, int]]:
+    """(count of each key, the same over retained documents, the shard's sums)"""
+    different, at = np.unique(keys, return_inverse=True)
+    total = np.bincount(at, counts, len(different)).astype(np.int64)
+    retained = np.bincount(at, np.where(held, 0, counts), len(different)).astype(np.int64)
+    word = (different & np.uint64(1)) == 1
+    return total[at], retained[at], (total[word].sum(), (total[word] > 0).sum(), retained[word].sum(), (retained[word] > 0).sum())
+
+
+def _asked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(all keys of some rows, their counts, how many each row has)"""
+    sizes = np.array([len(k) // 8 for k in pdf["keys"]])
+    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in pdf["keys"]])
+    return keys, np.concatenate([unpack(c, n) for c, n in zip(pdf["counts"], sizes, strict=True)]), sizes
+
+
+def _add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+    keys, counts, sizes = _asked(pdf)
+    total, retained, sums = _totals(keys, counts, np.repeat(pdf["batch"].to_numpy() & 1 == 1, sizes))
+    made, cuts = [], np.r_[0, np.cumsum(sizes)]
+    for i, (batch, each) in enumerate(zip(pdf["batch"].tolist(), pdf["sizes"], strict=True)):
+        own = slice(cuts[i], cuts[i + 1])
+        ends = cuts[i] + np.cumsum(each)
+        checks = [_check(keys[e - n : e]) for e, n in zip(ends.tolist(), list(each), strict=True)]
+        made.append((batch, list(each), checks, pack(total[own]), pack(retained[own]) if batch & 1 else None, 0, 0, 0, 0))
+    made.append((-1, [], [], None, None, *sums))
+    out = pd.DataFrame(made, columns=["batch", "sizes", "checks", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"])
+    out.insert(1, "shard", pdf["shard"].iloc[0])
+    return out
+
+
+def answers_in_two_steps(asked: DataFrame, groups: int, shards_of_group: int, sets: int) -> DataFrame:
+    """ANSWER to rows that were asked of `groups` ranges of the hash, each of so many shards. Batches form `sets`, and for each set and
+    group a task deals what its batches ask to the group's shards, a row for each; answers come back the same way. So no
+    step has a row for every batch and shard."""
+    edges = [((g * shards_of_group + s) << 64) // (groups * shards_of_group) for g in range(groups) for s in range(shards_of_group)]
+    set_of = F.pmod(F.xxhash64("batch"), F.lit(sets)).cast("int")
+
+    def route(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = int(pdf["shard"].iloc[0])
+        keys, counts, sizes = _asked(pdf)
+        inner = np.array(edges[group * shards_of_group + 1 : (group + 1) * shards_of_group], np.uint64)
+        blocks = np.concatenate([np.array(list(n), np.int64) for n in pdf["sizes"]])
+        begin = np.cumsum(blocks) - blocks
+        # Of each block, in turn, where the keys of each shard begin and end.
+        cuts = np.stack([b + np.r_[0, np.searchsorted(keys[b : b + n], inner), n] for b, n in zip(begin.tolist(), blocks.tolist(), strict=True)])
+        made = []
+        for s in range(shards_of_group):
+            at = np.concatenate([np.arange(x, y) for x, y in zip(cuts[:, s].tolist(), cuts[:, s + 1].tolist(), strict=True)])
+            made.append((pdf["set"].iloc[0], group * shards_of_group + s, pdf["batch"].tolist(), [len(n) for n in pdf["sizes"]], (cuts[:, s + 1] - cuts[:, s]).tolist(), keys[at].tobytes(), pack(counts[at])))
+        return pd.DataFrame(made, columns=["set", "shard", "batches", "blocks", "sizes", "keys", "counts"])
+
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
-        sizes = np.array([len(k) // 8 for k in pdf["keys"]])
-        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in pdf["keys"]])
-        counts = np.concatenate([unpack(c, n) for c, n in zip(pdf["counts"], sizes, strict=True)])
-        held = np.repeat(pdf["batch"].to_numpy() & 1 == 1, sizes)
-        different, at = np.unique(keys, return_inverse=True)
-        total = np.bincount(at, counts, len(different)).astype(np.int64)
-        retained = np.bincount(at, np.where(held, 0, counts), len(different)).astype(np.int64)
-        word = (different & np.uint64(1)) == 1
-        made, cuts = [], np.r_[0, np.cumsum(sizes)]
-        for i, (batch, each) in enumerate(zip(pdf["batch"].tolist(), pdf["sizes"], strict=True)):
-            own = at[cuts[i] : cuts[i + 1]]
-            ends = cuts[i] + np.cumsum(each)
-            checks = [_check(keys[e - n : e]) for e, n in zip(ends.tolist(), list(each), strict=True)]
-            made.append((batch, list(each), checks, pack(total[own]), pack(retained[own]) if batch & 1 else None, 0, 0, 0, 0))
-        made.append((-1, [], [], None, None, total[word].sum(), (total[word] > 0).sum(), retained[word].sum(), (retained[word] > 0).sum()))
-        out = pd.DataFrame(made, columns=["batch", "sizes", "checks", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"])
+        keys, counts, sizes = _asked(pdf)
+        held = np.concatenate([np.repeat(np.repeat(np.array(list(b), np.int64) & 1 == 1, list(k)), list(n)) for b, k, n in zip(pdf["batches"], pdf["blocks"], pdf["sizes"], strict=True)])
+        total, retained, sums = _totals(keys, counts, held)
+        ends = np.cumsum(sizes)
+        made = []
+        for (part, batches, blocks, each), end, n in zip(pdf[["set", "batches", "blocks", "sizes"]].itertuples(index=False), ends.tolist(), sizes.tolist(), strict=True):
+            spots = end - n + np.cumsum(list(each))
+            checks = [_check(keys[e - m : e]) for e, m in zip(spots.tolist(), list(each), strict=True)]
+            made.append((part, list(batches), list(blocks), list(each), checks, pack(total[end - n : end]), pack(retained[end - n : end]), 0, 0, 0, 0))
+        made.append((-1, [], [], [], [], None, None, *sums))
+        out = pd.DataFrame(made, columns=["set", "batches", "blocks", "sizes", "checks", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"])
         out.insert(1, "shard", pdf["shard"].iloc[0])
         return out
 
-    asked = docs.mapInArrow(ask, "batch long, shard int, sizes array<long>, keys binary, counts binary")
-    return asked.groupBy("shard").applyInPandas(add_up, "batch long, shard int, sizes array<long>, checks array<long>, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long")
+    def back(pdf: pd.DataFrame) -> pd.DataFrame:
+        columns = ["batch", "shard", "sizes", "checks", "total", "retained", "sum_n", "sum_v", "kept_n", "kept_v"]
+        if pdf["set"].iloc[0] < 0:  # sums, a row each
+            return pdf.assign(batch=-1)[columns]
+        pdf = pdf.sort_values("shard")
+        batches, blocks = list(pdf["batches"].iloc[0]), list(pdf["blocks"].iloc[0])
+        sizes = np.array([list(n) for n in pdf["sizes"]], np.int64)  # a row a shard, a column a block
+        checks = np.array([list(c) for c in pdf["checks"]], np.int64).view(np.uint64).sum(0, dtype=np.uint64).view(np.int64)
+        values = {c: [unpack(d, int(n.sum())) for d, n in zip(pdf[c], sizes, strict=True)] for c in ("total", "retained")}
+        ends, made, first = np.cumsum(sizes, 1), [], 0
+        for batch, k in zip(batches, blocks, strict=True):
+            own = range(first, first + k)
+            joined = {c: np.concatenate([v[s][ends[s, i] - sizes[s, i] : ends[s, i]] for i in own for s in range(len(sizes))]) for c, v in values.items()}
+            made.append((batch, int(pdf["group"].iloc[0]), sizes[:, first : first + k].sum(0).tolist(), checks[first : first + k].tolist(), pack(joined["total"]), pack(joined["retained"]) if batch & 1 else None, 0, 0, 0, 0))
+            first += k
+        return pd.DataFrame(made, columns=columns)
+
+    dealt = asked.withColumn("set", set_of).groupBy("set", "shard").applyInPandas(route, "set int, shard int, batches array<long>, blocks array<int>, sizes array<long>, keys binary, counts binary")
+    told = dealt.groupBy("shard").applyInPandas(add_up, "set int, shard int, batches array<long>, blocks array<int>, sizes array<long>, checks array<long>, total binary, retained binary, sum_n long, sum_v long, kept_n long, kept_v long")
+    return told.withColumn("group", F.floor(F.col("shard") / shards_of_group).cast("int")).groupBy("set", "group").applyInPandas(back, ANSWER)
 
 
 def _check(keys: np.ndarray) -> int:
@@ -314,13 +398,14 @@ def fit_weights(held: pd.DataFrame, rounds: int = 60, prior: float = 20.0, floor
     return weights
 
 
-def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, shards: int | None = None) -> DataFrame:
+def score(docs: DataFrame, block_bytes: int = BLOCK_BYTES, shard_bytes: int = SHARD_BYTES, shards: int | None = None, direct: int = DIRECT) -> DataFrame:
     """doc_id, part, n_tokens, n_known, train_tokens, base_score, score for each row of docs."""
     prepare(docs.sparkSession)
     spark = docs.sparkSession
     rows = with_parts(docs)
-    derived, batch_blocks = sizes_for(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0, shard_bytes)
-    known = cut(answers(rows, shards or derived, block_bytes, batch_blocks))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    derived, batch_blocks = sizes_for(total, shard_bytes)
+    known = cut(answers(rows, shards or derived, block_bytes, batch_blocks, direct, ceil(total / (block_bytes * batch_blocks))))
     sums = known.where("batch = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("sum_n", "sum_v", "kept_n", "kept_v")]).first()
     n, v, kept_n, kept_v = (int(x) for x in sums)
     reply = known.where("batch >= 0").select("batch", "shard", "sizes", "checks", "total", "retained")
