@@ -28,12 +28,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skirmish.llm import langid
+from skirmish.llm import langid, line_dedup
 from skirmish.llm.common import columns_of, crc_mod5, cut, prepare, text_hash
 
 WORD_BITS, STEM_BITS, STEM_BYTES = 16, 16, 6
 DIM, FILTERS, WIDTHS = 16, 8, (1, 2, 3)
 PER_CLASS, EPOCHS, LEAST_STEPS, CHUNK = 4000, 8, 250, 1 << 16
+#: Bytes of a filter of rejected texts that may be sent to every executor.
+FILTER_BYTES = 64 << 20
 #: Words of all training documents together.
 SAMPLE_WORDS = 8_000_000
 #: Scores are counted in bins of this many to a unit of the logit, and end at LIMIT.
@@ -323,12 +325,29 @@ def scores(points: DataFrame, model: Model) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, points: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known
-    by their texts' hashes; they are the fewer, and the others needn't move if these fit a broadcast."""
-    bad = points.where(model.score() >= 0.5).select("t1", "t2").distinct()
+def without_toxic(docs: DataFrame, points: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES, exceptions: int = 100_000) -> DataFrame:
+    """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known by
+    their texts' hashes. A cuckoo filter of these goes to the rows, and with it the few kept texts that it takes for
+    rejected ones, found in the points beforehand: no text moves. Where either is too large to send, rows are joined."""
+    prepare(docs.sparkSession)
+    keys = [F.col("t1").alias("hi"), F.col("t2").alias("lo")]
+    rejected = model.score() >= 0.5
+    bad = cut(points.where(rejected).select(*keys).distinct())
     rows = docs.select(F.struct(*columns_of(docs)).alias("row"), *text_hash())
-    return rows.join(bad, ["t1", "t2"], "left_anti").select("row.*")
+    shards = max(1, -(-bad.count() // 500_000))
+    filters = line_dedup.small_filters(cut(line_dedup.build_filters(bad, shards)), filter_bytes)
+    if filters is not None:
+        sent = docs.sparkSession.sparkContext.broadcast(filters)
+
+        @F.pandas_udf("boolean")
+        def listed(hi: pd.Series, lo: pd.Series) -> pd.Series:
+            return pd.Series(line_dedup.hits(sent.value, shards, hi.to_numpy().view(np.uint64), lo.to_numpy().view(np.uint64)))
+
+        kept = cut(points.where(~rejected).select("t1", "t2").where(listed("t1", "t2")).distinct())
+        if kept.count() <= exceptions:
+            known = rows.withColumn("listed", listed("t1", "t2")).join(F.broadcast(kept.withColumn("kept", F.lit(True))), ["t1", "t2"], "left")
+            return known.where(~F.col("listed") | F.col("kept")).select("row.*")
+    return rows.join(bad.toDF("t1", "t2"), ["t1", "t2"], "left_anti").select("row.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import pandas as pd
 from helpers import clashing, empty, mod5, odd_documents, prose
 from pyspark.sql import functions as F
 
+from skirmish.llm import line_dedup
 from skirmish.llm.toxicity import CHUNK, DIM, FILTERS, STEM_BITS, WIDTHS, ConvNet, best_threshold, digest, fit, learn, loss_and_gradients, scorer, thresholds, without_toxic, word_ids
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -22,7 +23,7 @@ def planted():
     return rows, [(i, 1, int(i % 4 == 0)) for i in range(400)]
 
 
-def test_odd_documents_and_labels(spark):
+def test_odd_documents_and_labels(spark, monkeypatch):
     rows, marks = planted()
     odd = [(5000 + (r[0] or 0), *r[1:]) for r in odd_documents()]
     marks += [(1, 0, None), (None, 0, 1), (3, 0, 0), (3, 0, 0), (999_999, 1, 1)]
@@ -39,6 +40,14 @@ def test_odd_documents_and_labels(spark):
     assert points.count() == docs.count()
     kept = without_toxic(docs, points, model)
     assert kept.columns == docs.columns and 270 < kept.where("doc_id < 400").count() < 330
+    # By the filter, by a join, and by a filter that takes every kept text for a rejected one, the same rows stay.
+    want = sorted(map(repr, kept.collect()))
+    assert sorted(map(repr, without_toxic(docs, points, model, filter_bytes=0).collect())) == want
+    wrong = line_dedup.CuckooFilter(1)
+    wrong.mask, wrong.table = 1, np.tile(np.arange(1, 1 << 16, dtype=np.uint16), (2, 1))
+    monkeypatch.setattr(line_dedup, "small_filters", lambda *_: {0: wrong})
+    for exceptions in (100_000, 5):
+        assert sorted(map(repr, without_toxic(docs, points, model, exceptions=exceptions).collect())) == want
 
 
 def test_labels_of_one_kind_or_none(spark):
