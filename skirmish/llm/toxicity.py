@@ -325,16 +325,20 @@ def scores(points: DataFrame, model: Model) -> DataFrame:
     return scored.select("doc_id", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def without_toxic(docs: DataFrame, points: DataFrame, model: Model, filter_bytes: int = FILTER_BYTES, exceptions: int = 100_000) -> DataFrame:
+def without_toxic(docs: DataFrame, points: DataFrame, model: Model, broadcast_rows: int = 500_000, filter_bytes: int = FILTER_BYTES, exceptions: int = 100_000) -> DataFrame:
     """The rows of docs that the model does not reject, unchanged. A score is that of a text, so the rejected are known by
-    their texts' hashes. A cuckoo filter of these goes to the rows, and with it the few kept texts that it takes for
-    rejected ones, found in the points beforehand: no text moves. Where either is too large to send, rows are joined."""
+    their texts' hashes. Up to broadcast_rows of these go to the rows; beyond that a cuckoo filter of them does, and with it the few
+    kept texts that it takes for rejected ones, found in the points beforehand: no text moves. Where either is too large to
+    send, rows are joined."""
     prepare(docs.sparkSession)
     keys = [F.col("t1").alias("hi"), F.col("t2").alias("lo")]
     rejected = model.score() >= 0.5
     bad = cut(points.where(rejected).select(*keys).distinct())
     rows = docs.select(F.struct(*columns_of(docs)).alias("row"), *text_hash())
-    shards = max(1, -(-bad.count() // 500_000))
+    n = bad.count()
+    if n <= broadcast_rows:
+        return rows.join(F.broadcast(bad.toDF("t1", "t2")), ["t1", "t2"], "left_anti").select("row.*")
+    shards = -(-n // 500_000)
     filters = line_dedup.small_filters(cut(line_dedup.build_filters(bad, shards)), filter_bytes)
     if filters is not None:
         sent = docs.sparkSession.sparkContext.broadcast(filters)

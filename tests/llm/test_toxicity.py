@@ -40,14 +40,15 @@ def test_odd_documents_and_labels(spark, monkeypatch):
     assert points.count() == docs.count()
     kept = without_toxic(docs, points, model)
     assert kept.columns == docs.columns and 270 < kept.where("doc_id < 400").count() < 330
-    # By the filter, by a join, and by a filter that takes every kept text for a rejected one, the same rows stay.
+    # Sent along, by the filter, by a join, and by a filter that takes every kept text for a rejected one, the same rows stay.
     want = sorted(map(repr, kept.collect()))
-    assert sorted(map(repr, without_toxic(docs, points, model, filter_bytes=0).collect())) == want
+    for filter_bytes in (1 << 20, 0):
+        assert sorted(map(repr, without_toxic(docs, points, model, broadcast_rows=0, filter_bytes=filter_bytes).collect())) == want
     wrong = line_dedup.CuckooFilter(1)
     wrong.mask, wrong.table = 1, np.tile(np.arange(1, 1 << 16, dtype=np.uint16), (2, 1))
     monkeypatch.setattr(line_dedup, "small_filters", lambda *_: {0: wrong})
     for exceptions in (100_000, 5):
-        assert sorted(map(repr, without_toxic(docs, points, model, exceptions=exceptions).collect())) == want
+        assert sorted(map(repr, without_toxic(docs, points, model, broadcast_rows=0, exceptions=exceptions).collect())) == want
 
 
 def test_labels_of_one_kind_or_none(spark):
