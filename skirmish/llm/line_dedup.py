@@ -19,6 +19,7 @@ import json
 import re
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -36,6 +37,8 @@ BROADCAST_BYTES = 64 << 20
 FILTER_BYTES = 128 << 20
 #: References that meet one copy of a shard's filter, where filters aren't sent.
 PART_ROWS = 2_000_000
+#: Documents for each shard of a store.
+DOCS_A_SHARD = 500_000
 KEY = ["hi", "lo"]
 
 
@@ -333,6 +336,11 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
     return _drop_by_join(docs, refs, repeated, filters, shards, min_chars, want_text, filter_bytes, shard_keys)
 
 
+def store_shards(n_docs: int) -> int:
+    """Shards of a store that is to hold so many documents."""
+    return max(8, -(-n_docs // DOCS_A_SHARD))
+
+
 class LineStore:
     """The incremental form, kept under a path that outlives the application: logs of references by key, of references by
     document and of counts, each in shards, and a filter for each shard.
@@ -341,8 +349,10 @@ class LineStore:
     which prune the scan) the rows of these keys alone, picked out before anything is grouped; filters of shards in which a
     key crosses the limit. Inserting an id that the store holds replaces the document. Newer rows of a log hold over
     older ones; `merge_after` parts of one size make one of the next, so a row is rewritten as often as the logarithm of the
-    log. A step is in force once its manifest stands: an update that dies leaves the former state, and open() finds the last
-    one. One update runs at a time. Deleting what was inserted restores counts, filters' answers and the result of apply()."""
+    log. A step, of which a replacement is one, is in force once its manifest stands: an update that dies or fails leaves the
+    former state, here and for open(), and can be run again. One update runs at a time. vacuum() deletes files that the last
+    step doesn't need. Without a path the store lies in the scratch folder and goes with the application. Deleting what was
+    inserted restores counts, filters' answers and the result of apply()."""
 
     LOGS = {
         "refs": "hi long, lo long, doc_id long, sign int",
@@ -358,6 +368,9 @@ class LineStore:
         self.shards, self.min_chars, self.min_docs, self.merge_after = shards, min_chars, min_docs, max(2, merge_after)
         self._step, self._parts = 0, {log: [] for log in self.LOGS}  # of each log [part, level], oldest first
         self._commit()
+        if not path:
+            files, at = self._files(self.path)
+            files.deleteOnExit(at)
 
     @classmethod
     def open(cls, spark: SparkSession, path: str) -> LineStore:
@@ -391,6 +404,19 @@ class LineStore:
         if not files.rename(at, to):
             raise RuntimeError(f"{to.toString()} can't be written: is another update running?")
 
+    @contextmanager
+    def _whole_step(self) -> Iterator[None]:
+        """What is written inside comes into force together, or not at all."""
+        held = {log: list(parts) for log, parts in self._parts.items()}
+        try:
+            yield
+            self._merge()
+            if self._parts != held:
+                self._commit()
+        except BaseException:
+            self._parts = held
+            raise
+
     def _write(self, log: str, rows: DataFrame) -> None:
         """A new part of a log; rows have a shard."""
         self._step += 1
@@ -410,8 +436,7 @@ class LineStore:
     def _merge(self) -> None:
         """Parts of one size at a log's end become one of the next."""
         for log, parts in self._parts.items():
-            while len(parts) >= self.merge_after and len({level for _, level in parts[-self.merge_after :]}) == 1:
-                old = parts[-self.merge_after :]
+            while len(old := self._last_of_a_size(parts)) >= self.merge_after:
                 rows = self._log(log, parts=old)
                 if log in ("refs", "docs"):
                     rows = rows.groupBy(*KEY, "doc_id", "shard").agg(F.sum("sign").cast("int").alias("sign")).where("sign <> 0")
@@ -422,6 +447,22 @@ class LineStore:
                 self._write(log, rows)
                 parts[-len(old) - 1 :] = [[self._step, old[0][1] + 1]]
 
+    def _last_of_a_size(self, parts: list[list[int]]) -> list[list[int]]:
+        n = next((i for i, (_, level) in enumerate(reversed(parts)) if level != parts[-1][1]), len(parts))
+        return parts[len(parts) - n :]
+
+    def vacuum(self) -> None:
+        """Delete parts that were merged or never came into force, and older manifests. Frames read from the store before
+        may need them."""
+        for log, parts in self._parts.items():
+            files, at = self._files(f"{self.path}/{log}")
+            for f in files.listStatus(at) if files.exists(at) else []:
+                if f.getPath().getName() not in {f"part={p}" for p, _ in parts}:
+                    files.delete(f.getPath(), True)
+        for step in sorted(self._steps())[:-1]:
+            files, at = self._files(f"{self.path}/steps/{step}.json")
+            files.delete(at, False)
+
     def _live(self, refs: DataFrame) -> DataFrame:
         return refs.groupBy(*KEY, "doc_id").agg(F.sum("sign").alias("n")).where("n > 0").select(*KEY, "doc_id")
 
@@ -477,8 +518,6 @@ class LineStore:
         self._write("counts", new.select(*KEY, "shard", "n_docs", "last_doc"))
         if changed:
             self._refilter(crossed, changed, sign)
-        self._merge()
-        self._commit()
 
     def _refilter(self, crossed: DataFrame, changed: list[int], sign: int) -> None:
         before = self._log("filters", changed).groupBy("shard").agg(F.max_by("filter", "part").alias("filter"))
@@ -501,12 +540,14 @@ class LineStore:
         """Documents come in. Of an id that the store holds the former document goes first; rows of one id are one document."""
         refs = cut(references(docs, self.min_chars).distinct())
         ids = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-        self.delete(ids)
-        self._update(refs, 1)
+        with self._whole_step():
+            self._update(self.touched_documents(ids), -1)
+            self._update(refs, 1)
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Forget the documents; ids that the store doesn't know change nothing."""
-        self._update(self.touched_documents(doc_ids.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()), -1)
+        with self._whole_step():
+            self._update(self.touched_documents(doc_ids.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()), -1)
 
     def apply(self, docs: DataFrame, want_text: bool = True, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """docs cut as dedup() cuts them, by what the store holds: a repeated line stays in the largest document of the

@@ -30,6 +30,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def line_store_takedowns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted, those that `labels` call poor are deleted again, and the others are cut by what is left."""
+    docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
+    store = line_dedup.LineStore(spark, shards=line_dedup.store_shards(docs.count()))
+    store.insert(docs)
+    poor = labels.where("quality = 0").select("doc_id")
+    store.delete(poor)
+    kept = store.apply(docs.join(poor, "doc_id", "left_anti"), want_text=False)
+    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path(WORD_VOCABULARY))
 
@@ -80,8 +91,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_infilling": op11_infilling,
     "op12_privacy": op12_privacy,
     "op13_whitening": op13_whitening,
+    "line_store_takedowns": line_store_takedowns,
 }
 
+
 def _secrets_sql() -> str:
     """Positions come from what lies between the matches, as in the operator; everything else is its own."""
     kinds = r"""(0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
@@ -130,13 +143,13 @@ def _secrets_sql() -> str:
         FROM docs LEFT JOIN held ON docs.rn = held.rn"""
 
 
-ORACLE_SQL: dict[str, str] = {
-    "op4_line_dedup": r"""
+def _lines_sql(documents: str) -> str:
+    return rf"""
         WITH lines AS (
             SELECT doc_id, i, line,
                    lower_ascii AS key
             FROM (SELECT doc_id, generate_subscripts(parts, 1) AS i, unnest(parts) AS line
-                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+                  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM {documents})),
                  LATERAL (SELECT translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
                                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii)
         ),
@@ -150,7 +163,12 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
-        FROM marked GROUP BY doc_id""",
+        FROM marked GROUP BY doc_id"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": _lines_sql("documents"),
+    "line_store_takedowns": _lines_sql("documents WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)"),
     "op3_secrets": _secrets_sql(),
     "op10_embeddings": """
         WITH RECURSIVE v AS (

@@ -86,12 +86,11 @@ def test_cuckoo_filter():
     assert tiny.contains(inside[:40, 0], inside[:40, 1]).all(), "what finds no room is stashed"
 
 
-@pytest.mark.parametrize("merge_after", [8, 1])
-def test_store_is_reversible(spark, merge_after):
+def test_store_is_reversible(spark):
     lines = [f"a line of text that is number {i:04d}" for i in range(40)]
     docs = [(d, "\n".join(lines[d : d + 12])) for d in range(20)]
     df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
-    store = LineStore(spark, shards=2, merge_after=merge_after)
+    store = LineStore(spark, shards=2, merge_after=2)
 
     def state():
         return sorted(map(tuple, store.counts().collect())), sorted(map(tuple, store.repeated().select("hi", "lo").collect())), result(store.apply(df(docs))), result(store.apply(df(docs), broadcast_bytes=0))
@@ -180,6 +179,50 @@ def test_store_replaces_and_is_reopened(spark, tmp_path):
         LineStore.open(spark, f"{path}-not")
 
 
+def test_store_step_that_fails_can_be_run_again(spark, tmp_path, monkeypatch):
+    """A replacement is one step: where a write of it fails, the store is as before, here and when opened, and takes it anew.
+    Parts of one size are merged however many a step writes, so none is left behind between larger ones."""
+    df = lambda part: spark.createDataFrame(part, "doc_id long, text string")
+    lines = [f"a line of text that is number {i:04d}" for i in range(9)]
+    path = f"file://{tmp_path}/store"
+    store = LineStore(spark, path, shards=2, merge_after=2)
+    store.insert(df([(d, lines[0]) for d in range(4)]))
+    said = lambda s: sorted(map(tuple, s.counts().collect()))
+    before, write = said(store), LineStore._write
+    new = df([(1, f"{lines[1]}\n{lines[2]}"), (2, lines[1]), (5, lines[1])])
+    for dies_at in (2, 6):
+        writes = []
+
+        def fails(self, log, rows, writes=writes, dies_at=dies_at):
+            writes.append(log)
+            write(self, log, rows)
+            if len(writes) == dies_at:
+                raise OSError("lost")
+
+        monkeypatch.setattr(LineStore, "_write", fails)
+        with pytest.raises(OSError, match="lost"):
+            store.insert(new)
+        monkeypatch.undo()
+        assert said(store) == before == said(LineStore.open(spark, path))
+    store.insert(new)
+    for parts in store._parts.values():
+        levels = [level for _, level in parts]
+        assert levels == sorted(set(levels), reverse=True)
+    docs = [(0, lines[0]), (1, f"{lines[1]}\n{lines[2]}"), (2, lines[1]), (3, lines[0]), (5, lines[1])]
+    assert result(store.apply(df(docs))) == brute(docs)
+    store.vacuum()
+    assert [f.name for f in (tmp_path / "store" / "steps").glob("*.json")] == [f"{store._step}.json"]
+    assert {f.name for f in (tmp_path / "store" / "counts").glob("part=*")} == {f"part={p}" for p, _ in store._parts["counts"]}
+    assert result(LineStore.open(spark, path).apply(df(docs))) == brute(docs)
+
+
+def test_takedowns_against_sql(spark, duck):
+    from skirmish.llm.queries import ORACLE_SQL, QUERIES
+
+    want = sorted(map(tuple, duck.sql("SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM (" + ORACLE_SQL["line_store_takedowns"] + ")").fetchall()), key=repr)
+    assert result(QUERIES["line_store_takedowns"](spark, "/root/testdata/sf0.001")) == want
+
+
 def test_references_meet_their_filter_in_parts(spark, monkeypatch):
     """Filters that aren't sent: references are dealt to their shard, a shard's in several parts, and all hits come."""
     monkeypatch.setattr(line_dedup, "PART_ROWS", 40)
