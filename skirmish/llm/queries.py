@@ -37,8 +37,9 @@ def line_store_takedowns(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.insert(docs)
     poor = labels.where("quality = 0").select("doc_id")
     store.delete(poor)
-    kept = store.apply(docs.join(poor, "doc_id", "left_anti"), want_text=False)
-    return kept.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    # Rows part from the poor ones once their texts are digests.
+    kept = store.apply(docs, want_text=False).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    return kept.join(poor, "doc_id", "left_anti")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
